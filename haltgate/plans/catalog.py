@@ -104,3 +104,137 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in _REGISTRY.items() if v[1] is not None}
+
+
+# -- control plane -----------------------------------------------------------
+
+from ..operators import state as S  # noqa: E402
+from ..operators.gate import gate_asof, gate_snapshot, gated_orders  # noqa: E402
+from ..plans.pipeline import World  # noqa: E402
+from ..sources import commands as C  # noqa: E402
+
+
+@register("command_log", O.COMMAND_LOG)
+def q_command_log(spark, sf_dir):
+    """SRC-3: detector KILLs + operator commands + console commands."""
+    return World(spark, sf_dir).commands()
+
+
+@register("operator_commands", O.CONSOLE_COMMANDS)
+def q_operator_commands(spark, sf_dir):
+    """PRJ-17/18: validated console requests -> commands with defaults."""
+    return C.operator_commands(World(spark, sf_dir).requests())
+
+
+@register("operator_rejects", O.CONSOLE_REJECTS)
+def q_operator_rejects(spark, sf_dir):
+    """PRJ-17: missing / malformed scope (400) and unknown path (404)."""
+    return C.rejected_requests(World(spark, sf_dir).requests())
+
+
+@register("state_history", O.STATE_RECORDS)
+def q_state_history(spark, sf_dir):
+    """PRJ-15/16: one state record per known command, defaults applied."""
+    return World(spark, sf_dir).states()
+
+
+@register("state_snapshot", O.SNAPSHOT)
+def q_state_snapshot(spark, sf_dir):
+    """WIN-1 / KEY-4 (all scopes): latest state per scope."""
+    return World(spark, sf_dir).snapshot()
+
+
+@register("compacted_state_log", f"SELECT scope AS key, status, updated_ts, last_cmd_id FROM ({O.SNAPSHOT})")
+def q_compacted(spark, sf_dir):
+    """WIN-2: compaction of the keyed state changelog (JSON values)."""
+    st = World(spark, sf_dir).states()
+    log = st.select(F.col("scope").alias("key"), "updated_ts", "last_cmd_id",
+                    F.to_json(F.struct(*st.columns)).alias("value"))
+    comp = S.compact(log, "key", ["updated_ts", "last_cmd_id"], "value")
+    v = F.from_json("value", "status string, updated_ts bigint, last_cmd_id string")
+    return comp.select("key", v.alias("v")).select("key", "v.status", "v.updated_ts", "v.last_cmd_id")
+
+
+@register("status_changes", O.STATUS_CHANGES)
+def q_status_changes(spark, sf_dir):
+    """WIN-3: status transitions per scope."""
+    return S.status_changes(World(spark, sf_dir).states())
+
+
+@register("kill_intervals", O.KILL_INTERVALS)
+def q_kill_intervals(spark, sf_dir):
+    """WIN-4: KILLED periods with duration."""
+    return S.kill_intervals(World(spark, sf_dir).states())
+
+
+@register("reset_all", f"""
+SELECT sha256(concat_ws('|', 'reset', scope, last_cmd_id)) AS cmd_id, updated_ts + 1 AS ts, scope,
+       'UNKILL' AS action, 'Reset all' AS reason, 'dashboard' AS triggered_by,
+       CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS value,
+       sha256(concat_ws('|', 'resetcorr', scope, last_cmd_id)) AS corr_id
+FROM ({O.SNAPSHOT}) WHERE status = 'KILLED'""")
+def q_reset_all(spark, sf_dir):
+    """SET-2: UNKILL for every KILLED scope."""
+    return S.reset_all_commands(World(spark, sf_dir).snapshot())
+
+
+_WATCHED_SQL = ", ".join(f"('{s}')" for s in S.WATCHED_SCOPES)
+_WATCHED_IN = ", ".join(f"'{s}'" for s in S.WATCHED_SCOPES)
+
+
+@register("scope_board", f"""
+WITH snap AS ({O.SNAPSHOT}),
+scopes AS (SELECT scope FROM (VALUES {_WATCHED_SQL}) v(scope) UNION SELECT scope FROM snap)
+SELECT s.scope, coalesce(n.status, 'UNKNOWN') AS status, n.reason, n.updated_ts, n.updated_by,
+       s.scope IN ({_WATCHED_IN}) AS watched
+FROM scopes s LEFT JOIN snap n ON s.scope = n.scope""")
+def q_scope_board(spark, sf_dir):
+    """JOIN-6 / SET-1 / PRJ-22: watched ∪ known scopes with status."""
+    return S.scope_board(World(spark, sf_dir).snapshot())
+
+
+@register("active_kills", f"""
+SELECT count_if(status = 'KILLED') AS active_kills, count(*) AS known_scopes FROM ({O.SNAPSHOT})""")
+def q_active_kills(spark, sf_dir):
+    """AGG-12."""
+    return S.active_kill_count(World(spark, sf_dir).snapshot())
+
+
+@register("state_cache", f"""
+SELECT *, updated_ts // 1000 + {86400 * 7} AS expires_at FROM ({O.SNAPSHOT})
+WHERE status <> 'ACTIVE'
+   OR updated_ts // 1000 + {86400 * 7} > (SELECT max(updated_ts) FROM ({O.STATE_RECORDS})) // 1000""")
+def q_state_cache(spark, sf_dir):
+    """SNK-8 / PRJ-19: snapshot with 7-day TTL on ACTIVE rows, as of the log end."""
+    w = World(spark, sf_dir)
+    now = w.states().agg(F.max("updated_ts")).first()[0]
+    return S.state_cache(w.snapshot(), now)
+
+
+# -- gate ----------------------------------------------------------------------
+
+@register("gate_audit", O.AUDIT)
+def q_gate_audit(spark, sf_dir):
+    """JOIN-1..5: every order gated against the state as of its time."""
+    return World(spark, sf_dir).audit()
+
+
+@register("gate_snapshot", O.AUDIT_SNAPSHOT)
+def q_gate_snapshot(spark, sf_dir):
+    """JOIN-1 / SRC-5: orders against the bootstrapped (final) snapshot."""
+    w = World(spark, sf_dir)
+    return gate_snapshot(w.orders(), w.snapshot())
+
+
+@register("gated_orders", f"""
+SELECT order_id, ts, account_id, symbol, side, qty, price, strategy FROM ({O.AUDIT})
+WHERE decision = 'ALLOW'""")
+def q_gated_orders(spark, sf_dir):
+    """SNK-5: orders forwarded downstream."""
+    return gated_orders(World(spark, sf_dir).audit())
+
+
+@register("book_gate_audit", O.BOOK_AUDIT)
+def q_book_gate_audit(spark, sf_dir):
+    """Gate at volume: book orders against the same state history."""
+    return World(spark, sf_dir).book_audit()

@@ -32,7 +32,7 @@ def _strategy_of(key: Column) -> Column:
 def event_orders(events: DataFrame) -> DataFrame:
     """events -> orders: event_id is the order id, user the account, the event
     type the symbol, ``props.k`` the quantity and ``value`` the price."""
-    qty = F.get_json_object("props", "$.k").cast("int")
+    qty = F.get_json_object("props", "$.k").try_cast("int")
     return events.select(
         F.col("event_id").cast("string").alias("order_id"),
         to_epoch_ms("ts").alias("ts"),
