@@ -29,6 +29,8 @@ from ..schemas import AUDIT_COLUMNS
 from .sequence import neighbour_in_key
 
 DAY_MS = 86_400_000
+# Broadcast bound for state-side tables: about 100 bytes a row -> < 100 MiB.
+MAX_BROADCAST_ROWS = 1_000_000
 STATE_FIELDS = ["status", "reason", "updated_ts", "last_cmd_id", "corr_id"]
 
 
@@ -64,6 +66,12 @@ def bucketed_intervals(intervals: DataFrame, horizon_ms, bucket_ms: int = DAY_MS
         "bucket", F.explode(F.sequence(first_b, F.greatest(first_b, last_b))))
 
 
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only behind a counted size bound; ``df`` should be
+    materialised (checkpointed) so the count does not recompute its lineage."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def order_horizon(orders: DataFrame) -> int:
     """Latest order time (one scalar; partial max per task)."""
     v = orders.agg(F.max("ts")).first()[0]
@@ -88,12 +96,20 @@ def _lookup_level(orders: DataFrame, iv: DataFrame, prefix: str, key: Column,
 
 
 def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY_MS,
-                      include_strategy: bool = False, horizon_ms: int | None = None) -> DataFrame:
-    """Adds ``<p>_status``, ``<p>_reason``, ... per scope level as of each order."""
+                      include_strategy: bool = False, horizon_ms: int | None = None,
+                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Adds ``<p>_status``, ``<p>_reason``, ... per scope level as of each order.
+
+    The bucketed interval table is written once to the checkpoint folder
+    (shared by the three level joins, lineage cut) and broadcast only when
+    its counted size is under ``max_broadcast_rows``; otherwise the joins
+    shuffle on (scope, bucket).
+    """
     iv = state_intervals(states, bucket_ms)
     if horizon_ms is None:
         horizon_ms = order_horizon(orders)
-    biv = bucketed_intervals(iv, horizon_ms, bucket_ms)
+    biv = sized_broadcast(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(),
+                          max_broadcast_rows)
     out = orders
     for prefix, key in scope_levels(include_strategy):
         out = _lookup_level(out, biv, prefix, key, bucket_ms)
@@ -101,7 +117,9 @@ def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY
 
 
 def attach_state_snapshot(orders: DataFrame, snapshot: DataFrame,
-                          include_strategy: bool = False) -> DataFrame:
+                          include_strategy: bool = False,
+                          max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    snapshot = sized_broadcast(snapshot.checkpoint(), max_broadcast_rows)
     out = orders
     for prefix, key in scope_levels(include_strategy):
         side = snapshot.select(F.col("scope").alias(f"_{prefix}_scope"),
@@ -177,7 +195,11 @@ def audit_rows(decided: DataFrame) -> DataFrame:
 
 def gate_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY_MS,
               include_strategy: bool = False, horizon_ms: int | None = None) -> DataFrame:
-    """orders + state history -> audit rows (exact as-of decisions)."""
+    """orders + state history -> audit rows (exact as-of decisions).
+
+    ``horizon_ms`` bounds open intervals; pass a cheap upper bound of the
+    order times (e.g. a one-column max of the source table) to avoid a pass
+    over a derived order view."""
     return audit_rows(decide(attach_state_asof(orders, states, bucket_ms, include_strategy,
                                                horizon_ms), include_strategy))
 

@@ -238,3 +238,201 @@ def q_gated_orders(spark, sf_dir):
 def q_book_gate_audit(spark, sf_dir):
     """Gate at volume: book orders against the same state history."""
     return World(spark, sf_dir).book_audit()
+
+
+# -- reports -------------------------------------------------------------------
+
+from ..operators import reports as R  # noqa: E402
+from ..sources.orders import split_valid_orders  # noqa: E402
+
+
+def _bin_sql(width_ms: int) -> str:
+    return f"epoch_ms(ts - (((ts % {width_ms}) + {width_ms}) % {width_ms}))"
+
+
+_REQUIRED_NULL = "order_id IS NULL OR ts IS NULL OR account_id IS NULL OR symbol IS NULL OR qty IS NULL OR price IS NULL"
+
+
+@register("router_counters", f"""
+SELECT (SELECT count(*) FROM ({O.AUDIT})) AS orders_processed,
+       (SELECT count_if(decision = 'ALLOW') FROM ({O.AUDIT})) AS orders_allowed,
+       (SELECT count_if(decision = 'DROP') FROM ({O.AUDIT})) AS orders_dropped,
+       (SELECT count(*) FROM ({O.EVENT_ORDERS}) WHERE {_REQUIRED_NULL}) AS errors,
+       (SELECT count(*) FROM ({O.SNAPSHOT})) AS kill_state_scopes""")
+def q_router_counters(spark, sf_dir):
+    """AGG-9."""
+    w = World(spark, sf_dir)
+    _, bad = split_valid_orders(w.orders())
+    return R.router_counters(w.audit(), bad, w.snapshot())
+
+
+@register("aggregator_counters", f"""
+SELECT count_if(NOT (cmd_id IS NULL OR scope IS NULL OR action IS NULL)) AS commands_processed,
+       count_if(cmd_id IS NULL OR scope IS NULL OR action IS NULL) AS errors,
+       count_if(NOT (cmd_id IS NULL OR scope IS NULL OR action IS NULL)
+                AND action NOT IN ('KILL', 'UNKILL')) AS ignored_actions
+FROM ({O.COMMAND_LOG})""")
+def q_aggregator_counters(spark, sf_dir):
+    """AGG-10."""
+    return R.aggregator_counters(World(spark, sf_dir).commands())
+
+
+@register("dashboard_totals", f"""
+SELECT count(DISTINCT order_id) AS total_orders, count_if(decision = 'ALLOW') AS allowed,
+       count_if(decision = 'DROP') AS dropped FROM ({O.AUDIT})""")
+def q_dashboard_totals(spark, sf_dir):
+    """AGG-11."""
+    return R.dashboard_totals(World(spark, sf_dir).audit())
+
+
+@register("drops_by_reason", f"""
+SELECT reason, count(*) AS drops FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY reason""")
+def q_drops_by_reason(spark, sf_dir):
+    """AGG-13."""
+    return R.drops_by_reason(World(spark, sf_dir).audit())
+
+
+@register("commands_by_scope_action", f"""
+SELECT scope, action, count(*) AS commands FROM ({O.COMMAND_LOG}) GROUP BY scope, action""")
+def q_commands_by_scope_action(spark, sf_dir):
+    """AGG-14."""
+    return R.commands_by_scope_action(World(spark, sf_dir).commands())
+
+
+@register("orders_per_5min", f"""
+SELECT {_bin_sql(300000)} AS bin_start, count(*) AS orders FROM ({O.AUDIT}) GROUP BY 1""")
+def q_orders_per_bin(spark, sf_dir):
+    """AGG-15."""
+    return R.orders_per_bin(World(spark, sf_dir).audit(), "5 minutes")
+
+
+@register("decisions_per_minute", f"""
+SELECT decision, {_bin_sql(60000)} AS bin_start, count(*) AS orders FROM ({O.AUDIT}) GROUP BY 1, 2""")
+def q_decisions_per_minute(spark, sf_dir):
+    """AGG-16."""
+    return R.decisions_per_bin(World(spark, sf_dir).audit(), "1 minute")
+
+
+@register("drop_age_stats", f"""
+SELECT {_bin_sql(300000)} AS bin_start, avg(CAST(ts - kill_ts AS DOUBLE)) AS avg_ms,
+       max(CAST(ts - kill_ts AS DOUBLE)) AS max_ms,
+       round(quantile_cont(CAST(ts - kill_ts AS DOUBLE), 0.99), 3) AS p99_ms, count(*) AS drops
+FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY 1""")
+def q_drop_age_stats(spark, sf_dir):
+    """AGG-17."""
+    return R.drop_age_stats(World(spark, sf_dir).audit(), "5 minutes")
+
+
+@register("record_counts", f"""
+SELECT 'audit' AS "table", count(*) AS records FROM ({O.AUDIT})
+UNION ALL SELECT 'state_history', count(*) FROM ({O.STATE_RECORDS})
+UNION ALL SELECT 'state_snapshot', count(*) FROM ({O.SNAPSHOT})
+UNION ALL SELECT 'commands', count(*) FROM ({O.COMMAND_LOG})""")
+def q_record_counts(spark, sf_dir):
+    """AGG-18."""
+    w = World(spark, sf_dir)
+    return R.record_counts(w.audit(), w.states(), w.snapshot(), w.commands())
+
+
+@register("recent_audit", f"""
+SELECT * FROM ({O.AUDIT}) ORDER BY ts DESC, order_id DESC LIMIT 50""")
+def q_recent_audit(spark, sf_dir):
+    """TOP-1: newest 50 decisions."""
+    return R.recent_audit(World(spark, sf_dir).audit(), 50)
+
+
+@register("audit_feed", f"""
+WITH l AS (SELECT * FROM (
+  SELECT order_id, ts, account_id, symbol, side, qty, decision, reason,
+         row_number() OVER (PARTITION BY order_id ORDER BY ts DESC) AS rn FROM ({O.AUDIT})) WHERE rn = 1)
+SELECT CASE WHEN ts > 1000000000000 THEN ts ELSE ts * 1000 END AS ts_ms,
+       coalesce(substr(order_id, 1, 8), '-') AS order_short, order_id,
+       coalesce(account_id, '-') AS account_id, coalesce(symbol, '-') AS symbol,
+       coalesce(side, '-') AS side, coalesce(CAST(qty AS VARCHAR), '-') AS qty, decision, reason
+FROM l ORDER BY ts DESC, order_id DESC LIMIT 200""")
+def q_audit_feed(spark, sf_dir):
+    """TOP-2 / PRJ-20,21: feed without repeated orders, newest 200."""
+    return R.audit_feed(World(spark, sf_dir).audit(), 200)
+
+
+@register("recent_drops", f"""
+SELECT * FROM ({O.AUDIT}) WHERE decision = 'DROP' ORDER BY ts DESC, order_id DESC LIMIT 20""")
+def q_recent_drops(spark, sf_dir):
+    """TOP-3: newest 20 drops."""
+    return R.recent_drops(World(spark, sf_dir).audit(), 20)
+
+
+@register("audit_for_order", f"SELECT * FROM ({O.AUDIT}) WHERE order_id = '4242'")
+def q_audit_for_order(spark, sf_dir):
+    """KEY-1: point lookup of one order's audit rows."""
+    return R.audit_for_order(World(spark, sf_dir).audit(), "4242")
+
+
+@register("audit_for_account", f"SELECT * FROM ({O.AUDIT}) WHERE account_id = '42'")
+def q_audit_for_account(spark, sf_dir):
+    """KEY-2: one account's audit rows, time-ordered."""
+    return R.audit_for_account(World(spark, sf_dir).audit(), "42")
+
+
+@register("dropped_orders", f"""
+SELECT * FROM ({O.AUDIT}) WHERE decision = 'DROP' ORDER BY ts, order_id LIMIT 100""")
+def q_dropped_orders(spark, sf_dir):
+    """KEY-3: dropped orders, first 100."""
+    return R.dropped_orders(World(spark, sf_dir).audit(), 100)
+
+
+@register("state_for_scope", f"SELECT * FROM ({O.SNAPSHOT}) WHERE scope = 'GLOBAL'")
+def q_state_for_scope(spark, sf_dir):
+    """KEY-4: one scope's state."""
+    return R.state_for_scope(World(spark, sf_dir).snapshot(), "GLOBAL")
+
+
+@register("drop_log_reasons", f"""
+SELECT reason, count(*) AS drops FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY reason""")
+def q_drop_log_reasons(spark, sf_dir):
+    """PRJ-23: render router log lines, filter and parse them, count by reason."""
+    return R.parse_drop_lines(R.router_log_lines(World(spark, sf_dir).audit()))
+
+
+@register("correlation_trace", f"""
+WITH d AS (SELECT kill_cmd_id AS cmd_id, count(*) AS orders_dropped, min(ts) AS first_drop_ts,
+                  max(ts) AS last_drop_ts FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY 1),
+s AS (SELECT last_cmd_id AS cmd_id, status AS state_status, corr_id AS state_corr_id FROM ({O.SNAPSHOT}))
+SELECT c.cmd_id, c.ts, c.scope, c.action, c.corr_id, s.state_status, s.state_corr_id,
+       coalesce(d.orders_dropped, 0) AS orders_dropped, d.first_drop_ts, d.last_drop_ts
+FROM ({O.COMMAND_LOG}) c LEFT JOIN s ON c.cmd_id = s.cmd_id LEFT JOIN d ON c.cmd_id = d.cmd_id""")
+def q_correlation_trace(spark, sf_dir):
+    """JOIN-7: command -> state -> dropped orders."""
+    w = World(spark, sf_dir)
+    return R.correlation_trace(w.commands(), w.snapshot(), w.audit())
+
+
+_ACTIVATIONS_SQL = f"""
+WITH k AS ({O.KILL_INTERVALS}),
+d AS (SELECT k.kill_cmd_id, count(*) AS orders_dropped
+      FROM ({O.AUDIT}) a JOIN k ON a.kill_scope = k.scope AND a.ts >= k.kill_ts
+           AND (k.unkill_ts IS NULL OR a.ts < k.unkill_ts)
+      WHERE a.decision = 'DROP' GROUP BY 1)
+SELECT k.scope, k.kill_ts, k.unkill_ts, k.duration_ms, k.reason, k.kill_cmd_id,
+       coalesce(d.orders_dropped, 0) AS orders_dropped
+FROM k LEFT JOIN d ON k.kill_cmd_id = d.kill_cmd_id"""
+
+
+def _activations(spark, sf_dir):
+    w = World(spark, sf_dir)
+    return R.drops_by_activation(w.audit(), S.kill_intervals(w.states()), w.event_horizon())
+
+
+@register("drops_by_activation", _ACTIVATIONS_SQL)
+def q_drops_by_activation(spark, sf_dir):
+    """JOIN-8: which orders each kill activation dropped."""
+    return _activations(spark, sf_dir)
+
+
+@register("daily_kill_report", f"""
+SELECT CAST(epoch_ms(kill_ts) AS DATE) AS day, scope, reason, count(*) AS activations,
+       CAST(sum(orders_dropped) AS BIGINT) AS orders_dropped, CAST(sum(duration_ms) AS BIGINT) AS killed_ms
+FROM ({_ACTIVATIONS_SQL}) GROUP BY 1, 2, 3""")
+def q_daily_kill_report(spark, sf_dir):
+    """EXT-7: activations, drops and killed time by day, scope and reason."""
+    return R.daily_kill_report(_activations(spark, sf_dir))

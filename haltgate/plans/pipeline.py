@@ -10,7 +10,10 @@ horizon used to bound open state intervals.
 
 from __future__ import annotations
 
+from datetime import timezone
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.breaches import kill_commands
 from ..operators.gate import gate_asof
@@ -58,8 +61,17 @@ class World:
     def snapshot(self) -> DataFrame:
         return fold_state(self.states())
 
+    def event_horizon(self) -> int:
+        """Latest order time of the event view: a one-column max of ``events``."""
+        v = self.t.events.agg(F.max("ts")).first()[0]
+        return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
+
+    def book_horizon(self) -> int:
+        v = self.t.orders.agg(F.max("o_orderdate")).first()[0]
+        return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
+
     def audit(self) -> DataFrame:
-        return gate_asof(self.orders(), self.states())
+        return gate_asof(self.orders(), self.states(), horizon_ms=self.event_horizon())
 
     def book_audit(self) -> DataFrame:
-        return gate_asof(self.book_orders(), self.states())
+        return gate_asof(self.book_orders(), self.states(), horizon_ms=self.book_horizon())

@@ -95,6 +95,15 @@ def decode_orders(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
     return good, bad
 
 
+def split_valid_orders(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(orders with every required field, orders missing one)."""
+    ok = None
+    for f in REQUIRED_ORDER_FIELDS:
+        cond = F.col(f).isNotNull()
+        ok = cond if ok is None else ok & cond
+    return orders.filter(ok), orders.filter(~ok)
+
+
 def to_keyed_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
     """(key, value) pairs for a log sink: key = ``key_col``, else ``account_id``
     when present, else the first column as text; value = the row as JSON."""
