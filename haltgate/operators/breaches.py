@@ -14,7 +14,8 @@ from ..schemas import COMMAND_COLUMNS
 BREACH_FLAGS = ["order_rate_breach", "notional_breach", "concentration_breach"]
 
 
-def flag_breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> DataFrame:
+def flag_breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS,
+                  label: str = "symbol") -> DataFrame:
     """Adds the three strict ``>`` breach flags."""
     return (signals
             .withColumn("order_rate_breach", F.col("order_count") > F.lit(params.max_orders))
@@ -22,19 +23,21 @@ def flag_breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> Da
                         F.coalesce(F.col("total_notional") > F.lit(float(params.max_notional)),
                                    F.lit(False)))
             .withColumn("concentration_breach",
-                        (F.col("top_symbol_share") > F.lit(float(params.max_share)))
+                        (F.col(f"top_{label}_share") > F.lit(float(params.max_share)))
                         & (F.col("order_count") >= F.lit(params.min_orders))))
 
 
-def breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> DataFrame:
+def breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS,
+             label: str = "symbol") -> DataFrame:
     """Signal rows with at least one breach."""
-    f = flag_breaches(signals, params)
+    f = flag_breaches(signals, params, label)
     return f.filter(F.col("order_rate_breach") | F.col("notional_breach")
                     | F.col("concentration_breach"))
 
 
 def commands_from_breaches(breach_rows: DataFrame, params: RiskParams = DEFAULT_PARAMS,
-                           scope=None, key_col: str = "account_id") -> DataFrame:
+                           scope=None, key_col: str = "account_id",
+                           label: str = "symbol") -> DataFrame:
     """Breach rows -> KILL commands.
 
     Precedence rate > notional > concentration for reason, metric and value.
@@ -43,21 +46,21 @@ def commands_from_breaches(breach_rows: DataFrame, params: RiskParams = DEFAULT_
     """
     rate, notional, conc = (F.col(x) for x in BREACH_FLAGS)
     scope_col = account_scope(key_col) if scope is None else scope
-    label = params.window_label
+    wlabel = params.window_label
     reason = first_true(
         (rate, F.concat(F.lit("Order rate breach: "), F.col("order_count").cast("string"),
-                        F.lit(f" orders in {label}"))),
+                        F.lit(f" orders in {wlabel}"))),
         (notional, F.concat(F.lit("Notional breach: $"), money_text("total_notional"),
-                            F.lit(f" in {label}"))),
+                            F.lit(f" in {wlabel}"))),
         (conc, F.concat(F.lit("Symbol concentration breach: "),
-                        percent_text("top_count", "symbol_orders"), F.lit("% in "),
-                        F.col("top_symbol"))),
+                        percent_text("top_count", f"{label}_orders"), F.lit("% in "),
+                        F.col(f"top_{label}"))),
     )
     metric = first_true((rate, F.lit(METRIC_RATE)), (notional, F.lit(METRIC_NOTIONAL)),
                         (conc, F.lit(METRIC_CONCENTRATION)))
     value = first_true((rate, F.col("order_count").cast("double")),
                        (notional, F.col("total_notional").cast("double")),
-                       (conc, F.col("top_symbol_share").cast("double")))
+                       (conc, F.col(f"top_{label}_share").cast("double")))
     start_ms = F.unix_millis(F.col("window_start"))
     out = (breach_rows
            .withColumn("scope", scope_col)

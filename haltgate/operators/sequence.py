@@ -40,3 +40,27 @@ def neighbour_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Col
 
 def day_bucket(ts_ms_col: str, bucket_ms: int = 86_400_000) -> Column:
     return F.floor(F.col(ts_ms_col) / F.lit(bucket_ms)).cast("bigint")
+
+
+def next_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column,
+                         value_col: str, out: str) -> DataFrame:
+    """Adds ``out``: the first non-null ``value_col`` at or after each row
+    within ``key`` (in ``order_cols`` order), computed per (key, bucket) with
+    a carry from the nearest following bucket that has one."""
+    d = df.withColumn("_bk", bucket)
+    local = (Window.partitionBy(key, "_bk").orderBy(*order_cols)
+             .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    d = d.withColumn("_loc", F.first(value_col, ignorenulls=True).over(local))
+    order = F.struct(*[F.col(o) for o in order_cols])
+    summary = (d.filter(F.col(value_col).isNotNull()).groupBy(key, "_bk")
+               .agg(F.min_by(value_col, order).alias("_edge")))
+    following = (Window.partitionBy(key).orderBy("_bk")
+                 .rowsBetween(1, Window.unboundedFollowing))
+    # Buckets without a value still need a carry: take every bucket that
+    # has rows, attach the summary, then look ahead over buckets.
+    buckets = d.select(key, "_bk").distinct().join(summary, [key, "_bk"], "left")
+    carry = (buckets.withColumn("_carry", F.first("_edge", ignorenulls=True).over(following))
+             .select(key, "_bk", "_carry"))
+    return (d.join(carry, [key, "_bk"], "left")
+            .withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry")))
+            .drop("_bk", "_loc", "_carry"))

@@ -18,32 +18,37 @@ from ..sources.orders import with_order_metrics
 
 
 def symbol_counts(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS,
-                  keys: tuple[str, ...] = ("account_id",)) -> DataFrame:
-    """First level: one row per (window, *keys, symbol) with count and cents."""
+                  keys: tuple[str, ...] = ("account_id",), inner: str = "symbol") -> DataFrame:
+    """First level: one row per (window, *keys, inner) with count and cents.
+
+    ``inner`` is the dimension whose concentration is measured (the symbol
+    for account signals; the account for symbol-level signals)."""
     # Streaming callers add the metrics (and the watermark) themselves.
     o = orders if "notional_cents" in orders.columns else with_order_metrics(orders)
-    return (o.groupBy(F.window("event_time", params.window).alias("window"), *keys, "symbol")
+    return (o.groupBy(F.window("event_time", params.window).alias("window"), *keys,
+                      F.col(inner).alias("_inner"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count("notional_cents").alias("n_priced"),
                  F.sum("notional_cents").alias("cents")))
 
 
 def rollup_signals(per_symbol: DataFrame, keys: tuple[str, ...] = ("account_id",),
-                   ts_mode: str = "event") -> DataFrame:
-    """Second level: (window, *keys) signals from per-symbol counts.
+                   ts_mode: str = "event", label: str = "symbol") -> DataFrame:
+    """Second level: (window, *keys) signals from per-``inner`` counts.
 
-    ``top_symbol`` is the most frequent symbol (ties -> larger name); the
-    reference's alphabetical ``max(symbol)`` is kept as ``max_symbol``.
-    ``top_symbol_share`` = top count / orders with a symbol, 0.0 when none.
+    ``top_<label>`` is the most frequent value (ties -> larger value); the
+    reference's alphabetical ``max(symbol)`` is kept as ``max_<label>``.
+    ``top_<label>_share`` = top count / orders with a value, 0.0 when none.
     """
-    sym_n = F.when(F.col("symbol").isNotNull(), F.col("n"))
+    inner = F.col("_inner")
+    sym_n = F.when(inner.isNotNull(), F.col("n"))
     agg = (per_symbol.groupBy("window", *keys).agg(
         F.sum("n").alias("order_count"),
         F.sum("n_priced").alias("priced_count"),
         F.sum("cents").alias("notional_cents"),
-        F.count("symbol").alias("unique_symbols"),
-        F.max("symbol").alias("max_symbol"),
-        F.max_by("symbol", F.struct(sym_n.alias("n"), F.col("symbol"))).alias("top_symbol"),
+        F.count(inner).alias("unique_inner"),
+        F.max(inner).alias("max_inner"),
+        F.max_by(inner, F.struct(sym_n.alias("n"), inner.alias("v"))).alias("top_inner"),
         F.max(sym_n).alias("top_count"),
         F.coalesce(F.sum(sym_n), F.lit(0)).alias("symbol_orders"),
     ))
@@ -57,13 +62,13 @@ def rollup_signals(per_symbol: DataFrame, keys: tuple[str, ...] = ("account_id",
         (F.col("notional_cents") / F.lit(100.0)).alias("total_notional"),
         F.when(F.col("priced_count") > 0,
                F.col("notional_cents") / F.col("priced_count") / F.lit(100.0)).alias("avg_notional"),
-        F.col("unique_symbols"),
-        F.col("max_symbol"),
-        F.when(F.col("top_count").isNotNull(), F.col("top_symbol")).alias("top_symbol"),
+        F.col("unique_inner").alias(f"unique_{label}s"),
+        F.col("max_inner").alias(f"max_{label}"),
+        F.when(F.col("top_count").isNotNull(), F.col("top_inner")).alias(f"top_{label}"),
         F.when(F.col("symbol_orders") > 0, F.col("top_count") / F.col("symbol_orders"))
-         .otherwise(F.lit(0.0)).alias("top_symbol_share"),
+         .otherwise(F.lit(0.0)).alias(f"top_{label}_share"),
         F.coalesce(F.col("top_count"), F.lit(0)).alias("top_count"),
-        F.col("symbol_orders"),
+        F.col("symbol_orders").alias(f"{label}_orders"),
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         ts.cast("bigint").alias("ts"),
@@ -74,3 +79,10 @@ def risk_signals(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS,
                  ts_mode: str = "event") -> DataFrame:
     """orders -> one signal row per (window, account)."""
     return rollup_signals(symbol_counts(orders, params), ("account_id",), ts_mode)
+
+
+def group_signals(orders: DataFrame, params: RiskParams, key: str, inner: str,
+                  label: str) -> DataFrame:
+    """Signals per (window, ``key``) measuring concentration over ``inner``
+    (e.g. per symbol over accounts, per strategy over symbols)."""
+    return rollup_signals(symbol_counts(orders, params, (key,), inner), (key,), "event", label)

@@ -63,3 +63,17 @@ EVENT_PARAMS = RiskParams(window="1 day", max_orders=3, max_notional=5000.0,
                           max_share=0.7, min_orders=3, watermark="1 day")
 BOOK_PARAMS = RiskParams(window="1 day", max_orders=8, max_notional=300000.0,
                          max_share=0.7, min_orders=4, watermark="1 day")
+
+# Extension parameters used by the registered queries.
+SYMBOL_PARAMS = RiskParams(window="1 hour", max_orders=6, max_notional=15000.0,
+                           max_share=0.5, min_orders=4, watermark="1 hour")
+STRATEGY_PARAMS = RiskParams(window="1 hour", max_orders=12, max_notional=30000.0,
+                             max_share=0.6, min_orders=5, watermark="1 hour")
+MULTI_WINDOW_SPECS = [
+    RiskParams(window="1 hour", max_orders=2, max_notional=4000.0, max_share=0.9, min_orders=3),
+    RiskParams(window="6 hours", max_orders=3, max_notional=6000.0, max_share=0.8, min_orders=3),
+    RiskParams(window="1 day", max_orders=4, max_notional=9000.0, max_share=0.7, min_orders=4),
+]
+THROTTLE_RATE_PER_SECOND = 2
+DUPLICATE_MEMORY_MS = 3_600_000
+AUTO_UNKILL_COOLDOWN_MS = 2 * 86_400_000

@@ -436,3 +436,143 @@ FROM ({_ACTIVATIONS_SQL}) GROUP BY 1, 2, 3""")
 def q_daily_kill_report(spark, sf_dir):
     """EXT-7: activations, drops and killed time by day, scope and reason."""
     return R.daily_kill_report(_activations(spark, sf_dir))
+
+
+# -- extensions ------------------------------------------------------------------
+
+from ..operators import extensions as X  # noqa: E402
+from ..operators.breaches import breaches as _breaches  # noqa: E402
+from ..params import (AUTO_UNKILL_COOLDOWN_MS, DUPLICATE_MEMORY_MS, MULTI_WINDOW_SPECS,  # noqa: E402
+                      STRATEGY_PARAMS, SYMBOL_PARAMS, THROTTLE_RATE_PER_SECOND)
+
+_SYM_SIGNALS = O.signals_sql(O.EVENT_ORDERS, SYMBOL_PARAMS, ("symbol",), "account_id", "account")
+_STRAT_SIGNALS = O.signals_sql(O.EVENT_ORDERS, STRATEGY_PARAMS, ("strategy",), "symbol", "symbol")
+_STRAT_COMMANDS = O.commands_sql(_STRAT_SIGNALS, STRATEGY_PARAMS, "'STRATEGY:' || strategy")
+
+
+@register("symbol_signals", _SYM_SIGNALS)
+def q_symbol_signals(spark, sf_dir):
+    """EXT-1: per (window, symbol) flow; concentration over accounts."""
+    return X.symbol_signals(ev_orders(spark, sf_dir), SYMBOL_PARAMS)
+
+
+@register("symbol_kill_commands", O.commands_sql(_SYM_SIGNALS, SYMBOL_PARAMS, "'SYMBOL:' || symbol", "account"))
+def q_symbol_kill_commands(spark, sf_dir):
+    """EXT-1: symbol-level breaches -> SYMBOL:<s> kills."""
+    return X.symbol_kill_commands(ev_orders(spark, sf_dir), SYMBOL_PARAMS)
+
+
+@register("strategy_kill_commands", _STRAT_COMMANDS)
+def q_strategy_kill_commands(spark, sf_dir):
+    """EXT-6: strategy-level breaches -> STRATEGY:<name> kills."""
+    return X.strategy_kill_commands(ev_orders(spark, sf_dir), STRATEGY_PARAMS)
+
+
+_STRAT_STATES = f"""
+SELECT * FROM ({O.STATE_RECORDS})
+UNION ALL SELECT * FROM ({O.state_records_sql(
+    f"SELECT cmd_id, ts, scope, action, reason, triggered_by, metric, value, corr_id FROM ({_STRAT_COMMANDS})")})"""
+
+
+@register("strategy_gate_audit", O.gate_sql(O.EVENT_ORDERS, O.intervals_sql(_STRAT_STATES), strategy=True))
+def q_strategy_gate_audit(spark, sf_dir):
+    """EXT-6: gate with a fourth level STRATEGY:<name>."""
+    w = World(spark, sf_dir)
+    strat = S.state_records(X.strategy_kill_commands(w.orders(), STRATEGY_PARAMS))
+    states = w.states().unionByName(strat)
+    from ..operators.gate import gate_asof as _g
+    return _g(w.orders(), states, include_strategy=True, horizon_ms=w.event_horizon())
+
+
+def _multi_sql() -> str:
+    parts = []
+    for i, p in enumerate(MULTI_WINDOW_SPECS):
+        wl = p.window_label
+        sig = O.signals_sql(O.EVENT_ORDERS, p)
+        parts.append(f"""
+SELECT *, {i} AS spec, '{wl}' AS wl,
+       order_count > {p.max_orders} AS r,
+       coalesce(total_notional > {float(p.max_notional)}, false) AS nb,
+       (top_symbol_share > {float(p.max_share)}) AND (order_count >= {p.min_orders}) AS cb
+FROM ({sig})""")
+    union = " UNION ALL ".join(parts)
+    return f"""
+WITH b AS (SELECT *, 'ACCOUNT:' || account_id AS scope,
+                  CASE WHEN r THEN 'order_rate_' || wl WHEN nb THEN 'notional_' || wl
+                       ELSE 'symbol_concentration_' || wl END AS metric
+           FROM ({union}) WHERE r OR nb OR cb)
+SELECT sha256(concat_ws('|', 'KILL', scope, CAST(epoch_ms(window_start) AS VARCHAR), metric)) AS cmd_id,
+       ts, scope, 'KILL' AS action,
+       CASE WHEN r THEN 'Order rate breach: ' || CAST(order_count AS VARCHAR) || ' orders in ' || wl
+            WHEN nb THEN 'Notional breach: $' || printf('%.2f', total_notional) || ' in ' || wl
+            ELSE 'Symbol concentration breach: ' || {O.percent_sql('top_count', 'symbol_orders')}
+                 || '% in ' || top_symbol END AS reason,
+       'spark' AS triggered_by, metric,
+       CASE WHEN r THEN CAST(order_count AS DOUBLE) WHEN nb THEN total_notional
+            ELSE top_symbol_share END AS value,
+       sha256(concat_ws('|', 'corr', scope, CAST(epoch_ms(window_start) AS VARCHAR), wl)) AS corr_id,
+       wl AS window_label
+FROM b"""
+
+
+@register("multi_window_commands", _multi_sql())
+def q_multi_window_commands(spark, sf_dir):
+    """EXT-4: 1h / 6h / 1d windows with their own thresholds in one pass."""
+    return X.multi_window_commands(ev_orders(spark, sf_dir), MULTI_WINDOW_SPECS)
+
+
+@register("throttle_decisions", f"""
+WITH o AS ({O.BOOK_ORDERS}),
+pol AS (SELECT DISTINCT scope, {THROTTLE_RATE_PER_SECOND} AS max_rate_per_second FROM ({O.BOOK_COMMANDS})),
+j AS (SELECT o.*, pol.max_rate_per_second,
+             row_number() OVER (PARTITION BY o.account_id, o.ts // 1000 ORDER BY o.ts, o.order_id) AS rn
+      FROM o LEFT JOIN pol ON pol.scope = 'ACCOUNT:' || o.account_id)
+SELECT order_id, ts, account_id, symbol, max_rate_per_second,
+       CASE WHEN max_rate_per_second IS NULL OR rn <= max_rate_per_second THEN 'ALLOW'
+            ELSE 'THROTTLED' END AS decision
+FROM j""")
+def q_throttle(spark, sf_dir):
+    """EXT-2: THROTTLED accounts (the book detector's kills) pass at most n orders a second."""
+    w = World(spark, sf_dir)
+    book = w.book_orders()
+    policy = (kill_commands(risk_signals(book, BOOK_PARAMS), BOOK_PARAMS)
+              .select("scope").distinct()
+              .withColumn("max_rate_per_second", F.lit(THROTTLE_RATE_PER_SECOND)))
+    return X.throttle_decisions(book, policy)
+
+
+@register("duplicate_orders", f"""
+SELECT order_id, split_part(order_id, '-', 1) AS client_order_id, ts, account_id,
+       lag(ts) OVER w AS prev_seen_ts,
+       CASE WHEN lag(ts) OVER w IS NOT NULL AND ts - lag(ts) OVER w < {DUPLICATE_MEMORY_MS}
+            THEN 'DUPLICATE' ELSE 'NEW' END AS decision
+FROM ({O.BOOK_ORDERS})
+WINDOW w AS (PARTITION BY split_part(order_id, '-', 1) ORDER BY ts, order_id)""")
+def q_duplicates(spark, sf_dir):
+    """EXT-3: repeated client order ids within one hour -> DUPLICATE."""
+    book = bk_orders(spark, sf_dir).withColumn("client_order_id", F.split("order_id", "-").getItem(0))
+    return X.duplicate_decisions(book, "client_order_id", DUPLICATE_MEMORY_MS)
+
+
+@register("auto_unkill_commands", f"""
+WITH bw AS (SELECT substr(scope, 9) AS account_id, ts - {EVENT_PARAMS.window_ms} AS w_start, ts AS w_end
+            FROM ({O.EVENT_COMMANDS})),
+nx AS (SELECT *, lead(w_start) OVER (PARTITION BY account_id ORDER BY w_start) AS nxs FROM bw),
+mk AS (SELECT *, CASE WHEN nxs IS NULL OR nxs - w_end >= {AUTO_UNKILL_COOLDOWN_MS} THEN w_end END AS end_mark
+       FROM nx),
+ep AS (SELECT 'ACCOUNT:' || account_id AS scope, w_end AS kill_ts,
+              min(end_mark) OVER (PARTITION BY account_id ORDER BY w_start
+                                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS episode_end
+       FROM mk),
+j AS (SELECT k.*, ep.episode_end FROM ({O.KILL_INTERVALS}) k JOIN ep ON k.scope = ep.scope AND k.kill_ts = ep.kill_ts
+      WHERE k.updated_by = 'spark')
+SELECT sha256(concat_ws('|', 'auto', kill_cmd_id)) AS cmd_id, episode_end + {AUTO_UNKILL_COOLDOWN_MS} AS ts,
+       scope, 'UNKILL' AS action, 'Auto unkill after cooldown' AS reason, 'spark' AS triggered_by,
+       CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS value,
+       sha256(concat_ws('|', 'autocorr', kill_cmd_id)) AS corr_id
+FROM j WHERE unkill_ts IS NULL OR unkill_ts >= episode_end + {AUTO_UNKILL_COOLDOWN_MS}""")
+def q_auto_unkill(spark, sf_dir):
+    """EXT-5: release detector kills after a calm cooldown unless an operator acted."""
+    w = World(spark, sf_dir)
+    b = _breaches(w.signals(), EVENT_PARAMS)
+    return X.auto_unkill_commands(b, S.kill_intervals(w.states()), AUTO_UNKILL_COOLDOWN_MS)

@@ -25,7 +25,8 @@ FROM events
 """
 
 BOOK_ORDERS = """
-SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_id,
+SELECT concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR),
+                 CAST(l.l_partkey AS VARCHAR), CAST(l.l_suppkey AS VARCHAR)) AS order_id,
        epoch_us(o.o_orderdate) // 1000 AS ts,
        CAST(o.o_custkey AS VARCHAR) AS account_id,
        p.p_brand AS symbol,
@@ -46,36 +47,37 @@ FROM ({orders_cte})
 """
 
 
-def signals_sql(orders_cte: str, p: RiskParams, keys: tuple[str, ...] = ("account_id",)) -> str:
+def signals_sql(orders_cte: str, p: RiskParams, keys: tuple[str, ...] = ("account_id",),
+                inner: str = "symbol", label: str = "symbol") -> str:
     """Two-level signal aggregation; ``wstart`` is epoch ms of the window start."""
     w = p.window_ms
     k = ", ".join(keys)
     kj = " AND ".join(f"r.{x} IS NOT DISTINCT FROM t.{x}" for x in keys)
     return f"""
-WITH m AS ({_metrics(orders_cte, w)}),
-s AS (SELECT wstart, {k}, symbol, count(*) AS n, count(notional_cents) AS n_priced,
+WITH m AS (SELECT *, {inner} AS _inner FROM ({_metrics(orders_cte, w)})),
+s AS (SELECT wstart, {k}, _inner, count(*) AS n, count(notional_cents) AS n_priced,
              sum(notional_cents) AS cents
-      FROM m WHERE ts IS NOT NULL GROUP BY wstart, {k}, symbol),
+      FROM m WHERE ts IS NOT NULL GROUP BY wstart, {k}, _inner),
 r AS (SELECT wstart, {k}, CAST(sum(n) AS BIGINT) AS order_count,
              CAST(sum(n_priced) AS BIGINT) AS priced_count,
              CAST(sum(cents) AS BIGINT) AS notional_cents,
-             count(symbol) AS unique_symbols, max(symbol) AS max_symbol,
-             max(CASE WHEN symbol IS NOT NULL THEN n END) AS top_count,
-             CAST(coalesce(sum(CASE WHEN symbol IS NOT NULL THEN n END), 0) AS BIGINT) AS symbol_orders
+             count(_inner) AS unique_inner, max(_inner) AS max_inner,
+             max(CASE WHEN _inner IS NOT NULL THEN n END) AS top_count,
+             CAST(coalesce(sum(CASE WHEN _inner IS NOT NULL THEN n END), 0) AS BIGINT) AS inner_orders
       FROM s GROUP BY wstart, {k}),
-t AS (SELECT wstart, {k}, symbol AS top_symbol FROM (
-        SELECT *, row_number() OVER (PARTITION BY wstart, {k} ORDER BY n DESC, symbol DESC) AS rn
-        FROM s WHERE symbol IS NOT NULL) WHERE rn = 1)
-SELECT r.{keys[0]} AS {keys[0]}{''.join(f', r.{x} AS {x}' for x in keys[1:])},
+t AS (SELECT wstart, {k}, _inner AS top_inner FROM (
+        SELECT *, row_number() OVER (PARTITION BY wstart, {k} ORDER BY n DESC, _inner DESC) AS rn
+        FROM s WHERE _inner IS NOT NULL) WHERE rn = 1)
+SELECT {', '.join(f'r.{x} AS {x}' for x in keys)},
        r.order_count,
        CAST(r.notional_cents AS DOUBLE) / 100 AS total_notional,
        CASE WHEN r.priced_count > 0
             THEN CAST(r.notional_cents AS DOUBLE) / r.priced_count / 100 END AS avg_notional,
-       r.unique_symbols, r.max_symbol,
-       CASE WHEN r.top_count IS NOT NULL THEN t.top_symbol END AS top_symbol,
-       CASE WHEN r.symbol_orders > 0 THEN CAST(r.top_count AS DOUBLE) / r.symbol_orders
-            ELSE 0.0 END AS top_symbol_share,
-       coalesce(r.top_count, 0) AS top_count, r.symbol_orders,
+       r.unique_inner AS unique_{label}s, r.max_inner AS max_{label},
+       CASE WHEN r.top_count IS NOT NULL THEN t.top_inner END AS top_{label},
+       CASE WHEN r.inner_orders > 0 THEN CAST(r.top_count AS DOUBLE) / r.inner_orders
+            ELSE 0.0 END AS top_{label}_share,
+       coalesce(r.top_count, 0) AS top_count, r.inner_orders AS {label}_orders,
        epoch_ms(r.wstart) AS window_start, epoch_ms(r.wstart + {w}) AS window_end,
        r.wstart + {w} AS ts
 FROM r LEFT JOIN t ON r.wstart = t.wstart AND {kj}
@@ -88,13 +90,14 @@ def percent_sql(num: str, den: str) -> str:
             f"lpad(CAST(({bp}) % 100 AS VARCHAR), 2, '0')")
 
 
-def commands_sql(signals_cte: str, p: RiskParams, scope_expr: str = "'ACCOUNT:' || account_id") -> str:
-    label = f"{p.window_seconds}s"
+def commands_sql(signals_cte: str, p: RiskParams, scope_expr: str = "'ACCOUNT:' || account_id",
+                 label: str = "symbol") -> str:
+    wl = f"{p.window_seconds}s"
     return f"""
 WITH f AS (
   SELECT *, order_count > {p.max_orders} AS order_rate_breach,
          coalesce(total_notional > {float(p.max_notional)}, false) AS notional_breach,
-         (top_symbol_share > {float(p.max_share)}) AND (order_count >= {p.min_orders}) AS concentration_breach,
+         (top_{label}_share > {float(p.max_share)}) AND (order_count >= {p.min_orders}) AS concentration_breach,
          {scope_expr} AS scope
   FROM ({signals_cte})),
 b AS (
@@ -105,16 +108,16 @@ b AS (
 SELECT sha256(concat_ws('|', 'KILL', scope, CAST(epoch_ms(window_start) AS VARCHAR), metric)) AS cmd_id,
        ts, scope, 'KILL' AS action,
        CASE WHEN order_rate_breach
-              THEN 'Order rate breach: ' || CAST(order_count AS VARCHAR) || ' orders in {label}'
+              THEN 'Order rate breach: ' || CAST(order_count AS VARCHAR) || ' orders in {wl}'
             WHEN notional_breach
-              THEN 'Notional breach: $' || printf('%.2f', total_notional) || ' in {label}'
+              THEN 'Notional breach: $' || printf('%.2f', total_notional) || ' in {wl}'
             WHEN concentration_breach
-              THEN 'Symbol concentration breach: ' || {percent_sql('top_count', 'symbol_orders')}
-                   || '% in ' || top_symbol END AS reason,
+              THEN 'Symbol concentration breach: ' || {percent_sql('top_count', f'{label}_orders')}
+                   || '% in ' || top_{label} END AS reason,
        'spark' AS triggered_by, metric,
        CASE WHEN order_rate_breach THEN CAST(order_count AS DOUBLE)
             WHEN notional_breach THEN total_notional
-            WHEN concentration_breach THEN top_symbol_share END AS value,
+            WHEN concentration_breach THEN top_{label}_share END AS value,
        sha256(concat_ws('|', 'corr', scope, CAST(epoch_ms(window_start) AS VARCHAR))) AS corr_id,
        concat_ws(',', CASE WHEN order_rate_breach THEN 'order_rate_60s' END,
                  CASE WHEN notional_breach THEN 'notional_60s' END,
@@ -224,14 +227,30 @@ SELECT scope, status, updated_ts, updated_by, reason, last_cmd_id, corr_id FROM
   FROM ({STATE_RECORDS})) WHERE rn = 1
 """
 
-INTERVALS = f"""
+def intervals_sql(state_cte: str) -> str:
+    return f"""
 SELECT * FROM (
   SELECT *, updated_ts AS valid_from,
          lead(updated_ts) OVER (PARTITION BY scope ORDER BY updated_ts, last_cmd_id) AS valid_to
-  FROM ({STATE_RECORDS}))
+  FROM ({state_cte}))
 WHERE valid_to IS NULL OR valid_to > valid_from
 """
 
+
+def state_records_sql(command_cte: str) -> str:
+    return f"""
+SELECT scope,
+       CASE action WHEN 'KILL' THEN 'KILLED' WHEN 'UNKILL' THEN 'ACTIVE' END AS status,
+       ts AS updated_ts, coalesce(triggered_by, 'unknown') AS updated_by,
+       coalesce(reason, '') AS reason, cmd_id AS last_cmd_id,
+       coalesce(corr_id, sha256(concat_ws('|', 'corr', cmd_id))) AS corr_id
+FROM ({command_cte})
+WHERE action IN ('KILL', 'UNKILL') AND scope IS NOT NULL
+"""
+
+
+INTERVALS = intervals_sql(STATE_RECORDS)
+
 STATUS_CHANGES = f"""
 SELECT scope, status, updated_ts, updated_by, reason, last_cmd_id, corr_id, prev_status FROM (
   SELECT *, lag(status) OVER (PARTITION BY scope ORDER BY updated_ts, last_cmd_id) AS prev_status

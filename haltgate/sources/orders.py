@@ -48,14 +48,15 @@ def event_orders(events: DataFrame) -> DataFrame:
 def book_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """lineitem ⋈ orders ⋈ part -> orders: customer is the account, brand the
     symbol, order priority the strategy, order date the event time."""
-    li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                          "l_extendedprice", "l_returnflag")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     p = part.select("p_partkey", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return j.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                    F.col("l_linenumber").cast("string")).alias("order_id"),
+        # A line is identified by order, line number, part and supplier.
+        F.concat_ws("-", *[F.col(k).cast("string") for k in
+                           ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("order_id"),
         to_epoch_ms("o_orderdate").alias("ts"),
         F.col("o_custkey").cast("string").alias("account_id"),
         F.col("p_brand").alias("symbol"),
