@@ -576,3 +576,72 @@ def q_auto_unkill(spark, sf_dir):
     w = World(spark, sf_dir)
     b = _breaches(w.signals(), EVENT_PARAMS)
     return X.auto_unkill_commands(b, S.kill_intervals(w.states()), AUTO_UNKILL_COOLDOWN_MS)
+
+
+# -- streaming drivers (file source, availableNow) ---------------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from ..streaming import control as SC  # noqa: E402
+from ..streaming.detector import detector_streams  # noqa: E402
+from ..streaming.io import new_run_dir, parquet_stream  # noqa: E402
+
+
+def _run_to_files(df: DataFrame, run: str, mode: str = "append") -> DataFrame:
+    spark = df.sparkSession
+    out = f"{run}/out"
+    q = (df.writeStream.format("parquet").outputMode(mode).option("path", out)
+         .option("checkpointLocation", f"{run}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+_CLOSED = (f"epoch_ms(window_end) <= (SELECT max(epoch_us(ts) // 1000) FROM events) "
+           f"- {EVENT_PARAMS.window_ms}")
+
+
+@register("stream_risk_signals", f"SELECT * FROM ({O.EVENT_SIGNALS}) WHERE {_CLOSED}")
+def q_stream_signals(spark, sf_dir):
+    """SRC-1 / STR-1..3 / SNK-1: streaming signals, append mode with watermark."""
+    sig, _ = detector_streams(event_orders(parquet_stream(spark, sf_dir, "events")), EVENT_PARAMS)
+    return _run_to_files(sig, new_run_dir(spark, "stream-signals"))
+
+
+@register("stream_kill_commands", f"""
+SELECT * FROM ({O.EVENT_COMMANDS}) WHERE ts <= (SELECT max(epoch_us(ts) // 1000) FROM events) - {EVENT_PARAMS.window_ms}""")
+def q_stream_commands(spark, sf_dir):
+    """SNK-2 / STR-4: streaming kill commands (one per closed breached window)."""
+    _, cmd = detector_streams(event_orders(parquet_stream(spark, sf_dir, "events")), EVENT_PARAMS)
+    return _run_to_files(cmd, new_run_dir(spark, "stream-commands"))
+
+
+_OP_SNAPSHOT = f"""
+SELECT scope, status, updated_ts, updated_by, reason, last_cmd_id, corr_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY scope ORDER BY updated_ts DESC, last_cmd_id DESC) AS rn
+  FROM ({O.state_records_sql(O.OPERATOR_EVENT_COMMANDS)})) WHERE rn = 1"""
+
+
+def _stream_state(spark, sf_dir) -> str:
+    run = new_run_dir(spark, "stream-state")
+    cmds = C.event_commands(parquet_stream(spark, sf_dir, "events"))
+    q = SC.start_aggregator(cmds, f"{run}/state", f"{run}/ck-agg", {"availableNow": True})
+    q.awaitTermination()
+    return run
+
+
+@register("stream_state_snapshot", _OP_SNAPSHOT)
+def q_stream_state(spark, sf_dir):
+    """SRC-3 / WIN-1 / SNK-8 / STR-5,6: foreachBatch state aggregator."""
+    run = _stream_state(spark, sf_dir)
+    return SC.latest_snapshot(spark, f"{run}/state")
+
+
+@register("stream_router_audit", O.gate_sql(O.EVENT_ORDERS, _OP_SNAPSHOT, asof=False))
+def q_stream_router(spark, sf_dir):
+    """SRC-4,5 / SNK-5,6,7: foreachBatch router against the newest snapshot."""
+    run = _stream_state(spark, sf_dir)
+    orders = event_orders(parquet_stream(spark, sf_dir, "events"))
+    q = SC.start_router(orders, f"{run}/state", f"{run}/routed", f"{run}/ck-router",
+                        {"availableNow": True})
+    q.awaitTermination()
+    return SC.read_batches(spark, f"{run}/routed/audit").drop("batch_id")
