@@ -17,14 +17,13 @@ BREACH_FLAGS = ["order_rate_breach", "notional_breach", "concentration_breach"]
 def flag_breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS,
                   label: str = "symbol") -> DataFrame:
     """Adds the three strict ``>`` breach flags."""
-    return (signals
-            .withColumn("order_rate_breach", F.col("order_count") > F.lit(params.max_orders))
-            .withColumn("notional_breach",
-                        F.coalesce(F.col("total_notional") > F.lit(float(params.max_notional)),
-                                   F.lit(False)))
-            .withColumn("concentration_breach",
-                        (F.col(f"top_{label}_share") > F.lit(float(params.max_share)))
-                        & (F.col("order_count") >= F.lit(params.min_orders))))
+    return signals.withColumns({
+        "order_rate_breach": F.col("order_count") > F.lit(params.max_orders),
+        "notional_breach": F.coalesce(F.col("total_notional") > F.lit(float(params.max_notional)),
+                                      F.lit(False)),
+        "concentration_breach": (F.col(f"top_{label}_share") > F.lit(float(params.max_share)))
+                                & (F.col("order_count") >= F.lit(params.min_orders)),
+    })
 
 
 def breaches(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS,
@@ -62,20 +61,15 @@ def commands_from_breaches(breach_rows: DataFrame, params: RiskParams = DEFAULT_
                        (notional, F.col("total_notional").cast("double")),
                        (conc, F.col(f"top_{label}_share").cast("double")))
     start_ms = F.unix_millis(F.col("window_start"))
-    out = (breach_rows
-           .withColumn("scope", scope_col)
-           .withColumn("metric", metric)
-           .withColumn("cmd_id", stable_id(F.lit(ACTION_KILL), F.col("scope"), start_ms,
-                                           F.col("metric")))
-           .withColumn("corr_id", stable_id(F.lit("corr"), F.col("scope"), start_ms))
-           .withColumn("action", F.lit(ACTION_KILL))
-           .withColumn("triggered_by", F.lit(TRIGGERED_BY_DETECTOR))
-           .withColumn("reason", reason)
-           .withColumn("value", value)
-           .withColumn("breached_metrics", F.array_compact(F.array(
-               F.when(rate, F.lit(METRIC_RATE)), F.when(notional, F.lit(METRIC_NOTIONAL)),
-               F.when(conc, F.lit(METRIC_CONCENTRATION))))))
-    return out.select(*COMMAND_COLUMNS, "breached_metrics")
+    out = breach_rows.withColumns({"scope": scope_col, "metric": metric})
+    return out.select(
+        stable_id(F.lit(ACTION_KILL), F.col("scope"), start_ms, F.col("metric")).alias("cmd_id"),
+        F.col("ts"), F.col("scope"), F.lit(ACTION_KILL).alias("action"), reason.alias("reason"),
+        F.lit(TRIGGERED_BY_DETECTOR).alias("triggered_by"), F.col("metric"), value.alias("value"),
+        stable_id(F.lit("corr"), F.col("scope"), start_ms).alias("corr_id"),
+        F.array_compact(F.array(
+            F.when(rate, F.lit(METRIC_RATE)), F.when(notional, F.lit(METRIC_NOTIONAL)),
+            F.when(conc, F.lit(METRIC_CONCENTRATION)))).alias("breached_metrics"))
 
 
 def kill_commands(signals: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> DataFrame:

@@ -164,21 +164,19 @@ def decide(with_state: DataFrame, include_strategy: bool = False) -> DataFrame:
         return e
 
     kill_reason = pick("reason")
-    d = (with_state
-         .withColumn("_kill_level", kill_prefix)
-         .withColumn("decision", F.when(any_kill, F.lit(DECISION_DROP)).otherwise(F.lit(DECISION_ALLOW)))
-         .withColumn("scope_matches", F.array_compact(F.array(*matches)))
-         .withColumn("killswitch_status",
-                     F.when(any_kill, F.lit(STATUS_KILLED)).otherwise(F.lit(STATUS_ACTIVE)))
-         .withColumn("reason", F.when(any_kill, F.when(kill_reason.isNull(), F.lit(REASON_KILL_DEFAULT))
-                                      .when(kill_reason == "", F.lit(REASON_NO_KILL))
-                                      .otherwise(kill_reason))
-                     .otherwise(F.lit(REASON_NO_KILL)))
-         .withColumn("kill_scope", pick_scope())
-         .withColumn("kill_cmd_id", pick("last_cmd_id"))
-         .withColumn("kill_corr_id", pick("corr_id"))
-         .withColumn("kill_ts", pick("updated_ts")))
-    return d
+    d = with_state.withColumn("_kill_level", kill_prefix)
+    return d.withColumns({
+        "decision": F.when(any_kill, F.lit(DECISION_DROP)).otherwise(F.lit(DECISION_ALLOW)),
+        "scope_matches": F.array_compact(F.array(*matches)),
+        "killswitch_status": F.when(any_kill, F.lit(STATUS_KILLED)).otherwise(F.lit(STATUS_ACTIVE)),
+        "reason": F.when(any_kill, F.when(kill_reason.isNull(), F.lit(REASON_KILL_DEFAULT))
+                         .when(kill_reason == "", F.lit(REASON_NO_KILL))
+                         .otherwise(kill_reason)).otherwise(F.lit(REASON_NO_KILL)),
+        "kill_scope": pick_scope(),
+        "kill_cmd_id": pick("last_cmd_id"),
+        "kill_corr_id": pick("corr_id"),
+        "kill_ts": pick("updated_ts"),
+    })
 
 
 def audit_rows(decided: DataFrame) -> DataFrame:

@@ -26,6 +26,19 @@ from ..sources.orders import book_orders, event_orders
 from ..sources.tables import Tables
 
 
+def _memo(fn):
+    """Build each derived DataFrame once per World (plans are immutable)."""
+    name = "_memo_" + fn.__name__
+
+    def wrapper(self):
+        if name not in self.__dict__:
+            self.__dict__[name] = fn(self)
+        return self.__dict__[name]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 class World:
     """The derived tables of one data directory."""
 
@@ -33,45 +46,61 @@ class World:
         self.t = Tables(spark, sf_dir)
         self.params = params
 
+    @_memo
     def orders(self) -> DataFrame:
         return event_orders(self.t.events)
 
+    @_memo
     def book_orders(self) -> DataFrame:
         return book_orders(self.t.lineitem, self.t.orders, self.t.part)
 
+    @_memo
     def signals(self) -> DataFrame:
         return risk_signals(self.orders(), self.params)
 
+    @_memo
     def detector_commands(self) -> DataFrame:
         return kill_commands(self.signals(), self.params)
 
+    @_memo
     def requests(self) -> DataFrame:
         return operator_requests(self.t.events)
 
+    @_memo
     def operator_commands(self) -> DataFrame:
         return event_commands(self.t.events).unionByName(operator_commands(self.requests()))
 
+    @_memo
     def commands(self) -> DataFrame:
+        """The command log, materialised once (reliable checkpoint in the
+        shared checkpoint folder): state, intervals, traces and reports all
+        read it, and the control plane is small next to the order flow."""
         return command_log(self.detector_commands().select(*COMMAND_COLUMNS),
-                           self.operator_commands())
+                           self.operator_commands()).checkpoint()
 
+    @_memo
     def states(self) -> DataFrame:
         return state_records(self.commands())
 
+    @_memo
     def snapshot(self) -> DataFrame:
         return fold_state(self.states())
 
+    @_memo
     def event_horizon(self) -> int:
         """Latest order time of the event view: a one-column max of ``events``."""
         v = self.t.events.agg(F.max("ts")).first()[0]
         return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
 
+    @_memo
     def book_horizon(self) -> int:
         v = self.t.orders.agg(F.max("o_orderdate")).first()[0]
         return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
 
+    @_memo
     def audit(self) -> DataFrame:
         return gate_asof(self.orders(), self.states(), horizon_ms=self.event_horizon())
 
+    @_memo
     def book_audit(self) -> DataFrame:
         return gate_asof(self.book_orders(), self.states(), horizon_ms=self.book_horizon())

@@ -69,10 +69,9 @@ def book_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
 
 def with_order_metrics(orders: DataFrame) -> DataFrame:
     """Adds ``notional_cents`` (qty*price in cents), ``notional`` and ``event_time``."""
-    return (orders
-            .withColumn("notional_cents", notional_cents("qty", "price"))
-            .withColumn("notional", F.col("notional_cents") / F.lit(100.0))
-            .withColumn("event_time", event_time("ts")))
+    cents = notional_cents("qty", "price")
+    return orders.withColumns({"notional_cents": cents, "notional": cents / F.lit(100.0),
+                               "event_time": event_time("ts")})
 
 
 def decode_orders(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:

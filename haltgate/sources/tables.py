@@ -28,8 +28,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            if name not in self._cache:
+                self._cache[name] = read_table(self.spark, self.sf_dir, name)
+            return self._cache[name]
         raise AttributeError(name)
