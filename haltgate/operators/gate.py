@@ -10,8 +10,9 @@ Two modes:
   into the buckets they overlap, so each order is compared only with the few
   intervals of its own bucket (no all-pairs within a scope), and a hot scope
   (GLOBAL) is spread over buckets and further split by AQE's skew-join.
-  The interval side is tiny compared with orders; AQE turns the join into a
-  broadcast when the measured side is under the broadcast threshold.
+  The interval table is written once (checkpoint) and broadcast only when
+  its counted row count is under ``MAX_BROADCAST_ROWS``; otherwise the level
+  joins shuffle on (scope, bucket).
 * ``gate_snapshot``: every order against one snapshot (a router bootstrapped
   from the compacted state), three equi-joins on the scope key.
 """
