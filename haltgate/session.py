@@ -21,6 +21,9 @@ SCALE_CONF = {
     # Parquet scans: keep input splits at 128 MiB so a task fits executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files of DataFrames that are no longer referenced
+    # (every foreachBatch micro-batch checkpoints its small state tables).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -55,7 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+_CHECKPOINT_SET: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Points the context's checkpoint folder at ``spark.checkpoint.dir``.
+
+    The cluster names a shared folder there; a scratch folder is created only
+    when the setting is absent (local tests)."""
+    key = id(spark.sparkContext)
+    if key in _CHECKPOINT_SET:
+        return _CHECKPOINT_SET[key]
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -63,6 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="haltgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
+    _CHECKPOINT_SET[key] = path
     return path
 
 

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_utc
+from ..session import ensure_checkpoint_dir, ensure_utc
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -19,6 +19,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
+    ensure_checkpoint_dir(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
