@@ -645,3 +645,29 @@ def q_stream_router(spark, sf_dir):
                         {"availableNow": True})
     q.awaitTermination()
     return SC.read_batches(spark, f"{run}/routed/audit").drop("batch_id")
+
+
+from ..streaming.detector import start_update_detector  # noqa: E402
+
+
+def _update_run(spark, sf_dir, first_only: bool) -> str:
+    run = new_run_dir(spark, "stream-update")
+    orders = event_orders(parquet_stream(spark, sf_dir, "events"))
+    q = start_update_detector(orders, EVENT_PARAMS, f"{run}/out", f"{run}/ck", {"availableNow": True},
+                              first_breach_only=first_only)
+    q.awaitTermination()
+    return run
+
+
+@register("stream_update_signals", O.EVENT_SIGNALS)
+def q_stream_update_signals(spark, sf_dir):
+    """STR-4 (update mode): signals of every touched window, open ones included."""
+    run = _update_run(spark, sf_dir, False)
+    return SC.read_batches(spark, f"{run}/out/signals").drop("batch_id")
+
+
+@register("stream_first_breach_commands", O.EVENT_COMMANDS)
+def q_stream_first_breach(spark, sf_dir):
+    """STR-4 ("first breach only"): a window's command is written once."""
+    run = _update_run(spark, sf_dir, True)
+    return SC.read_batches(spark, f"{run}/out/commands").drop("batch_id")

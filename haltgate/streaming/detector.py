@@ -51,3 +51,73 @@ def start_detector(orders: DataFrame, params: RiskParams, sink_format: str,
     if debug_console:
         qs.append(console_writer(sig).trigger(**trig).start())
     return qs
+
+
+# -- low-latency variant: update mode ------------------------------------------------
+
+import os  # noqa: E402
+
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators.signals import rollup_signals, symbol_counts  # noqa: E402
+from ..operators.state import latest_by_key  # noqa: E402
+from .io import list_batches, write_batch  # noqa: E402
+
+_COUNT_KEYS = ["window", "account_id", "_inner"]
+
+
+def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: str,
+                 params: RiskParams, first_breach_only: bool, retention_ms: int) -> None:
+    """One micro-batch of updated (window, account, symbol) counts.
+
+    The batch carries the current totals of every group it touched; they
+    replace the kept counts (versioned per batch, windows older than the
+    retention dropped). Only the touched (window, account) groups are rolled
+    up again and emitted, as update mode would. Commands: every update of a
+    breached window (parity), or only command ids not written before."""
+    counts_root = os.path.join(root, "counts")
+    prior = [v for v in list_batches(spark, counts_root) if v < batch_id]
+    upd = updated.withColumn("_v", F.lit(batch_id).cast("bigint"))
+    if prior:
+        base = spark.read.parquet(os.path.join(counts_root, f"batch_id={prior[-1]}"))
+        merged = base.unionByName(upd)
+    else:
+        merged = upd
+    latest = latest_by_key(merged.withColumn("_k", F.struct(*_COUNT_KEYS)), "_k", ["_v"]) \
+        .drop("_k").checkpoint()
+    # Keep only windows that can still change: a window ending a window
+    # width plus the watermark delay before the newest one is closed.
+    horizon = updated.agg(F.max(F.unix_millis("window.end"))).first()[0]
+    kept = latest if horizon is None else \
+        latest.filter(F.unix_millis("window.end") > F.lit(horizon - retention_ms))
+    write_batch(kept, counts_root, batch_id)
+    touched = updated.select("window", "account_id").distinct()
+    sig = rollup_signals(latest.join(touched, ["window", "account_id"]), ("account_id",))
+    write_batch(sig, os.path.join(root, "signals"), batch_id)
+    cmds = kill_commands(sig, params)
+    if first_breach_only:
+        done = [v for v in list_batches(spark, os.path.join(root, "commands")) if v < batch_id]
+        if done:
+            seen = spark.read.parquet(*[os.path.join(root, "commands", f"batch_id={v}") for v in done])
+            cmds = cmds.join(seen.select("cmd_id"), "cmd_id", "left_anti")
+    write_batch(cmds, os.path.join(root, "commands"), batch_id)
+
+
+def start_update_detector(orders: DataFrame, params: RiskParams, root: str, checkpoint: str,
+                          trigger: dict | None = None, first_breach_only: bool = False) -> StreamingQuery:
+    """Update-mode detector: signals and commands for every window a
+    micro-batch touches, before the window closes."""
+    spark = orders.sparkSession
+    per = symbol_counts(watermarked(orders, params), params)
+    retention = params.window_ms + int(_interval_ms(params.watermark))
+    return (per.writeStream.outputMode("update")
+            .foreachBatch(lambda df, bid: update_batch(spark, df, bid, root, params,
+                                                       first_breach_only, retention))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def _interval_ms(spec: str) -> int:
+    from ..params import interval_seconds
+    return interval_seconds(spec) * 1000
