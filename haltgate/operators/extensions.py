@@ -128,6 +128,10 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
     o = (orders.withColumn("_scope", account_scope("account_id"))
          .withColumn("_sec", F.floor(F.col("ts") / 1000).cast("bigint"))
          .join(pol, F.col("_scope") == pol.scope, "left").drop("scope"))
+    out_cols = ["order_id", "ts", "account_id", "symbol", "max_rate_per_second"]
+    # Orders of unthrottled scopes pass without any shuffle.
+    free = (o.filter(F.col("max_rate_per_second").isNull())
+            .select(*out_cols, F.lit(DECISION_ALLOW).alias("decision")))
     limited = o.filter(F.col("max_rate_per_second").isNotNull())
     w = Window.partitionBy("_scope", "_sec").orderBy("ts", "order_id")
     passing = (limited.withColumn("_rn", F.row_number().over(w))
@@ -135,13 +139,13 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
                .filter(F.col("_rn") <= F.col("max_rate_per_second")))
     cut = (passing.groupBy("_scope", "_sec")
            .agg(F.max(F.struct("ts", "order_id")).alias("_cut")))
-    j = o.join(cut, ["_scope", "_sec"], "left")
     mine = F.struct("ts", "order_id")
-    decision = (F.when(F.col("max_rate_per_second").isNull(), F.lit(DECISION_ALLOW))
-                .when(F.col("_cut").isNotNull() & (mine <= F.col("_cut")), F.lit(DECISION_ALLOW))
-                .otherwise(F.lit(DECISION_THROTTLED)))
-    return j.select("order_id", "ts", "account_id", "symbol", "max_rate_per_second",
-                    decision.alias("decision"))
+    decided = (limited.join(cut, ["_scope", "_sec"], "left")
+               .select(*out_cols,
+                       F.when(F.col("_cut").isNotNull() & (mine <= F.col("_cut")),
+                              F.lit(DECISION_ALLOW)).otherwise(F.lit(DECISION_THROTTLED))
+                        .alias("decision")))
+    return free.unionByName(decided)
 
 
 # -- EXT-3: duplicates -----------------------------------------------------------------
