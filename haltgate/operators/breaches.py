@@ -9,7 +9,6 @@ from ..functions.columns import (ACTION_KILL, METRIC_CONCENTRATION, METRIC_NOTIO
                                  TRIGGERED_BY_DETECTOR, account_scope, first_true, money_text,
                                  percent_text, stable_id)
 from ..params import DEFAULT_PARAMS, RiskParams
-from ..schemas import COMMAND_COLUMNS
 
 BREACH_FLAGS = ["order_rate_breach", "notional_breach", "concentration_breach"]
 

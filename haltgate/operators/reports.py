@@ -12,9 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (ACTION_KILL, DECISION_ALLOW, DECISION_DROP, STATUS_KILLED,
-                                 normalise_epoch_ms, short_id)
-from .gate import DAY_MS, bucketed_intervals, sized_broadcast, MAX_BROADCAST_ROWS
+from ..functions.columns import DECISION_ALLOW, DECISION_DROP, normalise_epoch_ms, short_id
+from .gate import DAY_MS, MAX_BROADCAST_ROWS, bucketed_intervals, sized_broadcast
 from .state import latest_by_key
 
 

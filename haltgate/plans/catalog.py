@@ -10,11 +10,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle_sql as O
+from ..operators import extensions as X
+from ..operators import reports as R
+from ..operators import state as S
+from ..operators.breaches import breaches as _breaches
 from ..operators.breaches import kill_commands
+from ..operators.gate import gate_asof, gate_snapshot, gated_orders
 from ..operators.signals import risk_signals
-from ..params import BOOK_PARAMS, EVENT_PARAMS
-from ..sources.orders import book_orders, event_orders
+from ..params import (AUTO_UNKILL_COOLDOWN_MS, BOOK_PARAMS, DUPLICATE_MEMORY_MS, EVENT_PARAMS,
+                      MULTI_WINDOW_SPECS, STRATEGY_PARAMS, SYMBOL_PARAMS,
+                      THROTTLE_RATE_PER_SECOND)
+from ..plans.pipeline import World
+from ..sources import commands as C
+from ..sources.orders import book_orders, event_orders, split_valid_orders
 from ..sources.tables import Tables
+from ..streaming import control as SC
+from ..streaming.detector import detector_streams, start_update_detector
+from ..streaming.io import new_run_dir, parquet_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -108,10 +120,6 @@ def oracle_sql() -> dict[str, str]:
 
 # -- control plane -----------------------------------------------------------
 
-from ..operators import state as S  # noqa: E402
-from ..operators.gate import gate_asof, gate_snapshot, gated_orders  # noqa: E402
-from ..plans.pipeline import World  # noqa: E402
-from ..sources import commands as C  # noqa: E402
 
 
 @register("command_log", O.COMMAND_LOG)
@@ -242,8 +250,6 @@ def q_book_gate_audit(spark, sf_dir):
 
 # -- reports -------------------------------------------------------------------
 
-from ..operators import reports as R  # noqa: E402
-from ..sources.orders import split_valid_orders  # noqa: E402
 
 
 def _bin_sql(width_ms: int) -> str:
@@ -440,11 +446,6 @@ def q_daily_kill_report(spark, sf_dir):
 
 # -- extensions ------------------------------------------------------------------
 
-from ..operators import extensions as X  # noqa: E402
-from ..operators.breaches import breaches as _breaches  # noqa: E402
-from ..params import (AUTO_UNKILL_COOLDOWN_MS, DUPLICATE_MEMORY_MS, MULTI_WINDOW_SPECS,  # noqa: E402
-                      STRATEGY_PARAMS, SYMBOL_PARAMS, THROTTLE_RATE_PER_SECOND)
-
 _SYM_SIGNALS = O.signals_sql(O.EVENT_ORDERS, SYMBOL_PARAMS, ("symbol",), "account_id", "account")
 _STRAT_SIGNALS = O.signals_sql(O.EVENT_ORDERS, STRATEGY_PARAMS, ("strategy",), "symbol", "symbol")
 _STRAT_COMMANDS = O.commands_sql(_STRAT_SIGNALS, STRATEGY_PARAMS, "'STRATEGY:' || strategy")
@@ -480,8 +481,7 @@ def q_strategy_gate_audit(spark, sf_dir):
     w = World(spark, sf_dir)
     strat = S.state_records(X.strategy_kill_commands(w.orders(), STRATEGY_PARAMS))
     states = w.states().unionByName(strat)
-    from ..operators.gate import gate_asof as _g
-    return _g(w.orders(), states, include_strategy=True, horizon_ms=w.event_horizon())
+    return gate_asof(w.orders(), states, include_strategy=True, horizon_ms=w.event_horizon())
 
 
 def _multi_sql() -> str:
@@ -580,11 +580,7 @@ def q_auto_unkill(spark, sf_dir):
 
 # -- streaming drivers (file source, availableNow) ---------------------------------
 
-import uuid as _uuid  # noqa: E402
 
-from ..streaming import control as SC  # noqa: E402
-from ..streaming.detector import detector_streams  # noqa: E402
-from ..streaming.io import new_run_dir, parquet_stream  # noqa: E402
 
 
 def _run_to_files(df: DataFrame, run: str, mode: str = "append") -> DataFrame:
@@ -647,7 +643,6 @@ def q_stream_router(spark, sf_dir):
     return SC.read_batches(spark, f"{run}/routed/audit").drop("batch_id")
 
 
-from ..streaming.detector import start_update_detector  # noqa: E402
 
 
 def _update_run(spark, sf_dir, first_only: bool) -> str:

@@ -10,15 +10,19 @@ correctness check stays on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.breaches import kill_commands
-from ..operators.signals import risk_signals
-from ..params import DEFAULT_PARAMS, RiskParams
+from ..operators.signals import risk_signals, rollup_signals, symbol_counts
+from ..operators.state import latest_by_key
+from ..params import DEFAULT_PARAMS, RiskParams, interval_seconds
 from ..schemas import COMMAND_COLUMNS
 from ..sources.orders import with_order_metrics
-from .io import console_writer, keyed_json_stream_writer
+from .io import console_writer, keyed_json_stream_writer, list_batches, write_batch
 
 
 def watermarked(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> DataFrame:
@@ -55,15 +59,6 @@ def start_detector(orders: DataFrame, params: RiskParams, sink_format: str,
 
 # -- low-latency variant: update mode ------------------------------------------------
 
-import os  # noqa: E402
-
-from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators.signals import rollup_signals, symbol_counts  # noqa: E402
-from ..operators.state import latest_by_key  # noqa: E402
-from .io import list_batches, write_batch  # noqa: E402
-
 _COUNT_KEYS = ["window", "account_id", "_inner"]
 
 
@@ -110,14 +105,10 @@ def start_update_detector(orders: DataFrame, params: RiskParams, root: str, chec
     micro-batch touches, before the window closes."""
     spark = orders.sparkSession
     per = symbol_counts(watermarked(orders, params), params)
-    retention = params.window_ms + int(_interval_ms(params.watermark))
+    retention = params.window_ms + interval_seconds(params.watermark) * 1000
     return (per.writeStream.outputMode("update")
             .foreachBatch(lambda df, bid: update_batch(spark, df, bid, root, params,
                                                        first_breach_only, retention))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
-
-def _interval_ms(spec: str) -> int:
-    from ..params import interval_seconds
-    return interval_seconds(spec) * 1000
