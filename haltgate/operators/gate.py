@@ -35,6 +35,35 @@ MAX_BROADCAST_ROWS = 1_000_000
 STATE_FIELDS = ["status", "reason", "updated_ts", "last_cmd_id", "corr_id"]
 
 
+# Scope-key prefix of each level (GLOBAL is a whole key).
+LEVEL_MATCH = {"g": (SCOPE_GLOBAL, True), "a": ("ACCOUNT:", False), "s": ("SYMBOL:", False),
+               "t": ("STRATEGY:", False)}
+
+
+def level_of(scope: Column) -> Column:
+    """Level prefix ('g', 'a', 's', 't') of a scope key; null for others."""
+    expr = None
+    for p, (text, whole) in LEVEL_MATCH.items():
+        cond = (scope == text) if whole else scope.startswith(text)
+        expr = F.when(cond, F.lit(p)) if expr is None else expr.when(cond, F.lit(p))
+    return expr
+
+
+def split_by_level(side: DataFrame, max_rows: int) -> dict[str, DataFrame]:
+    """A materialised state-side table split per scope level; each part is
+    broadcast only if its own counted size is under ``max_rows``, so e.g.
+    a large ACCOUNT part shuffles while GLOBAL and SYMBOL stay broadcast.
+    One grouped count serves all levels."""
+    tagged = side.withColumn("_level", level_of(F.col("scope")))
+    counts = {r["_level"]: r["n"] for r in
+              tagged.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = {}
+    for p in LEVEL_MATCH:
+        part = tagged.filter(F.col("_level") == p).drop("_level")
+        parts[p] = F.broadcast(part) if counts.get(p, 0) <= max_rows else part
+    return parts
+
+
 def scope_levels(include_strategy: bool = False) -> list[tuple[str, Column]]:
     """(prefix, scope key of the order) in precedence order."""
     levels = [("g", F.lit(SCOPE_GLOBAL)), ("a", account_scope("account_id")),
@@ -102,28 +131,28 @@ def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY
     """Adds ``<p>_status``, ``<p>_reason``, ... per scope level as of each order.
 
     The bucketed interval table is written once to the checkpoint folder
-    (shared by the three level joins, lineage cut) and broadcast only when
-    its counted size is under ``max_broadcast_rows``; otherwise the joins
-    shuffle on (scope, bucket).
+    (shared by the level joins, lineage cut). Each level's part is
+    broadcast only when its counted size is under ``max_broadcast_rows``;
+    otherwise that level's join shuffles on (scope, bucket).
     """
     iv = state_intervals(states, bucket_ms)
     if horizon_ms is None:
         horizon_ms = order_horizon(orders)
-    biv = sized_broadcast(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(),
-                          max_broadcast_rows)
+    parts = split_by_level(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(),
+                           max_broadcast_rows)
     out = orders
     for prefix, key in scope_levels(include_strategy):
-        out = _lookup_level(out, biv, prefix, key, bucket_ms)
+        out = _lookup_level(out, parts[prefix], prefix, key, bucket_ms)
     return out
 
 
 def attach_state_snapshot(orders: DataFrame, snapshot: DataFrame,
                           include_strategy: bool = False,
                           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    snapshot = sized_broadcast(snapshot.checkpoint(), max_broadcast_rows)
+    parts = split_by_level(snapshot.checkpoint(), max_broadcast_rows)
     out = orders
     for prefix, key in scope_levels(include_strategy):
-        side = snapshot.select(F.col("scope").alias(f"_{prefix}_scope"),
+        side = parts[prefix].select(F.col("scope").alias(f"_{prefix}_scope"),
                                *[F.col(x).alias(f"{prefix}_{x}") for x in STATE_FIELDS])
         out = (out.withColumn(f"_{prefix}_key", key)
                .join(side, F.col(f"_{prefix}_key") == F.col(f"_{prefix}_scope"), "left")

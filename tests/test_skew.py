@@ -92,3 +92,17 @@ def test_hot_account_signals_pre_aggregate_before_shuffle(spark):
     hot = [r for r in s.collect() if r.account_id == "HOT"]
     assert len(hot) == 1 and hot[0].order_count == 3000 and hot[0].top_symbol == "AAPL"
     assert hot[0].top_symbol_share == 0.75
+
+
+def test_levels_are_size_checked_separately(spark):
+    # Many ACCOUNT intervals, one GLOBAL interval: with a bound of 5 rows the
+    # ACCOUNT lookup shuffles while GLOBAL and SYMBOL stay broadcast.
+    cmds = [(f"a{i:03d}", i, f"ACCOUNT:{i}", "KILL", "acct", "op", None, None, "x") for i in range(40)]
+    cmds.append(("g", 0, "GLOBAL", "UNKILL", "", "op", None, None, "x"))
+    orders = [(f"o{i}", 100, str(i), "S", "BUY", 1, 1.0, "X") for i in range(60)]
+    a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), state_records(commands_df(spark, cmds)),
+                                            max_broadcast_rows=5)))
+    plan = _plan(a)
+    assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+    got = {r.order_id: (r.decision, r.scope_matches) for r in a.collect()}
+    assert got["o3"] == ("DROP", ["GLOBAL", "ACCOUNT:3"]) and got["o50"] == ("ALLOW", ["GLOBAL"])
