@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (ACTION_UNKILL, STATE_TTL_DAYS, STATUS_ACTIVE, STATUS_KILLED,
                                  STATUS_UNKNOWN, UPDATED_BY_DEFAULT, stable_id, status_of,
                                  ttl_epoch_seconds)
-from ..schemas import COMMAND_COLUMNS, STATE_COLUMNS
+from ..schemas import COMMAND_COLUMNS, STATE_COLUMNS, STATE_SCHEMA
 from .sequence import day_bucket, neighbour_in_key
 
 # Scopes the reference dashboard always shows.
@@ -59,6 +59,17 @@ def compact(changelog: DataFrame, key: str, order_cols: list[str], value_col: st
     return latest_by_key(changelog, key, order_cols).filter(F.col(value_col).isNotNull())
 
 
+def state_from_log(records: DataFrame) -> DataFrame:
+    """Bootstrap from the compacted state log: records ``(key, value,
+    partition, offset)`` with JSON state values; the latest record per key
+    by log position wins (a key always maps to one partition), a null value
+    is a tombstone."""
+    latest = compact(records.select("key", "value", "partition", "offset"), "key",
+                     ["partition", "offset"], "value")
+    parsed = latest.select(F.from_json("value", STATE_SCHEMA).alias("s")).select("s.*")
+    return parsed.filter(F.col("scope").isNotNull()).select(*STATE_COLUMNS)
+
+
 def status_changes(states: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
     """State records whose status differs from the scope's previous record
     (the first record of a scope counts as a change); adds ``prev_status``."""

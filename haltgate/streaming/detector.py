@@ -30,20 +30,24 @@ def watermarked(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> DataF
     return with_order_metrics(orders).withWatermark("event_time", params.watermark)
 
 
-def detector_streams(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> tuple[DataFrame, DataFrame]:
-    """(signals, commands) streaming DataFrames from an order stream."""
-    sig = risk_signals(watermarked(orders, params), params)
+def detector_streams(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS,
+                     ts_mode: str = "event") -> tuple[DataFrame, DataFrame]:
+    """(signals, commands) streaming DataFrames from an order stream.
+    ``ts_mode='processing'`` stamps ``ts`` with the processing time in whole
+    seconds, as the reference does; the default (window end) is replayable."""
+    sig = risk_signals(watermarked(orders, params), params, ts_mode)
     return sig, kill_commands(sig, params)
 
 
 def start_detector(orders: DataFrame, params: RiskParams, sink_format: str,
                    sink_options: dict[str, dict[str, str]], checkpoint_root: str,
-                   trigger: dict | None = None, debug_console: bool = False) -> list[StreamingQuery]:
+                   trigger: dict | None = None, debug_console: bool = False,
+                   ts_mode: str = "event") -> list[StreamingQuery]:
     """Starts the signal and command queries (each its own checkpoint).
 
     ``sink_options`` maps 'signals' / 'commands' to writer options (for
     Kafka: bootstrap servers and topic; for files: path)."""
-    sig, cmd = detector_streams(orders, params)
+    sig, cmd = detector_streams(orders, params, ts_mode)
     trig = trigger or {"processingTime": "10 seconds"}
     qs = [
         keyed_json_stream_writer(sig, "account_id", sink_format, sink_options["signals"],

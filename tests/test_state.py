@@ -101,3 +101,20 @@ def test_scope_validation(spark):
     cmd = operator_commands(req).first()
     assert (cmd.scope, cmd.reason, cmd.triggered_by) == ("ACCOUNT:", "Manual operator action", "api")
     assert rejected_requests(req).count() == 4
+
+
+def test_state_bootstrap_from_compacted_log(spark):
+    import json as _json
+    from haltgate.operators.state import state_from_log
+
+    def rec(scope, status, off):
+        v = None if status is None else _json.dumps(
+            {"scope": scope, "status": status, "updated_ts": off, "updated_by": "x", "reason": "",
+             "last_cmd_id": str(off), "corr_id": "c"})
+        return (scope, v, 0, off)
+    log = spark.createDataFrame(
+        [rec("ACCOUNT:1", "KILLED", 1), rec("ACCOUNT:1", "ACTIVE", 2), rec("GLOBAL", "KILLED", 3),
+         rec("SYMBOL:A", "KILLED", 4), rec("SYMBOL:A", None, 5)],
+        "key string, value string, partition int, offset bigint")
+    got = {r.scope: r.status for r in state_from_log(log).collect()}
+    assert got == {"ACCOUNT:1": "ACTIVE", "GLOBAL": "KILLED"}
