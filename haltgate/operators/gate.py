@@ -160,52 +160,50 @@ def attach_state_snapshot(orders: DataFrame, snapshot: DataFrame,
     return out
 
 
+# Scope key of each level as a SQL expression over the order columns.
+_LEVEL_KEY_SQL = {"g": f"'{SCOPE_GLOBAL}'", "a": "concat('ACCOUNT:', account_id)",
+                  "s": "concat('SYMBOL:', symbol)", "t": "concat('STRATEGY:', strategy)"}
+
+
 def decide(with_state: DataFrame, include_strategy: bool = False) -> DataFrame:
     """Applies the precedence rule: the first KILLED level decides.
 
     ``scope_matches`` lists levels that have any state, in order, cut after
     the first KILLED one. Reason: the killing state's reason ('Kill switch
     active' if absent); allowed orders, and kills with an empty reason, read
-    'No kill switch active'.
+    'No kill switch active'. The expressions are written as SQL text: one
+    parsed expression per column keeps plan construction cheap.
     """
-    levels = scope_levels(include_strategy)
-    killed = {p: F.coalesce(F.col(f"{p}_status") == STATUS_KILLED, F.lit(False)) for p, _ in levels}
-    matches, earlier_kill = [], F.lit(False)
-    kill_prefix = None
-    for p, key in levels:
-        matches.append(F.when(F.col(f"{p}_status").isNotNull() & ~earlier_kill, key))
-        kill_prefix = (F.when(killed[p] & ~earlier_kill, F.lit(p)) if kill_prefix is None
-                       else kill_prefix.when(killed[p] & ~earlier_kill, F.lit(p)))
-        earlier_kill = earlier_kill | killed[p]
-    any_kill = earlier_kill
-
-    def pick(field: str) -> Column:
-        e = None
-        for p, _ in levels:
-            cond = F.col("_kill_level") == p
-            e = F.when(cond, F.col(f"{p}_{field}")) if e is None else e.when(cond, F.col(f"{p}_{field}"))
-        return e
-
-    def pick_scope() -> Column:
-        e = None
-        for p, key in levels:
-            cond = F.col("_kill_level") == p
-            e = F.when(cond, key) if e is None else e.when(cond, key)
-        return e
-
-    kill_reason = pick("reason")
-    d = with_state.withColumn("_kill_level", kill_prefix)
+    prefixes = [p for p, _ in scope_levels(include_strategy)]
+    killed = {p: f"coalesce({p}_status = '{STATUS_KILLED}', false)" for p in prefixes}
+    level = "CASE " + " ".join(f"WHEN {killed[p]} THEN '{p}'" for p in prefixes) + " END"
+    matches = []
+    for i, p in enumerate(prefixes):
+        before = " OR ".join(killed[q] for q in prefixes[:i]) or "false"
+        matches.append(f"CASE WHEN {p}_status IS NOT NULL AND NOT ({before}) "
+                       f"THEN {_LEVEL_KEY_SQL[p]} END")
+
+    def pick(field: str) -> str:
+        return "CASE " + " ".join(f"WHEN _kill_level = '{p}' THEN {p}_{field}"
+                                  for p in prefixes) + " END"
+
+    key = "CASE " + " ".join(f"WHEN _kill_level = '{p}' THEN {_LEVEL_KEY_SQL[p]}"
+                             for p in prefixes) + " END"
+    reason = (f"CASE WHEN _kill_level IS NULL THEN '{REASON_NO_KILL}' "
+              f"WHEN {pick('reason')} IS NULL THEN '{REASON_KILL_DEFAULT}' "
+              f"WHEN {pick('reason')} = '' THEN '{REASON_NO_KILL}' ELSE {pick('reason')} END")
+    d = with_state.withColumn("_kill_level", F.expr(level))
     return d.withColumns({
-        "decision": F.when(any_kill, F.lit(DECISION_DROP)).otherwise(F.lit(DECISION_ALLOW)),
-        "scope_matches": F.array_compact(F.array(*matches)),
-        "killswitch_status": F.when(any_kill, F.lit(STATUS_KILLED)).otherwise(F.lit(STATUS_ACTIVE)),
-        "reason": F.when(any_kill, F.when(kill_reason.isNull(), F.lit(REASON_KILL_DEFAULT))
-                         .when(kill_reason == "", F.lit(REASON_NO_KILL))
-                         .otherwise(kill_reason)).otherwise(F.lit(REASON_NO_KILL)),
-        "kill_scope": pick_scope(),
-        "kill_cmd_id": pick("last_cmd_id"),
-        "kill_corr_id": pick("corr_id"),
-        "kill_ts": pick("updated_ts"),
+        "decision": F.expr(f"CASE WHEN _kill_level IS NULL THEN '{DECISION_ALLOW}' "
+                           f"ELSE '{DECISION_DROP}' END"),
+        "scope_matches": F.expr(f"array_compact(array({', '.join(matches)}))"),
+        "killswitch_status": F.expr(f"CASE WHEN _kill_level IS NULL THEN '{STATUS_ACTIVE}' "
+                                    f"ELSE '{STATUS_KILLED}' END"),
+        "reason": F.expr(reason),
+        "kill_scope": F.expr(key),
+        "kill_cmd_id": F.expr(pick("last_cmd_id")),
+        "kill_corr_id": F.expr(pick("corr_id")),
+        "kill_ts": F.expr(pick("updated_ts")),
     })
 
 
