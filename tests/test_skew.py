@@ -106,3 +106,20 @@ def test_levels_are_size_checked_separately(spark):
     assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
     got = {r.order_id: (r.decision, r.scope_matches) for r in a.collect()}
     assert got["o3"] == ("DROP", ["GLOBAL", "ACCOUNT:3"]) and got["o50"] == ("ALLOW", ["GLOBAL"])
+
+
+def test_newest_distinct_matches_brute_force_without_full_shuffle(spark):
+    from haltgate.operators.reports import newest_distinct
+    rnd = random.Random(11)
+    rows = [(f"id{rnd.randrange(300)}", rnd.randrange(5000), rnd.random()) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "order_id string, ts bigint, v double").repartition(6)
+    got = [(r.order_id, r.ts) for r in newest_distinct(df, "order_id", 25).collect()]
+    best = {}
+    for oid, ts, _ in rows:
+        best[oid] = max(best.get(oid, -1), ts)
+    exp = sorted(best.items(), key=lambda kv: (kv[1], kv[0]), reverse=True)[:25]
+    assert sorted(got) == sorted(exp)
+    # the per-partition reduction runs before the only exchange of the reduced rows
+    plan = _plan(newest_distinct(spark.range(100).selectExpr("cast(id % 7 as string) as order_id",
+                                                             "id as ts"), "order_id", 3))
+    assert "MapInPandas" in plan or "PythonMapInArrow" in plan
