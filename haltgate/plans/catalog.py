@@ -322,7 +322,7 @@ def q_decisions_per_minute(spark, sf_dir):
 @register("drop_age_stats", f"""
 SELECT {_bin_sql(300000)} AS bin_start, avg(CAST(ts - kill_ts AS DOUBLE)) AS avg_ms,
        max(CAST(ts - kill_ts AS DOUBLE)) AS max_ms,
-       round(quantile_cont(CAST(ts - kill_ts AS DOUBLE), 0.99), 3) AS p99_ms, count(*) AS drops
+       quantile_disc(CAST(ts - kill_ts AS DOUBLE), 0.99) AS p99_ms, count(*) AS drops
 FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY 1""")
 def q_drop_age_stats(spark, sf_dir):
     """AGG-17."""
