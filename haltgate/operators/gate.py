@@ -50,13 +50,19 @@ def level_of(scope: Column) -> Column:
 
 
 def split_by_level(side: DataFrame, max_rows: int) -> dict[str, DataFrame]:
-    """A materialised state-side table split per scope level; each part is
-    broadcast only if its own counted size is under ``max_rows``, so e.g.
-    a large ACCOUNT part shuffles while GLOBAL and SYMBOL stay broadcast.
-    One grouped count serves all levels."""
+    """A materialised state-side table for each scope level's join.
+
+    One grouped count sizes every level. If the whole table is under
+    ``max_rows`` it is broadcast once and shared by all level joins (each
+    join matches on its own scope keys). Otherwise each level's part is
+    broadcast only if its own count is under the bound, so e.g. a large
+    ACCOUNT part shuffles while GLOBAL and SYMBOL stay broadcast."""
     tagged = side.withColumn("_level", level_of(F.col("scope")))
     counts = {r["_level"]: r["n"] for r in
               tagged.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(counts.values()) <= max_rows:
+        shared = F.broadcast(side)
+        return {p: shared for p in LEVEL_MATCH}
     parts = {}
     for p in LEVEL_MATCH:
         part = tagged.filter(F.col("_level") == p).drop("_level")
