@@ -10,9 +10,12 @@ Two modes:
   into the buckets they overlap, so each order is compared only with the few
   intervals of its own bucket (no all-pairs within a scope), and a hot scope
   (GLOBAL) is spread over buckets and further split by AQE's skew-join.
+  A dense (scope, bucket) cell (more than ``SLOT_TARGET`` intervals) is cut
+  into 2^k equal time slots, so an order is compared only with the intervals
+  of its own slot however many state changes a hot scope has in a day.
   The interval table is written once (checkpoint) and broadcast only when
   its counted row count is under ``MAX_BROADCAST_ROWS``; otherwise the level
-  joins shuffle on (scope, bucket).
+  joins shuffle on (scope, bucket, slot).
 * ``gate_snapshot``: every order against one snapshot (a router bootstrapped
   from the compacted state), three equi-joins on the scope key.
 """
@@ -33,6 +36,9 @@ DAY_MS = 86_400_000
 # Broadcast bound for state-side tables: about 100 bytes a row -> < 100 MiB.
 MAX_BROADCAST_ROWS = 1_000_000
 STATE_FIELDS = ["status", "reason", "updated_ts", "last_cmd_id", "corr_id"]
+# Average number of intervals an order is compared with in one cell; denser
+# (scope, bucket) cells are cut into time slots.
+SLOT_TARGET = 32
 
 
 # Scope-key prefix of each level (GLOBAL is a whole key).
@@ -50,22 +56,19 @@ def level_of(scope: Column) -> Column:
 
 
 def split_by_level(side: DataFrame, max_rows: int) -> dict[str, DataFrame]:
-    """A materialised state-side table for each scope level's join.
-
-    One grouped count sizes every level. If the whole table is under
-    ``max_rows`` it is broadcast once and shared by all level joins (each
-    join matches on its own scope keys). Otherwise each level's part is
-    broadcast only if its own count is under the bound, so e.g. a large
-    ACCOUNT part shuffles while GLOBAL and SYMBOL stay broadcast."""
-    tagged = side.withColumn("_level", level_of(F.col("scope")))
+    """A materialised state-side table (one row per scope) for each level's
+    join. One grouped count sizes every level: under ``max_rows`` in total
+    it is broadcast once and shared; otherwise each level's part is
+    broadcast only if its own count is under the bound."""
     counts = {r["_level"]: r["n"] for r in
-              tagged.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect()}
+              side.groupBy(level_of(F.col("scope")).alias("_level"))
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
     if sum(counts.values()) <= max_rows:
         shared = F.broadcast(side)
         return {p: shared for p in LEVEL_MATCH}
     parts = {}
     for p in LEVEL_MATCH:
-        part = tagged.filter(F.col("_level") == p).drop("_level")
+        part = side.filter(level_of(F.col("scope")) == p)
         parts[p] = F.broadcast(part) if counts.get(p, 0) <= max_rows else part
     return parts
 
@@ -102,6 +105,107 @@ def bucketed_intervals(intervals: DataFrame, horizon_ms, bucket_ms: int = DAY_MS
         "bucket", F.explode(F.sequence(first_b, F.greatest(first_b, last_b))))
 
 
+def _slot_count(n: Column, target: int, bucket_ms: int) -> Column:
+    """Slots of a cell holding ``n`` intervals: the power of two that brings
+    the average per slot to ``target`` or below (at most one slot per ms)."""
+    k = F.ceil(F.log2(n / F.lit(float(target))))
+    # Cap: one slot per ms, and offset * slots below 2^53 (exact slot_of).
+    cap = max(1, min(bucket_ms, (1 << 53) // bucket_ms))
+    return F.least(F.pow(F.lit(2.0), k).cast("bigint"), F.lit(cap).cast("bigint"))
+
+
+def slot_of(ts: Column, bucket: Column, slots: Column, bucket_ms: int) -> Column:
+    """Slot of time ``ts`` in cell ``bucket`` cut into ``slots`` parts:
+    ``(ts - bucket start) * slots div bucket_ms``; the product stays below
+    2^53, so the division of an exact multiple is exact."""
+    offset = ts.cast("bigint") - bucket * F.lit(bucket_ms)
+    prod = offset * slots
+    return ((prod - F.pmod(prod, F.lit(bucket_ms))) / F.lit(bucket_ms)).cast("bigint")
+
+
+class IntervalIndex:
+    """Bucketed validity intervals, ready for a range join per scope level.
+
+    ``bucketed`` (columns ``scope``, ``bucket``, ``valid_from``, ``valid_to``,
+    payload) should be materialised. One grouped job sizes it: rows per level
+    and the dense cells. A cell with more than ``slot_target`` intervals is
+    cut into ``slots`` (a power of two) equal time slots and each of its
+    intervals is replicated into the slots it overlaps (at most
+    ``n + slots`` rows, ``slots < 2n / slot_target``). Probes look up their
+    cell's slot count in the dense-cell table, which holds at most
+    ``rows / slot_target`` rows and is broadcast behind the same bound.
+    When no cell is dense the slot column is constant 0 and no probe-side
+    lookup is planned.
+
+    Broadcast: if the whole side is under ``max_rows`` it is broadcast once
+    and shared by every level's join; otherwise each level's part is
+    broadcast only if its own row count is under the bound, and shuffled on
+    (scope, bucket, slot) otherwise (AQE splits a skewed partition).
+    """
+
+    def __init__(self, bucketed: DataFrame, bucket_ms: int, max_rows: int = MAX_BROADCAST_ROWS,
+                 slot_target: int = SLOT_TARGET):
+        self.bucket_ms = bucket_ms
+        self.max_rows = max_rows
+        cells = (bucketed.groupBy("scope", "bucket").agg(F.count(F.lit(1)).alias("_n"))
+                 .withColumn("_slots", F.when(F.col("_n") > slot_target,
+                                              _slot_count(F.col("_n"), slot_target, bucket_ms))))
+        stats = (cells.groupBy(level_of(F.col("scope")).alias("_level"))
+                 .agg(F.sum("_n").alias("rows"), F.count("_slots").alias("hot"),
+                      F.sum(F.coalesce(F.col("_slots") - 1, F.lit(0))).alias("extra"))
+                 .collect())
+        self.rows = {r["_level"]: int(r["rows"]) + int(r["extra"]) for r in stats}
+        self.hot = {r["_level"]: int(r["hot"]) for r in stats}
+        self.dense = None
+        if sum(self.hot.values()):
+            dense = (cells.filter(F.col("_slots").isNotNull())
+                     .select("scope", "bucket", "_slots").checkpoint())
+            self.dense = dense
+            j = bucketed.join(self._sized(dense, sum(self.hot.values())), ["scope", "bucket"], "left")
+            start = F.col("bucket") * F.lit(bucket_ms)
+            first = (F.when(F.col("_slots").isNull() | (F.col("valid_from") <= start), F.lit(0))
+                     .otherwise(slot_of(F.col("valid_from"), F.col("bucket"), F.col("_slots"), bucket_ms)))
+            last = (F.when(F.col("_slots").isNull(), F.lit(0))
+                    .when(F.col("valid_to").isNull() | (F.col("valid_to") >= start + F.lit(bucket_ms)),
+                          F.col("_slots") - 1)
+                    .otherwise(slot_of(F.col("valid_to") - 1, F.col("bucket"), F.col("_slots"), bucket_ms)))
+            self.table = (j.withColumn("slot", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
+                          .drop("_slots").checkpoint())
+        else:
+            self.table = bucketed.withColumn("slot", F.lit(0).cast("bigint"))
+
+    def _sized(self, df: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(df) if rows <= self.max_rows else df
+
+    def side(self, level: str | None = None) -> DataFrame:
+        """The interval rows for ``level`` (all levels when None), with a
+        broadcast hint only behind the counted size bound."""
+        if level is None or sum(self.rows.values()) <= self.max_rows:
+            return self._sized(self.table, sum(self.rows.values()))
+        part = self.table.filter(level_of(F.col("scope")) == level)
+        return self._sized(part, self.rows.get(level, 0))
+
+    def has_slots(self, level: str | None = None) -> bool:
+        return bool(self.hot.get(level, 0) if level is not None else sum(self.hot.values()))
+
+    def with_cell(self, df: DataFrame, key: Column, ts: Column, bucket_out: str, slot_out: str,
+                  level: str | None = None) -> DataFrame:
+        """Adds the cell (``bucket_out``) and slot (``slot_out``) of each probe
+        row whose scope key is ``key`` at time ``ts``."""
+        d = df.withColumn(bucket_out, F.floor(ts / F.lit(self.bucket_ms)).cast("bigint"))
+        if not self.has_slots(level):
+            return d.withColumn(slot_out, F.lit(0).cast("bigint"))
+        dense = self.dense if level is None else self.dense.filter(level_of(F.col("scope")) == level)
+        n = sum(self.hot.values()) if level is None else self.hot[level]
+        look = self._sized(dense.select(F.col("scope").alias("_d_scope"), F.col("bucket").alias("_d_b"),
+                                        F.col("_slots").alias("_d_slots")), n)
+        d = d.join(look, (key == F.col("_d_scope")) & (F.col(bucket_out) == F.col("_d_b")), "left")
+        return (d.withColumn(slot_out, F.coalesce(slot_of(ts, F.col(bucket_out), F.col("_d_slots"),
+                                                          self.bucket_ms), F.lit(0).cast("bigint")))
+                .drop("_d_scope", "_d_b", "_d_slots"))
+
+
+
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only behind a counted size bound; ``df`` should be
     materialised (checkpointed) so the count does not recompute its lineage."""
@@ -114,41 +218,43 @@ def order_horizon(orders: DataFrame) -> int:
     return int(v) if v is not None else 0
 
 
-def _lookup_level(orders: DataFrame, iv: DataFrame, prefix: str, key: Column,
-                  bucket_ms: int) -> DataFrame:
-    o = (orders.withColumn(f"_{prefix}_key", key)
-         .withColumn("_bucket", F.floor(F.col("ts") / bucket_ms).cast("bigint")))
-    side = iv.select(F.col("scope").alias(f"_{prefix}_scope"), F.col("bucket").alias(f"_{prefix}_b"),
-                     F.col("valid_from").alias(f"_{prefix}_from"),
-                     F.col("valid_to").alias(f"_{prefix}_to"),
-                     *[F.col(x).alias(f"{prefix}_{x}") for x in STATE_FIELDS])
+def _lookup_level(orders: DataFrame, index: IntervalIndex, prefix: str, key: Column) -> DataFrame:
+    o = index.with_cell(orders.withColumn(f"_{prefix}_key", key), F.col(f"_{prefix}_key"),
+                        F.col("ts"), "_bucket", "_slot", prefix)
+    side = index.side(prefix).select(
+        F.col("scope").alias(f"_{prefix}_scope"), F.col("bucket").alias(f"_{prefix}_b"),
+        F.col("slot").alias(f"_{prefix}_sl"), F.col("valid_from").alias(f"_{prefix}_from"),
+        F.col("valid_to").alias(f"_{prefix}_to"),
+        *[F.col(x).alias(f"{prefix}_{x}") for x in STATE_FIELDS])
     cond = ((F.col(f"_{prefix}_key") == F.col(f"_{prefix}_scope"))
             & (F.col("_bucket") == F.col(f"_{prefix}_b"))
             & (F.col(f"_{prefix}_from") <= F.col("ts"))
             & (F.col(f"_{prefix}_to").isNull() | (F.col("ts") < F.col(f"_{prefix}_to"))))
+    if index.has_slots(prefix):
+        cond = cond & (F.col("_slot") == F.col(f"_{prefix}_sl"))
     j = o.join(side, cond, "left")
-    return j.drop(f"_{prefix}_key", "_bucket", f"_{prefix}_scope", f"_{prefix}_b",
-                  f"_{prefix}_from", f"_{prefix}_to")
+    return j.drop(f"_{prefix}_key", "_bucket", "_slot", f"_{prefix}_scope", f"_{prefix}_b",
+                  f"_{prefix}_sl", f"_{prefix}_from", f"_{prefix}_to")
 
 
 def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY_MS,
                       include_strategy: bool = False, horizon_ms: int | None = None,
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                      slot_target: int = SLOT_TARGET) -> DataFrame:
     """Adds ``<p>_status``, ``<p>_reason``, ... per scope level as of each order.
 
     The bucketed interval table is written once to the checkpoint folder
-    (shared by the level joins, lineage cut). Each level's part is
-    broadcast only when its counted size is under ``max_broadcast_rows``;
-    otherwise that level's join shuffles on (scope, bucket).
+    (shared by the level joins, lineage cut) and indexed by
+    ``IntervalIndex`` (dense cells cut into slots, size-checked broadcast).
     """
     iv = state_intervals(states, bucket_ms)
     if horizon_ms is None:
         horizon_ms = order_horizon(orders)
-    parts = split_by_level(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(),
-                           max_broadcast_rows)
+    index = IntervalIndex(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(), bucket_ms,
+                          max_broadcast_rows, slot_target)
     out = orders
     for prefix, key in scope_levels(include_strategy):
-        out = _lookup_level(out, parts[prefix], prefix, key, bucket_ms)
+        out = _lookup_level(out, index, prefix, key)
     return out
 
 
@@ -226,14 +332,17 @@ def audit_rows(decided: DataFrame) -> DataFrame:
 
 
 def gate_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY_MS,
-              include_strategy: bool = False, horizon_ms: int | None = None) -> DataFrame:
+              include_strategy: bool = False, horizon_ms: int | None = None,
+              max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+              slot_target: int = SLOT_TARGET) -> DataFrame:
     """orders + state history -> audit rows (exact as-of decisions).
 
     ``horizon_ms`` bounds open intervals; pass a cheap upper bound of the
     order times (e.g. a one-column max of the source table) to avoid a pass
     over a derived order view."""
     return audit_rows(decide(attach_state_asof(orders, states, bucket_ms, include_strategy,
-                                               horizon_ms), include_strategy))
+                                               horizon_ms, max_broadcast_rows, slot_target),
+                             include_strategy))
 
 
 def gate_snapshot(orders: DataFrame, snapshot: DataFrame, include_strategy: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DECISION_ALLOW, DECISION_DROP, normalise_epoch_ms, short_id
-from .gate import DAY_MS, MAX_BROADCAST_ROWS, bucketed_intervals, sized_broadcast
+from .gate import DAY_MS, MAX_BROADCAST_ROWS, SLOT_TARGET, IntervalIndex, bucketed_intervals
 from .state import latest_by_key
 
 
@@ -209,21 +209,25 @@ def correlation_trace(commands: DataFrame, snapshot: DataFrame, audit: DataFrame
 
 
 def drops_by_activation(audit: DataFrame, intervals: DataFrame, horizon_ms: int,
-                        bucket_ms: int = DAY_MS, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        bucket_ms: int = DAY_MS, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                        slot_target: int = SLOT_TARGET) -> DataFrame:
     """JOIN-8: dropped orders attributed to the kill activation whose
     [kill_ts, unkill_ts) contains them, on the killing scope. Range join on
-    (scope, time bucket) as in the gate; activations without drops get 0."""
+    (scope, time bucket, slot) as in the gate; activations without drops get 0."""
     iv = intervals.select("scope", "kill_ts", "kill_cmd_id", "reason",
                           F.col("kill_ts").alias("valid_from"), F.col("unkill_ts").alias("valid_to"))
-    biv = sized_broadcast(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(),
-                          max_broadcast_rows)
-    d = (audit.filter(F.col("decision") == DECISION_DROP)
-         .select("order_id", F.col("ts").alias("drop_ts"), "kill_scope")
-         .withColumn("_b", F.floor(F.col("drop_ts") / bucket_ms).cast("bigint")))
-    j = d.join(biv, (d.kill_scope == biv.scope) & (d._b == biv.bucket)
-               & (biv.valid_from <= d.drop_ts)
-               & (biv.valid_to.isNull() | (d.drop_ts < biv.valid_to)), "inner")
-    per = j.groupBy("kill_cmd_id").agg(F.count(F.lit(1)).alias("orders_dropped"))
+    index = IntervalIndex(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(), bucket_ms,
+                          max_broadcast_rows, slot_target)
+    biv = index.side()
+    d = index.with_cell(audit.filter(F.col("decision") == DECISION_DROP)
+                        .select("order_id", F.col("ts").alias("drop_ts"), "kill_scope"),
+                        F.col("kill_scope"), F.col("drop_ts"), "_b", "_sl")
+    cond = ((d.kill_scope == biv.scope) & (d._b == biv.bucket)
+            & (biv.valid_from <= d.drop_ts)
+            & (biv.valid_to.isNull() | (d.drop_ts < biv.valid_to)))
+    if index.has_slots():
+        cond = cond & (d._sl == biv.slot)
+    per = d.join(biv, cond, "inner").groupBy("kill_cmd_id").agg(F.count(F.lit(1)).alias("orders_dropped"))
     return (intervals.select("scope", "kill_ts", "unkill_ts", "duration_ms", "reason", "kill_cmd_id")
             .join(per, "kill_cmd_id", "left")
             .withColumn("orders_dropped", F.coalesce(F.col("orders_dropped"), F.lit(0))))

@@ -123,3 +123,53 @@ def test_newest_distinct_matches_brute_force_without_full_shuffle(spark):
     plan = _plan(newest_distinct(spark.range(100).selectExpr("cast(id % 7 as string) as order_id",
                                                              "id as ts"), "order_id", 3))
     assert "MapInPandas" in plan or "PythonMapInArrow" in plan
+
+
+def _brute_asof(cmds, ts):
+    prev = [c for c in sorted(cmds, key=lambda c: (c[1], c[0])) if c[1] <= ts]
+    if not prev or prev[-1][3] == "UNKILL":
+        return ("ALLOW", "No kill switch active")
+    return ("DROP", prev[-1][4])
+
+
+def test_dense_global_day_is_cut_into_slots(spark):
+    # 400 GLOBAL changes in one day: the (GLOBAL, day) cell is cut into time
+    # slots, each order is compared only with its slot's intervals, and the
+    # decisions equal a brute-force as-of replay, broadcast or shuffled.
+    from haltgate.operators.gate import IntervalIndex, bucketed_intervals, state_intervals
+    rnd = random.Random(7)
+    cmds = [(f"g{i:04d}", rnd.randrange(0, 24 * HOUR), "GLOBAL", rnd.choice(["KILL", "UNKILL"]),
+             f"r{i}", "op", None, None, "x") for i in range(400)]
+    orders = [(f"o{i:05d}", rnd.randrange(0, 30 * HOUR), "1", "S", "BUY", 1, 1.0, "X") for i in range(1500)]
+    st = state_records(commands_df(spark, cmds))
+    idx = IntervalIndex(bucketed_intervals(state_intervals(st), 30 * HOUR).checkpoint(),
+                        24 * HOUR, 10 ** 6, slot_target=4)
+    assert idx.hot == {"g": 1} and idx.has_slots("g") and not idx.has_slots("a")
+    per_slot = idx.table.groupBy("scope", "bucket", "slot").count().agg({"count": "max"}).first()[0]
+    assert per_slot <= 16
+    for bound in (10 ** 6, 0):
+        a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), st,
+                                                max_broadcast_rows=bound, slot_target=4)))
+        got = {r.order_id: (r.decision, r.reason) for r in a.collect()}
+        assert all(got[o[0]] == _brute_asof(cmds, o[1]) for o in orders)
+
+
+def test_dense_activation_cells_attribute_drops_exactly(spark):
+    from haltgate.operators.reports import drops_by_activation
+    from haltgate.operators.gate import gate_asof
+    rnd = random.Random(9)
+    cmds = [(f"g{i:04d}", 10 * i * 60_000 + rnd.randrange(60_000), "GLOBAL",
+             "KILL" if i % 2 == 0 else "UNKILL", "hot", "op", None, None, "x") for i in range(200)]
+    orders = [(f"o{i:05d}", rnd.randrange(0, 2000 * 60_000), "1", "S", "BUY", 1, 1.0, "X")
+              for i in range(2000)]
+    st = state_records(commands_df(spark, cmds))
+    audit = gate_asof(orders_df(spark, orders), st, slot_target=4)
+    iv = kill_intervals(st)
+    got = {r.kill_cmd_id: r.orders_dropped
+           for r in drops_by_activation(audit, iv, 2000 * 60_000, slot_target=4).collect()}
+    ks = sorted(c for c in cmds if c[3] == "KILL")
+    for k in ks:
+        nxt = [c[1] for c in cmds if c[3] == "UNKILL" and c[1] > k[1]]
+        end = min(nxt) if nxt else None
+        exp = sum(1 for o in orders if o[1] >= k[1] and (end is None or o[1] < end))
+        assert got[k[0]] == exp
