@@ -14,7 +14,7 @@ from ..schemas import COMMAND_COLUMNS
 from ..sources.orders import with_order_metrics
 from .breaches import breaches, commands_from_breaches
 from .gate import sized_broadcast, MAX_BROADCAST_ROWS
-from .sequence import neighbour_in_key, next_non_null_in_key
+from .sequence import SEQ_BUCKET_MS, neighbour_in_key, next_non_null_in_key
 from .signals import group_signals, rollup_signals
 
 DECISION_THROTTLED = "THROTTLED"
@@ -151,7 +151,7 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
 # -- EXT-3: duplicates -----------------------------------------------------------------
 
 def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000,
-                        bucket_ms: int = 3_600_000) -> DataFrame:
+                        bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
     """An order is DUPLICATE when the same id was seen less than
     ``memory_ms`` earlier (the id memory expires after that time); ties at
     the same instant are ordered by order id."""

@@ -30,7 +30,7 @@ from ..functions.columns import (DECISION_ALLOW, DECISION_DROP, REASON_KILL_DEFA
                                  STATUS_KILLED, account_scope, stable_id, strategy_scope,
                                  symbol_scope)
 from ..schemas import AUDIT_COLUMNS
-from .sequence import neighbour_in_key
+from .sequence import SEQ_BUCKET_MS, neighbour_in_key
 
 DAY_MS = 86_400_000
 # Broadcast bound for state-side tables: about 100 bytes a row -> < 100 MiB.
@@ -82,7 +82,7 @@ def scope_levels(include_strategy: bool = False) -> list[tuple[str, Column]]:
     return levels
 
 
-def state_intervals(states: DataFrame, bucket_ms: int = DAY_MS) -> DataFrame:
+def state_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
     """State history -> validity intervals per scope. Same-instant records of
     a scope: the larger cmd id wins, the other gets an empty interval and is
     dropped."""
@@ -247,7 +247,7 @@ def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY
     (shared by the level joins, lineage cut) and indexed by
     ``IntervalIndex`` (dense cells cut into slots, size-checked broadcast).
     """
-    iv = state_intervals(states, bucket_ms)
+    iv = state_intervals(states)
     if horizon_ms is None:
         horizon_ms = order_horizon(orders)
     index = IntervalIndex(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(), bucket_ms,

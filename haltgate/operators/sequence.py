@@ -13,6 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Default bucket of the per-(key, bucket) windows: a task sorts at most one
+# key-minute of rows (a hot scope holding a third of a month's rows is cut
+# into ~43k groups), and the stitching summary has at most one row per
+# non-empty (key, minute), never more rows than the input.
+SEQ_BUCKET_MS = 60_000
+
 
 def neighbour_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column,
                      value_cols: list[str], direction: str, out: str) -> DataFrame:
@@ -38,7 +44,7 @@ def neighbour_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Col
             .drop("_bk", "_nb", "_carry"))
 
 
-def day_bucket(ts_ms_col: str, bucket_ms: int = 86_400_000) -> Column:
+def day_bucket(ts_ms_col: str, bucket_ms: int = SEQ_BUCKET_MS) -> Column:
     return F.floor(F.col(ts_ms_col) / F.lit(bucket_ms)).cast("bigint")
 
 

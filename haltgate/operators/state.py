@@ -16,7 +16,7 @@ from ..functions.columns import (ACTION_UNKILL, STATE_TTL_DAYS, STATUS_ACTIVE, S
                                  STATUS_UNKNOWN, UPDATED_BY_DEFAULT, stable_id, status_of,
                                  ttl_epoch_seconds)
 from ..schemas import COMMAND_COLUMNS, STATE_COLUMNS, STATE_SCHEMA
-from .sequence import day_bucket, neighbour_in_key
+from .sequence import SEQ_BUCKET_MS, day_bucket, neighbour_in_key
 
 # Scopes the reference dashboard always shows.
 WATCHED_SCOPES = ["GLOBAL", "SYMBOL:AAPL", "SYMBOL:GOOGL", "SYMBOL:MSFT", "SYMBOL:TSLA",
@@ -70,7 +70,7 @@ def state_from_log(records: DataFrame) -> DataFrame:
     return parsed.filter(F.col("scope").isNotNull()).select(*STATE_COLUMNS)
 
 
-def status_changes(states: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
+def status_changes(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
     """State records whose status differs from the scope's previous record
     (the first record of a scope counts as a change); adds ``prev_status``."""
     s = neighbour_in_key(states, "scope", ["updated_ts", "last_cmd_id"],
@@ -79,7 +79,7 @@ def status_changes(states: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
             .filter(F.col("prev_status").isNull() | (F.col("prev_status") != F.col("status"))))
 
 
-def kill_intervals(states: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
+def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
     """KILLED periods: a KILL change paired with the next status change of the
     scope (necessarily an UNKILL); open periods have null end and duration."""
     ch = status_changes(states, bucket_ms)
