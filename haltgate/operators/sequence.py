@@ -53,19 +53,36 @@ def next_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket:
     """Adds ``out``: the first non-null ``value_col`` at or after each row
     within ``key`` (in ``order_cols`` order), computed per (key, bucket) with
     a carry from the nearest following bucket that has one."""
+    return nearest_non_null_in_key(df, key, order_cols, bucket, value_col, out, "next")
+
+
+def prev_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column,
+                         value_col: str, out: str) -> DataFrame:
+    """Adds ``out``: the last non-null ``value_col`` at or before each row
+    within ``key``; the mirror of ``next_non_null_in_key``."""
+    return nearest_non_null_in_key(df, key, order_cols, bucket, value_col, out, "prev")
+
+
+def nearest_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column,
+                            value_col: str, out: str, direction: str) -> DataFrame:
+    if direction not in ("prev", "next"):
+        raise ValueError(direction)
+    ahead = direction == "next"
     d = df.withColumn("_bk", bucket)
-    local = (Window.partitionBy(key, "_bk").orderBy(*order_cols)
-             .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    d = d.withColumn("_loc", F.first(value_col, ignorenulls=True).over(local))
+    frame = ((Window.currentRow, Window.unboundedFollowing) if ahead
+             else (Window.unboundedPreceding, Window.currentRow))
+    local = Window.partitionBy(key, "_bk").orderBy(*order_cols).rowsBetween(*frame)
+    pick = F.first if ahead else F.last
+    d = d.withColumn("_loc", pick(value_col, ignorenulls=True).over(local))
     order = F.struct(*[F.col(o) for o in order_cols])
-    summary = (d.filter(F.col(value_col).isNotNull()).groupBy(key, "_bk")
-               .agg(F.min_by(value_col, order).alias("_edge")))
-    following = (Window.partitionBy(key).orderBy("_bk")
-                 .rowsBetween(1, Window.unboundedFollowing))
+    edge = F.min_by(value_col, order) if ahead else F.max_by(value_col, order)
+    summary = (d.filter(F.col(value_col).isNotNull()).groupBy(key, "_bk").agg(edge.alias("_edge")))
+    others = ((1, Window.unboundedFollowing) if ahead else (Window.unboundedPreceding, -1))
+    beyond = Window.partitionBy(key).orderBy("_bk").rowsBetween(*others)
     # Buckets without a value still need a carry: take every bucket that
-    # has rows, attach the summary, then look ahead over buckets.
+    # has rows, attach the summary, then look over the other buckets.
     buckets = d.select(key, "_bk").distinct().join(summary, [key, "_bk"], "left")
-    carry = (buckets.withColumn("_carry", F.first("_edge", ignorenulls=True).over(following))
+    carry = (buckets.withColumn("_carry", pick("_edge", ignorenulls=True).over(beyond))
              .select(key, "_bk", "_carry"))
     return (d.join(carry, [key, "_bk"], "left")
             .withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry")))

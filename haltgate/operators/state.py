@@ -16,7 +16,7 @@ from ..functions.columns import (ACTION_UNKILL, STATE_TTL_DAYS, STATUS_ACTIVE, S
                                  STATUS_UNKNOWN, UPDATED_BY_DEFAULT, stable_id, status_of,
                                  ttl_epoch_seconds)
 from ..schemas import COMMAND_COLUMNS, STATE_COLUMNS, STATE_SCHEMA
-from .sequence import SEQ_BUCKET_MS, day_bucket, neighbour_in_key
+from .sequence import SEQ_BUCKET_MS, day_bucket, neighbour_in_key, prev_non_null_in_key
 
 # Scopes the reference dashboard always shows.
 WATCHED_SCOPES = ["GLOBAL", "SYMBOL:AAPL", "SYMBOL:GOOGL", "SYMBOL:MSFT", "SYMBOL:TSLA",
@@ -79,6 +79,22 @@ def status_changes(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFra
             .filter(F.col("prev_status").isNull() | (F.col("prev_status") != F.col("status"))))
 
 
+def record_activations(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
+    """Each KILLED state record -> ``activation_cmd_id``: the command id of
+    the status change that opened the KILLED period it belongs to (the
+    ``kill_cmd_id`` of ``kill_intervals``). A KILLED record that is not a
+    change itself follows a KILLED change of its scope, so the last change
+    at or before it is that activation."""
+    s = neighbour_in_key(states, "scope", ["updated_ts", "last_cmd_id"],
+                         day_bucket("updated_ts", bucket_ms), ["status"], "prev", "_prev")
+    change = F.col("_prev.status").isNull() | (F.col("_prev.status") != F.col("status"))
+    marked = s.withColumn("_open", F.when(change, F.col("last_cmd_id")))
+    act = prev_non_null_in_key(marked, "scope", ["updated_ts", "last_cmd_id"],
+                               day_bucket("updated_ts", bucket_ms), "_open", "activation_cmd_id")
+    return (act.filter(F.col("status") == STATUS_KILLED)
+            .select("scope", "last_cmd_id", "activation_cmd_id"))
+
+
 def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
     """KILLED periods: a KILL change paired with the next status change of the
     scope (necessarily an UNKILL); open periods have null end and duration."""

@@ -426,7 +426,7 @@ FROM k LEFT JOIN d ON k.kill_cmd_id = d.kill_cmd_id"""
 
 def _activations(spark, sf_dir):
     w = World(spark, sf_dir)
-    return R.drops_by_activation(w.audit(), S.kill_intervals(w.states()), w.event_horizon())
+    return R.drops_by_activation(w.audit(), w.states(), S.kill_intervals(w.states()))
 
 
 @register("drops_by_activation", _ACTIVATIONS_SQL)

@@ -166,7 +166,7 @@ def test_dense_activation_cells_attribute_drops_exactly(spark):
     audit = gate_asof(orders_df(spark, orders), st, slot_target=4)
     iv = kill_intervals(st)
     got = {r.kill_cmd_id: r.orders_dropped
-           for r in drops_by_activation(audit, iv, 2000 * 60_000, slot_target=4).collect()}
+           for r in drops_by_activation(audit, st, iv).collect()}
     ks = sorted(c for c in cmds if c[3] == "KILL")
     for k in ks:
         nxt = [c[1] for c in cmds if c[3] == "UNKILL" and c[1] > k[1]]
