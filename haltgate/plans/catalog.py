@@ -20,7 +20,7 @@ from ..operators.signals import risk_signals
 from ..params import (AUTO_UNKILL_COOLDOWN_MS, BOOK_PARAMS, DUPLICATE_MEMORY_MS, EVENT_PARAMS,
                       MULTI_WINDOW_SPECS, STRATEGY_PARAMS, SYMBOL_PARAMS,
                       THROTTLE_RATE_PER_SECOND)
-from ..plans.pipeline import World
+from ..plans.world import World
 from ..sources import commands as C
 from ..sources.orders import book_orders, event_orders, split_valid_orders
 from ..sources.tables import Tables
