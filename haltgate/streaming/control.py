@@ -86,5 +86,6 @@ def start_router(orders: DataFrame, state_root: str, out_root: str, checkpoint:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All micro-batch folders of a ``write_batch`` table (``batch_id`` column)."""
-    return spark.read.option("basePath", path).parquet(os.path.join(path, "batch_id=*"))
+    """All micro-batch folders of a ``write_batch`` table (``batch_id``
+    column, from partition discovery of the ``batch_id=<n>`` folders)."""
+    return spark.read.parquet(path)
