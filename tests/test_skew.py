@@ -173,3 +173,33 @@ def test_dense_activation_cells_attribute_drops_exactly(spark):
         end = min(nxt) if nxt else None
         exp = sum(1 for o in orders if o[1] >= k[1] and (end is None or o[1] < end))
         assert got[k[0]] == exp
+
+
+def test_drops_follow_repeated_kills_to_their_activation(spark):
+    # Random KILL / UNKILL with repeats (a KILL on a KILLED scope extends
+    # the activation; its record, not the opening one, drops later orders).
+    # Each drop must count for the activation of its killing scope that
+    # contains the order: the latest KILLED status change at or before it.
+    from haltgate.operators.reports import drops_by_activation
+    from haltgate.operators.gate import gate_asof
+    rows = _hot_commands(n=400, seed=13)
+    rnd = random.Random(17)
+    orders = [(f"o{i:05d}", rnd.randrange(0, 72 * HOUR), str(rnd.randrange(20)), "S", "BUY", 1, 1.0, "X")
+              for i in range(3000)]
+    st = state_records(commands_df(spark, rows))
+    audit = gate_asof(orders_df(spark, orders), st)
+    got = {r.kill_cmd_id: r.orders_dropped for r in drops_by_activation(audit, st, kill_intervals(st)).collect()}
+    changes = {}
+    for r in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
+        st_ = "KILLED" if r[3] == "KILL" else "ACTIVE"
+        ch = changes.setdefault(r[2], [])
+        if not ch or ch[-1][1] != st_:
+            ch.append((r[1], st_, r[0]))
+    exp = {c[2]: 0 for ch in changes.values() for c in ch if c[1] == "KILLED"}
+    drops = [(r.kill_scope, r.ts) for r in audit.filter("decision = 'DROP'").collect()]
+    assert drops
+    for scope, ts in drops:
+        opened = [c for c in changes[scope] if c[0] <= ts][-1]
+        assert opened[1] == "KILLED"
+        exp[opened[2]] += 1
+    assert got == exp
