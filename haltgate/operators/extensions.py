@@ -120,7 +120,10 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
     The first-n selection is ``row_number() <= n`` with a literal bound, which
     Spark executes as a partial per-task group limit before the shuffle, so a
     hot (scope, second) ships at most n rows per task. Orders are then
-    compared with the per-second cut-off (the n-th passing order).
+    compared with the per-second cut-off (the n-th passing order): through a
+    broadcast of the cut-off table when its counted size is under
+    ``max_broadcast_rows`` (one pass over the orders), else by a shuffle of
+    the throttled scopes' orders only.
     """
     pol = sized_broadcast(policy.select("scope", "max_rate_per_second").checkpoint(),
                           max_broadcast_rows)
@@ -129,22 +132,29 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
          .withColumn("_sec", F.floor(F.col("ts") / 1000).cast("bigint"))
          .join(pol, F.col("_scope") == pol.scope, "left").drop("scope"))
     out_cols = ["order_id", "ts", "account_id", "symbol", "max_rate_per_second"]
-    # Orders of unthrottled scopes pass without any shuffle.
-    free = (o.filter(F.col("max_rate_per_second").isNull())
-            .select(*out_cols, F.lit(DECISION_ALLOW).alias("decision")))
     limited = o.filter(F.col("max_rate_per_second").isNotNull())
     w = Window.partitionBy("_scope", "_sec").orderBy("ts", "order_id")
     passing = (limited.withColumn("_rn", F.row_number().over(w))
                .filter(F.col("_rn") <= F.lit(int(bound)))
                .filter(F.col("_rn") <= F.col("max_rate_per_second")))
+    # One row per throttled (scope, second) that has orders, written once.
     cut = (passing.groupBy("_scope", "_sec")
-           .agg(F.max(F.struct("ts", "order_id")).alias("_cut")))
+           .agg(F.max(F.struct("ts", "order_id")).alias("_cut"))).checkpoint()
     mine = F.struct("ts", "order_id")
+    passes = F.col("_cut").isNotNull() & (mine <= F.col("_cut"))
+    if cut.count() <= max_broadcast_rows:
+        # Small cut-off table: every order is decided in one pass, no shuffle.
+        return (o.join(F.broadcast(cut), ["_scope", "_sec"], "left")
+                .select(*out_cols, F.when(F.col("max_rate_per_second").isNull() | passes,
+                                          F.lit(DECISION_ALLOW))
+                        .otherwise(F.lit(DECISION_THROTTLED)).alias("decision")))
+    # Large: orders of unthrottled scopes pass without any shuffle; only the
+    # throttled scopes' orders meet the cut-off table.
+    free = (o.filter(F.col("max_rate_per_second").isNull())
+            .select(*out_cols, F.lit(DECISION_ALLOW).alias("decision")))
     decided = (limited.join(cut, ["_scope", "_sec"], "left")
-               .select(*out_cols,
-                       F.when(F.col("_cut").isNotNull() & (mine <= F.col("_cut")),
-                              F.lit(DECISION_ALLOW)).otherwise(F.lit(DECISION_THROTTLED))
-                        .alias("decision")))
+               .select(*out_cols, F.when(passes, F.lit(DECISION_ALLOW))
+                       .otherwise(F.lit(DECISION_THROTTLED)).alias("decision")))
     return free.unionByName(decided)
 
 

@@ -22,6 +22,25 @@ def test_throttle_first_n_per_second(spark):
                    "o4": "THROTTLED", "p": "ALLOW"}
 
 
+def test_throttle_broadcast_and_shuffled_cutoffs_agree(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(f"o{i:04d}", rnd.randrange(0, 20_000), str(rnd.randrange(6)), "A", "BUY", 1, 1.0, "X")
+            for i in range(2000)]
+    o = orders_df(spark, rows)
+    pol = spark.createDataFrame([("ACCOUNT:0", 3), ("ACCOUNT:1", 1), ("ACCOUNT:2", 50)],
+                                "scope string, max_rate_per_second int")
+    small = {r.order_id: r.decision for r in throttle_decisions(o, pol).collect()}
+    large = {r.order_id: r.decision for r in throttle_decisions(o, pol, max_broadcast_rows=0).collect()}
+    limits = {"0": 3, "1": 1, "2": 50}
+    exp, seen = {}, {}
+    for oid, ts, acct, *_ in sorted(rows, key=lambda r: (r[1], r[0])):
+        key = (acct, ts // 1000)
+        seen[key] = seen.get(key, 0) + 1
+        exp[oid] = "ALLOW" if acct not in limits or seen[key] <= limits[acct] else "THROTTLED"
+    assert small == exp and large == exp
+
+
 def test_duplicates_within_memory(spark):
     o = orders_df(spark, [("a", 0, "1", "A", "BUY", 1, 1.0, "X"), ("a", 10, "1", "A", "BUY", 1, 1.0, "X"),
                           ("a", 3_700_000, "1", "A", "BUY", 1, 1.0, "X")])
