@@ -11,7 +11,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at scale; every one is a plain Spark SQL conf.
+# Settings that matter at scale; every one is a runtime Spark SQL conf.
 SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,25 +21,37 @@ SCALE_CONF = {
     # Parquet scans: keep input splits at 128 MiB so a task fits executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Remove checkpoint files of DataFrames that are no longer referenced
-    # (every foreachBatch micro-batch checkpoints its small state tables).
+}
+
+# Context settings, fixed when the context starts: no web UI, and checkpoint
+# files of DataFrames that are no longer referenced are removed (every
+# foreachBatch micro-batch checkpoints its small state tables).
+CONTEXT_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "haltgate") -> SparkSession:
-    """Local/test session. On a cluster the submitter's settings win; we only
-    fill what is unset."""
+    """Local/test session. On a cluster the submitter's settings win: a
+    ``SCALE_CONF`` key is set only when the submitted configuration
+    (``--conf``, defaults file) does not name it. The session time zone is
+    always UTC (see ``ensure_utc``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for k, v in SCALE_CONF.items():
+    for k, v in CONTEXT_CONF.items():
         builder = builder.config(k, v)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    fill = dict(SCALE_CONF)
+    if shuffle_partitions:
+        fill["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in fill.items():
+        if not submitted.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     ensure_utc(spark)
     ensure_checkpoint_dir(spark)
