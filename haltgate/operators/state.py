@@ -84,7 +84,8 @@ def record_activations(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> Dat
     the status change that opened the KILLED period it belongs to (the
     ``kill_cmd_id`` of ``kill_intervals``). A KILLED record that is not a
     change itself follows a KILLED change of its scope, so the last change
-    at or before it is that activation."""
+    at or before it is that activation. One row per (scope, record id): a
+    command replayed into the log yields one mapping."""
     s = neighbour_in_key(states, "scope", ["updated_ts", "last_cmd_id"],
                          day_bucket("updated_ts", bucket_ms), ["status"], "prev", "_prev")
     change = F.col("_prev.status").isNull() | (F.col("_prev.status") != F.col("status"))
@@ -92,7 +93,8 @@ def record_activations(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> Dat
     act = prev_non_null_in_key(marked, "scope", ["updated_ts", "last_cmd_id"],
                                day_bucket("updated_ts", bucket_ms), "_open", "activation_cmd_id")
     return (act.filter(F.col("status") == STATUS_KILLED)
-            .select("scope", "last_cmd_id", "activation_cmd_id"))
+            .groupBy("scope", "last_cmd_id")
+            .agg(F.max("activation_cmd_id").alias("activation_cmd_id")))
 
 
 def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:

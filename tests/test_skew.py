@@ -183,6 +183,7 @@ def test_drops_follow_repeated_kills_to_their_activation(spark):
     from haltgate.operators.reports import drops_by_activation
     from haltgate.operators.gate import gate_asof
     rows = _hot_commands(n=400, seed=13)
+    rows += rows[::17]  # commands replayed into the log (exact duplicates)
     rnd = random.Random(17)
     orders = [(f"o{i:05d}", rnd.randrange(0, 72 * HOUR), str(rnd.randrange(20)), "S", "BUY", 1, 1.0, "X")
               for i in range(3000)]
