@@ -56,13 +56,6 @@ def next_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket:
     return nearest_non_null_in_key(df, key, order_cols, bucket, value_col, out, "next")
 
 
-def prev_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column,
-                         value_col: str, out: str) -> DataFrame:
-    """Adds ``out``: the last non-null ``value_col`` at or before each row
-    within ``key``; the mirror of ``next_non_null_in_key``."""
-    return nearest_non_null_in_key(df, key, order_cols, bucket, value_col, out, "prev")
-
-
 def nearest_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column,
                             value_col: str, out: str, direction: str) -> DataFrame:
     if direction not in ("prev", "next"):

@@ -166,7 +166,7 @@ def test_dense_activation_cells_attribute_drops_exactly(spark):
     audit = gate_asof(orders_df(spark, orders), st, slot_target=4)
     iv = kill_intervals(st)
     got = {r.kill_cmd_id: r.orders_dropped
-           for r in drops_by_activation(audit, st, iv).collect()}
+           for r in drops_by_activation(audit, iv, 2000 * 60_000, slot_target=4).collect()}
     ks = sorted(c for c in cmds if c[3] == "KILL")
     for k in ks:
         nxt = [c[1] for c in cmds if c[3] == "UNKILL" and c[1] > k[1]]
@@ -189,7 +189,8 @@ def test_drops_follow_repeated_kills_to_their_activation(spark):
               for i in range(3000)]
     st = state_records(commands_df(spark, rows))
     audit = gate_asof(orders_df(spark, orders), st)
-    got = {r.kill_cmd_id: r.orders_dropped for r in drops_by_activation(audit, st, kill_intervals(st)).collect()}
+    got = {r.kill_cmd_id: r.orders_dropped
+           for r in drops_by_activation(audit, kill_intervals(st), 72 * HOUR, slot_target=4).collect()}
     changes = {}
     for r in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
         st_ = "KILLED" if r[3] == "KILL" else "ACTIVE"
