@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from conftest import commands_df, orders_df
 from haltgate.operators.gate import gate_asof, gate_snapshot
 from haltgate.operators.state import fold_state, state_records

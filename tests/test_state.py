@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import commands_df
 from haltgate.operators.state import (compact, fold_state, kill_intervals, reset_all_commands,
                                       scope_board, state_cache, state_records, status_changes)
