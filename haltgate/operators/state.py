@@ -9,7 +9,7 @@ task before the shuffle. Arrival order decided the winner in the reference;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (ACTION_UNKILL, STATE_TTL_DAYS, STATUS_ACTIVE, STATUS_KILLED,
@@ -81,19 +81,41 @@ def status_changes(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFra
 
 def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
     """KILLED periods: a KILL change paired with the next status change of the
-    scope (necessarily an UNKILL); open periods have null end and duration."""
-    ch = status_changes(states, bucket_ms)
-    nx = neighbour_in_key(ch, "scope", ["updated_ts", "last_cmd_id"],
-                          day_bucket("updated_ts", bucket_ms), ["updated_ts", "last_cmd_id"],
-                          "next", "_next")
-    return (nx.filter(F.col("status") == STATUS_KILLED)
+    scope (necessarily an UNKILL); open periods have null end and duration.
+
+    One pass over the history: the next change after a KILLED change is the
+    first ACTIVE record after it, so the previous status (change detection)
+    and that end come from one window over (scope, minute) and one
+    per-bucket summary that stitches both across bucket edges."""
+    order = ["updated_ts", "last_cmd_id"]
+    rec = F.struct("updated_ts", "last_cmd_id")
+    active = F.when(F.col("status") == STATUS_ACTIVE, rec)
+    d = states.withColumn("_bk", day_bucket("updated_ts", bucket_ms))
+    w = Window.partitionBy("scope", "_bk").orderBy(*order)
+    d = (d.withColumn("_prev", F.lag("status").over(w))
+         .withColumn("_end", F.first(active, ignorenulls=True)
+                     .over(w.rowsBetween(1, Window.unboundedFollowing))))
+    by_bucket = Window.partitionBy("scope").orderBy("_bk")
+    summary = (d.groupBy("scope", "_bk")
+               .agg(F.max_by("status", rec).alias("_last"), F.min(active).alias("_first_active"))
+               .select("scope", "_bk",
+                       F.lag("_last").over(by_bucket).alias("_carry_prev"),
+                       F.first("_first_active", ignorenulls=True)
+                        .over(by_bucket.rowsBetween(1, Window.unboundedFollowing))
+                        .alias("_carry_end")))
+    j = (d.join(summary, ["scope", "_bk"], "left")
+         .withColumn("_prev", F.coalesce("_prev", "_carry_prev"))
+         .withColumn("_end", F.coalesce("_end", "_carry_end")))
+    opens = (F.col("status") == STATUS_KILLED) & (F.col("_prev").isNull()
+                                                  | (F.col("_prev") != STATUS_KILLED))
+    return (j.filter(opens)
             .select("scope",
                     F.col("updated_ts").alias("kill_ts"),
-                    F.col("_next.updated_ts").alias("unkill_ts"),
-                    (F.col("_next.updated_ts") - F.col("updated_ts")).alias("duration_ms"),
+                    F.col("_end.updated_ts").alias("unkill_ts"),
+                    (F.col("_end.updated_ts") - F.col("updated_ts")).alias("duration_ms"),
                     "reason", "updated_by",
                     F.col("last_cmd_id").alias("kill_cmd_id"),
-                    F.col("_next.last_cmd_id").alias("unkill_cmd_id")))
+                    F.col("_end.last_cmd_id").alias("unkill_cmd_id")))
 
 
 def reset_all_commands(snapshot: DataFrame, ts_ms: int | None = None,
