@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import packing, token_store
+from . import packing, repeats, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary())
 
 
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(documents(spark, sf_dir))
+
+
 @query
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_store(documents(spark, sf_dir), vocabulary())
