@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import packing, repeats, simhash, token_store
+from . import fingerprint, packing, quality_rules, repeats, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,6 +27,11 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_likeness(documents(spark, sf_dir))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary())
@@ -42,6 +47,14 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removed(documents(spark, sf_dir))
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).select("doc.doc_id", "*").drop("doc")
+
+
+ORACLE_SQL["op7_quality_rules"] = quality_rules.oracle_sql()
+
+
 @query
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_store(documents(spark, sf_dir), vocabulary())
