@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import fingerprint, packing, quality_rules, repeats, simhash, token_store
+from . import fingerprint, packing, quality_classifier, quality_rules, repeats, simhash, token_store, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,12 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_likeness(documents(spark, sf_dir))
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_classifier.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary())
@@ -59,3 +65,9 @@ ORACLE_SQL["op7_quality_rules"] = quality_rules.oracle_sql()
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_store(documents(spark, sf_dir), vocabulary())
     return token_store.read_all(token_store.open_store(spark, path))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", "held_out", "score", "predicted")
