@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import fingerprint, packing, quality_classifier, quality_rules, repeats, simhash, token_store, toxicity
+from . import (edit_counts, fingerprint, packing, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
+               token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,6 +54,11 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removed(documents(spark, sf_dir))
 
 
+@query
+def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.edited_counts(documents(spark, sf_dir), vocabulary())
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select("doc.doc_id", "*").drop("doc")
@@ -67,6 +73,11 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_all(token_store.open_store(spark, path))
 
 
+@query
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(documents(spark, sf_dir), str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
