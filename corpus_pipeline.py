@@ -9,16 +9,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haltgate.llm import packing
+from haltgate.llm import packing, quality_classifier, quality_rules, repeats, simhash
 from haltgate.llm.common import write_table
 from haltgate.llm.queries import documents, vocabulary
+from haltgate.sources.tables import read_table
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones, predicts to be of quality."""
+    return quality_classifier.kept_documents(docs, read_table(spark, sf_dir, "labels"))
+
+
+def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the threshold table."""
+    return quality_rules.kept_documents(docs)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of each group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of long strings that occur more than once."""
+    return repeats.cut_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
     return packing.pack(docs, vocabulary())
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality classifier", good),
+    ("quality rules", ruled),
+    ("simhash near-dedup", distinct),
+    ("suffix-array dedup", unrepeated),
+    ("packing", packed),
+]
 
 #: Trained scores, tokenizers and byte-level matches are beyond SQL.
 ORACLE_SQL = None
