@@ -2,25 +2,36 @@
 
 A text is cut at ASCII white space. The vocabulary drops white space and its
 pre-tokens never cross it, so the ids of a text are the ids of its chunks in
-order. Each worker keeps the ids of the chunks it has met (bounded); the rest
-of a batch is joined by an added token, which the library always cuts out
-first, and encoded in one call.
+order. Each worker keeps the ids of the chunks it has met (bounded).
+
+Most new chunks are a word with a few marks behind it: two pre-tokens, which
+the library would cut apart and lower-case. Those are cut here, so that
+"Word," and "word" are encoded once, and go to the library joined by spaces;
+every pre-token ends in an id of its own kind, which finds them again. Any
+other chunk is joined by an added token, which the library always cuts out
+first.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from itertools import islice
+from operator import add
 
 import numpy as np
 
 #: Fixed values of the vocabulary file: the added token that joins chunks, and its start.
 SEPARATOR = "<|endoftext|>"
-ADDED_START = "<|"
+ADDED_START = b"<|"
 #: Chunks whose ids one worker keeps; met later, a chunk is encoded anew each time.
-MEMO_CHUNKS = 600_000
+MEMO_CHUNKS = 500_000
 
-CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
+#: Letters that are composed and have one lower-case form, then marks: two pre-tokens.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Fixed value of the vocabulary file: how an id ends that ends a pre-token.
+WORD_END = "</w>"
 
 
 class ChunkEncoder:
@@ -28,61 +39,99 @@ class ChunkEncoder:
 
     def __init__(self, vocabulary: str, memo_chunks: int = MEMO_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.lowered = Tokenizer.from_file(vocabulary)  # for pieces that its normalizer would not change
+        self.lowered.normalizer = normalizers.Sequence([])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
         self.separator_id = self.tokenizer.token_to_id(SEPARATOR)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.memo_chunks = memo_chunks
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        plain = [c for c in chunks if ADDED_START not in c]
+    def _piece_ids(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of single lower-case pre-tokens, a call for 50,000."""
         done: dict[str, bytes] = {}
-        for i in range(0, len(plain), 50_000):
-            part = plain[i : i + 50_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([SEPARATOR.join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
+        for i in range(0, len(new), 50_000):
+            part = new[i : i + 50_000]
+            ids = np.array(self.lowered.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            assert len(cuts) == len(part), "a piece is not one pre-token"
+            raw, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+            done.update((c, raw[s * width : e * width]) for c, s, e in zip(part, [0, *cuts], cuts))
+        return done
+
+    def _ids(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        pieces, done, plain = self.pieces, {}, []
+        words, marks, simple, new = [], [], [], set()
+        for c in chunks:
+            m = SIMPLE.fullmatch(c.decode())
+            if m:
+                word, mark = m[1].lower(), m[2]
+                simple.append(c), words.append(word), marks.append(mark)
+            else:
+                plain.append(c)
+        new = set(words).union(marks).difference(pieces)
+        found = self._piece_ids(list(new))
+        if len(pieces) + len(found) <= self.memo_chunks:
+            pieces.update(found)
+            known = pieces
+        else:
+            known = _Both(pieces, found)
+        done.update(zip(simple, map(add, map(known.__getitem__, words), map(known.__getitem__, marks))))
+        joined = [c for c in plain if ADDED_START not in c]
+        for i in range(0, len(joined), 50_000):
+            part = joined[i : i + 50_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([SEPARATOR.join(c.decode() for c in part)], add_special_tokens=False)[0].ids, dtype=np.int64)
             cuts = np.flatnonzero(ids == self.separator_id)
             assert len(cuts) == len(part) - 1, "a chunk held the separator's id"
             raw, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
             starts = np.concatenate([[0], cuts + 1]).tolist()
             ends = np.concatenate([cuts, [len(ids)]]).tolist()
             done.update((c, raw[s * width : e * width]) for c, s, e in zip(part, starts, ends))
-        for c in chunks:
+        for c in plain:
             if c not in done:
-                done[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-        return [done[c] for c in chunks]
+                done[c] = np.array(self.tokenizer.encode(c.decode(), add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return done
 
-    def lookup(self, chunk_lists: list[list[str]]) -> dict[str, bytes]:
+    def lookup(self, chunk_lists: list[list[bytes]]) -> dict[bytes, bytes]:
         """The ids of every chunk in the lists."""
         memo = self.memo
-        new = list(dict.fromkeys(c for chunks in chunk_lists for c in chunks if c not in memo))
+        new = set().union(*chunk_lists).difference(memo)
         if not new:
             return memo
-        found = dict(zip(new, self._ids(new)))
-        room = self.memo_chunks - len(memo)
-        if room >= len(found):
-            memo.update(found)
-            return memo
-        for c in new[: max(room, 0)]:
-            memo[c] = found[c]
-        return _Both(memo, found)
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and full passes over the memo are slow
+        try:
+            found = self._ids(list(new))
+            room = self.memo_chunks - len(memo)
+            if room >= len(found):
+                memo.update(found)
+                return memo
+            memo.update(islice(found.items(), max(room, 0)))
+            return _Both(memo, found)
+        finally:
+            if collecting:
+                gc.enable()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        lists = [CHUNK.findall(t) if t else [] for t in texts]
-        ids = self.lookup(lists)
-        return [b"".join([ids[c] for c in chunks]) for chunks in lists]
+        lists = [t.encode().split() if t else [] for t in texts]  # bytes are split at ASCII white space alone
+        get = self.lookup(lists).__getitem__
+        return [b"".join(map(get, chunks)) for chunks in lists]
 
 
 class _Both(dict):
-    """The batch's own chunks, then the kept ones."""
+    """The batch's own entries, then the kept ones."""
 
-    def __init__(self, memo: dict[str, bytes], found: dict[str, bytes]):
+    def __init__(self, memo: dict, found: dict):
         super().__init__(found)
         self.memo = memo
 
-    def __missing__(self, chunk: str) -> bytes:
-        return self.memo[chunk]
+    def __missing__(self, key):
+        return self.memo[key]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
