@@ -79,14 +79,14 @@ def sketch(text: str | None, scale: int = SCALE, shingle_words: int = SHINGLE_WO
     for k in range(min(shingle_words, len(words))):
         hashes = hashes * _BASE + words[k : k + n]
     hashes = _mix(hashes + _U(len(words) if len(words) < shingle_words else shingle_words))
-    kept = np.unique(hashes[hashes < _U(2**64 // scale)])
+    kept = np.unique(hashes[hashes <= _U(2**64 // scale - 1)])
     return kept if len(kept) else hashes.min(keepdims=True)
 
 
 def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """The sketch of two documents' shingles together."""
     both = np.union1d(a, b)
-    kept = both[both < _U(2**64 // scale)]
+    kept = both[both <= _U(2**64 // scale - 1)]
     return kept if len(kept) else both[:1]
 
 
@@ -133,7 +133,7 @@ def merged(df: DataFrame, by: str, fingerprint_col: str, scale: int = SCALE) ->
 
     rows = df.select(by, F.explode(hashes(fingerprint_col)).alias("hash")).distinct()
     # hashes above the threshold stand in for documents without one below it
-    low = F.shiftrightunsigned("hash", 1) < F.lit((2**64 // scale) >> 1)
+    low = F.shiftrightunsigned("hash", 1) <= F.lit((2**64 // scale - 1) >> 1)
     some = rows.where(low).select(by).distinct()
     return rows.where(low).unionByName(rows.where(~low).join(some, by, "left_anti").groupBy(by).agg(F.min("hash").alias("hash")))
 
