@@ -24,8 +24,8 @@ STATUS_UNKNOWN = "UNKNOWN"
 DECISION_ALLOW = "ALLOW"
 DECISION_DROP = "DROP"
 TRIGGERED_BY_DETECTOR = "spark"
-METRIC_RATE = "order_rate_60s"
-METRIC_NOTIONAL = "notional_60s"
+METRIC_RATE = "order_rate"  # with the window: order_rate_60s
+METRIC_NOTIONAL = "notional"  # with the window: notional_60s
 METRIC_CONCENTRATION = "symbol_concentration"
 REASON_KILL_DEFAULT = "Kill switch active"
 REASON_NO_KILL = "No kill switch active"
@@ -55,18 +55,14 @@ def event_time(ts_ms) -> Column:
     return F.timestamp_millis(c(ts_ms))
 
 
-def notional_cents(qty, price) -> Column:
-    """qty * price in whole cents.
+def notional_amount(qty, price) -> Column:
+    """qty * price as a decimal of eight places, enough for sub-cent prices.
 
-    Money is summed as bigint so totals are exact and independent of how rows
-    are partitioned: a recomputed partition after executor loss yields the
-    same command values and the same deterministic ids.
+    Money is summed as decimals so totals are exact and independent of how
+    rows are partitioned: a recomputed partition after executor loss yields
+    the same command values and the same deterministic ids.
     """
-    return F.round(c(qty) * c(price) * F.lit(100)).cast("bigint")
-
-
-def cents_to_amount(cents) -> Column:
-    return c(cents) / F.lit(100.0)
+    return (c(qty) * c(price)).cast("decimal(26,8)")
 
 
 def account_scope(account_id) -> Column:

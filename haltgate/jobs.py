@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from .params import DEFAULT_PARAMS, RiskParams
 from .schemas import COMMAND_SCHEMA
-from .session import SCALE_CONF, checkpoint_dir, ensure_checkpoint_dir, ensure_utc
+from .session import build_session, checkpoint_dir, configured_checkpoint_dir, ensure_checkpoint_dir, ensure_utc
 from .streaming import control
-from .streaming.detector import start_detector, start_update_detector
+from .streaming.detector import detector_starters, start_update_detector
 from .streaming.io import (COMMANDS_TOPIC, ORDERS_TOPIC, SIGNALS_TOPIC, json_file_stream, log_stream,
-                           order_stream)
+                           order_stream, reject_writer)
 from .streaming.supervisor import supervise
 
 
@@ -68,20 +68,23 @@ def _source(spark: SparkSession, args, topic: str, starting: str) -> DataFrame:
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, int]:
     args = _parser().parse_args(argv)
     if spark is None:
-        b = SparkSession.builder.appName(f"haltgate-{args.job}")
-        for k, v in SCALE_CONF.items():
-            b = b.config(k, v)
-        spark = b.getOrCreate()
+        spark = build_session(app_name=f"haltgate-{args.job}")
     ensure_utc(spark)
+    # A job resumes from its checkpoints: their place has to be named.
+    if not args.checkpoint_root and not configured_checkpoint_dir(spark):
+        raise SystemExit("name --checkpoint-root or spark.checkpoint.dir: a job resumes from there")
     ensure_checkpoint_dir(spark)
     ck = args.checkpoint_root or os.path.join(checkpoint_dir(spark), args.job)
+    rejects_to = os.path.join(args.out_root or ck, "rejects")
     trig = {"availableNow": True} if args.available_now else None
     params = RiskParams(window=args.window, max_orders=args.rate, max_notional=args.notional,
                         max_share=args.share, min_orders=args.min_orders, watermark=args.watermark)
     starters = {}
     if args.job == "detect":
         # Detection starts from the newest offsets, as the reference does.
-        orders, _rejects = order_stream(_source(spark, args, ORDERS_TOPIC, "latest"))
+        orders, rejects = order_stream(_source(spark, args, ORDERS_TOPIC, "latest"))
+        starters["rejects"] = lambda: reject_writer(rejects, rejects_to, f"{ck}/rejects") \
+            .trigger(**(trig or {"processingTime": "10 seconds"})).start()
         if args.mode == "append":
             if args.source == "files":
                 fmt, opts = "json", {"signals": {"path": f"{args.out_root}/signals"},
@@ -90,9 +93,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
                 k = _kafka_options(args)
                 fmt, opts = "kafka", {"signals": {**k, "topic": SIGNALS_TOPIC},
                                       "commands": {**k, "topic": COMMANDS_TOPIC}}
-            qs = start_detector(orders, params, fmt, opts, ck, trig, args.console)
-            for i, q in enumerate(qs):
-                starters[f"detect-{i}"] = (lambda q=q: q)
+            starters.update(detector_starters(orders, params, fmt, opts, ck, trig, args.console))
         else:
             starters["detect"] = lambda: start_update_detector(
                 orders, params, args.out_root, f"{ck}/update", trig,
@@ -102,8 +103,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         cmds = raw.select(F.from_json("value", COMMAND_SCHEMA).alias("c")).select("c.*")
         starters["aggregate"] = lambda: control.start_aggregator(cmds, args.state_root, f"{ck}/agg", trig)
     else:
-        orders, _rejects = order_stream(_source(spark, args, ORDERS_TOPIC, "earliest"))
-        starters["route"] = lambda: control.start_router(orders, args.state_root, args.out_root,
+        raw = _source(spark, args, ORDERS_TOPIC, "earliest")
+        starters["route"] = lambda: control.start_router(raw, args.state_root, args.out_root,
                                                          f"{ck}/router", trig)
     return supervise(starters, poll_s=1.0 if args.available_now else 10.0)
 

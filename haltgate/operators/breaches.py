@@ -39,8 +39,11 @@ def commands_from_breaches(breach_rows: DataFrame, params: RiskParams = DEFAULT_
     """Breach rows -> KILL commands.
 
     Precedence rate > notional > concentration for reason, metric and value.
-    Ids are deterministic (scope, window start, metric) so a replayed window
-    yields the same command; ``breached_metrics`` lists every breached metric.
+    Ids are deterministic (scope, window start, width, metric) so a replayed
+    window yields the same command and detectors of different widths never
+    collide; ``corr_id`` names the (scope, window start, width) alone.
+    Rate and notional metrics carry the width (``order_rate_60s``).
+    ``breached_metrics`` lists every breached metric.
     """
     rate, notional, conc = (F.col(x) for x in BREACH_FLAGS)
     scope_col = account_scope(key_col) if scope is None else scope
@@ -54,7 +57,8 @@ def commands_from_breaches(breach_rows: DataFrame, params: RiskParams = DEFAULT_
                         percent_text("top_count", f"{label}_orders"), F.lit("% in "),
                         F.col(f"top_{label}"))),
     )
-    metric = first_true((rate, F.lit(METRIC_RATE)), (notional, F.lit(METRIC_NOTIONAL)),
+    rate_metric, notional_metric = (F.lit(f"{m}_{wlabel}") for m in (METRIC_RATE, METRIC_NOTIONAL))
+    metric = first_true((rate, rate_metric), (notional, notional_metric),
                         (conc, F.lit(METRIC_CONCENTRATION)))
     value = first_true((rate, F.col("order_count").cast("double")),
                        (notional, F.col("total_notional").cast("double")),
@@ -62,12 +66,12 @@ def commands_from_breaches(breach_rows: DataFrame, params: RiskParams = DEFAULT_
     start_ms = F.unix_millis(F.col("window_start"))
     out = breach_rows.withColumns({"scope": scope_col, "metric": metric})
     return out.select(
-        stable_id(F.lit(ACTION_KILL), F.col("scope"), start_ms, F.col("metric")).alias("cmd_id"),
+        stable_id(F.lit(ACTION_KILL), F.col("scope"), start_ms, F.lit(wlabel), F.col("metric")).alias("cmd_id"),
         F.col("ts"), F.col("scope"), F.lit(ACTION_KILL).alias("action"), reason.alias("reason"),
         F.lit(TRIGGERED_BY_DETECTOR).alias("triggered_by"), F.col("metric"), value.alias("value"),
-        stable_id(F.lit("corr"), F.col("scope"), start_ms).alias("corr_id"),
+        stable_id(F.lit("corr"), F.col("scope"), start_ms, F.lit(wlabel)).alias("corr_id"),
         F.array_compact(F.array(
-            F.when(rate, F.lit(METRIC_RATE)), F.when(notional, F.lit(METRIC_NOTIONAL)),
+            F.when(rate, rate_metric), F.when(notional, notional_metric),
             F.when(conc, F.lit(METRIC_CONCENTRATION)))).alias("breached_metrics"))
 
 

@@ -14,7 +14,7 @@ from ..schemas import COMMAND_COLUMNS
 from ..sources.orders import with_order_metrics
 from .breaches import breaches, commands_from_breaches
 from .gate import sized_broadcast, MAX_BROADCAST_ROWS
-from .sequence import SEQ_BUCKET_MS, neighbour_in_key, next_non_null_in_key
+from .sequence import neighbour_in_key, next_non_null_in_key
 from .signals import group_signals, rollup_signals
 
 DECISION_THROTTLED = "THROTTLED"
@@ -57,14 +57,14 @@ def multi_window_signals(orders: DataFrame, specs: list[RiskParams]) -> DataFram
     o = with_order_metrics(orders)
     spec_arr = F.array(*[F.struct(F.lit(i).alias("spec"), F.lit(p.window_ms).alias("width"))
                          for i, p in enumerate(specs)])
-    e = o.select("account_id", "symbol", "ts", "notional_cents", F.explode(spec_arr).alias("_s"))
+    e = o.select("account_id", "symbol", "ts", "notional", F.explode(spec_arr).alias("_s"))
     start = F.col("ts") - F.pmod(F.col("ts"), F.col("_s.width"))
-    e = e.select(F.col("_s.spec").alias("spec"), "account_id", "symbol", "notional_cents",
+    e = e.select(F.col("_s.spec").alias("spec"), "account_id", "symbol", "notional",
                  F.struct(F.timestamp_millis(start).alias("start"),
                           F.timestamp_millis(start + F.col("_s.width")).alias("end")).alias("window"))
     per = (e.groupBy("spec", "window", "account_id", F.col("symbol").alias("_inner"))
-           .agg(F.count(F.lit(1)).alias("n"), F.count("notional_cents").alias("n_priced"),
-                F.sum("notional_cents").alias("cents")))
+           .agg(F.count(F.lit(1)).alias("n"), F.count("notional").alias("n_priced"),
+                F.sum("notional").alias("amount")))
     return rollup_signals(per, ("spec", "account_id"))
 
 
@@ -160,18 +160,43 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
 
 # -- EXT-3: duplicates -----------------------------------------------------------------
 
-def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000,
-                        bucket_ms: int = SEQ_BUCKET_MS) -> DataFrame:
-    """An order is DUPLICATE when the same id was seen less than
-    ``memory_ms`` earlier (the id memory expires after that time); ties at
-    the same instant are ordered by order id."""
-    prev = neighbour_in_key(orders, id_col, ["ts", "order_id"],
-                            F.floor(F.col("ts") / bucket_ms).cast("bigint"), ["ts"], "prev", "_prev")
-    dup = F.col("_prev.ts").isNotNull() & ((F.col("ts") - F.col("_prev.ts")) < memory_ms)
-    return prev.select("order_id", F.col(id_col).alias("client_order_id"), "ts", "account_id",
-                       F.col("_prev.ts").alias("prev_seen_ts"),
-                       F.when(dup, F.lit(DECISION_DUPLICATE)).otherwise(F.lit(DECISION_NEW))
-                        .alias("decision"))
+def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000) -> DataFrame:
+    """An id is remembered for ``memory_ms`` from the order that put it in
+    memory: a conditional write with an expiry. An order is DUPLICATE while
+    its id is remembered; the first one after the expiry is NEW and is
+    remembered in turn. Ties at one instant are ordered by order id.
+    ``prev_seen_ts`` is the time of the order that is remembered. An order
+    without an id cannot be recognised and is NEW; one without a time is
+    NEW and remembers nothing.
+
+    One shuffle on the id and a plain window decide almost every order: the
+    first one ``memory_ms`` or more after its predecessor always opens a new
+    memory, and whatever follows it within ``memory_ms`` is a duplicate of
+    it. Only the times beyond that, of ids repeated without such a pause, are
+    folded in order to find the openers among them."""
+    out = ["order_id", F.col(id_col).alias("client_order_id"), "ts", "account_id"]
+    known = F.col(id_col).isNotNull() & F.col("ts").isNotNull()
+    w = Window.partitionBy(id_col).orderBy("ts", "order_id")
+    gap = F.col("ts") - F.lag("ts").over(w)
+    d = (orders.filter(known).withColumn("_gap", gap)
+         .withColumn("_opens", F.col("_gap").isNull() | (F.col("_gap") >= memory_ms)))
+    d = d.withColumn("_start", F.last(F.when(F.col("_opens"), F.col("ts")), ignorenulls=True)
+                     .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    late = F.col("ts") - F.col("_start") >= memory_ms
+    decision = lambda new: F.when(new, F.lit(DECISION_NEW)).otherwise(F.lit(DECISION_DUPLICATE)).alias("decision")
+    early = d.filter(~late).select(*out, F.when(~F.col("_opens"), F.col("_start")).alias("prev_seen_ts"),
+                                   decision(F.col("_opens")))
+    openers = F.aggregate("_times", F.array(F.col("_start")), lambda acc, t: F.when(
+        t - F.element_at(acc, -1) >= memory_ms, F.array_append(acc, t)).otherwise(acc))
+    folded = (d.filter(late).groupBy(id_col, "_start").agg(F.sort_array(F.collect_set("ts")).alias("_times"))
+              .select(id_col, "_start", openers.alias("_openers")))
+    last = F.element_at(F.filter("_openers", lambda x: x <= F.col("ts")), -1)
+    new = (F.col("_last") == F.col("ts")) & (F.col("_gap") > 0)
+    beyond = (d.filter(late).join(folded, [id_col, "_start"]).withColumn("_last", last)
+              .select(*out, F.when(~new, F.col("_last")).alias("prev_seen_ts"), decision(new)))
+    rest = orders.filter(~known).select(*out, F.lit(None).cast("bigint").alias("prev_seen_ts"),
+                                        F.lit(DECISION_NEW).alias("decision"))
+    return early.unionByName(beyond).unionByName(rest)
 
 
 # -- EXT-5: automatic unkill after a calm period ----------------------------------------

@@ -9,7 +9,7 @@ bounded quantile sketch; top-n reports sort globally and take n rows (Spark plan
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import DECISION_ALLOW, DECISION_DROP, normalise_epoch_ms, short_id
@@ -109,29 +109,24 @@ def recent_audit(audit: DataFrame, n: int = 50) -> DataFrame:
 
 def newest_distinct(df: DataFrame, key: str, n: int) -> DataFrame:
     """The newest row of each of the ``n`` keys with the latest ``ts`` (ties:
-    larger key), without shuffling the input.
-
-    The global answer is contained in the union of every partition's own
-    newest ``n`` distinct keys (a key in the global top n has fewer than n
-    keys above it anywhere, so also within the partition holding its newest
-    row). Each partition is reduced to at most ``n`` rows in an Arrow-batched
-    pass that keeps a running candidate set; only those rows are merged.
-    """
-    schema = df.schema
-
-    def reduce_partition(batches):
-        import pandas as pd
-        cand = None
-        for pdf in batches:
-            cand = pdf if cand is None else pd.concat([cand, pdf], ignore_index=True)
-            cand = (cand.sort_values(["ts", key], ascending=False, kind="mergesort")
-                    .drop_duplicates(key, keep="first").head(n))
-        if cand is not None:
-            yield cand
-
-    cands = df.mapInPandas(reduce_partition, schema)
-    latest = latest_by_key(cands, key, ["ts"])
-    return latest.orderBy(F.col("ts").desc(), F.col(key).desc()).limit(n)
+    larger key; of rows of one key at one instant, the greatest by their
+    other columns).
+
+    A cut-off time is found first: the keys' newest times are counted per
+    minute, newest minute first, until ``n`` keys are covered. Only rows from
+    that minute on are kept and reduced exactly."""
+    minute = F.floor(F.col("ts") / 60_000)
+    newest = df.groupBy(key).agg(F.max("ts").alias("ts"))
+    per_minute = newest.groupBy(minute.alias("m")).agg(F.count(F.lit(1)).alias("k"))
+    # at most n minutes are needed: each counted one holds a key
+    top = per_minute.orderBy(F.col("m").desc_nulls_last()).limit(n)
+    covered = F.sum("k").over(Window.orderBy(F.col("m").desc_nulls_last()))
+    cut = (top.withColumn("_c", covered).filter(F.col("_c") - F.col("k") < n)
+           .agg(F.min("m").alias("m"), F.count_if(F.col("m").isNull()).alias("nulls")).first())
+    late = df if cut.m is None or cut.nulls else df.filter(F.col("ts") >= int(cut.m) * 60_000)
+    others = [x for x in df.columns if x not in (key, "ts")]
+    return (latest_by_key(late, key, ["ts", *others])
+            .orderBy(F.col("ts").desc(), F.col(key).desc()).limit(n).select(*df.columns))
 
 
 def audit_feed(audit: DataFrame, n: int = 200) -> DataFrame:
@@ -188,8 +183,8 @@ def router_log_lines(audit: DataFrame) -> DataFrame:
 def parse_drop_lines(lines: DataFrame) -> DataFrame:
     """PRJ-23: ``filter like /DROPPED/ | parse 'DROPPED order * : *'`` then
     count by reason."""
-    pat = r"^DROPPED order (\S+) ?: (.*)$"
-    return (lines.filter(F.col("message").contains("DROPPED"))
+    pat = r"(?s)^DROPPED order (\S+) ?: (.*)$"  # a reason may span lines
+    return (lines.filter(F.col("message").rlike(pat))
             .select(F.regexp_extract("message", pat, 1).alias("order_id"),
                     F.regexp_extract("message", pat, 2).alias("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("drops")))
@@ -225,6 +220,7 @@ def drops_by_activation(audit: DataFrame, intervals: DataFrame, horizon_ms: int,
     per_record = (audit.filter(F.col("decision") == DECISION_DROP)
                   .groupBy("kill_scope", F.col("kill_ts").alias("rec_ts"))
                   .agg(F.count(F.lit(1)).alias("_n")))
+    intervals = intervals.checkpoint()  # read twice below
     iv = intervals.select("scope", "kill_cmd_id", F.col("kill_ts").alias("valid_from"),
                           F.col("unkill_ts").alias("valid_to"))
     index = IntervalIndex(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(), bucket_ms,

@@ -60,22 +60,23 @@ def nearest_non_null_in_key(df: DataFrame, key: str, order_cols: list[str], buck
                             value_col: str, out: str, direction: str) -> DataFrame:
     if direction not in ("prev", "next"):
         raise ValueError(direction)
+    # Looking ahead is looking back in descending order: such a frame grows row
+    # by row, while one that starts at the row would be rebuilt for each row.
     ahead = direction == "next"
+    by = F.desc if ahead else F.asc
     d = df.withColumn("_bk", bucket)
-    frame = ((Window.currentRow, Window.unboundedFollowing) if ahead
-             else (Window.unboundedPreceding, Window.currentRow))
-    local = Window.partitionBy(key, "_bk").orderBy(*order_cols).rowsBetween(*frame)
-    pick = F.first if ahead else F.last
-    d = d.withColumn("_loc", pick(value_col, ignorenulls=True).over(local))
+    local = (Window.partitionBy(key, "_bk").orderBy(*[by(o) for o in order_cols])
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.withColumn("_loc", F.last(value_col, ignorenulls=True).over(local))
     order = F.struct(*[F.col(o) for o in order_cols])
     edge = F.min_by(value_col, order) if ahead else F.max_by(value_col, order)
     summary = (d.filter(F.col(value_col).isNotNull()).groupBy(key, "_bk").agg(edge.alias("_edge")))
-    others = ((1, Window.unboundedFollowing) if ahead else (Window.unboundedPreceding, -1))
-    beyond = Window.partitionBy(key).orderBy("_bk").rowsBetween(*others)
+    beyond = (Window.partitionBy(key).orderBy(by("_bk"))
+              .rowsBetween(Window.unboundedPreceding, -1))
     # Buckets without a value still need a carry: take every bucket that
     # has rows, attach the summary, then look over the other buckets.
     buckets = d.select(key, "_bk").distinct().join(summary, [key, "_bk"], "left")
-    carry = (buckets.withColumn("_carry", pick("_edge", ignorenulls=True).over(beyond))
+    carry = (buckets.withColumn("_carry", F.last("_edge", ignorenulls=True).over(beyond))
              .select(key, "_bk", "_carry"))
     return (d.join(carry, [key, "_bk"], "left")
             .withColumn(out, F.coalesce(F.col("_loc"), F.col("_carry")))

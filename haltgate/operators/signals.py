@@ -19,17 +19,17 @@ from ..sources.orders import with_order_metrics
 
 def symbol_counts(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS,
                   keys: tuple[str, ...] = ("account_id",), inner: str = "symbol") -> DataFrame:
-    """First level: one row per (window, *keys, inner) with count and cents.
+    """First level: one row per (window, *keys, inner) with count and amount.
 
     ``inner`` is the dimension whose concentration is measured (the symbol
     for account signals; the account for symbol-level signals)."""
     # Streaming callers add the metrics (and the watermark) themselves.
-    o = orders if "notional_cents" in orders.columns else with_order_metrics(orders)
+    o = orders if "notional" in orders.columns else with_order_metrics(orders)
     return (o.groupBy(F.window("event_time", params.window).alias("window"), *keys,
                       F.col(inner).alias("_inner"))
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.count("notional_cents").alias("n_priced"),
-                 F.sum("notional_cents").alias("cents")))
+                 F.count("notional").alias("n_priced"),
+                 F.sum("notional").alias("amount")))
 
 
 def rollup_signals(per_symbol: DataFrame, keys: tuple[str, ...] = ("account_id",),
@@ -45,7 +45,7 @@ def rollup_signals(per_symbol: DataFrame, keys: tuple[str, ...] = ("account_id",
     agg = (per_symbol.groupBy("window", *keys).agg(
         F.sum("n").alias("order_count"),
         F.sum("n_priced").alias("priced_count"),
-        F.sum("cents").alias("notional_cents"),
+        F.sum("amount").alias("amount"),
         F.count(inner).alias("unique_inner"),
         F.max(inner).alias("max_inner"),
         F.max_by(inner, F.struct(sym_n.alias("n"), inner.alias("v"))).alias("top_inner"),
@@ -59,9 +59,9 @@ def rollup_signals(per_symbol: DataFrame, keys: tuple[str, ...] = ("account_id",
     return agg.select(
         *keys,
         F.col("order_count"),
-        (F.col("notional_cents") / F.lit(100.0)).alias("total_notional"),
+        F.col("amount").cast("double").alias("total_notional"),
         F.when(F.col("priced_count") > 0,
-               F.col("notional_cents") / F.col("priced_count") / F.lit(100.0)).alias("avg_notional"),
+               F.col("amount").cast("double") / F.col("priced_count")).alias("avg_notional"),
         F.col("unique_inner").alias(f"unique_{label}s"),
         F.col("max_inner").alias(f"max_{label}"),
         F.when(F.col("top_count").isNotNull(), F.col("top_inner")).alias(f"top_{label}"),

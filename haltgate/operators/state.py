@@ -21,6 +21,9 @@ from .sequence import SEQ_BUCKET_MS, day_bucket, neighbour_in_key
 # Scopes the reference dashboard always shows.
 WATCHED_SCOPES = ["GLOBAL", "SYMBOL:AAPL", "SYMBOL:GOOGL", "SYMBOL:MSFT", "SYMBOL:TSLA",
                   "ACCOUNT:99999"]
+# Reason of a reset, and the scopes it releases when none is KILLED.
+RESET_REASON = "Dashboard cleanup"
+RESET_DEFAULT_SCOPES = ["GLOBAL", "SYMBOL:AAPL", "ACCOUNT:99999"]
 
 
 def state_records(commands: DataFrame) -> DataFrame:
@@ -85,23 +88,27 @@ def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFra
 
     One pass over the history: the next change after a KILLED change is the
     first ACTIVE record after it, so the previous status (change detection)
-    and that end come from one window over (scope, minute) and one
-    per-bucket summary that stitches both across bucket edges."""
+    and that end come from windows over (scope, minute) and one per-bucket
+    summary that stitches both across bucket edges. "The first ACTIVE record
+    after" is read in descending order as the last one before: a frame that
+    grows row by row, so a window costs as much as its rows."""
     order = ["updated_ts", "last_cmd_id"]
     rec = F.struct("updated_ts", "last_cmd_id")
     active = F.when(F.col("status") == STATUS_ACTIVE, rec)
     d = states.withColumn("_bk", day_bucket("updated_ts", bucket_ms))
     w = Window.partitionBy("scope", "_bk").orderBy(*order)
+    back = (Window.partitionBy("scope", "_bk").orderBy(*[F.desc(o) for o in order])
+            .rowsBetween(Window.unboundedPreceding, -1))
     d = (d.withColumn("_prev", F.lag("status").over(w))
-         .withColumn("_end", F.first(active, ignorenulls=True)
-                     .over(w.rowsBetween(1, Window.unboundedFollowing))))
+         .withColumn("_end", F.last(active, ignorenulls=True).over(back)))
     by_bucket = Window.partitionBy("scope").orderBy("_bk")
+    buckets_back = (Window.partitionBy("scope").orderBy(F.desc("_bk"))
+                    .rowsBetween(Window.unboundedPreceding, -1))
     summary = (d.groupBy("scope", "_bk")
                .agg(F.max_by("status", rec).alias("_last"), F.min(active).alias("_first_active"))
                .select("scope", "_bk",
                        F.lag("_last").over(by_bucket).alias("_carry_prev"),
-                       F.first("_first_active", ignorenulls=True)
-                        .over(by_bucket.rowsBetween(1, Window.unboundedFollowing))
+                       F.last("_first_active", ignorenulls=True).over(buckets_back)
                         .alias("_carry_end")))
     j = (d.join(summary, ["scope", "_bk"], "left")
          .withColumn("_prev", F.coalesce("_prev", "_carry_prev"))
@@ -120,14 +127,23 @@ def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFra
 
 def reset_all_commands(snapshot: DataFrame, ts_ms: int | None = None,
                        operator: str = "dashboard") -> DataFrame:
-    """An UNKILL for every KILLED scope of the snapshot. Ids derive from the
-    killing command, so issuing the reset twice yields the same commands."""
+    """An UNKILL for every KILLED scope of the snapshot; for the default
+    scopes when none is KILLED. Ids derive from the killing command (for
+    default scopes from the newest record of the snapshot), so issuing the
+    reset twice yields the same commands."""
+    killed = snapshot.filter(F.col("status") == STATUS_KILLED).select("scope", "updated_ts", "last_cmd_id")
+    newest = snapshot.agg(F.coalesce(F.max("updated_ts"), F.lit(0)).alias("updated_ts"),
+                          F.max_by("last_cmd_id", F.struct("updated_ts", "last_cmd_id")).alias("last_cmd_id"),
+                          F.count_if(F.col("status") == STATUS_KILLED).alias("_killed"))
+    defaults = (newest.filter(F.col("_killed") == 0)
+                .select(F.explode(F.array(*[F.lit(s) for s in RESET_DEFAULT_SCOPES])).alias("scope"),
+                        "updated_ts", "last_cmd_id"))
     ts = F.col("updated_ts") + 1 if ts_ms is None else F.lit(ts_ms).cast("bigint")
-    return (snapshot.filter(F.col("status") == STATUS_KILLED)
+    return (killed.unionByName(defaults)
             .select(stable_id(F.lit("reset"), "scope", "last_cmd_id").alias("cmd_id"),
                     ts.alias("ts"), "scope",
                     F.lit(ACTION_UNKILL).alias("action"),
-                    F.lit("Reset all").alias("reason"),
+                    F.lit(RESET_REASON).alias("reason"),
                     F.lit(operator).alias("triggered_by"),
                     F.lit(None).cast("string").alias("metric"),
                     F.lit(None).cast("double").alias("value"),

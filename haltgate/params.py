@@ -77,3 +77,9 @@ MULTI_WINDOW_SPECS = [
 THROTTLE_RATE_PER_SECOND = 2
 DUPLICATE_MEMORY_MS = 3_600_000
 AUTO_UNKILL_COOLDOWN_MS = 2 * 86_400_000
+
+# The period of the supplied commands (January 2024, 30 days), into which the
+# book of orders is replayed; and how much later each line of an order repeats it.
+REPLAY_START_MS = 1_704_067_200_000
+REPLAY_SPAN_MS = 30 * 86_400_000
+RESEND_STEP_MS = 25 * 60_000

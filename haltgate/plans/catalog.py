@@ -19,10 +19,11 @@ from ..operators.gate import gate_asof, gate_snapshot, gated_orders
 from ..operators.signals import risk_signals
 from ..params import (AUTO_UNKILL_COOLDOWN_MS, BOOK_PARAMS, DUPLICATE_MEMORY_MS, EVENT_PARAMS,
                       MULTI_WINDOW_SPECS, STRATEGY_PARAMS, SYMBOL_PARAMS,
-                      THROTTLE_RATE_PER_SECOND)
+                      RESEND_STEP_MS, THROTTLE_RATE_PER_SECOND)
 from ..plans.world import World
 from ..sources import commands as C
-from ..sources.orders import book_orders, event_orders, split_valid_orders
+from ..sources.orders import (ROUTER_ORDER_FIELDS, book_orders, decode_orders, event_orders,
+                              split_valid_orders, to_keyed_json)
 from ..sources.tables import Tables
 from ..streaming import control as SC
 from ..streaming.detector import detector_streams, start_update_detector
@@ -177,7 +178,7 @@ def q_kill_intervals(spark, sf_dir):
 
 @register("reset_all", f"""
 SELECT sha256(concat_ws('|', 'reset', scope, last_cmd_id)) AS cmd_id, updated_ts + 1 AS ts, scope,
-       'UNKILL' AS action, 'Reset all' AS reason, 'dashboard' AS triggered_by,
+       'UNKILL' AS action, 'Dashboard cleanup' AS reason, 'dashboard' AS triggered_by,
        CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS value,
        sha256(concat_ws('|', 'resetcorr', scope, last_cmd_id)) AS corr_id
 FROM ({O.SNAPSHOT}) WHERE status = 'KILLED'""")
@@ -542,18 +543,62 @@ def q_throttle(spark, sf_dir):
 
 
 @register("duplicate_orders", f"""
-SELECT order_id, split_part(order_id, '-', 1) AS client_order_id, ts, account_id,
-       lag(ts) OVER w AS prev_seen_ts,
-       CASE WHEN lag(ts) OVER w IS NOT NULL AND ts - lag(ts) OVER w < {DUPLICATE_MEMORY_MS}
-            THEN 'DUPLICATE' ELSE 'NEW' END AS decision
-FROM ({O.BOOK_ORDERS})
-WINDOW w AS (PARTITION BY split_part(order_id, '-', 1) ORDER BY ts, order_id)""")
+WITH RECURSIVE b AS (
+  SELECT order_id, split_part(order_id, '-', 1) AS client_order_id, account_id,
+         ts + (CAST(split_part(order_id, '-', 2) AS BIGINT) - 1) * {RESEND_STEP_MS} AS ts
+  FROM ({O.BOOK_ORDERS})),
+t AS (SELECT DISTINCT client_order_id, ts FROM b),
+op AS (
+  SELECT client_order_id, min(ts) AS ts FROM t GROUP BY client_order_id
+  UNION ALL
+  SELECT op.client_order_id, min(t.ts) AS ts FROM op JOIN t ON t.client_order_id = op.client_order_id
+     AND t.ts >= op.ts + {DUPLICATE_MEMORY_MS} GROUP BY op.client_order_id, op.ts),
+r AS (SELECT b.*, op.ts AS seen, row_number() OVER (PARTITION BY b.client_order_id, b.ts ORDER BY b.order_id) AS k
+      FROM b ASOF JOIN op ON b.client_order_id = op.client_order_id AND b.ts >= op.ts)
+SELECT order_id, client_order_id, ts, account_id,
+       CASE WHEN NOT (seen = ts AND k = 1) THEN seen END AS prev_seen_ts,
+       CASE WHEN seen = ts AND k = 1 THEN 'NEW' ELSE 'DUPLICATE' END AS decision
+FROM r""")
 def q_duplicates(spark, sf_dir):
-    """EXT-3: repeated client order ids within one hour -> DUPLICATE."""
-    book = bk_orders(spark, sf_dir).withColumn("client_order_id", F.split("order_id", "-").getItem(0))
+    """EXT-3: client order ids repeated within an hour of the first -> DUPLICATE.
+    The lines of a book order are taken as repeats of it, 25 minutes apart."""
+    part = F.split("order_id", "-")
+    book = (bk_orders(spark, sf_dir).withColumn("client_order_id", part.getItem(0))
+            .withColumn("ts", F.col("ts") + (part.getItem(1).cast("bigint") - 1) * RESEND_STEP_MS))
     return X.duplicate_decisions(book, "client_order_id", DUPLICATE_MEMORY_MS)
 
 
+# Every 7th record of the log is cut short and every 11th has no account.
+_BROKEN = "event_id % 7 = 3"
+_NO_ACCOUNT = "event_id % 11 = 5"
+
+
+@register("router_json_log", f"""
+WITH o AS (SELECT *, CAST(order_id AS BIGINT) AS event_id FROM ({O.EVENT_ORDERS})),
+a AS (SELECT decision, order_id FROM ({O.gate_sql(O.EVENT_ORDERS, O.SNAPSHOT, asof=False)}))
+SELECT CASE WHEN {_BROKEN} OR {_NO_ACCOUNT} THEN 'REJECT' ELSE a.decision END AS outcome,
+       CASE WHEN {_BROKEN} THEN 'order_id,account_id,symbol' WHEN {_NO_ACCOUNT} THEN 'account_id' END AS missing_fields,
+       count(*) AS orders
+FROM o JOIN a USING (order_id) GROUP BY ALL""")
+def q_router_json_log(spark, sf_dir):
+    """SRC-1 / PRJ-3,4 / SNK-3 / AGG-9: orders written as keyed JSON, some lines
+    broken, decoded by the router's required fields, gated or rejected."""
+    w = World(spark, sf_dir)
+    event_id = F.col("order_id").cast("bigint")
+    log = to_keyed_json(w.orders().withColumn("account_id", F.when(event_id % 11 != 5, F.col("account_id"))),
+                        "order_id")
+    cut = F.when(F.col("key").cast("bigint") % 7 == 3, F.substring("value", 1, 9)).otherwise(F.col("value"))
+    good, bad = decode_orders(log.select(cut.alias("value")), required=ROUTER_ORDER_FIELDS)
+    outcomes = (gate_snapshot(good, w.snapshot())
+                .select(F.col("decision").alias("outcome"), F.lit(None).cast("string").alias("missing_fields"))
+                .unionByName(bad.select(F.lit("REJECT").alias("outcome"), "missing_fields")))
+    return outcomes.groupBy("outcome", "missing_fields").agg(F.count(F.lit(1)).alias("orders"))
+    # a rejected line keeps its raw text; the broken ones are told apart by the log's key
+    keyed = log.join(bad.select(F.rtrim("raw").alias("value"), "missing_fields").distinct(), "value", "left_semi") if False else log
+    rejected = decode_orders(keyed, required=ROUTER_ORDER_FIELDS)[1]
+    return gated.unionByName(rejected.select(F.lit(None).cast("string").alias("order_id"), F.lit("REJECT").alias("outcome"), "missing_fields"))
+
+
 @register("auto_unkill_commands", f"""
 WITH bw AS (SELECT substr(scope, 9) AS account_id, ts - {EVENT_PARAMS.window_ms} AS w_start, ts AS w_end
             FROM ({O.EVENT_COMMANDS})),

@@ -8,7 +8,7 @@ number formats.
 
 from __future__ import annotations
 
-from ..params import BOOK_PARAMS, EVENT_PARAMS, RiskParams
+from ..params import BOOK_PARAMS, EVENT_PARAMS, REPLAY_SPAN_MS, REPLAY_START_MS, RiskParams
 
 EVENT_ORDERS = """
 SELECT CAST(event_id AS VARCHAR) AS order_id,
@@ -41,7 +41,7 @@ JOIN part p ON l.l_partkey = p.p_partkey
 
 def _metrics(orders_cte: str, window_ms: int) -> str:
     return f"""
-SELECT *, CAST(round(qty * price * 100) AS BIGINT) AS notional_cents,
+SELECT *, CAST(qty * price AS DECIMAL(26,8)) AS notional,
        ts - (((ts % {window_ms}) + {window_ms}) % {window_ms}) AS wstart
 FROM ({orders_cte})
 """
@@ -55,12 +55,12 @@ def signals_sql(orders_cte: str, p: RiskParams, keys: tuple[str, ...] = ("accoun
     kj = " AND ".join(f"r.{x} IS NOT DISTINCT FROM t.{x}" for x in keys)
     return f"""
 WITH m AS (SELECT *, {inner} AS _inner FROM ({_metrics(orders_cte, w)})),
-s AS (SELECT wstart, {k}, _inner, count(*) AS n, count(notional_cents) AS n_priced,
-             sum(notional_cents) AS cents
+s AS (SELECT wstart, {k}, _inner, count(*) AS n, count(notional) AS n_priced,
+             sum(notional) AS amount
       FROM m WHERE ts IS NOT NULL GROUP BY wstart, {k}, _inner),
 r AS (SELECT wstart, {k}, CAST(sum(n) AS BIGINT) AS order_count,
              CAST(sum(n_priced) AS BIGINT) AS priced_count,
-             CAST(sum(cents) AS BIGINT) AS notional_cents,
+             sum(amount) AS amount,
              count(_inner) AS unique_inner, max(_inner) AS max_inner,
              max(CASE WHEN _inner IS NOT NULL THEN n END) AS top_count,
              CAST(coalesce(sum(CASE WHEN _inner IS NOT NULL THEN n END), 0) AS BIGINT) AS inner_orders
@@ -70,9 +70,9 @@ t AS (SELECT wstart, {k}, _inner AS top_inner FROM (
         FROM s WHERE _inner IS NOT NULL) WHERE rn = 1)
 SELECT {', '.join(f'r.{x} AS {x}' for x in keys)},
        r.order_count,
-       CAST(r.notional_cents AS DOUBLE) / 100 AS total_notional,
+       CAST(r.amount AS DOUBLE) AS total_notional,
        CASE WHEN r.priced_count > 0
-            THEN CAST(r.notional_cents AS DOUBLE) / r.priced_count / 100 END AS avg_notional,
+            THEN CAST(r.amount AS DOUBLE) / r.priced_count END AS avg_notional,
        r.unique_inner AS unique_{label}s, r.max_inner AS max_{label},
        CASE WHEN r.top_count IS NOT NULL THEN t.top_inner END AS top_{label},
        CASE WHEN r.inner_orders > 0 THEN CAST(r.top_count AS DOUBLE) / r.inner_orders
@@ -101,11 +101,11 @@ WITH f AS (
          {scope_expr} AS scope
   FROM ({signals_cte})),
 b AS (
-  SELECT *, CASE WHEN order_rate_breach THEN 'order_rate_60s'
-                 WHEN notional_breach THEN 'notional_60s'
+  SELECT *, CASE WHEN order_rate_breach THEN 'order_rate_{wl}'
+                 WHEN notional_breach THEN 'notional_{wl}'
                  WHEN concentration_breach THEN 'symbol_concentration' END AS metric
   FROM f WHERE order_rate_breach OR notional_breach OR concentration_breach)
-SELECT sha256(concat_ws('|', 'KILL', scope, CAST(epoch_ms(window_start) AS VARCHAR), metric)) AS cmd_id,
+SELECT sha256(concat_ws('|', 'KILL', scope, CAST(epoch_ms(window_start) AS VARCHAR), '{wl}', metric)) AS cmd_id,
        ts, scope, 'KILL' AS action,
        CASE WHEN order_rate_breach
               THEN 'Order rate breach: ' || CAST(order_count AS VARCHAR) || ' orders in {wl}'
@@ -118,9 +118,9 @@ SELECT sha256(concat_ws('|', 'KILL', scope, CAST(epoch_ms(window_start) AS VARCH
        CASE WHEN order_rate_breach THEN CAST(order_count AS DOUBLE)
             WHEN notional_breach THEN total_notional
             WHEN concentration_breach THEN top_{label}_share END AS value,
-       sha256(concat_ws('|', 'corr', scope, CAST(epoch_ms(window_start) AS VARCHAR))) AS corr_id,
-       concat_ws(',', CASE WHEN order_rate_breach THEN 'order_rate_60s' END,
-                 CASE WHEN notional_breach THEN 'notional_60s' END,
+       sha256(concat_ws('|', 'corr', scope, CAST(epoch_ms(window_start) AS VARCHAR), '{wl}')) AS corr_id,
+       concat_ws(',', CASE WHEN order_rate_breach THEN 'order_rate_{wl}' END,
+                 CASE WHEN notional_breach THEN 'notional_{wl}' END,
                  CASE WHEN concentration_breach THEN 'symbol_concentration' END) AS breached_metrics
 FROM b
 """
@@ -318,4 +318,8 @@ FROM j
 
 AUDIT = gate_sql(EVENT_ORDERS)
 AUDIT_SNAPSHOT = gate_sql(EVENT_ORDERS, SNAPSHOT, asof=False)
-BOOK_AUDIT = gate_sql(BOOK_ORDERS)
+REPLAYED_BOOK = f"""
+SELECT * REPLACE ({REPLAY_START_MS} + (ts + CAST(split_part(order_id, '-', 2) AS BIGINT) * 10800000)
+                  % {REPLAY_SPAN_MS} AS ts) FROM ({BOOK_ORDERS})
+"""
+BOOK_AUDIT = gate_sql(REPLAYED_BOOK)

@@ -4,8 +4,9 @@ events -> orders -> signals -> kill commands ─┐
 events -> operator commands + console requests ┴-> command log -> state
 history -> snapshot / intervals -> gate (as-of) -> audit -> reports.
 
-Every function is lazy; nothing is collected except the scalar order-time
-horizon used to bound open state intervals.
+The command log is checkpointed and the gate counts its state side when a
+plan is built; nothing is collected but scalars (counts, and the order-time
+horizon that bounds open state intervals).
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from ..operators.breaches import kill_commands
 from ..operators.gate import gate_asof
 from ..operators.signals import risk_signals
 from ..operators.state import fold_state, state_records
-from ..params import EVENT_PARAMS, RiskParams
+from ..params import EVENT_PARAMS, REPLAY_SPAN_MS, REPLAY_START_MS, RiskParams
 from ..schemas import COMMAND_COLUMNS
 from ..sources.commands import command_log, event_commands, operator_commands, operator_requests
-from ..sources.orders import book_orders, event_orders
+from ..sources.orders import book_orders, event_orders, replayed
 from ..sources.tables import Tables
 
 
@@ -92,15 +93,12 @@ class World:
         v = self.t.events.agg(F.max("ts")).first()[0]
         return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
 
-    @_memo
-    def book_horizon(self) -> int:
-        v = self.t.orders.agg(F.max("o_orderdate")).first()[0]
-        return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
-
     @_memo
     def audit(self) -> DataFrame:
         return gate_asof(self.orders(), self.states(), horizon_ms=self.event_horizon())
 
     @_memo
     def book_audit(self) -> DataFrame:
-        return gate_asof(self.book_orders(), self.states(), horizon_ms=self.book_horizon())
+        """Gate at volume: the book replayed within the period of the commands."""
+        return gate_asof(replayed(self.book_orders(), REPLAY_START_MS, REPLAY_SPAN_MS), self.states(),
+                         horizon_ms=REPLAY_START_MS + REPLAY_SPAN_MS)

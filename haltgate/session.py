@@ -70,21 +70,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
-_CHECKPOINT_SET: dict[int, str] = {}
+_CHECKPOINT_SET: dict[str, str] = {}
+
+
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` of the session or its context, if set."""
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Points the context's checkpoint folder at ``spark.checkpoint.dir``.
 
     The cluster names a shared folder there; a scratch folder is created only
-    when the setting is absent (local tests)."""
-    key = id(spark.sparkContext)
+    for a local master when the setting is absent (tests)."""
+    key = spark.sparkContext.applicationId
     if key in _CHECKPOINT_SET:
         return _CHECKPOINT_SET[key]
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    path = configured_checkpoint_dir(spark)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="haltgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

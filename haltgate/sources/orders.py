@@ -10,15 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, event_time, notional_cents, to_epoch_ms
-from ..schemas import ORDER_COLUMNS, ORDER_SCHEMA
+from ..functions.columns import c, event_time, notional_amount, to_epoch_ms
+from ..schemas import ORDER_SCHEMA
 
 # Side and strategy domains of the reference order generator.
 SIDES = ["BUY", "SELL"]
 STRATEGIES = ["ALGO_X", "ALGO_Y", "MANUAL", "SMART_ROUTER"]
 
-# Fields without which an order cannot be gated or aggregated.
+# Fields without which a consumer cannot use an order: the detector needs its
+# time and amount, the router decides on order, account and symbol alone.
 REQUIRED_ORDER_FIELDS = ["order_id", "ts", "account_id", "symbol", "qty", "price"]
+ROUTER_ORDER_FIELDS = ["order_id", "account_id", "symbol"]
 
 
 def _strategy_of(key: Column) -> Column:
@@ -67,29 +69,38 @@ def book_orders(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
     )
 
 
+def replayed(orders: DataFrame, start_ms: int, span_ms: int, step_ms: int = 3 * 3_600_000) -> DataFrame:
+    """Book orders moved into the period [start, start + span): the order date
+    modulo the span, and ``step_ms`` later for each line number (the second
+    part of the order id). A fixed mapping, so that a book of other years
+    meets the state history of the period."""
+    line = F.split("order_id", "-").getItem(1).cast("bigint")
+    return orders.withColumn("ts", F.lit(start_ms) + F.pmod(F.col("ts") + line * step_ms, F.lit(span_ms)))
+
+
 def with_order_metrics(orders: DataFrame) -> DataFrame:
-    """Adds ``notional_cents`` (qty*price in cents), ``notional`` and ``event_time``."""
-    cents = notional_cents("qty", "price")
-    return orders.withColumns({"notional_cents": cents, "notional": cents / F.lit(100.0),
+    """Adds ``notional`` (qty*price, an exact decimal) and ``event_time``."""
+    return orders.withColumns({"notional": notional_amount("qty", "price"),
                                "event_time": event_time("ts")})
 
 
-def decode_orders(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+def decode_orders(raw: DataFrame, value_col: str = "value",
+                  required: list[str] = REQUIRED_ORDER_FIELDS) -> tuple[DataFrame, DataFrame]:
     """JSON log records -> (orders, rejects).
 
     ``from_json`` in permissive mode turns malformed text into a null-filled
-    struct; rows missing a required field go to ``rejects`` with the raw text
-    instead of becoming null-key rows downstream.
+    struct; rows missing a field of ``required`` go to ``rejects`` with the
+    raw text instead of becoming null-key rows downstream.
     """
     parsed = raw.select(F.col(value_col).cast("string").alias("raw"),
                         F.from_json(F.col(value_col).cast("string"), ORDER_SCHEMA).alias("o"))
     ok = None
-    for f in REQUIRED_ORDER_FIELDS:
+    for f in required:
         cond = F.col(f"o.{f}").isNotNull()
         ok = cond if ok is None else ok & cond
     good = parsed.filter(ok).select("o.*")
     missing = F.array_compact(F.array(*[
-        F.when(F.col(f"o.{f}").isNull(), F.lit(f)) for f in REQUIRED_ORDER_FIELDS]))
+        F.when(F.col(f"o.{f}").isNull(), F.lit(f)) for f in required]))
     bad = (parsed.filter(~F.coalesce(ok, F.lit(False)))
            .select("raw", F.concat_ws(",", missing).alias("missing_fields")))
     return good, bad
@@ -112,6 +123,3 @@ def to_keyed_json(df: DataFrame, key_col: str | None = None) -> DataFrame:
     return df.select(F.col(key_col).cast("string").alias("key"),
                      F.to_json(F.struct(*[c(x) for x in df.columns])).alias("value"))
 
-
-def project_orders(df: DataFrame) -> DataFrame:
-    return df.select(*ORDER_COLUMNS)

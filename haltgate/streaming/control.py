@@ -26,6 +26,7 @@ from ..operators.gate import gate_snapshot, gated_orders
 from ..operators.reports import aggregator_counters
 from ..operators.state import fold_state, state_records
 from ..schemas import STATE_COLUMNS, STATE_SCHEMA
+from ..sources.orders import ROUTER_ORDER_FIELDS, decode_orders
 from .io import list_batches, write_batch
 
 
@@ -60,27 +61,43 @@ def start_aggregator(commands: DataFrame, state_root: str, checkpoint: str,
 
 
 def route_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_root: str,
-                out_root: str) -> None:
-    """One micro-batch of orders -> audit, gated orders, audit index, counters."""
+                out_root: str, rejects: DataFrame | None = None) -> None:
+    """One micro-batch of orders -> audit, gated orders, audit index, counters,
+    and the records that could not be decided. The audit is written first;
+    everything else is read from what was written."""
     snap = latest_snapshot(spark, state_root)
-    audit = gate_snapshot(orders, snap).checkpoint()
-    write_batch(audit, os.path.join(out_root, "audit"), batch_id)
+    write_batch(gate_snapshot(orders, snap), os.path.join(out_root, "audit"), batch_id)
+    audit = spark.read.parquet(os.path.join(out_root, "audit", f"batch_id={batch_id}"))
     write_batch(gated_orders(audit), os.path.join(out_root, "gated"), batch_id)
+    errors = F.lit(0).cast("bigint")
+    if rejects is not None:
+        write_batch(rejects, os.path.join(out_root, "rejects"), batch_id)
+        kept = spark.read.schema(rejects.schema).parquet(os.path.join(out_root, "rejects", f"batch_id={batch_id}"))
+        errors = F.lit(kept.count()).cast("bigint")
     index = (audit.select("order_id", "ts", "account_id", "symbol", "decision", "reason", "corr_id")
              .withColumn("expires_at", ttl_epoch_seconds("ts", AUDIT_TTL_DAYS))
              .withColumn("date", F.to_date(F.timestamp_millis("ts"))))
     write_batch(index, os.path.join(out_root, "audit_index"), batch_id, ["date"])
     counters = audit.agg(F.count(F.lit(1)).alias("orders_processed"),
                          F.count_if(F.col("decision") == "ALLOW").alias("orders_allowed"),
-                         F.count_if(F.col("decision") == "DROP").alias("orders_dropped"))
+                         F.count_if(F.col("decision") == "DROP").alias("orders_dropped")) \
+        .withColumns({"errors": errors, "kill_state_scopes": F.lit(snap.count()).cast("bigint")})
     write_batch(counters, os.path.join(out_root, "counters"), batch_id)
 
 
 def start_router(orders: DataFrame, state_root: str, out_root: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
+    """Routes decoded orders, or raw log records (a ``value`` column of JSON):
+    those without order id, account or symbol are written as rejects."""
     spark = orders.sparkSession
+    raw = "order_id" not in orders.columns
+
+    def route(df: DataFrame, bid: int) -> None:
+        good, bad = decode_orders(df, required=ROUTER_ORDER_FIELDS) if raw else (df, None)
+        route_batch(spark, good, bid, state_root, out_root, bad)
+
     return (orders.writeStream
-            .foreachBatch(lambda df, bid: route_batch(spark, df, bid, state_root, out_root))
+            .foreachBatch(route)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 

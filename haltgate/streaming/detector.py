@@ -11,6 +11,7 @@ correctness check stays on.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,26 +40,33 @@ def detector_streams(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS,
     return sig, kill_commands(sig, params)
 
 
-def start_detector(orders: DataFrame, params: RiskParams, sink_format: str,
-                   sink_options: dict[str, dict[str, str]], checkpoint_root: str,
-                   trigger: dict | None = None, debug_console: bool = False,
-                   ts_mode: str = "event") -> list[StreamingQuery]:
-    """Starts the signal and command queries (each its own checkpoint).
+def detector_starters(orders: DataFrame, params: RiskParams, sink_format: str,
+                      sink_options: dict[str, dict[str, str]], checkpoint_root: str,
+                      trigger: dict | None = None, debug_console: bool = False,
+                      ts_mode: str = "event") -> dict[str, Callable[[], StreamingQuery]]:
+    """The signal and command queries by name, each started (again) by a call
+    and resumed from its own checkpoint.
 
     ``sink_options`` maps 'signals' / 'commands' to writer options (for
     Kafka: bootstrap servers and topic; for files: path)."""
     sig, cmd = detector_streams(orders, params, ts_mode)
     trig = trigger or {"processingTime": "10 seconds"}
-    qs = [
-        keyed_json_stream_writer(sig, "account_id", sink_format, sink_options["signals"],
-                                 f"{checkpoint_root}/risk_signals").trigger(**trig).start(),
-        keyed_json_stream_writer(cmd.select(*COMMAND_COLUMNS), "scope", sink_format,
-                                 sink_options["commands"],
-                                 f"{checkpoint_root}/kill_commands").trigger(**trig).start(),
-    ]
+    out = {
+        "signals": lambda: keyed_json_stream_writer(
+            sig, "account_id", sink_format, sink_options["signals"],
+            f"{checkpoint_root}/risk_signals").trigger(**trig).start(),
+        "commands": lambda: keyed_json_stream_writer(
+            cmd.select(*COMMAND_COLUMNS), "scope", sink_format, sink_options["commands"],
+            f"{checkpoint_root}/kill_commands").trigger(**trig).start(),
+    }
     if debug_console:
-        qs.append(console_writer(sig).trigger(**trig).start())
-    return qs
+        out["console"] = lambda: console_writer(sig).trigger(**trig).start()
+    return out
+
+
+def start_detector(*args, **params) -> list[StreamingQuery]:
+    """Starts every query of ``detector_starters``."""
+    return [start() for start in detector_starters(*args, **params).values()]
 
 
 # -- low-latency variant: update mode ------------------------------------------------
@@ -74,7 +82,9 @@ def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: s
     replace the kept counts (versioned per batch, windows older than the
     retention dropped). Only the touched (window, account) groups are rolled
     up again and emitted, as update mode would. Commands: every update of a
-    breached window (parity), or only command ids not written before."""
+    breached window (parity), or only the first command of a (scope, window
+    start, width), whatever metric breached first. Which windows have a
+    command is kept like the counts and as long."""
     counts_root = os.path.join(root, "counts")
     prior = [v for v in list_batches(spark, counts_root) if v < batch_id]
     upd = updated.withColumn("_v", F.lit(batch_id).cast("bigint"))
@@ -96,11 +106,19 @@ def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: s
     write_batch(sig, os.path.join(root, "signals"), batch_id)
     cmds = kill_commands(sig, params)
     if first_breach_only:
-        done = [v for v in list_batches(spark, os.path.join(root, "commands")) if v < batch_id]
-        if done:
-            seen = spark.read.parquet(*[os.path.join(root, "commands", f"batch_id={v}") for v in done])
-            cmds = cmds.join(seen.select("cmd_id"), "cmd_id", "left_anti")
-    write_batch(cmds, os.path.join(root, "commands"), batch_id)
+        seen_root = os.path.join(root, "breached")
+        done = [v for v in list_batches(spark, seen_root) if v < batch_id]
+        seen = spark.read.parquet(os.path.join(seen_root, f"batch_id={done[-1]}")).select("corr_id", "ts") \
+            if done else spark.createDataFrame([], "corr_id string, ts bigint")
+        cmds = cmds.join(seen, "corr_id", "left_anti").select(*cmds.columns)
+        write_batch(cmds, os.path.join(root, "commands"), batch_id)
+        new = spark.read.parquet(os.path.join(root, "commands", f"batch_id={batch_id}"))
+        kept_seen = seen.unionByName(new.select("corr_id", "ts"))
+        if horizon is not None:
+            kept_seen = kept_seen.filter(F.col("ts") > F.lit(horizon - retention_ms))
+        write_batch(kept_seen, seen_root, batch_id)
+    else:
+        write_batch(cmds, os.path.join(root, "commands"), batch_id)
 
 
 def start_update_detector(orders: DataFrame, params: RiskParams, root: str, checkpoint: str,

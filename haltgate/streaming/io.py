@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import state_dir
-from ..sources.orders import decode_orders, to_keyed_json
+from ..sources.orders import REQUIRED_ORDER_FIELDS, decode_orders, to_keyed_json
 
 # Topic names of the reference.
 ORDERS_TOPIC = "orders.v1"
@@ -31,10 +31,7 @@ def log_stream(spark: SparkSession, topics: list[str], options: dict[str, str],
                starting_offsets: str = "latest") -> DataFrame:
     """Kafka records (topic, key, value, partition, offset, timestamp).
     ``latest`` for detection, ``earliest`` for the router and aggregator."""
-    r = spark.readStream.format("kafka")
-    for k, v in options.items():
-        r = r.option(k, v)
-    df = r.option("subscribe", ",".join(topics)).option("startingOffsets", starting_offsets).load()
+    df = (spark.readStream.format("kafka").options(**options).option("subscribe", ",".join(topics)).option("startingOffsets", starting_offsets).load())
     return df.select("topic", F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"), "partition", "offset",
                      "timestamp")
@@ -42,10 +39,7 @@ def log_stream(spark: SparkSession, topics: list[str], options: dict[str, str],
 
 def log_batch(spark: SparkSession, topics: list[str], options: dict[str, str]) -> DataFrame:
     """Whole log from earliest to latest as a batch (state bootstrap)."""
-    r = spark.read.format("kafka")
-    for k, v in options.items():
-        r = r.option(k, v)
-    return (r.option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
+    return (spark.read.format("kafka").options(**options).option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
             .option("endingOffsets", "latest").load()
             .select("topic", F.col("key").cast("string").alias("key"),
                     F.col("value").cast("string").alias("value"), "partition", "offset"))
@@ -64,9 +58,16 @@ def json_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return r.load(path)
 
 
-def order_stream(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+def order_stream(raw: DataFrame, value_col: str = "value",
+                 required: list[str] = REQUIRED_ORDER_FIELDS) -> tuple[DataFrame, DataFrame]:
     """Raw JSON records -> (orders, rejects)."""
-    return decode_orders(raw, value_col)
+    return decode_orders(raw, value_col, required)
+
+
+def reject_writer(rejects: DataFrame, path: str, checkpoint: str):
+    """Rejected records (raw text, missing fields) as JSON lines."""
+    return (rejects.writeStream.format("json").option("path", path)
+            .option("checkpointLocation", checkpoint))
 
 
 def parquet_stream(spark: SparkSession, sf_dir: str, table: str,
@@ -77,8 +78,8 @@ def parquet_stream(spark: SparkSession, sf_dir: str, table: str,
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    # The file source lists directories; a glob selects the single file.
-    return r.parquet(path[:-2] + "*")
+    # The file source lists directories; a filter selects the single file.
+    return r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 # -- sinks -----------------------------------------------------------------------

@@ -49,6 +49,27 @@ def test_duplicates_within_memory(spark):
     assert got == ["NEW", "DUPLICATE", "NEW"]
 
 
+def test_duplicate_memory_is_fixed_from_the_first_sight(spark):
+    """Against the fold it stands for; ids repeated without a pause, ties, nulls."""
+    import random
+    rnd = random.Random(5)
+    minute = 60_000
+    rows = [("x", t * minute) for t in (0, 50, 100, 101, 160, 161, 161)] + [(None, 0), (None, 5), ("y", None)]
+    rows += [(f"id{rnd.randrange(5)}", rnd.randrange(600) * minute) for _ in range(300)]
+    o = spark.createDataFrame([(f"o{i:04d}", c, t, "1") for i, (c, t) in enumerate(rows)],
+                              "order_id string, cid string, ts bigint, account_id string")
+    exp, memory = {}, {}
+    for i, (c, t) in sorted(enumerate(rows), key=lambda r: (r[1][1] is None, r[1][1] or 0, r[0])):
+        if c is None or t is None or c not in memory or t - memory[c] >= 3_600_000:
+            exp[f"o{i:04d}"] = ("NEW", None)
+            if c is not None and t is not None:
+                memory[c] = t
+        else:
+            exp[f"o{i:04d}"] = ("DUPLICATE", memory[c])
+    got = {r.order_id: (r.decision, r.prev_seen_ts) for r in duplicate_decisions(o, "cid").collect()}
+    assert got == exp and [exp[f"o000{i}"][0] for i in range(3)] == ["NEW", "DUPLICATE", "NEW"]
+
+
 def test_multi_window_any_breach_kills(spark):
     specs = [RiskParams(window="60 seconds", max_orders=5, max_notional=1e12, max_share=1.0),
              RiskParams(window="5 minutes", max_orders=2, max_notional=1e12, max_share=1.0)]

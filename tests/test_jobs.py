@@ -61,3 +61,66 @@ def test_keyed_json_and_topic_split(spark):
     rec = spark.createDataFrame([("orders.v1", "x"), ("killswitch.state.v1", "y")], "topic string, value string")
     parts = split_topics(rec, ["orders.v1", "killswitch.state.v1"])
     assert [r.value for r in parts["orders.v1"].collect()] == ["x"]
+
+
+def test_route_job_gates_orders_without_time_and_keeps_rejects(spark):
+    root = tempfile.mkdtemp(prefix="jobs-")
+    _lines(f"{root}/orders", "o.json", [
+        {"order_id": "test-123", "account_id": "99999", "symbol": "TEST", "qty": 100, "price": 50.0},
+        {"order_id": "ok", "ts": 5, "account_id": "1", "symbol": "A", "side": "BUY", "qty": 1, "price": 1.0, "strategy": "X"},
+        {"order_id": "lost", "ts": 5, "symbol": "A"}])
+    with open(f"{root}/orders/o.json", "a") as f:
+        f.write("{not json\n")
+    jobs.run(["route", "--source", "files", "--available-now", "--checkpoint-root", f"{root}/ck", "--input", f"{root}/orders",
+              "--state-root", f"{root}/state", "--out-root", f"{root}/routed"], spark)
+    audit = {r.order_id: r.decision for r in read_batches(spark, f"{root}/routed/audit").collect()}
+    assert audit == {"test-123": "ALLOW", "ok": "ALLOW"}
+    rejects = read_batches(spark, f"{root}/routed/rejects").collect()
+    assert sorted(r.missing_fields for r in rejects) == ["account_id", "order_id,account_id,symbol"]
+    counters = read_batches(spark, f"{root}/routed/counters").first()
+    assert (counters.orders_processed, counters.errors, counters.kill_state_scopes) == (2, 2, 0)
+
+
+def test_detect_job_writes_rejects(spark):
+    root = tempfile.mkdtemp(prefix="jobs-")
+    _lines(f"{root}/orders", "o.json", [{"order_id": "a", "account_id": "1", "symbol": "A", "qty": 1, "price": 1.0}])
+    jobs.run(["detect", "--source", "files", "--available-now", "--checkpoint-root", f"{root}/ck", "--input", f"{root}/orders",
+              "--out-root", f"{root}/out"], spark)
+    assert [r.missing_fields for r in spark.read.json(f"{root}/out/rejects").collect()] == ["ts"]
+
+
+def test_jobs_resume_from_their_checkpoints(spark):
+    root = tempfile.mkdtemp(prefix="jobs-")
+    order = {"account_id": "1", "symbol": "A", "qty": 1, "price": 1.0}
+    args = ["route", "--source", "files", "--available-now", "--checkpoint-root", f"{root}/ck", "--input", f"{root}/orders",
+            "--state-root", f"{root}/state", "--out-root", f"{root}/routed"]
+    for k in range(2):
+        _lines(f"{root}/orders", f"o{k}.json", [{"order_id": f"o{k}", **order}])
+        jobs.run(args, spark)
+    audit = sorted((r.batch_id, r.order_id) for r in read_batches(spark, f"{root}/routed/audit").collect())
+    assert audit == [(0, "o0"), (1, "o1")]
+
+
+class _Query:
+    def __init__(self, error):
+        self.isActive, self.error = False, error
+
+    def exception(self):
+        return self.error
+
+
+def test_failed_queries_are_started_again_and_then_fail_the_job():
+    import pytest
+
+    from haltgate.streaming.supervisor import supervise
+    started = []
+
+    def starter(errors):
+        def start():
+            started.append(1)
+            return _Query(errors.pop(0) if errors else None)
+        return start
+
+    assert supervise({"q": starter([ValueError("one"), ValueError("two")])}, poll_s=0) == {"q": 2} and len(started) == 3
+    with pytest.raises(RuntimeError, match="q"):
+        supervise({"q": starter([ValueError(str(k)) for k in range(9)])}, poll_s=0, max_restarts=2)

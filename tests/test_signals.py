@@ -101,3 +101,18 @@ def test_burst_rate_breach_kills_then_drops(spark):
                       state_records(cmds.drop("breached_metrics")))
     got = {r.order_id: r.decision for r in audit.collect()}
     assert got == {"after": "DROP", "other": "ALLOW"}
+
+
+def test_notional_of_sub_cent_prices_is_exact(spark):
+    o = orders_df(spark, [(str(i), ms(10, 0, 1), "1", "A", "BUY", 1, 0.004, "X") for i in range(1000)])
+    s = risk_signals(o, RiskParams()).first()
+    assert s.total_notional == 4.0 and s.avg_notional == 0.004
+    c = kill_commands(risk_signals(o, RiskParams()), RiskParams(max_orders=10**6, max_notional=3.5, max_share=1.0)).collect()
+    assert [x.metric for x in c] == ["notional_60s"]
+
+
+def test_ids_and_metrics_carry_the_window(spark):
+    o = orders_df(spark, [("a", ms(0, 0, 0), "1", "A", "BUY", 1, 1.0, "X")])
+    cmds = [kill_commands(risk_signals(o, p), p).first() for p in (RiskParams(max_orders=0), RiskParams(window="1 day", max_orders=0))]
+    assert [c.metric for c in cmds] == ["order_rate_60s", "order_rate_86400s"]
+    assert cmds[0].cmd_id != cmds[1].cmd_id and cmds[0].corr_id != cmds[1].corr_id

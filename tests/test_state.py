@@ -116,3 +116,18 @@ def test_state_bootstrap_from_compacted_log(spark):
         "key string, value string, partition int, offset bigint")
     got = {r.scope: r.status for r in state_from_log(log).collect()}
     assert got == {"ACCOUNT:1": "ACTIVE", "GLOBAL": "KILLED"}
+
+
+def test_reset_without_a_kill_releases_the_default_scopes(spark):
+    from haltgate.operators.state import reset_all_commands
+    cols = "scope string, status string, updated_ts bigint, updated_by string, reason string, last_cmd_id string, corr_id string"
+    for rows in ([("ACCOUNT:1", "ACTIVE", 5, "op", "", "c1", "x")], []):
+        got = reset_all_commands(spark.createDataFrame(rows, cols)).collect()
+        assert sorted(r.scope for r in got) == ["ACCOUNT:99999", "GLOBAL", "SYMBOL:AAPL"]
+        assert {r.reason for r in got} == {"Dashboard cleanup"} and len({r.cmd_id for r in got}) == 3
+
+
+def test_drop_lines_with_line_breaks(spark):
+    from haltgate.operators.reports import parse_drop_lines
+    lines = spark.createDataFrame([("DROPPED order a: one\ntwo",), ("DROPPED order b: x",), ("not a DROPPED line",)], "message string")
+    assert sorted(tuple(r) for r in parse_drop_lines(lines).collect()) == [("one\ntwo", 1), ("x", 1)]

@@ -76,3 +76,17 @@ def test_aggregator_batches_are_idempotent(spark):
     snap = latest_snapshot(spark, root).collect()
     assert [(r.scope, r.status) for r in snap] == [("ACCOUNT:1", "ACTIVE")]
     assert read_batches(spark, f"{root}/history").count() == 2
+
+
+def test_first_breach_writes_one_command_per_window(spark):
+    """Two batches breach different metrics of one window: one command."""
+    from haltgate.streaming.detector import start_update_detector
+    src, run = tempfile.mkdtemp(prefix="orders-"), tempfile.mkdtemp(prefix="run-")
+    p = RiskParams(max_orders=3, max_notional=1e12, max_share=0.7)
+    for k, n in enumerate((1, 5)):
+        _write_lines(src, f"part-{k}.json", [_order(f"{k}-{i}", ms(10, 0, 10 * k + i)) for i in range(n)])
+        orders, _ = order_stream(json_file_stream(spark, src))
+        start_update_detector(orders, p, f"{run}/out", f"{run}/ck", {"availableNow": True},
+                              first_breach_only=True).awaitTermination()
+    got = [(r.metric, r.batch_id) for r in read_batches(spark, f"{run}/out/commands").collect()]
+    assert got == [("symbol_concentration", 0)]
