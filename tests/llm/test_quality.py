@@ -142,7 +142,7 @@ def test_statistics_are_finite(text):
 
 def test_pairs_keep_group_names_neutral():
     """Group names that go with the label in the data lose their weight under the pairs."""
-    rows = [[0, 1], [0, 1], [0, 1], [1]] * 20 + [[2], [2], [0, 2], []] * 20
+    rows = [[0, 1], [0], [0, 1], [1]] * 20 + [[2], [2], [0, 2], []] * 20
     y = np.array([1.0] * 80 + [0.0] * 80)
     pairs = [([0], []), ([0], [3])] * 40
     free, _ = toxicity.fit(rows, y, pairs, 4, pair_weight=0.0)
