@@ -23,7 +23,8 @@ from .schemas import COMMAND_SCHEMA
 from .session import build_session, checkpoint_dir, configured_checkpoint_dir, ensure_checkpoint_dir, ensure_utc
 from .streaming import control
 from .streaming.detector import detector_starters, start_update_detector
-from .streaming.io import (COMMANDS_TOPIC, ORDERS_TOPIC, SIGNALS_TOPIC, json_file_stream, log_stream,
+from .streaming.io import (AUDIT_TOPIC, COMMANDS_TOPIC, GATED_TOPIC, ORDERS_TOPIC, SIGNALS_TOPIC,
+                           STATE_TOPIC, json_file_stream, log_stream,
                            order_stream, reject_writer)
 from .streaming.supervisor import supervise
 
@@ -45,6 +46,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="extra reader/writer option key=value (security settings etc.)")
     p.add_argument("--state-root")
     p.add_argument("--out-root")
+    p.add_argument("--state-log", help="folder of published state records, instead of the snapshot")
+    p.add_argument("--strategy-scopes", action="store_true", help="also gate on STRATEGY scopes")
     p.add_argument("--checkpoint-root", help="defaults to spark.checkpoint.dir/<job>")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--console", action="store_true")
@@ -80,6 +83,13 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     params = RiskParams(window=args.window, max_orders=args.rate, max_notional=args.notional,
                         max_share=args.share, min_orders=args.min_orders, watermark=args.watermark)
     starters = {}
+
+    def sink(topic: str) -> dict[str, str] | None:
+        """Where records of a topic are published: the log, or files under the output root."""
+        if args.source == "kafka":
+            return {"format": "kafka", "topic": topic, **_kafka_options(args)}
+        return {"format": "json", "path": os.path.join(args.out_root, topic)} if args.out_root else None
+
     if args.job == "detect":
         # Detection starts from the newest offsets, as the reference does.
         orders, rejects = order_stream(_source(spark, args, ORDERS_TOPIC, "latest"))
@@ -97,15 +107,18 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         else:
             starters["detect"] = lambda: start_update_detector(
                 orders, params, args.out_root, f"{ck}/update", trig,
-                first_breach_only=args.mode == "first-breach")
+                first_breach_only=args.mode == "first-breach",
+                sinks={k: v for k, v in (("signals", sink(SIGNALS_TOPIC)), ("commands", sink(COMMANDS_TOPIC))) if v})
     elif args.job == "aggregate":
         raw = _source(spark, args, COMMANDS_TOPIC, "earliest")
         cmds = raw.select(F.from_json("value", COMMAND_SCHEMA).alias("c")).select("c.*")
-        starters["aggregate"] = lambda: control.start_aggregator(cmds, args.state_root, f"{ck}/agg", trig)
+        starters["aggregate"] = lambda: control.start_aggregator(cmds, args.state_root, f"{ck}/agg", trig,
+                                                                 sink(STATE_TOPIC))
     else:
         raw = _source(spark, args, ORDERS_TOPIC, "earliest")
-        starters["route"] = lambda: control.start_router(raw, args.state_root, args.out_root,
-                                                         f"{ck}/router", trig)
+        starters["route"] = lambda: control.start_router(
+            raw, args.state_root, args.out_root, f"{ck}/router", trig, state_log=args.state_log,
+            sinks={"gated": sink(GATED_TOPIC), "audit": sink(AUDIT_TOPIC)}, include_strategy=args.strategy_scopes)
     return supervise(starters, poll_s=1.0 if args.available_now else 10.0)
 
 

@@ -356,5 +356,3 @@ def gated_orders(audit: DataFrame) -> DataFrame:
     return (audit.filter(F.col("decision") == DECISION_ALLOW)
             .select("order_id", "ts", "account_id", "symbol", "side", "qty", "price", "strategy"))
 
-
-AUDIT_BASE = AUDIT_COLUMNS

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle_sql as O
+from ..functions.columns import to_epoch_ms
 from ..operators import extensions as X
 from ..operators import reports as R
 from ..operators import state as S
@@ -19,7 +20,7 @@ from ..operators.gate import gate_asof, gate_snapshot, gated_orders
 from ..operators.signals import risk_signals
 from ..params import (AUTO_UNKILL_COOLDOWN_MS, BOOK_PARAMS, DUPLICATE_MEMORY_MS, EVENT_PARAMS,
                       MULTI_WINDOW_SPECS, STRATEGY_PARAMS, SYMBOL_PARAMS,
-                      RESEND_STEP_MS, THROTTLE_RATE_PER_SECOND)
+                      REPLAY_START_MS, RESEND_STEP_MS, THROTTLE_RATE_PER_SECOND)
 from ..plans.world import World
 from ..sources import commands as C
 from ..sources.orders import (ROUTER_ORDER_FIELDS, book_orders, decode_orders, event_orders,
@@ -27,7 +28,7 @@ from ..sources.orders import (ROUTER_ORDER_FIELDS, book_orders, decode_orders, e
 from ..sources.tables import Tables
 from ..streaming import control as SC
 from ..streaming.detector import detector_streams, start_update_detector
-from ..streaming.io import new_run_dir, parquet_stream
+from ..streaming.io import file_stream, new_run_dir, split_files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -637,6 +638,18 @@ def _run_to_files(df: DataFrame, run: str, mode: str = "append") -> DataFrame:
     return spark.read.parquet(out)
 
 
+# The supplied events reach the streaming drivers in four files, cut at these
+# times (inside a day, so inside windows), one file a batch: state is carried
+# over batches and changes between them.
+STREAM_CUTS_MS = [REPLAY_START_MS + d * 86_400_000 + 13 * 3_600_000 for d in (7, 14, 21)]
+
+
+def _event_stream(spark, sf_dir, run: str) -> DataFrame:
+    events = Tables(spark, sf_dir).events
+    path = split_files(events, to_epoch_ms("ts"), STREAM_CUTS_MS, f"{run}/events")
+    return file_stream(spark, path, events.schema)
+
+
 _CLOSED = (f"epoch_ms(window_end) <= (SELECT max(epoch_us(ts) // 1000) FROM events) "
            f"- {EVENT_PARAMS.window_ms}")
 
@@ -644,16 +657,18 @@ _CLOSED = (f"epoch_ms(window_end) <= (SELECT max(epoch_us(ts) // 1000) FROM even
 @register("stream_risk_signals", f"SELECT * FROM ({O.EVENT_SIGNALS}) WHERE {_CLOSED}")
 def q_stream_signals(spark, sf_dir):
     """SRC-1 / STR-1..3 / SNK-1: streaming signals, append mode with watermark."""
-    sig, _ = detector_streams(event_orders(parquet_stream(spark, sf_dir, "events")), EVENT_PARAMS)
-    return _run_to_files(sig, new_run_dir(spark, "stream-signals"))
+    run = new_run_dir(spark, "stream-signals")
+    sig, _ = detector_streams(event_orders(_event_stream(spark, sf_dir, run)), EVENT_PARAMS)
+    return _run_to_files(sig, run)
 
 
 @register("stream_kill_commands", f"""
 SELECT * FROM ({O.EVENT_COMMANDS}) WHERE ts <= (SELECT max(epoch_us(ts) // 1000) FROM events) - {EVENT_PARAMS.window_ms}""")
 def q_stream_commands(spark, sf_dir):
     """SNK-2 / STR-4: streaming kill commands (one per closed breached window)."""
-    _, cmd = detector_streams(event_orders(parquet_stream(spark, sf_dir, "events")), EVENT_PARAMS)
-    return _run_to_files(cmd, new_run_dir(spark, "stream-commands"))
+    run = new_run_dir(spark, "stream-commands")
+    _, cmd = detector_streams(event_orders(_event_stream(spark, sf_dir, run)), EVENT_PARAMS)
+    return _run_to_files(cmd, run)
 
 
 _OP_SNAPSHOT = f"""
@@ -664,8 +679,9 @@ SELECT scope, status, updated_ts, updated_by, reason, last_cmd_id, corr_id FROM
 
 def _stream_state(spark, sf_dir) -> str:
     run = new_run_dir(spark, "stream-state")
-    cmds = C.event_commands(parquet_stream(spark, sf_dir, "events"))
-    q = SC.start_aggregator(cmds, f"{run}/state", f"{run}/ck-agg", {"availableNow": True})
+    cmds = C.event_commands(_event_stream(spark, sf_dir, run))
+    q = SC.start_aggregator(cmds, f"{run}/state", f"{run}/ck-agg", {"availableNow": True},
+                            {"format": "json", "path": f"{run}/state-log"})
     q.awaitTermination()
     return run
 
@@ -677,22 +693,77 @@ def q_stream_state(spark, sf_dir):
     return SC.latest_snapshot(spark, f"{run}/state")
 
 
-@register("stream_router_audit", O.gate_sql(O.EVENT_ORDERS, _OP_SNAPSHOT, asof=False))
-def q_stream_router(spark, sf_dir):
-    """SRC-4,5 / SNK-5,6,7: foreachBatch router against the newest snapshot."""
+@register("stream_state_log", _OP_SNAPSHOT)
+def q_stream_state_log(spark, sf_dir):
+    """SRC-5 / SNK-8 / WIN-2: state rebuilt from the published state records."""
     run = _stream_state(spark, sf_dir)
-    orders = event_orders(parquet_stream(spark, sf_dir, "events"))
-    q = SC.start_router(orders, f"{run}/state", f"{run}/routed", f"{run}/ck-router",
-                        {"availableNow": True})
-    q.awaitTermination()
-    return SC.read_batches(spark, f"{run}/routed/audit").drop("batch_id")
+    return SC.snapshot_from_log(spark, f"{run}/state-log")
+
+
+def _until(sql: str, column: str, hi: int | None, lo: int | None = None) -> str:
+    conds = [f"{column} < {hi}" if hi is not None else "true", f"{column} >= {lo}" if lo is not None else "true"]
+    return f"SELECT * FROM ({sql}) WHERE {' AND '.join(conds)}"
+
+
+def _turns_sql() -> str:
+    """Orders of each period against the state at the period's end."""
+    edges, parts = [None, *STREAM_CUTS_MS, None], []
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        commands = _until(O.OPERATOR_EVENT_COMMANDS, "ts", hi)
+        snapshot = f"""SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY scope ORDER BY updated_ts DESC, last_cmd_id DESC) AS rn
+          FROM ({O.state_records_sql(commands)})) WHERE rn = 1"""
+        parts.append(f"({O.gate_sql(_until(O.EVENT_ORDERS, 'ts', hi, lo), snapshot, asof=False)})")
+    return " UNION ALL ".join(parts)
+
+
+def _stream_routed(spark, sf_dir) -> str:
+    """Aggregator and router take turns, a file each: the state that the router
+    knows from the published records changes between its batches."""
+    run = new_run_dir(spark, "stream-route")
+    events = Tables(spark, sf_dir).events
+    ts, edges = to_epoch_ms("ts"), [None, *STREAM_CUTS_MS, None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = events if lo is None else events.filter(ts >= lo)
+        (part if hi is None else part.filter(ts < hi)).coalesce(1).write.mode("append").parquet(f"{run}/events")
+        stream = file_stream(spark, f"{run}/events", events.schema)
+        SC.start_aggregator(C.event_commands(stream), f"{run}/state", f"{run}/ck-agg", {"availableNow": True},
+                            {"format": "json", "path": f"{run}/state-log"}).awaitTermination()
+        SC.start_router(event_orders(stream), f"{run}/state", f"{run}/routed", f"{run}/ck-router", {"availableNow": True},
+                        state_log=f"{run}/state-log", sinks={k: {"format": "json", "path": f"{run}/{k}-log"} for k in ("gated", "audit")},
+                        ).awaitTermination()
+    return run
+
+
+@register("stream_router_audit", _turns_sql())
+def q_stream_router(spark, sf_dir):
+    """SRC-4,5 / SNK-6,7: foreachBatch router fed by the published state, which
+    changes between its batches."""
+    return SC.read_batches(spark, f"{_stream_routed(spark, sf_dir)}/routed/audit").drop("batch_id")
+
+
+@register("stream_published_orders", f"""
+SELECT account_id AS key, order_id, symbol, qty FROM ({_turns_sql()}) WHERE decision = 'ALLOW'""")
+def q_stream_published(spark, sf_dir):
+    """SNK-5: allowed orders as the keyed JSON records that the router publishes."""
+    log = spark.read.schema("key string, value string").json(f"{_stream_routed(spark, sf_dir)}/gated-log")
+    return log.select("key", *[F.get_json_object("value", f"$.{c}").cast(t).alias(c)
+                               for c, t in (("order_id", "string"), ("symbol", "string"), ("qty", "int"))])
+
+
+@register("stream_audit_index", f"""
+SELECT CAST(epoch_ms(ts) AS DATE) AS date, decision, count(*) AS orders FROM ({_turns_sql()}) GROUP BY ALL""")
+def q_stream_audit_index(spark, sf_dir):
+    """SNK-7: the audit index, a folder for each date."""
+    index = spark.read.parquet(f"{_stream_routed(spark, sf_dir)}/routed/audit_index")
+    return index.groupBy("date", "decision").agg(F.count(F.lit(1)).alias("orders"))
 
 
 
 
 def _update_run(spark, sf_dir, first_only: bool) -> str:
     run = new_run_dir(spark, "stream-update")
-    orders = event_orders(parquet_stream(spark, sf_dir, "events"))
+    orders = event_orders(_event_stream(spark, sf_dir, run))
     q = start_update_detector(orders, EVENT_PARAMS, f"{run}/out", f"{run}/ck", {"availableNow": True},
                               first_breach_only=first_only)
     q.awaitTermination()
@@ -701,12 +772,25 @@ def _update_run(spark, sf_dir, first_only: bool) -> str:
 
 @register("stream_update_signals", O.EVENT_SIGNALS)
 def q_stream_update_signals(spark, sf_dir):
-    """STR-4 (update mode): signals of every touched window, open ones included."""
+    """STR-4 (update mode): signals of every touched window, open ones included;
+    of a window that several batches touched, the newest version."""
     run = _update_run(spark, sf_dir, False)
-    return SC.read_batches(spark, f"{run}/out/signals").drop("batch_id")
+    rows = SC.read_batches(spark, f"{run}/out/signals")
+    newest = rows.groupBy("window_start", "account_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(newest, ["window_start", "account_id", "batch_id"]).drop("batch_id").select(
+        *[c for c in rows.columns if c != "batch_id"])
+
+
+def _first_breach_sql() -> str:
+    """Commands as each file's end sees the windows; the first one of a window."""
+    parts = [f"SELECT {k} AS turn, * FROM ({O.commands_sql(O.signals_sql(_until(O.EVENT_ORDERS, 'ts', hi), EVENT_PARAMS), EVENT_PARAMS)})"
+             for k, hi in enumerate([*STREAM_CUTS_MS, None])]
+    return f"""
+SELECT * EXCLUDE (turn, k) FROM (
+  SELECT *, row_number() OVER (PARTITION BY corr_id ORDER BY turn) AS k FROM ({' UNION ALL '.join(parts)})) WHERE k = 1"""
 
 
-@register("stream_first_breach_commands", O.EVENT_COMMANDS)
+@register("stream_first_breach_commands", _first_breach_sql())
 def q_stream_first_breach(spark, sf_dir):
     """STR-4 ("first breach only"): a window's command is written once."""
     run = _update_run(spark, sf_dir, True)

@@ -21,6 +21,9 @@ SCALE_CONF = {
     # Parquet scans: keep input splits at 128 MiB so a task fits executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Window state of the streaming jobs on local disk, not in executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Context settings, fixed when the context starts: no web UI, and checkpoint

@@ -24,10 +24,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import AUDIT_TTL_DAYS, ttl_epoch_seconds
 from ..operators.gate import gate_snapshot, gated_orders
 from ..operators.reports import aggregator_counters
-from ..operators.state import fold_state, state_records
+from ..operators.state import fold_state, state_from_log, state_records
 from ..schemas import STATE_COLUMNS, STATE_SCHEMA
 from ..sources.orders import ROUTER_ORDER_FIELDS, decode_orders
-from .io import list_batches, write_batch
+from .io import list_batches, prune_batches, publish_batch, write_batch, write_dated_batch
 
 
 def latest_snapshot(spark: SparkSession, state_root: str) -> DataFrame:
@@ -38,9 +38,21 @@ def latest_snapshot(spark: SparkSession, state_root: str) -> DataFrame:
     return spark.read.parquet(os.path.join(state_root, "snapshot", f"batch_id={versions[-1]}"))
 
 
-def aggregate_batch(spark: SparkSession, commands: DataFrame, batch_id: int, state_root: str) -> None:
+def snapshot_from_log(spark: SparkSession, path: str) -> DataFrame:
+    """State from the published state records (key, JSON value, a folder per
+    batch): what a router that starts from the compacted log knows."""
+    if not list_batches(spark, path):
+        return spark.createDataFrame([], STATE_SCHEMA)
+    records = spark.read.schema("key string, value string, batch_id bigint").json(path)
+    return state_from_log(records.select("key", "value", F.lit(0).alias("partition"),
+                                         F.col("batch_id").alias("offset")))
+
+
+def aggregate_batch(spark: SparkSession, commands: DataFrame, batch_id: int, state_root: str,
+                    state_sink: dict[str, str] | None = None) -> None:
     """One micro-batch of commands -> history folder, new snapshot version,
-    counters."""
+    counters; the new state of every scope the batch names is published to
+    ``state_sink``. The newest snapshot versions are kept, older ones go."""
     prior = [v for v in list_batches(spark, os.path.join(state_root, "snapshot")) if v < batch_id]
     recs = state_records(commands).checkpoint()
     write_batch(recs, os.path.join(state_root, "history"), batch_id)
@@ -48,27 +60,38 @@ def aggregate_batch(spark: SparkSession, commands: DataFrame, batch_id: int, sta
             if prior else spark.createDataFrame([], STATE_SCHEMA))
     snap = fold_state(base.select(*STATE_COLUMNS).unionByName(recs.select(*STATE_COLUMNS)))
     write_batch(snap, os.path.join(state_root, "snapshot"), batch_id)
+    if state_sink is not None:
+        new = spark.read.parquet(os.path.join(state_root, "snapshot", f"batch_id={batch_id}"))
+        publish_batch(new.join(recs.select("scope").distinct(), "scope", "left_semi"), "scope", state_sink, batch_id)
+    prune_batches(spark, os.path.join(state_root, "snapshot"))
     write_batch(aggregator_counters(commands), os.path.join(state_root, "counters"), batch_id)
 
 
 def start_aggregator(commands: DataFrame, state_root: str, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, state_sink: dict[str, str] | None = None) -> StreamingQuery:
     spark = commands.sparkSession
     return (commands.writeStream
-            .foreachBatch(lambda df, bid: aggregate_batch(spark, df, bid, state_root))
+            .foreachBatch(lambda df, bid: aggregate_batch(spark, df, bid, state_root, state_sink))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
 def route_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_root: str,
-                out_root: str, rejects: DataFrame | None = None) -> None:
+                out_root: str, rejects: DataFrame | None = None, state_log: str | None = None,
+                sinks: dict[str, dict[str, str]] | None = None, include_strategy: bool = False) -> None:
     """One micro-batch of orders -> audit, gated orders, audit index, counters,
     and the records that could not be decided. The audit is written first;
-    everything else is read from what was written."""
-    snap = latest_snapshot(spark, state_root)
-    write_batch(gate_snapshot(orders, snap), os.path.join(out_root, "audit"), batch_id)
+    everything else is read from what was written. State comes from the
+    published ``state_log`` where one is named, else from the newest snapshot;
+    ``sinks`` publishes ``gated`` orders and ``audit`` records."""
+    snap = latest_snapshot(spark, state_root) if state_log is None else snapshot_from_log(spark, state_log)
+    write_batch(gate_snapshot(orders, snap, include_strategy=include_strategy), os.path.join(out_root, "audit"), batch_id)
     audit = spark.read.parquet(os.path.join(out_root, "audit", f"batch_id={batch_id}"))
-    write_batch(gated_orders(audit), os.path.join(out_root, "gated"), batch_id)
+    gated = gated_orders(audit)
+    write_batch(gated, os.path.join(out_root, "gated"), batch_id)
+    sinks = sinks or {}
+    publish_batch(gated, "account_id", sinks.get("gated"), batch_id)
+    publish_batch(audit, "account_id", sinks.get("audit"), batch_id)
     errors = F.lit(0).cast("bigint")
     if rejects is not None:
         write_batch(rejects, os.path.join(out_root, "rejects"), batch_id)
@@ -77,7 +100,7 @@ def route_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_roo
     index = (audit.select("order_id", "ts", "account_id", "symbol", "decision", "reason", "corr_id")
              .withColumn("expires_at", ttl_epoch_seconds("ts", AUDIT_TTL_DAYS))
              .withColumn("date", F.to_date(F.timestamp_millis("ts"))))
-    write_batch(index, os.path.join(out_root, "audit_index"), batch_id, ["date"])
+    write_dated_batch(index, os.path.join(out_root, "audit_index"), batch_id)
     counters = audit.agg(F.count(F.lit(1)).alias("orders_processed"),
                          F.count_if(F.col("decision") == "ALLOW").alias("orders_allowed"),
                          F.count_if(F.col("decision") == "DROP").alias("orders_dropped")) \
@@ -86,7 +109,7 @@ def route_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_roo
 
 
 def start_router(orders: DataFrame, state_root: str, out_root: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, **params) -> StreamingQuery:
     """Routes decoded orders, or raw log records (a ``value`` column of JSON):
     those without order id, account or symbol are written as rejects."""
     spark = orders.sparkSession
@@ -94,7 +117,7 @@ def start_router(orders: DataFrame, state_root: str, out_root: str, checkpoint:
 
     def route(df: DataFrame, bid: int) -> None:
         good, bad = decode_orders(df, required=ROUTER_ORDER_FIELDS) if raw else (df, None)
-        route_batch(spark, good, bid, state_root, out_root, bad)
+        route_batch(spark, good, bid, state_root, out_root, bad, **params)
 
     return (orders.writeStream
             .foreachBatch(route)

@@ -23,7 +23,8 @@ from ..operators.state import latest_by_key
 from ..params import DEFAULT_PARAMS, RiskParams, interval_seconds
 from ..schemas import COMMAND_COLUMNS
 from ..sources.orders import with_order_metrics
-from .io import console_writer, keyed_json_stream_writer, list_batches, write_batch
+from .io import (console_writer, keyed_json_stream_writer, list_batches, prune_batches, publish_batch,
+                 write_batch)
 
 
 def watermarked(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS) -> DataFrame:
@@ -75,7 +76,8 @@ _COUNT_KEYS = ["window", "account_id", "_inner"]
 
 
 def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: str,
-                 params: RiskParams, first_breach_only: bool, retention_ms: int) -> None:
+                 params: RiskParams, first_breach_only: bool, retention_ms: int,
+                 sinks: dict[str, dict[str, str]] | None = None) -> None:
     """One micro-batch of updated (window, account, symbol) counts.
 
     The batch carries the current totals of every group it touched; they
@@ -101,6 +103,7 @@ def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: s
     kept = latest if horizon is None else \
         latest.filter(F.unix_millis("window.end") > F.lit(horizon - retention_ms))
     write_batch(kept, counts_root, batch_id)
+    prune_batches(spark, counts_root)
     touched = updated.select("window", "account_id").distinct()
     sig = rollup_signals(latest.join(touched, ["window", "account_id"]), ("account_id",))
     write_batch(sig, os.path.join(root, "signals"), batch_id)
@@ -117,20 +120,27 @@ def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: s
         if horizon is not None:
             kept_seen = kept_seen.filter(F.col("ts") > F.lit(horizon - retention_ms))
         write_batch(kept_seen, seen_root, batch_id)
+        prune_batches(spark, seen_root)
     else:
         write_batch(cmds, os.path.join(root, "commands"), batch_id)
+    for name, key in (("signals", "account_id"), ("commands", "scope")):
+        if sinks and name in sinks:
+            written = spark.read.parquet(os.path.join(root, name, f"batch_id={batch_id}"))
+            publish_batch(written.select(*COMMAND_COLUMNS) if name == "commands" else written, key, sinks[name], batch_id)
 
 
 def start_update_detector(orders: DataFrame, params: RiskParams, root: str, checkpoint: str,
-                          trigger: dict | None = None, first_breach_only: bool = False) -> StreamingQuery:
+                          trigger: dict | None = None, first_breach_only: bool = False,
+                          sinks: dict[str, dict[str, str]] | None = None) -> StreamingQuery:
     """Update-mode detector: signals and commands for every window a
-    micro-batch touches, before the window closes."""
+    micro-batch touches, before the window closes; published to ``sinks``
+    (``signals``, ``commands``) as keyed JSON where named."""
     spark = orders.sparkSession
     per = symbol_counts(watermarked(orders, params), params)
     retention = params.window_ms + interval_seconds(params.watermark) * 1000
     return (per.writeStream.outputMode("update")
             .foreachBatch(lambda df, bid: update_batch(spark, df, bid, root, params,
-                                                       first_breach_only, retention))
+                                                       first_breach_only, retention, sinks))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 

@@ -70,16 +70,20 @@ def reject_writer(rejects: DataFrame, path: str, checkpoint: str):
             .option("checkpointLocation", checkpoint))
 
 
-def parquet_stream(spark: SparkSession, sf_dir: str, table: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """A supplied table read as a file stream (schema from the file)."""
-    path = os.path.join(sf_dir, f"{table}.parquet")
-    schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    # The file source lists directories; a filter selects the single file.
-    return r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+def split_files(df: DataFrame, ts_ms, cuts_ms: list[int], path: str) -> str:
+    """Writes ``df`` as one file for each period between the given times (a part
+    per file source batch, oldest first), and returns the folder."""
+    edges = [None, *cuts_ms, None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = df if lo is None else df.filter(ts_ms >= lo)
+        part = part if hi is None else part.filter(ts_ms < hi)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def file_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A folder of Parquet files as a stream, one file a batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 # -- sinks -----------------------------------------------------------------------
@@ -111,6 +115,37 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[st
     w.save(target)
 
 
+def publish_batch(df: DataFrame, key_col: str, sink: dict[str, str] | None, batch_id: int) -> None:
+    """Batch twin of ``keyed_json_stream_writer`` for ``foreachBatch``: (key,
+    JSON value) records to a log. ``sink`` has ``format`` and the writer's
+    options; a file sink gets a folder per batch, so a replayed batch
+    replaces its own records (a log gets them again, by the same keys)."""
+    if sink is None:
+        return
+    options = dict(sink)
+    fmt = options.pop("format")
+    keyed = to_keyed_json(df, key_col)
+    if "path" in options:
+        write_batch(keyed, options["path"], batch_id, fmt=fmt)
+    else:
+        keyed.write.format(fmt).options(**options).save()
+
+
+def prune_batches(spark: SparkSession, path: str, keep: int = 3) -> None:
+    """Deletes all but the newest ``keep`` versions of a versioned table, so
+    that neither its size nor its listing grows with the number of batches."""
+    for old in list_batches(spark, path)[:-keep]:
+        fs, p = _fs(spark, os.path.join(path, f"batch_id={old}"))
+        fs.delete(p, True)
+
+
+def write_dated_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """A micro-batch of a table laid out by date above batch, so that a date
+    is one folder. A replayed batch replaces its own parts only."""
+    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(path))
+
+
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for one run."""
     return state_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
