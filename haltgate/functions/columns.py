@@ -38,6 +38,11 @@ ERR_SCOPE_INVALID = "Invalid scope format. Use GLOBAL, ACCOUNT:<id>, or SYMBOL:<
 AUDIT_TTL_DAYS = 30
 STATE_TTL_DAYS = 7
 DASH = "-"
+ERR_PATH_UNKNOWN = "Not found. Available endpoints: POST /kill, POST /unkill, GET /health"
+ACTION_THROTTLE = "THROTTLE"
+STATUS_THROTTLED = "THROTTLED"
+DECISION_THROTTLED = "THROTTLED"
+DECISION_DUPLICATE = "DUPLICATE"
 # ---------------------------------------------------------------------------
 
 
@@ -100,20 +105,23 @@ def percent_text(num, den) -> Column:
 
 
 def status_of(action) -> Column:
-    """KILL -> KILLED, UNKILL -> ACTIVE, anything else -> null (dropped)."""
+    """KILL -> KILLED, UNKILL -> ACTIVE, THROTTLE -> THROTTLED, anything else -> null (dropped)."""
     a = c(action)
     return (F.when(a == ACTION_KILL, F.lit(STATUS_KILLED))
-            .when(a == ACTION_UNKILL, F.lit(STATUS_ACTIVE)))
+            .when(a == ACTION_UNKILL, F.lit(STATUS_ACTIVE))
+            .when(a == ACTION_THROTTLE, F.lit(STATUS_THROTTLED)))
 
 
-def scope_error(scope) -> Column:
+def scope_error(scope, include_strategy: bool = False) -> Column:
     """Validation message for an operator scope; null when the scope is valid.
 
-    Only the prefix is checked, so 'ACCOUNT:' alone is accepted.
+    Only the prefix is checked, so 'ACCOUNT:' alone is accepted. STRATEGY
+    scopes are accepted where the router gates on them.
     """
     s = c(scope)
+    strategy = s.startswith(STRATEGY_PREFIX) if include_strategy else F.lit(False)
     return (F.when(s.isNull() | (s == ""), F.lit(ERR_SCOPE_MISSING))
-            .when((s == SCOPE_GLOBAL) | s.startswith(ACCOUNT_PREFIX) | s.startswith(SYMBOL_PREFIX),
+            .when((s == SCOPE_GLOBAL) | s.startswith(ACCOUNT_PREFIX) | s.startswith(SYMBOL_PREFIX) | strategy,
                   F.lit(None).cast("string"))
             .otherwise(F.lit(ERR_SCOPE_INVALID)))
 

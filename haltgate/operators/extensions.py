@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (ACTION_KILL, ACTION_UNKILL, DECISION_ALLOW, first_true,
-                                 money_text, percent_text, stable_id, strategy_scope, symbol_scope,
+from ..functions.columns import (ACTION_KILL, ACTION_THROTTLE, ACTION_UNKILL, DECISION_ALLOW,
+                                 DECISION_DUPLICATE, DECISION_THROTTLED, ROUTER_SERVICE, first_true,
+                                 money_text, percent_text, stable_id, status_of, strategy_scope, symbol_scope,
                                  TRIGGERED_BY_DETECTOR, account_scope)
 from ..params import RiskParams
 from ..schemas import COMMAND_COLUMNS
@@ -17,9 +18,9 @@ from .gate import sized_broadcast, MAX_BROADCAST_ROWS
 from .sequence import neighbour_in_key, next_non_null_in_key
 from .signals import group_signals, rollup_signals
 
-DECISION_THROTTLED = "THROTTLED"
-DECISION_DUPLICATE = "DUPLICATE"
 DECISION_NEW = "NEW"
+REASON_THROTTLED = "Rate limit exceeded"
+REASON_DUPLICATE = "Duplicate order id"
 
 
 # -- EXT-1 / EXT-6: other scope levels -----------------------------------------
@@ -109,6 +110,26 @@ def multi_window_commands(orders: DataFrame, specs: list[RiskParams]) -> DataFra
                     wl.alias("window_label")))
 
 
+def decision_audit(decisions: DataFrame, decision: str, reason: str, status: str) -> DataFrame:
+    """Audit records of the orders that throttling or duplicate detection
+    stopped, in the columns of the gate's audit."""
+    return (decisions.filter(F.col("decision") == decision)
+            .select("ts", "decision", "order_id", "account_id", "symbol",
+                    F.array(account_scope("account_id")).alias("scope_matches"),
+                    F.lit(status).alias("killswitch_status"), F.lit(reason).alias("reason"),
+                    stable_id(F.lit("audit"), "order_id").alias("corr_id"),
+                    F.lit(ROUTER_SERVICE).alias("service")))
+
+
+def throttle_policy(commands: DataFrame) -> DataFrame:
+    """(scope, max_rate_per_second) of the scopes that are THROTTLED now: those
+    whose newest command is a THROTTLE, with its value as the rate."""
+    latest = (commands.filter(status_of("action").isNotNull() & F.col("scope").isNotNull()).groupBy("scope")
+              .agg(F.max_by(F.struct("action", "value"), F.struct("ts", "cmd_id")).alias("c")))
+    return (latest.filter((F.col("c.action") == ACTION_THROTTLE) & F.col("c.value").isNotNull())
+            .select("scope", F.col("c.value").cast("int").alias("max_rate_per_second")))
+
+
 # -- EXT-2: throttling ---------------------------------------------------------------
 
 def throttle_decisions(orders: DataFrame, policy: DataFrame,
@@ -202,11 +223,13 @@ def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_0
 # -- EXT-5: automatic unkill after a calm period ----------------------------------------
 
 def auto_unkill_commands(breach_signals: DataFrame, activations: DataFrame,
-                         cooldown_ms: int, bucket_ms: int = 86_400_000) -> DataFrame:
+                         cooldown_ms: int, bucket_ms: int = 86_400_000,
+                         held: DataFrame | None = None) -> DataFrame:
     """UNKILL for a detector kill once its account has been calm for
     ``cooldown_ms``: breach windows closer than the cooldown form one
     episode; the unkill falls at episode end + cooldown. An activation that
-    ended earlier (operator action) is not auto-released (override)."""
+    ended earlier (operator action) is not auto-released (override), nor is
+    any of a scope in ``held`` (column ``scope``): there an operator decides."""
     bw = breach_signals.select("account_id", F.unix_millis("window_start").alias("w_start"),
                                F.unix_millis("window_end").alias("w_end"))
     nxt = neighbour_in_key(bw, "account_id", ["w_start"],
@@ -222,6 +245,8 @@ def auto_unkill_commands(breach_signals: DataFrame, activations: DataFrame,
                    F.col("w_end").alias("kill_ts"), "episode_end")
     act = activations.filter(F.col("updated_by") == TRIGGERED_BY_DETECTOR)
     j = act.join(ep, ["scope", "kill_ts"], "inner")
+    if held is not None:
+        j = j.join(held.select("scope").distinct(), "scope", "left_anti")
     release = F.col("episode_end") + F.lit(cooldown_ms)
     j = j.filter(F.col("unkill_ts").isNull() | (F.col("unkill_ts") >= release))
     return j.select(stable_id(F.lit("auto"), "kill_cmd_id").alias("cmd_id"),

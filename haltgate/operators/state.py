@@ -94,7 +94,7 @@ def kill_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFra
     grows row by row, so a window costs as much as its rows."""
     order = ["updated_ts", "last_cmd_id"]
     rec = F.struct("updated_ts", "last_cmd_id")
-    active = F.when(F.col("status") == STATUS_ACTIVE, rec)
+    active = F.when(F.col("status") != STATUS_KILLED, rec)
     d = states.withColumn("_bk", day_bucket("updated_ts", bucket_ms))
     w = Window.partitionBy("scope", "_bk").orderBy(*order)
     back = (Window.partitionBy("scope", "_bk").orderBy(*[F.desc(o) for o in order])

@@ -11,6 +11,7 @@ horizon that bounds open state intervals).
 
 from __future__ import annotations
 
+import uuid
 from datetime import timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,26 @@ from ..operators.signals import risk_signals
 from ..operators.state import fold_state, state_records
 from ..params import EVENT_PARAMS, REPLAY_SPAN_MS, REPLAY_START_MS, RiskParams
 from ..schemas import COMMAND_COLUMNS
+from ..session import state_dir
 from ..sources.commands import command_log, event_commands, operator_commands, operator_requests
 from ..sources.orders import book_orders, event_orders, replayed
 from ..sources.tables import Tables
 
 
+_STORED_AUDITS: dict[tuple, str] = {}
+
+
+def store_audit(audit: DataFrame, path: str) -> None:
+    """Audit rows by date; within a date clustered and sorted by account."""
+    dated = audit.withColumn("date", F.to_date(F.timestamp_millis("ts")))
+    (dated.repartitionByRange("date", "account_id").sortWithinPartitions("date", "account_id", "ts")
+     .write.partitionBy("date").parquet(path))
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("date")
+
+
 def _memo(fn):
     """Build each derived DataFrame once per World (plans are immutable)."""
     name = "_memo_" + fn.__name__
@@ -97,6 +113,19 @@ class World:
     def audit(self) -> DataFrame:
         return gate_asof(self.orders(), self.states(), horizon_ms=self.event_horizon())
 
+    @_memo
+    def stored_audit(self) -> DataFrame:
+        """The audit as a table: written once per application and data folder,
+        a folder for each date, clustered by account, so that reports do not
+        gate again and lookups push their predicate to the files they need."""
+        spark = self.t.spark
+        key = (spark.sparkContext.applicationId, self.t.sf_dir, self.params)
+        if key not in _STORED_AUDITS:
+            path = state_dir(spark, f"audit-{uuid.uuid4().hex[:12]}")
+            store_audit(self.audit(), path)
+            _STORED_AUDITS[key] = path
+        return read_audit(spark, _STORED_AUDITS[key])
+
     @_memo
     def book_audit(self) -> DataFrame:
         """Gate at volume: the book replayed within the period of the commands."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (ACTION_KILL, ACTION_UNKILL, OPERATOR_DEFAULT,
-                                 REASON_OPERATOR_DEFAULT, SCOPE_GLOBAL, c, scope_error,
+                                 ERR_PATH_UNKNOWN, REASON_OPERATOR_DEFAULT, SCOPE_GLOBAL, c, scope_error,
                                  stable_id, to_epoch_ms)
 from ..schemas import COMMAND_COLUMNS, COMMAND_SCHEMA
 
@@ -98,22 +98,21 @@ def operator_requests(events: DataFrame) -> DataFrame:
          .alias("operator")))
 
 
-def validate_requests(requests: DataFrame) -> DataFrame:
+def validate_requests(requests: DataFrame, include_strategy: bool = False) -> DataFrame:
     """Adds ``status_code`` and ``error``: 400 for a missing or malformed
     scope, 404 for an unknown path, 200 otherwise."""
-    err = scope_error("scope")
+    err = scope_error("scope", include_strategy)
     path_ok = F.col("path").isin("/kill", "/unkill")
     return (requests
-            .withColumn("error", F.coalesce(err, F.when(~path_ok, F.lit(
-                "Not found. Available endpoints: POST /kill, POST /unkill, GET /health"))))
+            .withColumn("error", F.coalesce(err, F.when(~path_ok, F.lit(ERR_PATH_UNKNOWN))))
             .withColumn("status_code", F.when(err.isNotNull(), F.lit(400))
                         .when(~path_ok, F.lit(404)).otherwise(F.lit(200))))
 
 
-def operator_commands(requests: DataFrame) -> DataFrame:
+def operator_commands(requests: DataFrame, include_strategy: bool = False) -> DataFrame:
     """Valid requests -> commands with the console's defaults
     (reason 'Manual operator action', operator 'api' as ``triggered_by``)."""
-    v = validate_requests(requests).filter(F.col("status_code") == 200)
+    v = validate_requests(requests, include_strategy).filter(F.col("status_code") == 200)
     return v.select(
         stable_id(F.lit("op"), "request_id").alias("cmd_id"),
         c("ts"),

@@ -76,3 +76,34 @@ def test_multi_window_any_breach_kills(spark):
     o = orders_df(spark, [(str(i), ms(10, i, 0), "1", "A", "BUY", 1, 1.0, "X") for i in range(3)])
     got = {r.metric for r in multi_window_commands(o, specs).collect()}
     assert got == {"order_rate_300s"}
+
+
+def test_throttle_commands_make_a_policy_and_audit_rows(spark):
+    from conftest import commands_df
+    from haltgate.operators import extensions as X
+    cmds = commands_df(spark, [("1", 1, "ACCOUNT:1", "THROTTLE", "r", "op", None, 1.0, "c"),
+                               ("2", 2, "ACCOUNT:2", "THROTTLE", "r", "op", None, 5.0, "c"),
+                               ("3", 3, "ACCOUNT:2", "UNKILL", "r", "op", None, None, "c")])
+    policy = X.throttle_policy(cmds)
+    assert [tuple(r) for r in policy.collect()] == [("ACCOUNT:1", 1)]
+    o = orders_df(spark, [(f"o{i}", i, a, "A", "BUY", 1, 1.0, "X") for i, a in enumerate("1122")])
+    audit = X.decision_audit(X.throttle_decisions(o, policy), "THROTTLED", X.REASON_THROTTLED, "THROTTLED").collect()
+    assert [(r.order_id, r.killswitch_status, r.scope_matches) for r in audit] == [("o1", "THROTTLED", ["ACCOUNT:1"])]
+
+
+def test_throttled_scope_passes_the_gate_and_ends_a_kill(spark):
+    from conftest import commands_df
+    from haltgate.operators.gate import gate_snapshot
+    from haltgate.operators.state import fold_state, kill_intervals, state_records
+    states = state_records(commands_df(spark, [("1", 1, "ACCOUNT:1", "KILL", "r", "op", None, None, "c"),
+                                               ("2", 9, "ACCOUNT:1", "THROTTLE", "r", "op", None, 1.0, "c")]))
+    assert [(r.kill_ts, r.unkill_ts) for r in kill_intervals(states).collect()] == [(1, 9)]
+    o = orders_df(spark, [("o", 20, "1", "A", "BUY", 1, 1.0, "X")])
+    assert gate_snapshot(o, fold_state(states)).first().decision == "ALLOW"
+
+
+def test_strategy_scope_is_valid_where_the_router_gates_on_it(spark):
+    from haltgate.sources.commands import validate_requests
+    df = spark.createDataFrame([("1", 1, "/kill", "STRATEGY:X", None, None)],
+                               "request_id string, ts bigint, path string, scope string, reason string, operator string")
+    assert [validate_requests(df, s).first().status_code for s in (False, True)] == [400, 200]

@@ -92,3 +92,18 @@ def test_asof_gate_without_broadcast_uses_bucketed_join(spark):
     from haltgate.operators.gate import attach_state_asof, decide, audit_rows
     a = audit_rows(decide(attach_state_asof(o, st, bucket_ms=20, max_broadcast_rows=0)))
     assert {r.order_id: r.decision for r in a.collect()} == {"a": "DROP", "b": "ALLOW"}
+
+
+def test_stored_audit_takes_lookups_to_the_files(spark):
+    import tempfile
+
+    from haltgate.operators.reports import audit_for_account
+    from haltgate.plans.world import read_audit, store_audit
+    path = tempfile.mkdtemp(prefix="audit-") + "/a"
+    rows = spark.range(1000).selectExpr("id * 3600000 as ts", "cast(id as string) as order_id", "cast(id % 50 as string) as account_id")
+    store_audit(rows, path)
+    got = audit_for_account(read_audit(spark, path), "42")
+    assert [r.order_id for r in got.collect()] == [str(i) for i in range(42, 1000, 50)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(account_id,42)" in plan
+    assert any(f.startswith("date=") for f in __import__("os").listdir(path))
