@@ -8,9 +8,13 @@ windows of one anchor are a segment: a short string around the anchor. Then
 2. equal segments are counted: all windows of a segment that occurs twice go;
 3. of different segments around equal anchors, windows may still be equal.
    Such segments meet by anchor, and a run-length index over them
-   (``run_length_index``) marks the windows that match another segment. Around an
-   anchor with more than ``MAX_SEGMENTS`` different segments, the windows are
-   counted by hash instead, which no single anchor can overload.
+   (``run_length_index``) marks the windows that match another segment;
+4. around an anchor with more than ``MAX_SEGMENTS`` different segments, these are
+   cut into cells of windows by their distance from the anchor, the cells of
+   which equal ones are counted as in 2 and different ones meet, as in 3, only
+   if the bytes that all windows of the cell share are equal. Cells that are
+   still too many are cut finer, down to single windows, so no anchor is ever
+   gathered whole.
 
 Shuffled are the distinct texts once (they are kept bucketed by their id for the
 later joins), a row for each segment (one in about 150 bytes), and the segments
@@ -33,6 +37,8 @@ from .run_length_index import RunLengthIndex
 LENGTH = 400
 GRAM = 100
 MAX_SEGMENTS = 256
+#: Windows of a cell around crowded anchors, ever finer.
+CELLS = (32, 4, 1)
 #: Bytes of segments that one run-length index holds.
 INDEX_BYTES = 1 << 20
 #: Bytes of a text whose windows are hashed at once.
@@ -111,29 +117,41 @@ def segments(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> list[np.ndar
     return list(np.concatenate(parts, axis=1)) if parts else [np.zeros(0, dtype=np.int64)] * 5
 
 
-SEGMENTS = "anchor long, segment long, text_id binary, first int, last int, copies long"
+SEGMENTS = "key long, kind long, text_id binary, first int, last int, lead int, copies long"
+CELL_ROWS = SEGMENTS + ", bytes binary"
+WINDOWS = "text_id binary, first int, last int"
+
+
+def _batches(parts: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One batch of parts, whose columns are arrays or one value for the whole part."""
+    if parts:
+        sizes, cols = [len(p[0]) for p in parts], []
+        for i, f in enumerate(schema):
+            if isinstance(parts[0][i], np.ndarray):
+                cols.append(pa.array(np.concatenate([p[i] for p in parts])).cast(f.type))
+            elif isinstance(parts[0][i], list):
+                cols.append(pa.array([x for p in parts for x in p[i]], type=f.type))
+            else:
+                cols.append(pa.array([p[i] for p, n in zip(parts, sizes) for _ in range(n)], type=f.type))
+        yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
 
 def _segment_rows(length: int, gram: int):
+    """Rows (text_id, text, copies) -> ``SEGMENTS``."""
     schema = arrow_schema(SEGMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, copies = (batch.column(i).to_pylist() for i in range(3))
-            out, size = [], 0
-            for k, (id_, text, n) in enumerate(zip(ids, texts, copies)):
-                anchor, segment, first, last, _ = segments(text.encode(), length, gram)
-                m = len(anchor)
-                if m:
-                    out.append((anchor, segment, [id_] * m, first, last, np.full(m, n)))
-                    size += m
-                if out and (size > 50_000 or k == len(ids) - 1):
-                    cols = [np.concatenate([o[i] for o in out]) if i != 2 else [x for o in out for x in o[2]] for i in range(6)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(cols, schema)], schema=schema)
-                    out, size = [], 0
-            if out:
-                cols = [np.concatenate([o[i] for o in out]) if i != 2 else [x for o in out for x in o[2]] for i in range(6)]
-                yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(cols, schema)], schema=schema)
+            parts, size = [], 0
+            for id_, text, copies in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                anchor, segment, first, last, at = segments(text.encode(), length, gram)
+                if len(anchor):
+                    parts.append((anchor, segment, id_, first, last, at - first, copies))
+                    size += len(anchor)
+                if size > 50_000:
+                    yield from _batches(parts, schema)
+                    parts, size = [], 0
+            yield from _batches(parts, schema)
 
     return run
 
@@ -144,32 +162,34 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _indexed_matches(length: int, index_bytes: int):
-    """Rows (anchor, text_id, first, bytes), sorted by anchor -> runs of matching windows."""
+    """Rows (key, text_id, first, copies, bytes), sorted by key -> runs of matching windows
+    of the texts that have one copy."""
     schema = arrow_schema(WINDOWS)
 
     def match(block: list[tuple]) -> Iterator[tuple]:
-        stats = RunLengthIndex.build([b for _, _, b in block]).matching_statistics()
+        stats = RunLengthIndex.build([row[-1] for row in block]).matching_statistics()
         at = 0
-        for text_id, first, raw in block:
+        for text_id, first, copies, raw in block:
             start, end = _runs(stats[at : at + len(raw) - length + 1] >= length)
             at += len(raw)
-            for s, e in zip(start.tolist(), end.tolist()):
-                yield text_id, first + s, first + e - 1
+            if copies == 1:
+                for s, e in zip(start.tolist(), end.tolist()):
+                    yield text_id, first + s, first + e - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Emitter(schema)
         block, size, group = [], 0, None
         for batch in batches:
-            for anchor, *row in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                if anchor != group and size >= index_bytes:
+            for key, *row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+                if key != group and size >= index_bytes:
                     for r in match(block):
                         out.add(r)
                     block, size = [], 0
                     if out.full():
                         yield from out.take()
-                group = anchor
+                group = key
                 block.append(tuple(row))
-                size += len(row[2])
+                size += len(row[-1])
         if block:
             for r in match(block):
                 out.add(r)
@@ -178,30 +198,54 @@ def _indexed_matches(length: int, index_bytes: int):
     return run
 
 
-def _hashed_windows(length: int):
-    """Rows (anchor, text_id, first, bytes) -> one row for each window, with two hashes."""
-    schema = arrow_schema("h1 long, h2 long, text_id binary, window int")
+def _cells(length: int, width: int):
+    """Rows (key, text_id, first, lead, copies, bytes) -> ``CELL_ROWS``. A cell holds the
+    windows whose distance from the anchor is the same multiple of ``width``; its key
+    is that of its segment with the cell and the bytes that all such windows share."""
+    schema = arrow_schema(CELL_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll = rolling()
         for batch in batches:
-            for anchor, text_id, first, raw in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+            parts, size = [], 0
+            for key, id_, first, lead, copies, raw in zip(*[batch.column(i).to_pylist() for i in range(6)]):
                 data = np.frombuffer(raw, dtype=np.uint8)
-                at = np.arange(len(data) - length + 1)
-                h = [roll.of(roll.prefix(data, k), k, at, at + length).view(np.int64) for k in (0, 1)]
-                cols = [h[0] ^ anchor, h[1], [text_id] * len(at), at + first]
-                yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(cols, schema)], schema=schema)
+                cell = (lead - np.arange(len(data) - length + 1)) // width
+                begin = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1])
+                end = np.concatenate([begin[1:], [len(cell)]]) - 1
+                one, two = roll.prefix(data, 0), roll.prefix(data, 1)
+                shared = lead - cell[begin] * width  # from here, in bytes of the segment
+                core = roll.of(one, 0, shared, shared + length - width + 1)
+                core = (core ^ _U(key & (2**64 - 1))) * _U(_BASES[0]) + cell[begin].astype(np.uint64) * _U(_BASES[1])
+                kind = roll.of(two, 1, begin, end + length) ^ ((end - begin).astype(np.uint64) << _U(48)) ^ (end - shared).astype(np.uint64)
+                parts.append((core.view(np.int64), kind.view(np.int64), id_, begin + first, end + first, lead - begin, copies,
+                              [raw[b : e + length] for b, e in zip(begin.tolist(), end.tolist())]))
+                size += len(begin)
+                if size > 10_000:
+                    yield from _batches(parts, schema)
+                    parts, size = [], 0
+            yield from _batches(parts, schema)
 
     return run
 
 
-WINDOWS = "text_id binary, first int, last int"
-
-
 def text_id(text):
     return F.unhex(F.md5(text))
 
 
+def _decide(rows: DataFrame, *carried: str) -> tuple[DataFrame, DataFrame]:
+    """(equal, open) of rows with a key and a kind: ``WINDOWS`` of the rows whose kind
+    occurs twice, and one row of each kind under a key that has several, with the
+    number of ``kinds``."""
+    distinct = rows.groupBy("key", "kind").agg(
+        F.count("*").alias("times"), F.min(F.struct("text_id", "first", "last", "lead", "copies", *carried)).alias("one"))
+    several = distinct.groupBy("key").agg(F.count("*").alias("kinds"), F.max("times").alias("most")).where("kinds > 1 or most > 1")
+    known = write_table(distinct.join(several, "key").select("key", "kind", "times", "kinds", "one.*"), "kinds")
+    equal = (rows.where("copies = 1").select("key", "kind", "text_id", "first", "last")
+             .join(known.where("times > 1").select("key", "kind"), ["key", "kind"]).select("text_id", "first", "last"))
+    return equal, known.where("kinds > 1")
+
+
 def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, max_segments: int = MAX_SEGMENTS,
                      index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``WINDOWS``: ranges of starts of windows that occur at another position, for the
@@ -209,34 +253,34 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, m
     shorter than ``length`` have no window."""
     parts = shuffle_partitions(texts.sparkSession)
     rows = write_table(texts.select("text_id", "text", "copies").mapInArrow(_segment_rows(length, gram), SEGMENTS), "segments")
-    distinct = rows.groupBy("anchor", "segment").agg(
-        F.count("*").alias("times"), F.min(F.struct("text_id", "first", "last")).alias("one"))
-    different = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("times").alias("most")).where("kinds > 1 or most > 1")
-    known = write_table(distinct.join(different, "anchor").select("anchor", "segment", "times", "kinds", "one.*"), "shared-segments")
-
-    equal = (rows.where("copies = 1").select("anchor", "segment", "text_id", "first", "last")
-             .join(known.where("times > 1").select("anchor", "segment"), ["anchor", "segment"])
-             .select("text_id", "first", "last"))
-
-    # one text of each kind of segment around anchors that have several, with its bytes
-    wanted = (known.where("kinds > 1").groupBy("text_id")
-              .agg(F.collect_list(F.struct("anchor", "kinds", "first", "last")).alias("cut")))
+    found, open_ = _decide(rows)
+
+    # the bytes of the segments that are still open, cut out of their texts
+    wanted = open_.groupBy("text_id").agg(F.collect_list(F.struct("key", "kinds", "first", "last", "lead", "copies")).alias("cut"))
     raw = F.encode("text", "utf-8")
     pieces = write_table(
-        texts.join(wanted, "text_id").select("text_id", raw.alias("raw"), "cut").select(
+        texts.select("text_id", "text").join(wanted, "text_id").select("text_id", raw.alias("raw"), "cut").select(
             "text_id", F.transform("cut", lambda c: F.struct(
-                c["anchor"].alias("anchor"), c["kinds"].alias("kinds"), c["first"].alias("first"),
+                *[c[k].alias(k) for k in ("key", "kinds", "first", "lead", "copies")],
                 F.substring(F.col("raw"), c["first"] + 1, c["last"] - c["first"] + length).alias("bytes"))).alias("cut"))
-        .select("text_id", F.explode("cut").alias("c")).select("c.anchor", "c.kinds", "text_id", "c.first", "c.bytes"), "pieces")
-    columns = ("anchor", "text_id", "first", "bytes")
-    indexed = (pieces.where(F.col("kinds") <= max_segments).select(*columns).repartition(parts, "anchor")
-               .sortWithinPartitions("anchor").mapInArrow(_indexed_matches(length, index_bytes), WINDOWS))
-    hashed = (pieces.where(F.col("kinds") > max_segments).select(*columns)
-              .mapInArrow(_hashed_windows(length), "h1 long, h2 long, text_id binary, window int"))
-    again = hashed.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    counted = hashed.join(again, ["h1", "h2"]).select("text_id", F.col("window").alias("first"), F.col("window").alias("last"))
-    single = texts.where("copies = 1").select("text_id")
-    return equal.unionByName(indexed.unionByName(counted).join(single, "text_id", "left_semi"))
+        .select("text_id", F.explode("cut").alias("c")).select("text_id", "c.*"), "pieces")
+
+    def few_and_many(open_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        few = open_rows.where(F.col("kinds") <= max_segments).select("key", "text_id", "first", "copies", "bytes")
+        return few, open_rows.where(F.col("kinds") > max_segments).select("key", "text_id", "first", "lead", "copies", "bytes")
+
+    few, many = few_and_many(pieces)
+    for width in CELLS:
+        if many.isEmpty():
+            break
+        cells = write_table(many.mapInArrow(_cells(length, width), CELL_ROWS), "cells")
+        equal, open_ = _decide(cells, "bytes")
+        found = found.unionByName(equal)
+        less, many = few_and_many(open_)
+        few = few.unionByName(less)
+    indexed = (few.repartition(parts, "key").sortWithinPartitions("key")
+               .mapInArrow(_indexed_matches(length, index_bytes), WINDOWS))
+    return found.unionByName(indexed)
 
 
 def _cut_texts(length: int):
