@@ -54,6 +54,23 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removed(documents(spark, sf_dir))
 
 
+ORACLE_SQL["op5_repeats"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT r, i, md5(substr(h, 2 * i + 1, {2 * repeats.LENGTH})) AS k
+            FROM (SELECT r, h, unnest(range(0, len(h) // 2 - {repeats.LENGTH - 1})) AS i FROM d)),
+again AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY k) > 1),
+marked AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + {repeats.LENGTH} THEN 0 ELSE 1 END AS opens FROM again),
+spans AS (SELECT r, min(i) AS s, max(i) + {repeats.LENGTH} AS e
+          FROM (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS n FROM marked) GROUP BY r, n),
+gaps AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS a FROM spans),
+cut AS (SELECT r, count(*) AS n_spans, CAST(sum(e - s) AS BIGINT) AS n_removed, max(e) AS last,
+               string_agg(substr(h, 2 * a + 1, 2 * (s - a)), '' ORDER BY s) AS kept
+        FROM gaps JOIN d USING (r) GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)"""
+
+
 @query
 def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.edited_counts(documents(spark, sf_dir), vocabulary())

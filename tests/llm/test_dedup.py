@@ -3,13 +3,14 @@
 import hashlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from haltgate.llm import components, repeats, simhash
+from haltgate.llm import components, queries, repeats, simhash
 from haltgate.llm.run_length_index import RunLengthIndex
 
 from .conftest import ODD
@@ -181,6 +182,16 @@ def test_removed_whole_table(docs, texts):
     assert sorted(map(tuple, got), key=str) == expected_cuts(sorted(texts.items()), 400)
 
 
+def test_removed_matches_sql(spark, sf):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    res = con.execute(queries.ORACLE_SQL["op5_repeats"])
+    cols = [d[0] for d in res.description]
+    df = queries.QUERIES["op5_repeats"](spark, sf)
+    assert sorted(cols) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*cols).collect())) == sorted(res.fetchall())
+
+
 def test_removed_odd_rows(odd, nothing):
     got = repeats.removed(odd, length=5, gram=2).collect()
     assert sorted(map(tuple, got), key=str) == expected_cuts(ODD, 5)
