@@ -204,7 +204,7 @@ def q_scope_board(spark, sf_dir):
 
 
 @register("active_kills", f"""
-SELECT count_if(status = 'KILLED') AS active_kills, count(*) AS known_scopes FROM ({O.SNAPSHOT})""")
+SELECT count(*) FILTER (WHERE status = 'KILLED') AS active_kills, count(*) AS known_scopes FROM ({O.SNAPSHOT})""")
 def q_active_kills(spark, sf_dir):
     """AGG-12."""
     return S.active_kill_count(World(spark, sf_dir).snapshot())
@@ -263,8 +263,8 @@ _REQUIRED_NULL = "order_id IS NULL OR ts IS NULL OR account_id IS NULL OR symbol
 
 @register("router_counters", f"""
 SELECT (SELECT count(*) FROM ({O.AUDIT})) AS orders_processed,
-       (SELECT count_if(decision = 'ALLOW') FROM ({O.AUDIT})) AS orders_allowed,
-       (SELECT count_if(decision = 'DROP') FROM ({O.AUDIT})) AS orders_dropped,
+       (SELECT count(*) FILTER (WHERE decision = 'ALLOW') FROM ({O.AUDIT})) AS orders_allowed,
+       (SELECT count(*) FILTER (WHERE decision = 'DROP') FROM ({O.AUDIT})) AS orders_dropped,
        (SELECT count(*) FROM ({O.EVENT_ORDERS}) WHERE {_REQUIRED_NULL}) AS errors,
        (SELECT count(*) FROM ({O.SNAPSHOT})) AS kill_state_scopes""")
 def q_router_counters(spark, sf_dir):
@@ -275,9 +275,9 @@ def q_router_counters(spark, sf_dir):
 
 
 @register("aggregator_counters", f"""
-SELECT count_if(NOT (cmd_id IS NULL OR scope IS NULL OR action IS NULL)) AS commands_processed,
-       count_if(cmd_id IS NULL OR scope IS NULL OR action IS NULL) AS errors,
-       count_if(NOT (cmd_id IS NULL OR scope IS NULL OR action IS NULL)
+SELECT count(*) FILTER (WHERE NOT (cmd_id IS NULL OR scope IS NULL OR action IS NULL)) AS commands_processed,
+       count(*) FILTER (WHERE cmd_id IS NULL OR scope IS NULL OR action IS NULL) AS errors,
+       count(*) FILTER (WHERE NOT (cmd_id IS NULL OR scope IS NULL OR action IS NULL)
                 AND action NOT IN ('KILL', 'UNKILL')) AS ignored_actions
 FROM ({O.COMMAND_LOG})""")
 def q_aggregator_counters(spark, sf_dir):
@@ -286,8 +286,8 @@ def q_aggregator_counters(spark, sf_dir):
 
 
 @register("dashboard_totals", f"""
-SELECT count(DISTINCT order_id) AS total_orders, count_if(decision = 'ALLOW') AS allowed,
-       count_if(decision = 'DROP') AS dropped FROM ({O.AUDIT})""")
+SELECT count(DISTINCT order_id) AS total_orders, count(*) FILTER (WHERE decision = 'ALLOW') AS allowed,
+       count(*) FILTER (WHERE decision = 'DROP') AS dropped FROM ({O.AUDIT})""")
 def q_dashboard_totals(spark, sf_dir):
     """AGG-11."""
     return R.dashboard_totals(World(spark, sf_dir).stored_audit())

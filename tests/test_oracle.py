@@ -11,13 +11,16 @@ import __spark_entry__ as E
 from haltgate.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
+# Spark's type of a column and DuckDB's description of its twin.
+KINDS = {"bigint": {"BIGINT", "NUMBER"}, "int": {"INTEGER", "NUMBER"}, "double": {"DOUBLE", "NUMBER"},
+         "string": {"VARCHAR", "STRING"}, "boolean": {"BOOLEAN", "bool"}, "date": {"DATE", "Date"}}
 
 
 def _digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     def norm(v):
         if isinstance(v, float):
-            return f"{v:.9g}"
+            return repr(v)
         if isinstance(v, list):
             return ",".join(map(str, v))
         return "∅" if v is None else str(v)
@@ -54,4 +57,7 @@ def test_query_matches_oracle(spark, con, name):
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     assert len(rows) == len(drows)
+    kinds = dict(zip(dcols, (str(d[1]) for d in res.description)))
+    wrong = {c: (t, kinds[c]) for c, t in df.dtypes if t in KINDS and kinds[c] not in KINDS[t]}
+    assert not wrong
     assert _digest(df.columns, rows) == _digest(dcols, drows)
