@@ -3,7 +3,9 @@
 A document's sketch holds every distinct shingle hash below a fixed fraction
 of the hash range. The threshold is the same for all documents, so the sketch
 of a union is the union of sketches, and the share of one sketch that occurs in
-another estimates containment however unequal the two documents are.
+another estimates containment however unequal the two documents are. By default
+the fraction is the whole range: a short text's few hashes are then never all
+above the threshold, and the share is that of the exact sets of shingles.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 from .common import Emitter, KeyRanges, arrow_schema, shuffle_partitions, text_rows
 
 SHINGLE_WORDS = 5
-#: One hash in so many is kept.
-SCALE = 8
-#: Key ranges for each shuffle partition: several, so that their hashes fill the partitions evenly.
+#: One hash in so many is kept. Above 1, (1 - 1 / SCALE)^n of the texts of n shingles have none below the threshold.
+SCALE = 1
+#: Key ranges, and partitions that sketch them, for each shuffle partition: several, as the results are some six times the texts.
 RANGES_PER_PARTITION = 4
+#: Bytes of result rows handed on at once; a row has some 16 digits for each word, twice.
+OUT_BYTES = 1 << 20
 #: Bytes of a text whose words are hashed at once.
 BLOCK = 1 << 20
 
@@ -90,11 +94,15 @@ def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     return kept if len(kept) else both[:1]
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
+def containment(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> float | None:
     """Estimated share of a's shingles that b has too. Two texts without words contain
-    each other; one without words neither contains nor is contained by another."""
+    each other; one without words neither contains nor is contained by another.
+    None if a is a least hash above the threshold: no sketch of a longer text could
+    hold it, so only an equal sketch tells anything."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
+    if a[0] > _U(2**64 // scale - 1):
+        return 1.0 if np.array_equal(a, b) else None
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a)
 
 
@@ -115,11 +123,11 @@ def fingerprint(text: Column, scale: int = SCALE, shingle_words: int = SHINGLE_W
     return sketched(text)
 
 
-def containment_of(a: Column, b: Column) -> Column:
-    """Containment of fingerprint a in fingerprint b."""
+def containment_of(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Containment of fingerprint a in fingerprint b, null where it is not known."""
     @F.pandas_udf("double")
     def estimated(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([containment(load(p), load(q)) for p, q in zip(x, y)], dtype=float)
+        return pd.Series([containment(load(p), load(q), scale) for p, q in zip(x, y)], dtype=float)
 
     return estimated(a, b)
 
@@ -170,10 +178,10 @@ def edit_likeness(docs: DataFrame, scale: int = SCALE, shingle_words: int = SHIN
         edited = text[: len(text) - half] + after[:half]
         changed = sketch(edited, scale, shingle_words) if edited != text else own
         return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), dump(own), dump(changed),
-                containment(own, changed), containment(own, next_), jaccard(own, changed), jaccard(own, next_))
+                containment(own, changed, scale), containment(own, next_, scale), jaccard(own, changed), jaccard(own, next_))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, held, range_, ended = Emitter(schema), None, None, False
+        out, held, range_, ended = Emitter(schema, max_bytes=OUT_BYTES), None, None, False
         for batch in batches:
             for r, guest, doc, text in zip(*[batch.column(i).to_pylist() for i in range(4)]):
                 if r != range_:
@@ -195,5 +203,5 @@ def edit_likeness(docs: DataFrame, scale: int = SCALE, shingle_words: int = SHIN
     here = F.struct(F.col("own").alias("range"), F.lit(False).alias("guest"))
     placed = marked.select(F.explode(F.when(F.col("head"), F.array(here, before)).otherwise(F.array(here))).alias("to"), "doc_id", "text")
     return (placed.select("to.range", "to.guest", "doc_id", "text")
-            .repartition(shuffle_partitions(spark), "range").sortWithinPartitions("range", "guest", F.col("doc_id").asc_nulls_first(), "text")
+            .repartition(RANGES_PER_PARTITION * shuffle_partitions(spark), "range").sortWithinPartitions("range", "guest", F.col("doc_id").asc_nulls_first(), "text")
             .mapInArrow(run, EDITS))

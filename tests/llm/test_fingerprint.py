@@ -93,3 +93,35 @@ def test_merged_groups(spark):
     assert (hashes["g"] == K.merge(K.sketch(a), K.sketch(b))).all() and (hashes["h"] == K.sketch("one two")).all()
     pair = spark.createDataFrame([(K.dump(K.sketch(a)), K.dump(K.sketch(b)))], "a string, b string")
     assert pair.select(K.containment_of(pair.a, pair.b)).first()[0] == K.containment(K.sketch(a), K.sketch(b))
+
+
+def test_short_text_in_a_long_one(docs, spark):
+    """A text of few shingles that stands whole in a longer one is contained in it."""
+    long_ = " ".join(f"w{i}" for i in range(5000))
+    for n in range(5, 40):
+        for at in range(0, 300, 30):
+            short = " ".join(f"w{i}" for i in range(at, at + n))
+            assert K.containment(K.sketch(short), K.sketch(long_)) == 1
+            assert K.containment(K.sketch(short), K.merge(K.sketch(short), K.sketch("other words " * 50))) == 1
+    pairs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(n)), long_) for n in range(5, 12)], "a string, b string")
+    assert [r[0] for r in pairs.select(K.containment_of(K.fingerprint(pairs.a), K.fingerprint(pairs.b))).collect()] == [1.0] * 7
+
+
+def test_likeness_equals_the_exact_sets(docs, texts):
+    """Short texts too."""
+    ordered = [(d, " ".join(t.split()[: 5 + 3 * k % 40])) for k, (d, t) in enumerate(sorted(texts.items()))]
+    after = {d: ordered[(k + 1) % len(ordered)][1] for k, (d, _) in enumerate(ordered)}
+    rows = K.edit_likeness(docs.sparkSession.createDataFrame(ordered, "doc_id long, text string")).collect()
+    for r, (d, t) in zip(sorted(rows, key=lambda r: r.doc_id), ordered):
+        a, b, c = shingles(t), shingles(edited(t, after[d])), shingles(after[d])
+        assert (r.near_edited, r.near_next) == (share(a, b), share(a, c))
+        assert (r.near_edited_jaccard, r.near_next_jaccard) == tuple(len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c))
+
+
+def test_no_estimate_from_a_least_hash_above_the_threshold():
+    """With a sparser sketch, a text without a hash below the threshold has no containment in a longer one."""
+    long_ = K.sketch(" ".join(f"w{i}" for i in range(3000)), scale=64)
+    short = K.sketch("w1 w2 w3 w4 w5 w6", scale=64)
+    assert len(short) == 1 and short[0] >= 2**64 // 64
+    assert K.containment(short, long_, scale=64) is None and K.containment(short, short, scale=64) == 1
+    assert K.containment(long_, short, scale=64) == 0
