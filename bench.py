@@ -3,7 +3,9 @@
 Runs the main operators on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]`` and prints one JSON line. Each query is executed
 fully (``noop`` sink: every row computed, nothing collected), once to warm
-up and then ``$BENCH_REPS`` times; the median is reported.
+up and then ``$BENCH_REPS`` times; the median is reported. No run uses what an
+earlier one stored: each of ``dashboard_totals`` and ``drops_by_activation``
+includes the gate whose audit it reports on.
 """
 
 from __future__ import annotations

@@ -271,7 +271,7 @@ def q_router_counters(spark, sf_dir):
     """AGG-9."""
     w = World(spark, sf_dir)
     _, bad = split_valid_orders(w.orders())
-    return R.router_counters(w.stored_audit(), bad, w.snapshot())
+    return R.router_counters(w.reported_audit(), bad, w.snapshot())
 
 
 @register("aggregator_counters", f"""
@@ -290,14 +290,14 @@ SELECT count(DISTINCT order_id) AS total_orders, count(*) FILTER (WHERE decision
        count(*) FILTER (WHERE decision = 'DROP') AS dropped FROM ({O.AUDIT})""")
 def q_dashboard_totals(spark, sf_dir):
     """AGG-11."""
-    return R.dashboard_totals(World(spark, sf_dir).stored_audit())
+    return R.dashboard_totals(World(spark, sf_dir).reported_audit())
 
 
 @register("drops_by_reason", f"""
 SELECT reason, count(*) AS drops FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY reason""")
 def q_drops_by_reason(spark, sf_dir):
     """AGG-13."""
-    return R.drops_by_reason(World(spark, sf_dir).stored_audit())
+    return R.drops_by_reason(World(spark, sf_dir).reported_audit())
 
 
 @register("commands_by_scope_action", f"""
@@ -311,14 +311,14 @@ def q_commands_by_scope_action(spark, sf_dir):
 SELECT {_bin_sql(300000)} AS bin_start, count(*) AS orders FROM ({O.AUDIT}) GROUP BY 1""")
 def q_orders_per_bin(spark, sf_dir):
     """AGG-15."""
-    return R.orders_per_bin(World(spark, sf_dir).stored_audit(), "5 minutes")
+    return R.orders_per_bin(World(spark, sf_dir).reported_audit(), "5 minutes")
 
 
 @register("decisions_per_minute", f"""
 SELECT decision, {_bin_sql(60000)} AS bin_start, count(*) AS orders FROM ({O.AUDIT}) GROUP BY 1, 2""")
 def q_decisions_per_minute(spark, sf_dir):
     """AGG-16."""
-    return R.decisions_per_bin(World(spark, sf_dir).stored_audit(), "1 minute")
+    return R.decisions_per_bin(World(spark, sf_dir).reported_audit(), "1 minute")
 
 
 @register("drop_age_stats", f"""
@@ -328,7 +328,7 @@ SELECT {_bin_sql(300000)} AS bin_start, avg(CAST(ts - kill_ts AS DOUBLE)) AS avg
 FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY 1""")
 def q_drop_age_stats(spark, sf_dir):
     """AGG-17."""
-    return R.drop_age_stats(World(spark, sf_dir).stored_audit(), "5 minutes")
+    return R.drop_age_stats(World(spark, sf_dir).reported_audit(), "5 minutes")
 
 
 @register("record_counts", f"""
@@ -339,14 +339,14 @@ UNION ALL SELECT 'commands', count(*) FROM ({O.COMMAND_LOG})""")
 def q_record_counts(spark, sf_dir):
     """AGG-18."""
     w = World(spark, sf_dir)
-    return R.record_counts(w.stored_audit(), w.states(), w.snapshot(), w.commands())
+    return R.record_counts(w.reported_audit(), w.states(), w.snapshot(), w.commands())
 
 
 @register("recent_audit", f"""
 SELECT * FROM ({O.AUDIT}) ORDER BY ts DESC, order_id DESC LIMIT 50""")
 def q_recent_audit(spark, sf_dir):
     """TOP-1: newest 50 decisions."""
-    return R.recent_audit(World(spark, sf_dir).stored_audit(), 50)
+    return R.recent_audit(World(spark, sf_dir).reported_audit(), 50)
 
 
 @register("audit_feed", f"""
@@ -360,14 +360,14 @@ SELECT CASE WHEN ts > 1000000000000 THEN ts ELSE ts * 1000 END AS ts_ms,
 FROM l ORDER BY ts DESC, order_id DESC LIMIT 200""")
 def q_audit_feed(spark, sf_dir):
     """TOP-2 / PRJ-20,21: feed without repeated orders, newest 200."""
-    return R.audit_feed(World(spark, sf_dir).stored_audit(), 200)
+    return R.audit_feed(World(spark, sf_dir).reported_audit(), 200)
 
 
 @register("recent_drops", f"""
 SELECT * FROM ({O.AUDIT}) WHERE decision = 'DROP' ORDER BY ts DESC, order_id DESC LIMIT 20""")
 def q_recent_drops(spark, sf_dir):
     """TOP-3: newest 20 drops."""
-    return R.recent_drops(World(spark, sf_dir).stored_audit(), 20)
+    return R.recent_drops(World(spark, sf_dir).reported_audit(), 20)
 
 
 @register("audit_for_order", f"SELECT * FROM ({O.AUDIT}) WHERE order_id = '4242'")
@@ -399,7 +399,7 @@ def q_state_for_scope(spark, sf_dir):
 SELECT reason, count(*) AS drops FROM ({O.AUDIT}) WHERE decision = 'DROP' GROUP BY reason""")
 def q_drop_log_reasons(spark, sf_dir):
     """PRJ-23: render router log lines, filter and parse them, count by reason."""
-    return R.parse_drop_lines(R.router_log_lines(World(spark, sf_dir).stored_audit()))
+    return R.parse_drop_lines(R.router_log_lines(World(spark, sf_dir).reported_audit()))
 
 
 @register("correlation_trace", f"""
@@ -412,7 +412,7 @@ FROM ({O.COMMAND_LOG}) c LEFT JOIN s ON c.cmd_id = s.cmd_id LEFT JOIN d ON c.cmd
 def q_correlation_trace(spark, sf_dir):
     """JOIN-7: command -> state -> dropped orders."""
     w = World(spark, sf_dir)
-    return R.correlation_trace(w.commands(), w.snapshot(), w.stored_audit())
+    return R.correlation_trace(w.commands(), w.snapshot(), w.reported_audit())
 
 
 _ACTIVATIONS_SQL = f"""
@@ -428,7 +428,7 @@ FROM k LEFT JOIN d ON k.kill_cmd_id = d.kill_cmd_id"""
 
 def _activations(spark, sf_dir):
     w = World(spark, sf_dir)
-    return R.drops_by_activation(w.stored_audit(), S.kill_intervals(w.states()), w.event_horizon())
+    return R.drops_by_activation(w.reported_audit(), S.kill_intervals(w.states()), w.event_horizon())
 
 
 @register("drops_by_activation", _ACTIVATIONS_SQL)

@@ -29,9 +29,6 @@ from ..sources.orders import book_orders, event_orders, replayed
 from ..sources.tables import Tables
 
 
-_STORED_AUDITS: dict[tuple, str] = {}
-
-
 def store_audit(audit: DataFrame, path: str) -> None:
     """Audit rows by date; within a date clustered and sorted by account."""
     dated = audit.withColumn("date", F.to_date(F.timestamp_millis("ts")))
@@ -57,11 +54,14 @@ def _memo(fn):
 
 
 class World:
-    """The derived tables of one data directory."""
+    """The derived tables of one data directory. Nothing is kept from one World to
+    the next; ``audit_path`` names an audit that ``save_audit`` stored before, which
+    reports then read as it is, whatever the tables hold by now."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RiskParams = EVENT_PARAMS):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: RiskParams = EVENT_PARAMS, audit_path: str | None = None):
         self.t = Tables(spark, sf_dir)
         self.params = params
+        self.audit_path = audit_path
 
     @_memo
     def orders(self) -> DataFrame:
@@ -113,18 +113,25 @@ class World:
     def audit(self) -> DataFrame:
         return gate_asof(self.orders(), self.states(), horizon_ms=self.event_horizon())
 
+    def save_audit(self) -> str:
+        """Gates the orders and stores the audit; the path is for ``audit_path`` of
+        later Worlds."""
+        path = state_dir(self.t.spark, f"audit-{uuid.uuid4().hex[:12]}")
+        store_audit(self.audit(), path)
+        return path
+
     @_memo
     def stored_audit(self) -> DataFrame:
-        """The audit as a table: written once per application and data folder,
-        a folder for each date, clustered by account, so that reports do not
-        gate again and lookups push their predicate to the files they need."""
-        spark = self.t.spark
-        key = (spark.sparkContext.applicationId, self.t.sf_dir, self.params)
-        if key not in _STORED_AUDITS:
-            path = state_dir(spark, f"audit-{uuid.uuid4().hex[:12]}")
-            store_audit(self.audit(), path)
-            _STORED_AUDITS[key] = path
-        return read_audit(spark, _STORED_AUDITS[key])
+        """The audit as a table: a folder for each date, clustered by account, so
+        that lookups push their predicate to the files they need. Without an
+        ``audit_path`` this World's own, gated and stored on first use."""
+        return read_audit(self.t.spark, self.audit_path or self.save_audit())
+
+    @_memo
+    def reported_audit(self) -> DataFrame:
+        """What a report over all orders reads: the audit at ``audit_path``, or the
+        gate's rows as they come; one pass over them is not worth a table."""
+        return self.stored_audit() if self.audit_path else self.audit()
 
     @_memo
     def book_audit(self) -> DataFrame:

@@ -107,3 +107,18 @@ def test_stored_audit_takes_lookups_to_the_files(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(account_id,42)" in plan
     assert any(f.startswith("date=") for f in __import__("os").listdir(path))
+
+
+def test_reports_see_orders_appended_since_the_last_report(spark, tmp_path):
+    from haltgate.plans import catalog
+    from haltgate.plans.world import World
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    q, d = catalog.queries(), str(tmp_path)
+    before = q["dashboard_totals"](spark, d).first()
+    path = World(spark, d).save_audit()
+    events.withColumn("event_id", events.event_id + 10**9).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    after = q["dashboard_totals"](spark, d).first()
+    assert before.total_orders > 0 and after.total_orders == 2 * before.total_orders
+    assert after.allowed + after.dropped == World(spark, d).audit().count()
+    assert World(spark, d, audit_path=path).stored_audit().count() == before.allowed + before.dropped
