@@ -163,19 +163,27 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     return text_rows(docs).join(F.broadcast(chosen), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, fold: int = 2,
-          rows: int = TRAIN_ROWS, **params) -> Trees:
-    """Trees from a bounded sample. The driver gets one row of statistics per document
-    of the sample. Without labels every score is one half."""
-    schema = arrow_schema("doc_id long, y int, x array<double>")
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int) -> DataFrame:
+    """(doc_id, y, x): the statistics of at most ``rows`` rows of the sample. Repeats of an
+    id with the same text are one row; of ids with several texts, those rows stay whose id
+    and text have the least hash, so that each text counts alike."""
+    schema = arrow_schema("doc_id long, y int, digest string, x array<double>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), type=schema.field(2).type)], schema=schema)
+            x = matrix(batch.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(list(x), type=schema.field(3).type)], schema=schema)
+
+    sample = training_sample(docs, labels, label, folds, fold, rows).select("doc_id", "y", F.sha2("text", 256).alias("digest"), "text")
+    distinct = sample.mapInArrow(run, "doc_id long, y int, digest string, x array<double>").dropDuplicates(["doc_id", "digest"])
+    return distinct.orderBy(F.xxhash64("doc_id", "digest"), "doc_id", "digest").limit(rows).select("doc_id", "y", "x")
 
-    sample = training_sample(docs, labels, label, folds, fold, rows).select("doc_id", "y", "text")
-    got = sorted(sample.mapInArrow(run, "doc_id long, y int, x array<double>").collect(), key=lambda r: (r.doc_id, r.x))
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, fold: int = 2,
+          rows: int = TRAIN_ROWS, **params) -> Trees:
+    """Trees from a bounded sample. The driver gets at most ``rows`` rows of statistics.
+    Without labels every score is one half."""
+    got = sorted(training_rows(docs, labels, label, folds, fold, rows).collect(), key=lambda r: (r.doc_id, r.x))
     x = np.array([r.x for r in got], dtype=float).reshape(len(got), len(STATISTICS))
     return grow(x, np.array([r.y for r in got], dtype=float), **params)
 

@@ -169,3 +169,18 @@ def test_planted_names_do_not_raise_scores(spark):
     plain = model.score(texts)
     for term in ("women", "muslims", "gay", "immigrants"):
         assert np.abs(model.score([f"{t} The {term} were there." for t in texts]) - plain).max() < 0.02
+
+
+def test_repeats_of_a_labelled_id_count_once(spark, docs, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = lambda d, n: quality_classifier.training_rows(d, labels, "quality", 4, 2, n).collect()
+    plain = rows(docs, 20_000)
+    hot = docs.where(docs.doc_id == plain[0].doc_id).select("doc_id", "text")
+    times = spark.range(300).withColumnRenamed("id", "k")
+    repeated = docs.select("doc_id", "text").unionByName(hot.crossJoin(times).drop("k"))
+    assert sorted(rows(repeated, 20_000)) == sorted(plain)
+    a, b = (quality_classifier.train(d, labels) for d in (docs, repeated))
+    assert a.bias == b.bias and (a.value == b.value).all() and (a.threshold == b.threshold).all()
+    many = hot.crossJoin(times).selectExpr("doc_id", "concat(text, ' ', k) as text")
+    one = labels.where(labels.doc_id == plain[0].doc_id)
+    assert len(quality_classifier.training_rows(many, one, "quality", 4, 2, 40).collect()) == 40
