@@ -51,16 +51,22 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a long."""
-    schema = arrow_schema("doc_id long, fp long")
+#: Names a row by its text and its columns.
+ROW_KEY = "_simhash_row"
+
+
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the string columns ``keep``: the fingerprint's 64 bits as a long."""
+    ddl = ", ".join(["doc_id long", "fp long", *[f"{c} string" for c in keep]])
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], schema=schema)
 
-    return text_rows(docs).mapInArrow(run, "doc_id long, fp long")
+    rows = text_rows(docs) if not keep else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *keep)
+    return rows.mapInArrow(run, ddl)
 
 
 def hex16(fp: Column) -> Column:
@@ -171,18 +177,29 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_dis
     Repeated rows are returned each. A null doc_id is never the least; a
     component of null ids alone has a null component_id. Other columns are
     ignored; an empty table gives no rows."""
-    marked = write_table(fingerprints(docs, shingle_words), "simhash")
-    nodes = write_table(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
-    roots = components(links(nodes.select("fp"), max_distance, max_bucket))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    marked, rooted = _rooted(fingerprints(docs, shingle_words), max_distance, max_bucket)
     ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = rooted.join(ids, "root").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """The rows of the document that names its group; all columns stay. A repeated row
-    of that document stays once; rows without an id stay."""
-    kept = near_duplicates(docs, **params).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+def _rooted(fps: DataFrame, max_distance: int, max_bucket: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints as a written table, and (fp, rep, root): each distinct one, its
+    least doc_id and the root of its component."""
+    marked = write_table(fps, "simhash")
+    nodes = write_table(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
+    roots = components(links(nodes.select("fp"), max_distance, max_bucket))
+    return marked, nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
+             max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row of each component, all columns: that of the least id, fingerprint, text and
+    further columns. An id whose texts are in several components may stay for each of
+    them; rows without an id stay."""
+    text, rest = F.coalesce(F.col("text").cast("string"), F.lit("")), F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    keyed = docs.withColumn(ROW_KEY, F.concat(F.sha2(text, 256), F.sha2(rest, 256)))
+    marked, rooted = _rooted(fingerprints(keyed, shingle_words, (ROW_KEY,)), max_distance, max_bucket)
+    first = marked.where("doc_id is not null").join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct("doc_id", "fp", ROW_KEY)).alias("row"))
+    kept = keyed.where("doc_id is not null").join(first.select(f"row.{ROW_KEY}"), ROW_KEY, "left_semi").dropDuplicates([ROW_KEY]).drop(ROW_KEY)
+    return kept.unionByName(docs.where("doc_id is null"))

@@ -68,6 +68,22 @@ def test_odd_rows(odd, nothing):
     assert simhash.keep_one(nothing).collect() == []
 
 
+def test_an_id_with_texts_in_two_groups_names_both(spark):
+    """Each group keeps a row of its own, the same one on every run."""
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    rows = [(1, one, "x"), (1, two, "x"), (2, one, "x"), (3, two, "x"), (1, one, "w"), (1, one, "w")]
+    for parts in (1, 5):
+        kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts))
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, one), (1, two)]
+
+
+def test_a_row_without_an_id_links_two_others(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, n, keep=(): docs.selectExpr(
+        "doc_id", "case text when 'a' then 0L when 'b' then 3L else 15L end as fp", *keep))
+    docs = spark.createDataFrame([(4, "a"), (None, "b"), (6, "c")], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == [(4, "a"), (None, "b")]
+
+
 @pytest.mark.parametrize("most,max_bucket", [(2, 128), (2, 2), (4, 128), (4, 2)])
 def test_links_of_clustered_fingerprints(spark, most, max_bucket):
     """Chains and dense groups: every fingerprint is a few flips from another."""
