@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import (edit_counts, fingerprint, packing, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
+from . import (edit_counts, fingerprint, merkle, packing, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
                token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,58 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
     return found.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir), merkle.every_seventh()).drop("proof")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = [n_chars if f == "n_chars" else f for f in merkle.FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: each character, then its eight shifts (-1)."""
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split({text}, ''),
+        lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END),
+        CAST(4294967295 AS BIGINT))"""
+
+
+def _levels_sql(name: str, leaves: str) -> str:
+    """All nodes (tree, i, n, level, d) of the trees over ``leaves``."""
+    return f"""{name} AS (
+  SELECT tree, i, n, 0 AS level, d FROM {leaves}
+  UNION ALL
+  SELECT tree, i // 2, CAST(max((n + 1) // 2) AS BIGINT), max(level) + 1, sha256(string_agg(d, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY tree, i // 2)"""
+
+
+ORACLE_SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf_sql("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {_leaf_sql("n_chars")} END AS shown
+  FROM documents),
+leaves AS (SELECT *, leaf AS d, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM d
+           WINDOW w AS (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf)),
+{_levels_sql("low", "leaves")},
+langs AS (SELECT '' AS tree, tree AS lang, d, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+{_levels_sql("high", "langs")},
+steps AS (
+  SELECT a.tree, a.i, b.level, b.i % 2 AS side, c.d AS other FROM leaves a JOIN low b ON b.tree = a.tree AND b.i = a.i >> b.level AND b.n > 1
+    LEFT JOIN low c ON c.tree = b.tree AND c.level = b.level AND c.i = xor(b.i, 1)
+  UNION ALL
+  SELECT a.tree, a.i, 1000 + b.level, b.i % 2, c.d FROM leaves a JOIN langs l ON l.lang = a.tree JOIN high b ON b.i = l.i >> b.level AND b.n > 1
+    LEFT JOIN high c ON c.level = b.level AND c.i = xor(b.i, 1)),
+proofs AS (SELECT a.tree, a.i, any_value(a.doc_id) AS doc_id, any_value(a.leaf) AS leaf, any_value(a.shown) AS shown,
+                  coalesce(string_agg(other, '' ORDER BY level), '') AS proof,
+                  list(struct_pack(side := side, other := other) ORDER BY level) FILTER (WHERE level IS NOT NULL) AS path
+           FROM leaves a LEFT JOIN steps s ON s.tree = a.tree AND s.i = a.i GROUP BY a.tree, a.i),
+folds AS (
+  SELECT tree, i, shown, 1 AS k, path FROM proofs
+  UNION ALL
+  SELECT tree, i, CASE WHEN path[k].other IS NULL THEN sha256(shown) WHEN path[k].side = 1 THEN sha256(path[k].other || shown)
+                       ELSE sha256(shown || path[k].other) END, k + 1, path FROM folds WHERE k <= len(path))
+SELECT p.doc_id, p.leaf, l.d AS subroot, h.d AS root, sha256(p.proof) AS proof_sha256, f.shown AS folded_root, f.shown = h.d AS verified
+FROM proofs p JOIN langs l ON l.lang = p.tree JOIN high h ON h.n = 1
+JOIN folds f ON f.tree = p.tree AND f.i = p.i AND f.k = coalesce(len(p.path), 0) + 1"""
