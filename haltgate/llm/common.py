@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,23 @@ class KeyRanges:
         return find(F.coalesce(key.cast("long"), F.lit(MIN_LONG)))
 
 
+def numbered(rows: DataFrame, group: str, order: list[str], drop: tuple[str, ...] = ()) -> DataFrame:
+    """``rows``, without ``drop``, with ``i``, the row's number within its ``group`` (never
+    null) by ``order``, nulls first, and ``n``, the group's rows. Rows are dealt by ranges
+    of (group, order), so a large group is spread over tasks; the counts of the groups'
+    parts in each partition tell where a part begins."""
+    by = [group, *[F.col(c).asc_nulls_first() for c in order]]
+    placed = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
+    placed = write_table(placed.withColumn("spot", F.monotonically_increasing_id()).drop(*drop), "numbered")
+    part = F.shiftrightunsigned("spot", 33).alias("part")
+    runs = placed.groupBy(group, part).agg(F.min("spot").alias("first"), F.count("*").alias("size"))
+    all_ = Window.partitionBy(group)
+    before = F.sum("size").over(all_.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
+    starts = write_table(runs.select(group, "part", "first", before.alias("before"), F.sum("size").over(all_).alias("n")), "runs")
+    return (placed.withColumn("part", part).join(starts, [group, "part"])
+            .withColumn("i", F.col("spot") - F.col("first") + F.col("before")).drop("spot", "first", "before", "part"))
+
+
 def emit(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)

@@ -19,10 +19,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Emitter, arrow_schema, shuffle_partitions, write_table
+from .common import Emitter, arrow_schema, numbered, shuffle_partitions, write_table
 
 #: The fields of a leaf, in the order in which they are hashed.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -43,22 +43,6 @@ def leaf_digest(fields: list[Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]), 256))
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with ``i``, the row's number within its ``tree`` by ``order``, and ``n``,
-    the tree's rows. Rows are dealt by ranges of (tree, order), so a large tree is
-    spread over tasks; the partitions' counts alone tell where each part begins."""
-    by = ["tree", *[F.col(c).asc_nulls_first() for c in order]]
-    placed = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
-    placed = write_table(placed.withColumn("spot", F.monotonically_increasing_id()), "merkle-order")
-    part = F.shiftrightunsigned("spot", 33).alias("part")
-    runs = placed.groupBy("tree", part).agg(F.min("spot").alias("first"), F.count("*").alias("size"))
-    all_ = Window.partitionBy("tree")
-    before = F.sum("size").over(all_.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    starts = write_table(runs.select("tree", "part", "first", before.alias("before"), F.sum("size").over(all_).alias("n")), "merkle-runs")
-    return (placed.withColumn("part", part).join(starts, ["tree", "part"])
-            .withColumn("i", F.col("spot") - F.col("first") + F.col("before")).drop("spot", "first", "before", "part"))
-
-
 NODES = "tree string, level int, i long, n long, digest binary, segment binary, top boolean"
 
 
@@ -198,10 +182,10 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     leaf = leaf_digest([F.col(f) for f in FIELDS])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")).alias("tree"),
                        leaf.alias("digest"), (F.when(tampered, shown) if tampered is not None else F.lit(None)).cast("binary").alias("shown"))
-    leaves = write_table(numbered(rows, ["doc_id", "digest"]), "merkle-leaves")
+    leaves = write_table(numbered(rows, "tree", ["doc_id", "digest"]), "merkle-leaves")
     paths, tops = proofs(leaves)
     tops = write_table(tops, "merkle-subroots")
-    trees = write_table(numbered(tops.select(F.lit("").alias("tree"), F.col("tree").alias("lang"), "digest"), ["lang"]), "merkle-trees")
+    trees = write_table(numbered(tops.select(F.lit("").alias("tree"), F.col("tree").alias("lang"), "digest"), "tree", ["lang"]), "merkle-trees")
     over, root = proofs(trees)
     above = (trees.select("i", F.col("lang").alias("tree"), F.col("digest").alias("subroot")).join(over.select("i", F.col("segment").alias("last")), "i"))
     top = root.first()  # one row, none of an empty table

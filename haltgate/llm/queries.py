@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import (edit_counts, fingerprint, merkle, packing, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
+from . import (edit_counts, fingerprint, merkle, packing, prefix_trie, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
                token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,42 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "held_out", "score", "predicted")
 
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: each character, then its eight shifts (-1)."""
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split({text}, ''),
+        lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END),
+        CAST(4294967295 AS BIGINT))"""
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op12_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, c - c % 5 AS donor, {_crc32_sql("CAST(c AS VARCHAR)")} % 9 AS h FROM t),
+r AS (SELECT ids.c, 0 AS part, t.p, t.role, t.text FROM ids JOIN t ON t.c = ids.donor AND t.p <= ids.h
+      UNION ALL SELECT ids.c, 1, t.p, t.role, t.text FROM ids JOIN t ON t.c = ids.c AND t.p > ids.h),
+q AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, count(*) OVER (PARTITION BY c) AS len,
+             sha256(sha256(role) || sha256(text)) AS k, strlen(text) AS bytes,
+             row_number() OVER (PARTITION BY c ORDER BY part, p) AS o FROM r),
+paths AS (SELECT c, d, len, bytes, sha256(string_agg(k, '') OVER (PARTITION BY c ORDER BY d)) AS k FROM q
+          UNION ALL SELECT ids.c, 0, coalesce(max(q.len), 0), 0, '' FROM ids LEFT JOIN q USING (c) GROUP BY ids.c),
+up AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS above FROM paths),
+nodes AS (SELECT d, k, any_value(above) AS above, min(c) AS c, count(*) AS n, any_value(bytes) AS bytes,
+                 coalesce(string_agg(CASE WHEN d = len THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '') AS ends FROM up GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, above AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (SELECT paths.d, paths.k, count(*) FILTER (WHERE kids.n IS NULL) AS n_leaves, sum((nodes.n - 1) * nodes.bytes) AS saved
+         FROM nodes LEFT JOIN kids USING (d, k) JOIN paths ON paths.c = nodes.c AND paths.d <= nodes.d GROUP BY ALL)
+SELECT nodes.c AS conv_id, CAST(nodes.d AS BIGINT) AS depth, over_.c AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+       sums.n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(nodes.ends) AS ends_sha256
+FROM nodes JOIN sums USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN nodes over_ ON over_.d = nodes.d - 1 AND over_.k = nodes.above"""
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir), merkle.every_seventh()).drop("proof")
@@ -111,14 +147,6 @@ def _leaf_sql(n_chars: str) -> str:
     return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
 
 
-def _crc32_sql(text: str) -> str:
-    """CRC-32 of an ASCII text, bit by bit: each character, then its eight shifts (-1)."""
-    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split({text}, ''),
-        lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
-        lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END),
-        CAST(4294967295 AS BIGINT))"""
-
-
 def _levels_sql(name: str, leaves: str) -> str:
     """All nodes (tree, i, n, level, d) of the trees over ``leaves``."""
     return f"""{name} AS (
