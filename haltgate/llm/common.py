@@ -111,6 +111,22 @@ def numbered(rows: DataFrame, group: str, order: list[str], drop: tuple[str, ...
             .withColumn("i", F.col("spot") - F.col("first") + F.col("before")).drop("spot", "first", "before", "part"))
 
 
+#: A key with more than one in so many of all rows is met by broadcast: fewer keys than this.
+HOT_SHARE = 1000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined to ``table``, which has one row for each ``key`` and the number of
+    ``rows`` with it (``count``, dropped). Fewer than ``HOT_SHARE`` keys can each have more
+    than that share of the rows: those are broadcast, so that no task gets a hot key's
+    rows; all others meet by a shuffle. ``table`` should be written."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) * HOT_SHARE > total
+    few = F.broadcast(table.where(hot).drop(count))
+    rest = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti").join(table.where(~hot).drop(count), key)
+    return rows.join(few, key).unionByName(rest)
+
+
 def emit(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)

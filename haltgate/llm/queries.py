@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import (edit_counts, fingerprint, merkle, packing, prefix_trie, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
+from . import (edit_counts, fingerprint, lsh_forest, merkle, packing, prefix_trie, quality_classifier, quality_rules, repeats, sentence_pieces, simhash,
                token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op11_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(documents(spark, sf_dir))
+
+
 def _crc32_sql(text: str) -> str:
     """CRC-32 of an ASCII text, bit by bit: each character, then its eight shifts (-1)."""
     return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split({text}, ''),
