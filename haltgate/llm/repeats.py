@@ -356,15 +356,16 @@ def cut_documents(docs: DataFrame, length: int = LENGTH, **params) -> DataFrame:
     """The documents with what is left of their texts; all columns and rows stay, and
     ``n_chars``, where there is one, is counted anew. Bytes of a code point that lost
     others are dropped with them. A null text stays null."""
-    cuts = removals(docs, length, **params).select(F.col("text_id").alias("cut_text_id"), "kept_text")
-    out = docs.join(cuts, text_id(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("cut_text_id"), "left")
-    text = F.coalesce(F.col("kept_text"), F.col("text"))
-    columns = []
+    cuts = removals(docs, length, **params).select(F.col("text_id"), "kept_text")
+    # the documents travel as one column, so that theirs and these cannot clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    out = rows.withColumn("text_id", text_id(F.coalesce(F.col("doc.text").cast("string"), F.lit("")))).join(cuts, "text_id", "left")
+    kept, columns = F.col("kept_text"), []
     for name, kind in docs.dtypes:
+        own = F.col("doc").getField(name)
         if name == "text":
-            columns.append(text.alias("text"))
+            own = F.coalesce(kept, own)
         elif name == "n_chars":
-            columns.append(F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text")).cast(kind).alias("n_chars"))
-        else:
-            columns.append(F.col(f"`{name}`"))
+            own = F.when(kept.isNull(), own).otherwise(F.length(kept)).cast(kind)
+        columns.append(own.alias(name))
     return out.select(*columns)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Emitter, arrow_schema, text_rows, write_table
+from .common import Emitter, arrow_schema, join_counted, text_rows, write_table
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -51,10 +51,6 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-#: Names a row by its text and its columns.
-ROW_KEY = "_simhash_row"
-
-
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, fp) and the string columns ``keep``: the fingerprint's 64 bits as a long."""
     ddl = ", ".join(["doc_id long", "fp long", *[f"{c} string" for c in keep]])
@@ -177,29 +173,33 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_dis
     Repeated rows are returned each. A null doc_id is never the least; a
     component of null ids alone has a null component_id. Other columns are
     ignored; an empty table gives no rows."""
-    marked, rooted = _rooted(fingerprints(docs, shingle_words), max_distance, max_bucket)
-    ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = rooted.join(ids, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    marked = write_table(fingerprints(docs, shingle_words), "simhash")
+    rooted = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), max_distance, max_bucket)
+    ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("size"))
+    classes = write_table(join_counted(rooted, ids, "root", "size").select("fp", "component_id", "copies"), "simhash-classes")
+    return join_counted(marked, classes, "fp", "copies").select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def _rooted(fps: DataFrame, max_distance: int, max_bucket: int) -> tuple[DataFrame, DataFrame]:
-    """The fingerprints as a written table, and (fp, rep, root): each distinct one, its
-    least doc_id and the root of its component."""
-    marked = write_table(fps, "simhash")
-    nodes = write_table(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
+def _rooted(nodes: DataFrame, max_distance: int, max_bucket: int) -> DataFrame:
+    """The distinct fingerprints (column ``fp``) with the root of their component, written."""
+    nodes = write_table(nodes, "simhash-nodes")
     roots = components(links(nodes.select("fp"), max_distance, max_bucket))
-    return marked, nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    return write_table(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
              max_bucket: int = MAX_BUCKET) -> DataFrame:
     """One row of each component, all columns: that of the least id, fingerprint, text and
     further columns. An id whose texts are in several components may stay for each of
-    them; rows without an id stay."""
-    text, rest = F.coalesce(F.col("text").cast("string"), F.lit("")), F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    keyed = docs.withColumn(ROW_KEY, F.concat(F.sha2(text, 256), F.sha2(rest, 256)))
-    marked, rooted = _rooted(fingerprints(keyed, shingle_words, (ROW_KEY,)), max_distance, max_bucket)
-    first = marked.where("doc_id is not null").join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct("doc_id", "fp", ROW_KEY)).alias("row"))
-    kept = keyed.where("doc_id is not null").join(first.select(f"row.{ROW_KEY}"), ROW_KEY, "left_semi").dropDuplicates([ROW_KEY]).drop(ROW_KEY)
-    return kept.unionByName(docs.where("doc_id is null"))
+    them; rows without an id stay. The least row of every fingerprint is found while
+    fingerprints are counted, so copies do not meet; documents themselves are read
+    again and only the chosen ones move."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    text, rest = F.coalesce(F.col("doc.text").cast("string"), F.lit("")), F.to_json("doc")
+    keyed = keyed.withColumn("row_key", F.concat(F.sha2(text, 256), F.sha2(rest, 256)))
+    rows = keyed.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text"), "row_key").where("doc_id is not null")
+    marked = write_table(fingerprints(rows, shingle_words, ("row_key",)), "simhash")
+    nodes = marked.groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "row_key")).alias("least"))
+    first = _rooted(nodes, max_distance, max_bucket).groupBy("root").agg(F.min("least").alias("least")).select("least.row_key")
+    kept = keyed.where("doc.doc_id is not null").join(first, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return kept.select("doc.*").unionByName(docs.where("doc_id is null"))

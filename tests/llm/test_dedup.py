@@ -10,7 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from haltgate.llm import components, queries, repeats, simhash
+from haltgate.llm import common, components, queries, repeats, simhash
 from haltgate.llm.run_length_index import RunLengthIndex
 
 from .conftest import ODD
@@ -77,6 +77,24 @@ def test_an_id_with_texts_in_two_groups_names_both(spark):
         assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, one), (1, two)]
 
 
+def test_columns_named_like_those_inside(spark):
+    names = ["doc", "row_key", "fp", "root", "least", "copies", "text_id", "kept_text", "cut_text_id", "_simhash_row", "a", "b"]
+    rows = [(1, "one two three four", *range(12)), (2, "one two three four", *range(12)), (3, "else", *range(12))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    assert sorted(map(tuple, simhash.keep_one(df).collect())) == [rows[0], rows[2]]
+    cut = repeats.cut_documents(df, length=8, gram=3)
+    assert cut.columns == df.columns
+    assert sorted(map(tuple, cut.collect())) == [(1, "", *range(12)), (2, "", *range(12)), rows[2]]
+    assert simhash.near_duplicates(df).count() == 3
+
+
+def test_hot_fingerprint_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_SHARE", 3)
+    rows = [(k, "the same text in a third of all rows") for k in range(60)] + [(60 + k, f"other text {k} here {k * 7}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.near_duplicates(df).collect()), key=str) == expected_groups(rows)
+
+
 def test_a_row_without_an_id_links_two_others(spark, monkeypatch):
     monkeypatch.setattr(simhash, "fingerprints", lambda docs, n, keep=(): docs.selectExpr(
         "doc_id", "case text when 'a' then 0L when 'b' then 3L else 15L end as fp", *keep))
