@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema
+from .common import arrow_schema, write_table
 from .quality_classifier import held_out, training_sample
 
 #: Most labelled documents to learn from (those with the least hash of their id).
@@ -122,8 +122,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
           vocabulary: int = VOCABULARY, **params) -> Model:
     """A model from a bounded sample. Words are counted by Spark; the driver gets the
     ``vocabulary`` words that tell the labels apart best and, for each document of
-    the sample, the numbers of those it has. Equal texts count once."""
-    sample = training_sample(docs, labels, label, folds, fold, rows).groupBy("text").agg(F.max("y").alias("y"))
+    the sample, the numbers of those it has. Equal texts count once; of ids that repeat with
+    many texts, those stay whose digest has the least hash, ``rows`` texts in all."""
+    texts = training_sample(docs, labels, label, folds, fold, rows).groupBy("text").agg(F.max("y").alias("y"))
+    texts = write_table(texts.withColumn("digest", F.sha2("text", 256)), "toxicity-sample")
+    least = texts.select("digest").orderBy(F.xxhash64("digest"), "digest").limit(rows)
+    sample = texts.join(F.broadcast(least), "digest", "left_semi").select("text", "y")
     identity = set(IDENTITY_TERMS)
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,3 +184,18 @@ def test_repeats_of_a_labelled_id_count_once(spark, docs, sf):
     many = hot.crossJoin(times).selectExpr("doc_id", "concat(text, ' ', k) as text")
     one = labels.where(labels.doc_id == plain[0].doc_id)
     assert len(quality_classifier.training_rows(many, one, "quality", 4, 2, 40).collect()) == 40
+
+
+def test_toxicity_rows_are_bounded(spark, docs, sf, monkeypatch):
+    """A labelled id with many texts gives the driver no more rows than the bound."""
+    from haltgate.sources.tables import read_table
+
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, *a, **k: seen.append(len(rows)) or fit(rows, *a, **k))
+    labels = read_table(spark, sf, "labels")
+    marked = labels.where("toxic = 1").select("doc_id").collect()
+    one = next(r.doc_id for r in marked if zlib.crc32(str(r.doc_id).encode()) % 5)
+    many = spark.range(900).selectExpr(f"{one}L AS doc_id", "concat('text number ', id) AS text")
+    toxicity.train(docs.select("doc_id", "text").unionByName(many), labels, rows=100)
+    assert seen == [100]
