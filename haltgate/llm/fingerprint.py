@@ -3,13 +3,15 @@
 A document's sketch holds every distinct shingle hash below a fixed fraction
 of the hash range. The threshold is the same for all documents, so the sketch
 of a union is the union of sketches, and the share of one sketch that occurs in
-another estimates containment however unequal the two documents are. By default
-the fraction is the whole range: a short text's few hashes are then never all
-above the threshold, and the share is that of the exact sets of shingles.
+another estimates containment however unequal the two documents are. With every
+second hash kept, containment is off by 0.03 in the mean; one in 2^n texts of n
+shingles has no hash below the threshold. Kept are the first 32 bits of a hash
+below the fraction, written as base64: some two fifths of the text's own length.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -22,11 +24,11 @@ from pyspark.sql import functions as F
 from .common import Emitter, KeyRanges, arrow_schema, shuffle_partitions, text_rows
 
 SHINGLE_WORDS = 5
-#: One hash in so many is kept. Above 1, (1 - 1 / SCALE)^n of the texts of n shingles have none below the threshold.
-SCALE = 1
-#: Key ranges, and partitions that sketch them, for each shuffle partition: several, as the results are some six times the texts.
+#: One hash in so many is kept, a power of two. (1 - 1 / SCALE)^n of the texts of n shingles have none below the threshold.
+SCALE = 2
+#: Key ranges, and partitions that sketch them, for each shuffle partition: several, as a row holds a text's sketch and its edited text's.
 RANGES_PER_PARTITION = 4
-#: Bytes of result rows handed on at once; a row has some 16 digits for each word, twice.
+#: Bytes of result rows handed on at once.
 OUT_BYTES = 1 << 20
 #: Bytes of a text whose words are hashed at once.
 BLOCK = 1 << 20
@@ -72,9 +74,10 @@ def word_hashes(raw: bytes) -> np.ndarray:
 
 
 def sketch(text: str | None, scale: int = SCALE, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
-    """The kept hashes, ascending. Fewer words than a shingle: one shingle of all words;
-    no words: empty. If no hash is below the threshold, the least is kept, so that
-    only texts without words have an empty sketch."""
+    """The kept hashes, ascending, with 32 bits below the fraction. Fewer words than a
+    shingle: one shingle of all words; no words: empty. If no hash is below the
+    threshold, the least stands in, so that only texts without words have an empty
+    sketch."""
     words = word_hashes((text or "").encode())
     if not len(words):
         return words
@@ -82,7 +85,7 @@ def sketch(text: str | None, scale: int = SCALE, shingle_words: int = SHINGLE_WO
     hashes = np.zeros(n, dtype=np.uint64)
     for k in range(min(shingle_words, len(words))):
         hashes = hashes * _BASE + words[k : k + n]
-    hashes = _mix(hashes + _U(len(words) if len(words) < shingle_words else shingle_words))
+    hashes = _mix(hashes + _U(len(words) if len(words) < shingle_words else shingle_words)) & ~_U(2**32 // scale - 1)
     kept = np.unique(hashes[hashes <= _U(2**64 // scale - 1)])
     return kept if len(kept) else hashes.min(keepdims=True)
 
@@ -94,40 +97,45 @@ def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     return kept if len(kept) else both[:1]
 
 
-def containment(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> float | None:
+def containment(a: np.ndarray, b: np.ndarray) -> float:
     """Estimated share of a's shingles that b has too. Two texts without words contain
-    each other; one without words neither contains nor is contained by another.
-    None if a is a least hash above the threshold: no sketch of a longer text could
-    hold it, so only an equal sketch tells anything."""
+    each other; one without words neither contains nor is contained by another. A
+    hash that stands in is in no sketch but an equal one."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    if a[0] > _U(2**64 // scale - 1):
-        return 1.0 if np.array_equal(a, b) else None
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a)
 
 
-def dump(a: np.ndarray) -> str:
-    """16 hex digits for each hash."""
-    return a.astype(">u8").tobytes().hex()
+#: Marks a hash that stands in; no character of base64.
+STAND_IN = ":"
 
 
-def load(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), dtype=">u8").astype(np.uint64)
+def dump(a: np.ndarray, scale: int = SCALE) -> str:
+    """The hashes' 32 bits as base64; a hash that stands in as 16 hex digits behind a colon."""
+    if len(a) and a[0] > _U(2**64 // scale - 1):
+        return f"{STAND_IN}{int(a[0]):016x}"
+    return base64.b64encode((a // _U(2**32 // scale)).astype(">u4").tobytes()).decode()
+
+
+def load(text: str, scale: int = SCALE) -> np.ndarray:
+    if text.startswith(STAND_IN):
+        return np.array([int(text[1:], 16)], dtype=np.uint64)
+    return np.frombuffer(base64.b64decode(text), dtype=">u4").astype(np.uint64) * _U(2**32 // scale)
 
 
 def fingerprint(text: Column, scale: int = SCALE, shingle_words: int = SHINGLE_WORDS) -> Column:
     @F.pandas_udf("string")
     def sketched(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: dump(sketch(t, scale, shingle_words)))
+        return texts.map(lambda t: dump(sketch(t, scale, shingle_words), scale))
 
     return sketched(text)
 
 
 def containment_of(a: Column, b: Column, scale: int = SCALE) -> Column:
-    """Containment of fingerprint a in fingerprint b, null where it is not known."""
+    """Containment of fingerprint a in fingerprint b."""
     @F.pandas_udf("double")
     def estimated(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([containment(load(p), load(q), scale) for p, q in zip(x, y)], dtype=float)
+        return pd.Series([containment(load(p, scale), load(q, scale)) for p, q in zip(x, y)], dtype=float)
 
     return estimated(a, b)
 
@@ -137,7 +145,7 @@ def merged(df: DataFrame, by: str, fingerprint_col: str, scale: int = SCALE) ->
     hash, so that no group is gathered anywhere."""
     @F.pandas_udf("array<long>")
     def hashes(x: pd.Series) -> pd.Series:
-        return x.map(lambda t: load(t).view(np.int64).tolist())
+        return x.map(lambda t: load(t, scale).view(np.int64).tolist())
 
     rows = df.select(by, F.explode(hashes(fingerprint_col)).alias("hash")).distinct()
     # hashes above the threshold stand in for documents without one below it
@@ -177,8 +185,8 @@ def edit_likeness(docs: DataFrame, scale: int = SCALE, shingle_words: int = SHIN
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
         changed = sketch(edited, scale, shingle_words) if edited != text else own
-        return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), dump(own), dump(changed),
-                containment(own, changed, scale), containment(own, next_, scale), jaccard(own, changed), jaccard(own, next_))
+        return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), dump(own, scale), dump(changed, scale),
+                containment(own, changed), containment(own, next_), jaccard(own, changed), jaccard(own, next_))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held, range_, ended = Emitter(schema, max_bytes=OUT_BYTES), None, None, False

@@ -96,22 +96,39 @@ def test_merged_groups(spark):
 
 
 def test_short_text_in_a_long_one(docs, spark):
-    """A text of few shingles that stands whole in a longer one is contained in it."""
-    long_ = " ".join(f"w{i}" for i in range(5000))
+    """A text of few shingles that stands whole in a longer one is contained in it, but for
+    one in 2^n texts of n shingles, which have no hash below the threshold."""
+    long_, without, expected = " ".join(f"w{i}" for i in range(5000)), 0, 0.0
     for n in range(5, 40):
-        for at in range(0, 300, 30):
-            short = " ".join(f"w{i}" for i in range(at, at + n))
-            assert K.containment(K.sketch(short), K.sketch(long_)) == 1
-            assert K.containment(K.sketch(short), K.merge(K.sketch(short), K.sketch("other words " * 50))) == 1
-    pairs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(n)), long_) for n in range(5, 12)], "a string, b string")
+        for at in range(0, 4800, 12):
+            short = K.sketch(" ".join(f"w{i}" for i in range(at, at + n)))
+            expected += K.SCALE ** -(n - 4)
+            if short[0] > 2**64 // K.SCALE - 1:
+                without += 1
+                assert n < 25 and K.containment(short, K.sketch(long_)) == 0 and K.containment(short, short) == 1
+            elif at % 240 == 0:
+                assert K.containment(short, K.sketch(long_)) == 1
+                assert K.containment(short, K.merge(short, K.sketch("other words " * 50))) == 1
+    assert abs(without - expected) < 0.2 * expected
+    pairs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(n)), long_) for n in range(15, 22)], "a string, b string")
     assert [r[0] for r in pairs.select(K.containment_of(K.fingerprint(pairs.a), K.fingerprint(pairs.b))).collect()] == [1.0] * 7
 
 
+def test_errors_against_exact_sets_and_size(docs, texts):
+    """Whole texts of all lengths: small errors, and fingerprints well below the texts."""
+    ordered = sorted(texts.items())
+    after = {d: ordered[(k + 1) % len(ordered)][1] for k, (d, _) in enumerate(ordered)}
+    rows = K.edit_likeness(docs).collect()
+    errors = [abs(r.near_edited - share(shingles(texts[r.doc_id]), shingles(edited(texts[r.doc_id], after[r.doc_id])))) for r in rows]
+    assert np.mean(errors) < 0.04 and np.mean(np.array(errors) > 0.2) < 0.02
+    assert sum(len(r.fingerprint) for r in rows) < 0.5 * sum(len(t.encode()) for t in texts.values())
+
+
 def test_likeness_equals_the_exact_sets(docs, texts):
-    """Short texts too."""
+    """With every hash kept; short texts too."""
     ordered = [(d, " ".join(t.split()[: 5 + 3 * k % 40])) for k, (d, t) in enumerate(sorted(texts.items()))]
     after = {d: ordered[(k + 1) % len(ordered)][1] for k, (d, _) in enumerate(ordered)}
-    rows = K.edit_likeness(docs.sparkSession.createDataFrame(ordered, "doc_id long, text string")).collect()
+    rows = K.edit_likeness(docs.sparkSession.createDataFrame(ordered, "doc_id long, text string"), scale=1).collect()
     for r, (d, t) in zip(sorted(rows, key=lambda r: r.doc_id), ordered):
         a, b, c = shingles(t), shingles(edited(t, after[d])), shingles(after[d])
         assert (r.near_edited, r.near_next) == (share(a, b), share(a, c))
@@ -119,9 +136,10 @@ def test_likeness_equals_the_exact_sets(docs, texts):
 
 
 def test_no_estimate_from_a_least_hash_above_the_threshold():
-    """With a sparser sketch, a text without a hash below the threshold has no containment in a longer one."""
+    """A text without a hash below the threshold is in no longer one, as its hash cannot be there."""
     long_ = K.sketch(" ".join(f"w{i}" for i in range(3000)), scale=64)
     short = K.sketch("w1 w2 w3 w4 w5 w6", scale=64)
     assert len(short) == 1 and short[0] >= 2**64 // 64
-    assert K.containment(short, long_, scale=64) is None and K.containment(short, short, scale=64) == 1
-    assert K.containment(long_, short, scale=64) == 0
+    assert K.containment(short, long_) == 0 and K.containment(short, short) == 1
+    assert K.containment(long_, short) == 0
+    assert (K.load(K.dump(short, 64), 64) == short).all() and (K.load(K.dump(long_, 64), 64) == long_).all()
