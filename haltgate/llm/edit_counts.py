@@ -6,6 +6,10 @@ node has the characters and tokens of its subtree. An edit finds its leaves by
 descending the tree, re-encodes them with one leaf of context on either side,
 writes the new leaves in their place and adds up the sums on the paths to the
 root. Nothing else of the document is encoded again.
+
+Trees are kept as a table (``write_trees``): the text with the characters and tokens of
+its leaves. Edits are applied to that table (``edit_trees``), whose result is such a
+table again, so each round of edits encodes only what it touches.
 """
 
 from __future__ import annotations
@@ -18,9 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Emitter, arrow_schema, text_rows
+from .common import Emitter, arrow_schema, text_rows, write_table
 from .tokens import ChunkEncoder, encoder, slices
 
+#: Characters from which a leaf that holds several words is full.
+FULL_LEAF = 256
 LEAF = re.compile(r"[^\x20\x09-\x0D]*[\x20\x09-\x0D]*")
 
 Edit = tuple[int, int, str]  # code points from, to, replacement
@@ -100,8 +106,17 @@ class CountTree:
         return total
 
     def put(self, first: int, last: int, new: list[str], tokens: list[int]) -> None:
-        """Writes new leaves over [first, last]; what exceeds its places shares the last one."""
+        """Writes new leaves over [first, last]. A few more than there are places share the
+        last one; if they are many, or it is full, the tree is laid out anew."""
         room = last - first + 1
+        if len(new) > room and sum(map(len, new[room - 1 :])) > FULL_LEAF:
+            at, width = self.sums[self.size :, 1].tolist(), len(self.leaves)
+            kept = [k for k in range(width) if self.leaves[k] and not first <= k <= last]
+            before = [k for k in kept if k < first]
+            rest = kept[len(before) :]
+            self.__init__([*[self.leaves[k] for k in before], *new, *[self.leaves[k] for k in rest]],
+                          [*[at[k] for k in before], *tokens, *[at[k] for k in rest]])
+            return
         for k in range(room):
             share = slice(k, k + 1) if k < room - 1 else slice(k, None)
             self.leaves[first + k] = "".join(new[share])
@@ -134,11 +149,19 @@ def trees(enc: ChunkEncoder, texts: list[str]) -> list[CountTree]:
     return out
 
 
+TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>"
+
+
+def _tree_row(doc: int | None, tree: CountTree) -> tuple:
+    part = tree.sums[tree.size :]
+    part = part[part[:, 0] > 0]
+    return doc, tree.text(), part[:, 0].astype(np.int32), part[:, 1].astype(np.int32)
+
+
 def stored_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """(doc_id, leaf_chars, leaf_tokens): the leaves of every document's tree, from which
+    """``TREES``: every document's text with the leaves of its tree, from which
     ``CountTree`` is built again without encoding."""
-    ddl = "doc_id long, leaf_chars array<int>, leaf_tokens array<int>"
-    schema = arrow_schema(ddl)
+    schema = arrow_schema(TREES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out = encoder(vocabulary), Emitter(schema)
@@ -146,13 +169,22 @@ def stored_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in slices(len(texts), texts):
                 for doc, tree in zip(ids[lo:hi], trees(enc, texts[lo:hi])):
-                    part = tree.sums[tree.size : tree.size + sum(map(bool, tree.leaves))]
-                    out.add((doc, part[:, 0].tolist(), part[:, 1].tolist()), 8 * len(part))
+                    out.add(_tree_row(doc, tree), 8 * tree.size + tree.chars)
                     if out.full():
                         yield from out.take()
         yield from out.take()
 
-    return text_rows(docs).mapInArrow(run, ddl)
+    return text_rows(docs).mapInArrow(run, TREES)
+
+
+def write_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``stored_trees``, kept as a table in the shared folder."""
+    return write_table(stored_trees(docs, vocabulary), "trees")
+
+
+def kept_tree(text: str, chars: np.ndarray, tokens: np.ndarray) -> CountTree:
+    ends = np.cumsum(chars).tolist()
+    return CountTree([text[a:b] for a, b in zip([0, *ends], ends)], tokens)
 
 
 def spread_edits(text: str, count: int = 3, removed: int = 16, added: int = 24) -> list[Edit]:
@@ -166,38 +198,55 @@ def spread_edits(text: str, count: int = 3, removed: int = 16, added: int = 24)
 
 
 COUNTS = "doc_id long, n_tokens long, n_tokens_edited long, n_chars_encoded long, edited_sha256 string"
+EDITED = TREES + ", n_tokens long, n_tokens_edited long, n_chars_encoded long"
 
 
-def edited_counts(docs: DataFrame, vocabulary: str, edits: Callable[[str], list[Edit]] = spread_edits) -> DataFrame:
-    """``COUNTS``: tokens of every whole text before and after its edits (places in the
-    text as the edits before left it), the code points that the edits had encoded
-    again, and the digest of the edited text.
-
-    A null text is empty and its edits insert what they add. Repeated rows are
-    counted each; a null doc_id stays null. Other columns are ignored; an empty
-    table gives no rows."""
-    schema = arrow_schema(COUNTS)
+def _edit_rows(vocabulary: str, edits: Callable[[str], list[Edit]], keep: bool, schema: pa.Schema,
+               encode: Callable[[str], ChunkEncoder] = encoder):
+    """``TREES`` -> ``EDITED`` (``keep``) or ``COUNTS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, out = encoder(vocabulary), Emitter(schema)
+        enc, out = encode(vocabulary), Emitter(schema)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            chars, tokens = batch.column(2), batch.column(3)
             for lo, hi in slices(len(texts), texts):
-                built = trees(enc, texts[lo:hi])
+                built = [kept_tree(texts[k], chars[k].values.to_numpy(), tokens[k].values.to_numpy()) for k in range(lo, hi)]
                 before = [t.tokens for t in built]
                 todo = [edits(t) for t in texts[lo:hi]]
                 again = [0] * len(built)
                 for turn in range(max(map(len, todo), default=0)):
                     live = [k for k, e in enumerate(todo) if turn < len(e)]
                     places = [built[k].touched(todo[k][turn]) for k in live]
-                    tokens = counter(enc, [new for _, _, new in places])
+                    count = counter(enc, [new for _, _, new in places])
                     for k, (first, last, new) in zip(live, places):
-                        built[k].put(first, last, new, tokens(new))
+                        built[k].put(first, last, new, count(new))
                         again[k] += sum(map(len, new))
-                for doc, n, chars, tree in zip(ids[lo:hi], before, again, built):
-                    out.add((doc, n, tree.tokens, chars, hashlib.sha256(tree.text().encode()).hexdigest()))
-                if out.full():
-                    yield from out.take()
+                for doc, n, encoded, tree in zip(ids[lo:hi], before, again, built):
+                    if keep:
+                        out.add((*_tree_row(doc, tree), n, tree.tokens, encoded), 8 * tree.size + tree.chars)
+                    else:
+                        out.add((doc, n, tree.tokens, encoded, hashlib.sha256(tree.text().encode()).hexdigest()))
+                    if out.full():
+                        yield from out.take()
         yield from out.take()
 
-    return text_rows(docs).mapInArrow(run, COUNTS)
+    return run
+
+
+def edit_trees(kept: DataFrame, vocabulary: str, edits: Callable[[str], list[Edit]] = spread_edits) -> DataFrame:
+    """``EDITED``: the kept trees after a round of edits, to be kept in turn, with the tokens
+    before and after and the code points that the edits had encoded."""
+    return kept.select("doc_id", "text", "leaf_chars", "leaf_tokens").mapInArrow(_edit_rows(vocabulary, edits, True, arrow_schema(EDITED)), EDITED)
+
+
+def edited_counts(docs: DataFrame, vocabulary: str, edits: Callable[[str], list[Edit]] = spread_edits) -> DataFrame:
+    """``COUNTS``: tokens of every whole text before and after its edits (places in the
+    text as the edits before left it), the code points that the edits had encoded
+    again, and the digest of the edited text. The trees are kept as a table first, and
+    the edits applied to that.
+
+    A null text is empty and its edits insert what they add. Repeated rows are
+    counted each; a null doc_id stays null. Other columns are ignored; an empty
+    table gives no rows."""
+    return write_trees(docs, vocabulary).mapInArrow(_edit_rows(vocabulary, edits, False, arrow_schema(COUNTS)), COUNTS)

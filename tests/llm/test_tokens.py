@@ -163,5 +163,51 @@ def test_edited_counts(docs, texts, odd, nothing):
 def test_stored_trees(docs, texts):
     for r in edit_counts.stored_trees(docs, vocabulary()).limit(40).collect():
         leaves = edit_counts.leaves_of(texts[r.doc_id])
-        assert [len(x) for x in leaves] == r.leaf_chars
+        assert [len(x) for x in leaves] == r.leaf_chars and r.text == texts[r.doc_id]
         assert edit_counts.CountTree(leaves, r.leaf_tokens).tokens == len(library(texts[r.doc_id]))
+
+
+def test_second_round_of_edits_encodes_only_what_it_touches(docs, texts):
+    """Trees kept after one round of edits take the next one without encoding anything else."""
+    import pyarrow as pa
+
+    from haltgate.llm.common import arrow_schema, write_table
+
+    kept = write_table(edit_counts.edit_trees(edit_counts.write_trees(docs, vocabulary()), vocabulary()), "test-trees")
+    asked = []
+
+    class Recorder:
+        dtype = ENCODER.dtype
+
+        def lookup(self, lists):
+            asked.extend(c for x in lists for c in x)
+            return ENCODER.lookup(lists)
+
+    second = lambda text: [(len(text) // 3, len(text) // 3 + 4, "something new ")]
+    rows = kept.select("doc_id", "text", "leaf_chars", "leaf_tokens").toArrow().to_batches()
+    run = edit_counts._edit_rows(vocabulary(), second, True, arrow_schema(edit_counts.EDITED), lambda _: Recorder())
+    got = [r for b in run(iter(rows)) for r in pa.Table.from_batches([b]).to_pylist()]
+    assert len(got) == len(texts)
+    for r in got:
+        once = edited(texts[r["doc_id"]])
+        a, b, new = second(once)[0]
+        twice = once[:a] + new + once[b:]
+        assert r["text"] == twice and r["n_tokens"] == len(library(once)) and r["n_tokens_edited"] == len(library(twice))
+        assert sum(r["leaf_chars"]) == len(twice) and sum(r["leaf_tokens"]) == r["n_tokens_edited"]
+        assert r["n_chars_encoded"] <= 200 or max(map(len, twice.split())) > 30
+    assert len(asked) <= 8 * len(got)
+
+
+def test_repeated_insertions_split_their_leaf():
+    """A leaf does not grow with the words that edits put into it."""
+    text = "one two three"
+    tree = edit_counts.trees(ENCODER, [text])[0]
+    most = 0
+    for k in range(400):
+        edit = (4, 4, f"word{k} and more ")
+        first, last, leaves = tree.touched(edit)
+        most = max(most, sum(map(len, leaves)))
+        tree.put(first, last, leaves, edit_counts.counter(ENCODER, [leaves])(leaves))
+        text = text[:4] + edit[2] + text[4:]
+    assert tree.text() == text and tree.tokens == len(library(text))
+    assert most < 3 * edit_counts.FULL_LEAF and max(map(len, tree.leaves)) <= edit_counts.FULL_LEAF
