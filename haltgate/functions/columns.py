@@ -65,9 +65,10 @@ def notional_amount(qty, price) -> Column:
 
     Money is summed as decimals so totals are exact and independent of how
     rows are partitioned: a recomputed partition after executor loss yields
-    the same command values and the same deterministic ids.
+    the same command values and the same deterministic ids. Null where the
+    amount is no such number (too large, infinite, not a number).
     """
-    return (c(qty) * c(price)).cast("decimal(26,8)")
+    return (c(qty) * c(price)).try_cast("decimal(26,8)")
 
 
 def account_scope(account_id) -> Column:

@@ -3,6 +3,8 @@
     python -m haltgate.jobs detect  <bootstrap> [rate] [notional] [share] [--window ...]
     python -m haltgate.jobs aggregate <bootstrap> --state-root DIR
     python -m haltgate.jobs route   <bootstrap> --state-root DIR --out-root DIR
+    python -m haltgate.jobs release <bootstrap> --window ... --cooldown ...
+    python -m haltgate.jobs maintain --out-root DIR
 
 With ``--source files --input DIR`` the log is replaced by a folder of
 JSON-lines files (and the Kafka sinks by file sinks under ``--out-root``);
@@ -13,25 +15,27 @@ reference's positional order: order rate, notional, symbol concentration.
 from __future__ import annotations
 
 import argparse
+import datetime
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .params import DEFAULT_PARAMS, RiskParams
-from .schemas import COMMAND_SCHEMA
+from .functions.columns import AUDIT_TTL_DAYS
+from .params import DEFAULT_PARAMS, RiskParams, interval_seconds
 from .session import build_session, checkpoint_dir, configured_checkpoint_dir, ensure_checkpoint_dir, ensure_utc
+from .sources.commands import decode_commands
 from .streaming import control
 from .streaming.detector import detector_starters, start_update_detector
 from .streaming.io import (AUDIT_TOPIC, COMMANDS_TOPIC, GATED_TOPIC, ORDERS_TOPIC, SIGNALS_TOPIC,
-                           STATE_TOPIC, json_file_stream, log_stream,
-                           order_stream, reject_writer)
+                           STATE_TOPIC, compact_dates, expire_dates, json_file_stream, keyed_json_stream_writer,
+                           log_stream, order_stream, reject_writer)
+from .streaming.stateful import release_stream
 from .streaming.supervisor import supervise
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="haltgate.jobs")
-    p.add_argument("job", choices=["detect", "aggregate", "route"])
+    p.add_argument("job", choices=["detect", "aggregate", "route", "release", "maintain"])
     p.add_argument("bootstrap", nargs="?", default="localhost:9092")
     p.add_argument("rate", nargs="?", type=int, default=DEFAULT_PARAMS.max_orders)
     p.add_argument("notional", nargs="?", type=float, default=DEFAULT_PARAMS.max_notional)
@@ -49,6 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--state-log", help="folder of published state records, instead of the snapshot")
     p.add_argument("--strategy-scopes", action="store_true", help="also gate on STRATEGY scopes")
     p.add_argument("--checkpoint-root", help="defaults to spark.checkpoint.dir/<job>")
+    p.add_argument("--cooldown", default="5 minutes", help="calm period after which release lifts a detector kill")
+    p.add_argument("--keep-days", type=int, default=AUDIT_TTL_DAYS, help="dates of the audit index that maintain keeps")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--console", action="store_true")
     return p
@@ -83,6 +89,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     params = RiskParams(window=args.window, max_orders=args.rate, max_notional=args.notional,
                         max_share=args.share, min_orders=args.min_orders, watermark=args.watermark)
     starters = {}
+    if args.job == "maintain":
+        today, index = datetime.datetime.now(datetime.timezone.utc).date(), os.path.join(args.out_root, "audit_index")
+        return {"expired": len(expire_dates(spark, index, today, args.keep_days)),
+                "compacted": len(compact_dates(spark, index, today - datetime.timedelta(days=1)))}
 
     def sink(topic: str) -> dict[str, str] | None:
         """Where records of a topic are published: the log, or files under the output root."""
@@ -111,9 +121,15 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
                 sinks={k: v for k, v in (("signals", sink(SIGNALS_TOPIC)), ("commands", sink(COMMANDS_TOPIC))) if v})
     elif args.job == "aggregate":
         raw = _source(spark, args, COMMANDS_TOPIC, "earliest")
-        cmds = raw.select(F.from_json("value", COMMAND_SCHEMA).alias("c")).select("c.*")
-        starters["aggregate"] = lambda: control.start_aggregator(cmds, args.state_root, f"{ck}/agg", trig,
-                                                                 sink(STATE_TOPIC))
+        starters["aggregate"] = lambda: control.start_aggregator(
+            raw, args.state_root, f"{ck}/agg", trig, sink(STATE_TOPIC), os.path.join(args.out_root or args.state_root, "rejects"))
+    elif args.job == "release":
+        # reads the command log and writes UNKILL commands to it
+        commands, _ = decode_commands(_source(spark, args, COMMANDS_TOPIC, "earliest"))
+        out = release_stream(commands, interval_seconds(args.cooldown) * 1000, params.window_ms, args.watermark)
+        to = sink(COMMANDS_TOPIC)
+        starters["release"] = lambda: keyed_json_stream_writer(out, "scope", to["format"], {k: v for k, v in to.items() if k != "format"},
+                                                               f"{ck}/release").trigger(**(trig or {"processingTime": "5 seconds"})).start()
     else:
         raw = _source(spark, args, ORDERS_TOPIC, "earliest")
         starters["route"] = lambda: control.start_router(

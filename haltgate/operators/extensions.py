@@ -14,13 +14,14 @@ from ..params import RiskParams
 from ..schemas import COMMAND_COLUMNS
 from ..sources.orders import with_order_metrics
 from .breaches import breaches, commands_from_breaches
-from .gate import sized_broadcast, MAX_BROADCAST_ROWS
-from .sequence import neighbour_in_key, next_non_null_in_key
+from .gate import MAX_BROADCAST_BYTES, row_bytes, sized_broadcast
+from .sequence import nearest_non_null_in_key, neighbour_in_key, next_non_null_in_key
 from .signals import group_signals, rollup_signals
 
 DECISION_NEW = "NEW"
 REASON_THROTTLED = "Rate limit exceeded"
 REASON_DUPLICATE = "Duplicate order id"
+REASON_AUTO_UNKILL = "Auto unkill after cooldown"
 
 
 # -- EXT-1 / EXT-6: other scope levels -----------------------------------------
@@ -77,7 +78,11 @@ def multi_window_commands(orders: DataFrame, specs: list[RiskParams]) -> DataFra
     """EXT-4: per-window thresholds; any breached window kills the account.
     Metric names carry the window (``order_rate_3600s``) so the ids of
     different windows never collide."""
-    s = multi_window_signals(orders, specs)
+    return commands_of_windows(multi_window_signals(orders, specs), specs)
+
+
+def commands_of_windows(s: DataFrame, specs: list[RiskParams]) -> DataFrame:
+    """Kill commands of signals that name their window spec (column ``spec``)."""
     rate = F.col("order_count") > _by_spec(specs, lambda p: p.max_orders)
     notional = F.coalesce(F.col("total_notional") > _by_spec(specs, lambda p: float(p.max_notional)),
                           F.lit(False))
@@ -133,7 +138,7 @@ def throttle_policy(commands: DataFrame) -> DataFrame:
 # -- EXT-2: throttling ---------------------------------------------------------------
 
 def throttle_decisions(orders: DataFrame, policy: DataFrame,
-                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                       max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Orders of a THROTTLED account scope pass only while fewer than
     ``max_rate_per_second`` earlier orders of that scope fell in the same
     second (order: ts, order id); the rest are THROTTLED.
@@ -142,12 +147,12 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
     Spark executes as a partial per-task group limit before the shuffle, so a
     hot (scope, second) ships at most n rows per task. Orders are then
     compared with the per-second cut-off (the n-th passing order): through a
-    broadcast of the cut-off table when its counted size is under
-    ``max_broadcast_rows`` (one pass over the orders), else by a shuffle of
+    broadcast of the cut-off table when its measured size is under
+    ``max_broadcast_bytes`` (one pass over the orders), else by a shuffle of
     the throttled scopes' orders only.
     """
     pol = sized_broadcast(policy.select("scope", "max_rate_per_second").checkpoint(),
-                          max_broadcast_rows)
+                          max_broadcast_bytes)
     bound = pol.agg(F.max("max_rate_per_second")).first()[0] or 0
     o = (orders.withColumn("_scope", account_scope("account_id"))
          .withColumn("_sec", F.floor(F.col("ts") / 1000).cast("bigint"))
@@ -163,7 +168,8 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
            .agg(F.max(F.struct("ts", "order_id")).alias("_cut"))).checkpoint()
     mine = F.struct("ts", "order_id")
     passes = F.col("_cut").isNotNull() & (mine <= F.col("_cut"))
-    if cut.count() <= max_broadcast_rows:
+    flat = cut.select("_scope", "_sec", "_cut.ts", "_cut.order_id")
+    if (flat.agg(F.sum(row_bytes(flat))).first()[0] or 0) <= max_broadcast_bytes:
         # Small cut-off table: every order is decided in one pass, no shuffle.
         return (o.join(F.broadcast(cut), ["_scope", "_sec"], "left")
                 .select(*out_cols, F.when(F.col("max_rate_per_second").isNull() | passes,
@@ -181,7 +187,7 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
 
 # -- EXT-3: duplicates -----------------------------------------------------------------
 
-def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000) -> DataFrame:
+def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """An id is remembered for ``memory_ms`` from the order that put it in
     memory: a conditional write with an expiry. An order is DUPLICATE while
     its id is remembered; the first one after the expiry is NEW and is
@@ -190,34 +196,60 @@ def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_0
     without an id cannot be recognised and is NEW; one without a time is
     NEW and remembers nothing.
 
-    One shuffle on the id and a plain window decide almost every order: the
-    first one ``memory_ms`` or more after its predecessor always opens a new
-    memory, and whatever follows it within ``memory_ms`` is a duplicate of
-    it. Only the times beyond that, of ids repeated without such a pause, are
-    folded in order to find the openers among them."""
-    out = ["order_id", F.col(id_col).alias("client_order_id"), "ts", "account_id"]
+    Decided are the distinct times of each id, in windows of (id, memory-wide
+    bucket): no task holds an id, however often it repeats. A time
+    ``memory_ms`` or more after the one before always opens a memory. Where an id
+    repeats without such a pause, the openers are the times that ``_openers`` reaches
+    by pointer jumping. Orders then meet their time's opener by (id, time)."""
+    out = ["order_id", F.col(id_col).alias("client_order_id"), "ts", "account_id", *keep]
     known = F.col(id_col).isNotNull() & F.col("ts").isNotNull()
-    w = Window.partitionBy(id_col).orderBy("ts", "order_id")
-    gap = F.col("ts") - F.lag("ts").over(w)
-    d = (orders.filter(known).withColumn("_gap", gap)
-         .withColumn("_opens", F.col("_gap").isNull() | (F.col("_gap") >= memory_ms)))
-    d = d.withColumn("_start", F.last(F.when(F.col("_opens"), F.col("ts")), ignorenulls=True)
-                     .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    late = F.col("ts") - F.col("_start") >= memory_ms
-    decision = lambda new: F.when(new, F.lit(DECISION_NEW)).otherwise(F.lit(DECISION_DUPLICATE)).alias("decision")
-    early = d.filter(~late).select(*out, F.when(~F.col("_opens"), F.col("_start")).alias("prev_seen_ts"),
-                                   decision(F.col("_opens")))
-    openers = F.aggregate("_times", F.array(F.col("_start")), lambda acc, t: F.when(
-        t - F.element_at(acc, -1) >= memory_ms, F.array_append(acc, t)).otherwise(acc))
-    folded = (d.filter(late).groupBy(id_col, "_start").agg(F.sort_array(F.collect_set("ts")).alias("_times"))
-              .select(id_col, "_start", openers.alias("_openers")))
-    last = F.element_at(F.filter("_openers", lambda x: x <= F.col("ts")), -1)
-    new = (F.col("_last") == F.col("ts")) & (F.col("_gap") > 0)
-    beyond = (d.filter(late).join(folded, [id_col, "_start"]).withColumn("_last", last)
-              .select(*out, F.when(~new, F.col("_last")).alias("prev_seen_ts"), decision(new)))
-    rest = orders.filter(~known).select(*out, F.lit(None).cast("bigint").alias("prev_seen_ts"),
-                                        F.lit(DECISION_NEW).alias("decision"))
-    return early.unionByName(beyond).unionByName(rest)
+    bucket = F.floor(F.col("ts") / F.lit(memory_ms)).cast("bigint")
+    times = (orders.filter(known).groupBy(F.col(id_col).alias("id"), "ts").agg(F.min("order_id").alias("first"))).checkpoint()
+    d = neighbour_in_key(times, "id", ["ts"], bucket, ["ts"], "prev", "_before")
+    pause = F.col("_before.ts").isNull() | (F.col("ts") - F.col("_before.ts") >= memory_ms)
+    d = d.withColumn("_opens", F.when(pause, F.col("ts"))).drop("_before")
+    d = nearest_non_null_in_key(d, "id", ["ts"], bucket, "_opens", "_start", "prev").checkpoint()
+    late = d.filter(F.col("ts") - F.col("_start") >= memory_ms)
+    if not late.isEmpty():
+        found = _openers(late, memory_ms)
+        d = (d.join(found.select("id", F.col("t").alias("ts"), F.lit(True).alias("_jumped")), ["id", "ts"], "left")
+             .withColumn("_opens", F.when(F.col("_jumped"), F.col("ts")).otherwise(F.col("_opens"))).drop("_jumped", "_start"))
+        d = nearest_non_null_in_key(d, "id", ["ts"], bucket, "_opens", "_start", "prev")
+    seen = d.select(F.col("id").alias("_id"), F.col("ts").alias("_ts"), "first", F.col("_start").alias("_seen"))
+    j = orders.filter(known).join(seen, (F.col(id_col) == F.col("_id")) & (F.col("ts") == F.col("_ts")))
+    # at an opener's time the order with the least id is new; of equal rows, one
+    may_open = (F.col("_seen") == F.col("ts")) & F.col("order_id").eqNullSafe(F.col("first"))
+    rank = F.row_number().over(Window.partitionBy("_id", "_ts").orderBy("order_id"))
+    heads = j.filter(may_open).withColumn("_new", rank == 1)
+    rest = j.filter(~may_open).withColumn("_new", F.lit(False))
+    decided = heads.unionByName(rest).select(
+        *out, F.when(~F.col("_new"), F.col("_seen")).alias("prev_seen_ts"),
+        F.when(F.col("_new"), F.lit(DECISION_NEW)).otherwise(F.lit(DECISION_DUPLICATE)).alias("decision"))
+    return decided.unionByName(orders.filter(~known).select(*out, F.lit(None).cast("bigint").alias("prev_seen_ts"),
+                                                            F.lit(DECISION_NEW).alias("decision")))
+
+
+def _openers(late: DataFrame, memory_ms: int) -> DataFrame:
+    """(id, t): the openers of runs without a pause, from their late times (id, ts, _start).
+
+    Each time points to the first of its id at least ``memory_ms`` on; the openers are
+    what a run's start leads to. Pointers double each round, so the rounds grow with
+    the logarithm of the longest run; every round is written. Rows meet by (id, time)."""
+    nodes = late.select("id", F.col("ts").alias("t")).unionByName(late.select("id", F.col("_start").alias("t")).distinct())
+    probes = nodes.select("id", (F.col("t") + memory_ms).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("time"), "t")
+    times = late.select("id", F.col("ts").alias("at"), F.lit(1).alias("kind"), F.col("ts").alias("time"), F.lit(None).cast("bigint").alias("t"))
+    ahead = next_non_null_in_key(probes.unionByName(times), "id", ["at", "kind"], F.floor(F.col("at") / F.lit(memory_ms)).cast("bigint"), "time", "next")
+    jumps = ahead.filter("kind = 0 and next is not null").select("id", "t", "next").checkpoint()
+    found = late.select("id", F.col("_start").alias("t")).distinct().checkpoint()
+    known = found.count()
+    while True:
+        reached = found.join(jumps, ["id", "t"]).select("id", F.col("next").alias("t"))
+        found = found.unionByName(reached).distinct().checkpoint()
+        before, known = known, found.count()
+        if known == before:
+            return found
+        further = jumps.select("id", F.col("t").alias("next"), F.col("next").alias("far"))
+        jumps = jumps.join(further, ["id", "next"]).select("id", "t", F.col("far").alias("next")).checkpoint()
 
 
 # -- EXT-5: automatic unkill after a calm period ----------------------------------------
@@ -251,7 +283,7 @@ def auto_unkill_commands(breach_signals: DataFrame, activations: DataFrame,
     j = j.filter(F.col("unkill_ts").isNull() | (F.col("unkill_ts") >= release))
     return j.select(stable_id(F.lit("auto"), "kill_cmd_id").alias("cmd_id"),
                     release.alias("ts"), "scope", F.lit(ACTION_UNKILL).alias("action"),
-                    F.lit("Auto unkill after cooldown").alias("reason"),
+                    F.lit(REASON_AUTO_UNKILL).alias("reason"),
                     F.lit(TRIGGERED_BY_DETECTOR).alias("triggered_by"),
                     F.lit(None).cast("string").alias("metric"),
                     F.lit(None).cast("double").alias("value"),

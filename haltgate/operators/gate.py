@@ -6,16 +6,14 @@ Two modes:
   replay of the router's interleaved loop; a state change at the same instant
   applies before the order). State history becomes validity intervals
   [valid_from, valid_to) per scope; the order side joins them per scope level
-  on (scope, time bucket) with the range condition. Intervals are replicated
-  into the buckets they overlap, so each order is compared only with the few
-  intervals of its own bucket (no all-pairs within a scope), and a hot scope
-  (GLOBAL) is spread over buckets and further split by AQE's skew-join.
-  A dense (scope, bucket) cell (more than ``SLOT_TARGET`` intervals) is cut
-  into 2^k equal time slots, so an order is compared only with the intervals
-  of its own slot however many state changes a hot scope has in a day.
-  The interval table is written once (checkpoint) and broadcast only when
-  its counted row count is under ``MAX_BROADCAST_ROWS``; otherwise the level
-  joins shuffle on (scope, bucket, slot).
+  on (scope, leaf) with the range condition, through ``IntervalIndex``: a tree of
+  ``FANOUT`` per node over each scope's intervals in time order, descended by joins. An
+  interval is one row whatever its length, so a scope that was killed once is one row
+  however long ago that was, and an order is compared with at most ``FANOUT``
+  intervals of its scope, however many changes a hot scope has in whatever time.
+  The interval table is written once (checkpoint) and broadcast only when its
+  measured bytes are under ``MAX_BROADCAST_BYTES``; otherwise the level joins
+  shuffle on (scope, leaf).
 * ``gate_snapshot``: every order against one snapshot (a router bootstrapped
   from the compacted state), three equi-joins on the scope key.
 """
@@ -30,15 +28,13 @@ from ..functions.columns import (DECISION_ALLOW, DECISION_DROP, REASON_KILL_DEFA
                                  STATUS_KILLED, account_scope, stable_id, strategy_scope,
                                  symbol_scope)
 from ..schemas import AUDIT_COLUMNS
-from .sequence import SEQ_BUCKET_MS, neighbour_in_key
+from .sequence import SEQ_BUCKET_MS, day_bucket, neighbour_in_key, number_in_key
 
-DAY_MS = 86_400_000
-# Broadcast bound for state-side tables: about 100 bytes a row -> < 100 MiB.
-MAX_BROADCAST_ROWS = 1_000_000
+# Broadcast bound for state-side tables, in bytes of their rows as measured.
+MAX_BROADCAST_BYTES = 64 << 20
 STATE_FIELDS = ["status", "reason", "updated_ts", "last_cmd_id", "corr_id"]
-# Average number of intervals an order is compared with in one cell; denser
-# (scope, bucket) cells are cut into time slots.
-SLOT_TARGET = 32
+# Intervals of a leaf, and children of any other node, of the interval index.
+FANOUT = 32
 
 
 # Scope-key prefix of each level (GLOBAL is a whole key).
@@ -55,21 +51,31 @@ def level_of(scope: Column) -> Column:
     return expr
 
 
-def split_by_level(side: DataFrame, max_rows: int) -> dict[str, DataFrame]:
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: its texts as they are, eight for any other value, and as much for
+    where each lies. Floats and longs are what a broadcast holds of them."""
+    size = F.lit(16 * len(df.columns) + 16)
+    for name, kind in df.dtypes:
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    return size.cast("bigint")
+
+
+def split_by_level(side: DataFrame, max_bytes: int) -> dict[str, DataFrame]:
     """A materialised state-side table (one row per scope) for each level's
-    join. One grouped count sizes every level: under ``max_rows`` in total
+    join. One grouped pass measures every level: under ``max_bytes`` in total
     it is broadcast once and shared; otherwise each level's part is
-    broadcast only if its own count is under the bound."""
-    counts = {r["_level"]: r["n"] for r in
-              side.groupBy(level_of(F.col("scope")).alias("_level"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    if sum(counts.values()) <= max_rows:
+    broadcast only if its own bytes are under the bound."""
+    sizes = {r["_level"]: r["n"] for r in
+             side.groupBy(level_of(F.col("scope")).alias("_level"))
+             .agg(F.sum(row_bytes(side)).alias("n")).collect()}
+    if sum(sizes.values()) <= max_bytes:
         shared = F.broadcast(side)
         return {p: shared for p in LEVEL_MATCH}
     parts = {}
     for p in LEVEL_MATCH:
         part = side.filter(level_of(F.col("scope")) == p)
-        parts[p] = F.broadcast(part) if counts.get(p, 0) <= max_rows else part
+        parts[p] = F.broadcast(part) if sizes.get(p, 0) <= max_bytes else part
     return parts
 
 
@@ -94,164 +100,105 @@ def state_intervals(states: DataFrame, bucket_ms: int = SEQ_BUCKET_MS) -> DataFr
             .filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
 
 
-def bucketed_intervals(intervals: DataFrame, horizon_ms, bucket_ms: int = DAY_MS) -> DataFrame:
-    """Replicates each interval into every time bucket it overlaps (open
-    intervals up to the bucket of ``horizon_ms``, the latest order time)."""
-    first_b = F.floor(F.col("valid_from") / bucket_ms).cast("bigint")
-    last_b = F.when(F.col("valid_to").isNotNull(),
-                    F.floor((F.col("valid_to") - 1) / bucket_ms).cast("bigint")) \
-              .otherwise(F.floor(F.lit(horizon_ms) / bucket_ms).cast("bigint"))
-    return intervals.withColumn(
-        "bucket", F.explode(F.sequence(first_b, F.greatest(first_b, last_b))))
-
-
-def _slot_count(n: Column, target: int, bucket_ms: int) -> Column:
-    """Slots of a cell holding ``n`` intervals: the power of two that brings
-    the average per slot to ``target`` or below (at most one slot per ms)."""
-    k = F.ceil(F.log2(n / F.lit(float(target))))
-    # Cap: one slot per ms, and offset * slots below 2^53 (exact slot_of).
-    cap = max(1, min(bucket_ms, (1 << 53) // bucket_ms))
-    return F.least(F.pow(F.lit(2.0), k).cast("bigint"), F.lit(cap).cast("bigint"))
-
-
-def slot_of(ts: Column, bucket: Column, slots: Column, bucket_ms: int) -> Column:
-    """Slot of time ``ts`` in cell ``bucket`` cut into ``slots`` parts:
-    ``(ts - bucket start) * slots div bucket_ms``; the product stays below
-    2^53, so the division of an exact multiple is exact."""
-    offset = ts.cast("bigint") - bucket * F.lit(bucket_ms)
-    prod = offset * slots
-    return ((prod - F.pmod(prod, F.lit(bucket_ms))) / F.lit(bucket_ms)).cast("bigint")
-
-
 class IntervalIndex:
-    """Bucketed validity intervals, ready for a range join per scope level.
-
-    ``bucketed`` (columns ``scope``, ``bucket``, ``valid_from``, ``valid_to``,
-    payload) should be materialised. One grouped job sizes it: rows per level
-    and the dense cells. A cell with more than ``slot_target`` intervals is
-    cut into ``slots`` (a power of two) equal time slots and each of its
-    intervals is replicated into the slots it overlaps (at most
-    ``n + slots`` rows, ``slots < 2n / slot_target``). Probes look up their
-    cell's slot count in the dense-cell table, which holds at most
-    ``rows / slot_target`` rows and is broadcast behind the same bound.
-    When no cell is dense the slot column is constant 0 and no probe-side
-    lookup is planned.
-
-    Broadcast: if the whole side is under ``max_rows`` it is broadcast once
-    and shared by every level's join; otherwise each level's part is
-    broadcast only if its own row count is under the bound, and shuffled on
-    (scope, bucket, slot) otherwise (AQE splits a skewed partition).
-    """
-
-    def __init__(self, bucketed: DataFrame, bucket_ms: int, max_rows: int = MAX_BROADCAST_ROWS,
-                 slot_target: int = SLOT_TARGET):
-        self.bucket_ms = bucket_ms
-        self.max_rows = max_rows
-        cells = (bucketed.groupBy("scope", "bucket").agg(F.count(F.lit(1)).alias("_n"))
-                 .withColumn("_slots", F.when(F.col("_n") > slot_target,
-                                              _slot_count(F.col("_n"), slot_target, bucket_ms))))
-        stats = (cells.groupBy(level_of(F.col("scope")).alias("_level"))
-                 .agg(F.sum("_n").alias("rows"), F.count("_slots").alias("hot"),
-                      F.sum(F.coalesce(F.col("_slots") - 1, F.lit(0))).alias("extra"))
-                 .collect())
-        self.rows = {r["_level"]: int(r["rows"]) + int(r["extra"]) for r in stats}
-        self.hot = {r["_level"]: int(r["hot"]) for r in stats}
-        self.dense = None
-        if sum(self.hot.values()):
-            dense = (cells.filter(F.col("_slots").isNotNull())
-                     .select("scope", "bucket", "_slots").checkpoint())
-            self.dense = dense
-            j = bucketed.join(self._sized(dense, sum(self.hot.values())), ["scope", "bucket"], "left")
-            start = F.col("bucket") * F.lit(bucket_ms)
-            first = (F.when(F.col("_slots").isNull() | (F.col("valid_from") <= start), F.lit(0))
-                     .otherwise(slot_of(F.col("valid_from"), F.col("bucket"), F.col("_slots"), bucket_ms)))
-            last = (F.when(F.col("_slots").isNull(), F.lit(0))
-                    .when(F.col("valid_to").isNull() | (F.col("valid_to") >= start + F.lit(bucket_ms)),
-                          F.col("_slots") - 1)
-                    .otherwise(slot_of(F.col("valid_to") - 1, F.col("bucket"), F.col("_slots"), bucket_ms)))
-            self.table = (j.withColumn("slot", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
-                          .drop("_slots").checkpoint())
-        else:
-            self.table = bucketed.withColumn("slot", F.lit(0).cast("bigint"))
-
-    def _sized(self, df: DataFrame, rows: int) -> DataFrame:
-        return F.broadcast(df) if rows <= self.max_rows else df
+    """Validity intervals of scopes as a tree, ready for a range join per scope level.
+
+    ``intervals``: ``scope``, ``valid_from``, ``valid_to``, payload; those of a scope do not
+    overlap. Numbered by time within its scope, interval r lies in leaf r div ``fanout``,
+    leaf n in node n div ``fanout`` of the level above, and so on to one node. A level's
+    table has a row for each node of the scopes that have several there: its start and the
+    start of the next. A probe descends: at each level it meets, by equality of scope
+    and parent, at most ``fanout`` nodes, one of which covers its time. Scopes of a
+    single leaf need no level. So n intervals are n rows, and the levels n / ``fanout``,
+    n / ``fanout``^2 and so on, whatever the times.
+
+    Broadcast: if the whole side is under ``max_bytes`` it is broadcast once
+    and shared by every level's join; otherwise each scope level's part is
+    broadcast only if its own bytes are under the bound, and shuffled on
+    (scope, leaf) otherwise (AQE splits a skewed partition)."""
+
+    def __init__(self, intervals: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, fanout: int = FANOUT):
+        self.max_bytes = max_bytes
+        numbered = number_in_key(intervals, "scope", ["valid_from"], day_bucket("valid_from"), "_r")
+        self.table = numbered.withColumn("leaf", _div(F.col("_r"), fanout)).drop("_r").checkpoint()
+        self.bytes = self._bytes(self.table)
+        self.nodes: list[tuple[DataFrame, dict[str, int]]] = []
+        # a level's nodes are the first interval of each leaf, then every fanout-th of those
+        below = (self.table.groupBy("scope", F.col("leaf").alias("node")).agg(F.min("valid_from").alias("start")))
+        while True:
+            several = below.filter("node = 1").select("scope")
+            mine = below.join(several, "scope", "left_semi")
+            after = mine.select("scope", (F.col("node") - 1).alias("node"), F.col("start").alias("end"))
+            level = mine.join(after, ["scope", "node"], "left").withColumn("parent", _div(F.col("node"), fanout)).checkpoint()
+            size = self._bytes(level)
+            if not size:
+                return
+            self.nodes.append((level, size))
+            below = level.filter(F.pmod(F.col("node"), F.lit(fanout)) == 0).select("scope", _div(F.col("node"), fanout).alias("node"), "start")
+
+    @staticmethod
+    def _bytes(df: DataFrame) -> dict[str, int]:
+        rows = df.groupBy(level_of(F.col("scope")).alias("_level")).agg(F.sum(row_bytes(df)).alias("bytes")).collect()
+        return {r["_level"]: int(r["bytes"]) for r in rows}
+
+    def _part(self, df: DataFrame, size: dict[str, int], level: str | None) -> DataFrame:
+        whole = sum(size.values())
+        if level is None or whole <= self.max_bytes:
+            return F.broadcast(df) if whole <= self.max_bytes else df
+        part = df.filter(level_of(F.col("scope")) == level)
+        return F.broadcast(part) if size.get(level, 0) <= self.max_bytes else part
 
     def side(self, level: str | None = None) -> DataFrame:
         """The interval rows for ``level`` (all levels when None), with a
-        broadcast hint only behind the counted size bound."""
-        if level is None or sum(self.rows.values()) <= self.max_rows:
-            return self._sized(self.table, sum(self.rows.values()))
-        part = self.table.filter(level_of(F.col("scope")) == level)
-        return self._sized(part, self.rows.get(level, 0))
-
-    def has_slots(self, level: str | None = None) -> bool:
-        return bool(self.hot.get(level, 0) if level is not None else sum(self.hot.values()))
-
-    def with_cell(self, df: DataFrame, key: Column, ts: Column, bucket_out: str, slot_out: str,
-                  level: str | None = None) -> DataFrame:
-        """Adds the cell (``bucket_out``) and slot (``slot_out``) of each probe
-        row whose scope key is ``key`` at time ``ts``."""
-        d = df.withColumn(bucket_out, F.floor(ts / F.lit(self.bucket_ms)).cast("bigint"))
-        if not self.has_slots(level):
-            return d.withColumn(slot_out, F.lit(0).cast("bigint"))
-        dense = self.dense if level is None else self.dense.filter(level_of(F.col("scope")) == level)
-        n = sum(self.hot.values()) if level is None else self.hot[level]
-        look = self._sized(dense.select(F.col("scope").alias("_d_scope"), F.col("bucket").alias("_d_b"),
-                                        F.col("_slots").alias("_d_slots")), n)
-        d = d.join(look, (key == F.col("_d_scope")) & (F.col(bucket_out) == F.col("_d_b")), "left")
-        return (d.withColumn(slot_out, F.coalesce(slot_of(ts, F.col(bucket_out), F.col("_d_slots"),
-                                                          self.bucket_ms), F.lit(0).cast("bigint")))
-                .drop("_d_scope", "_d_b", "_d_slots"))
+        broadcast hint only behind the measured size bound."""
+        return self._part(self.table, self.bytes, level)
 
+    def with_leaf(self, df: DataFrame, key: Column, ts: Column, out: str, level: str | None = None) -> DataFrame:
+        """Adds the leaf (``out``) of each probe row whose scope key is ``key`` at time ``ts``."""
+        # a probe without a time is in no leaf
+        d = df.withColumn(out, F.when(ts.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("bigint"))
+        for nodes, size in reversed(self.nodes):
+            if level is not None and not size.get(level):
+                continue
+            n = self._part(nodes, size, level).select(*[F.col(c).alias(f"_n_{c}") for c in ("scope", "parent", "node", "start", "end")])
+            cond = ((key == F.col("_n_scope")) & (F.col(out) == F.col("_n_parent")) & (F.col("_n_start") <= ts)
+                    & (F.col("_n_end").isNull() | (ts < F.col("_n_end"))))
+            d = (d.join(n, cond, "left").withColumn("_next", F.coalesce("_n_node", F.least(F.col(out), F.lit(0).cast("bigint"))))
+                 .drop(out, "_n_scope", "_n_parent", "_n_node", "_n_start", "_n_end").withColumnRenamed("_next", out))
+        return d
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a counted size bound; ``df`` should be
-    materialised (checkpointed) so the count does not recompute its lineage."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def _div(n: Column, k: int) -> Column:
+    return F.floor(n / F.lit(k)).cast("bigint")
 
 
-def order_horizon(orders: DataFrame) -> int:
-    """Latest order time (one scalar; partial max per task)."""
-    v = orders.agg(F.max("ts")).first()[0]
-    return int(v) if v is not None else 0
+def sized_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast hint only behind a measured size bound; ``df`` should be
+    materialised (checkpointed) so the pass does not recompute its lineage."""
+    return F.broadcast(df) if (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= max_bytes else df
 
 
 def _lookup_level(orders: DataFrame, index: IntervalIndex, prefix: str, key: Column) -> DataFrame:
-    o = index.with_cell(orders.withColumn(f"_{prefix}_key", key), F.col(f"_{prefix}_key"),
-                        F.col("ts"), "_bucket", "_slot", prefix)
+    o = index.with_leaf(orders.withColumn(f"_{prefix}_key", key), F.col(f"_{prefix}_key"), F.col("ts"), "_leaf", prefix)
     side = index.side(prefix).select(
-        F.col("scope").alias(f"_{prefix}_scope"), F.col("bucket").alias(f"_{prefix}_b"),
-        F.col("slot").alias(f"_{prefix}_sl"), F.col("valid_from").alias(f"_{prefix}_from"),
+        F.col("scope").alias(f"_{prefix}_scope"), F.col("leaf").alias(f"_{prefix}_leaf"),
+        F.col("valid_from").alias(f"_{prefix}_from"),
         F.col("valid_to").alias(f"_{prefix}_to"),
         *[F.col(x).alias(f"{prefix}_{x}") for x in STATE_FIELDS])
     cond = ((F.col(f"_{prefix}_key") == F.col(f"_{prefix}_scope"))
-            & (F.col("_bucket") == F.col(f"_{prefix}_b"))
+            & (F.col("_leaf") == F.col(f"_{prefix}_leaf"))
             & (F.col(f"_{prefix}_from") <= F.col("ts"))
             & (F.col(f"_{prefix}_to").isNull() | (F.col("ts") < F.col(f"_{prefix}_to"))))
-    if index.has_slots(prefix):
-        cond = cond & (F.col("_slot") == F.col(f"_{prefix}_sl"))
     j = o.join(side, cond, "left")
-    return j.drop(f"_{prefix}_key", "_bucket", "_slot", f"_{prefix}_scope", f"_{prefix}_b",
-                  f"_{prefix}_sl", f"_{prefix}_from", f"_{prefix}_to")
+    return j.drop(f"_{prefix}_key", "_leaf", f"_{prefix}_scope", f"_{prefix}_leaf", f"_{prefix}_from", f"_{prefix}_to")
 
 
-def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY_MS,
-                      include_strategy: bool = False, horizon_ms: int | None = None,
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                      slot_target: int = SLOT_TARGET) -> DataFrame:
-    """Adds ``<p>_status``, ``<p>_reason``, ... per scope level as of each order.
-
-    The bucketed interval table is written once to the checkpoint folder
-    (shared by the level joins, lineage cut) and indexed by
-    ``IntervalIndex`` (dense cells cut into slots, size-checked broadcast).
-    """
-    iv = state_intervals(states)
-    if horizon_ms is None:
-        horizon_ms = order_horizon(orders)
-    index = IntervalIndex(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(), bucket_ms,
-                          max_broadcast_rows, slot_target)
+def attach_state_asof(orders: DataFrame, states: DataFrame, include_strategy: bool = False,
+                      max_broadcast_bytes: int = MAX_BROADCAST_BYTES, fanout: int = FANOUT) -> DataFrame:
+    """Adds ``<p>_status``, ``<p>_reason``, ... per scope level as of each order, through an
+    ``IntervalIndex`` that the level joins share."""
+    iv = state_intervals(states).select("scope", *STATE_FIELDS, "valid_from", "valid_to")
+    index = IntervalIndex(iv, max_broadcast_bytes, fanout)
     out = orders
     for prefix, key in scope_levels(include_strategy):
         out = _lookup_level(out, index, prefix, key)
@@ -260,8 +207,8 @@ def attach_state_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY
 
 def attach_state_snapshot(orders: DataFrame, snapshot: DataFrame,
                           include_strategy: bool = False,
-                          max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    parts = split_by_level(snapshot.checkpoint(), max_broadcast_rows)
+                          max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    parts = split_by_level(snapshot.checkpoint(), max_broadcast_bytes)
     out = orders
     for prefix, key in scope_levels(include_strategy):
         side = parts[prefix].select(F.col("scope").alias(f"_{prefix}_scope"),
@@ -331,18 +278,10 @@ def audit_rows(decided: DataFrame) -> DataFrame:
         "side", "qty", "price", "strategy", "kill_scope", "kill_cmd_id", "kill_corr_id", "kill_ts")
 
 
-def gate_asof(orders: DataFrame, states: DataFrame, bucket_ms: int = DAY_MS,
-              include_strategy: bool = False, horizon_ms: int | None = None,
-              max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-              slot_target: int = SLOT_TARGET) -> DataFrame:
-    """orders + state history -> audit rows (exact as-of decisions).
-
-    ``horizon_ms`` bounds open intervals; pass a cheap upper bound of the
-    order times (e.g. a one-column max of the source table) to avoid a pass
-    over a derived order view."""
-    return audit_rows(decide(attach_state_asof(orders, states, bucket_ms, include_strategy,
-                                               horizon_ms, max_broadcast_rows, slot_target),
-                             include_strategy))
+def gate_asof(orders: DataFrame, states: DataFrame, include_strategy: bool = False,
+              max_broadcast_bytes: int = MAX_BROADCAST_BYTES, fanout: int = FANOUT) -> DataFrame:
+    """orders + state history -> audit rows (exact as-of decisions)."""
+    return audit_rows(decide(attach_state_asof(orders, states, include_strategy, max_broadcast_bytes, fanout), include_strategy))
 
 
 def gate_snapshot(orders: DataFrame, snapshot: DataFrame, include_strategy: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import DECISION_ALLOW, DECISION_DROP, normalise_epoch_ms, short_id
-from .gate import DAY_MS, MAX_BROADCAST_ROWS, SLOT_TARGET, IntervalIndex, bucketed_intervals
+from .gate import FANOUT, MAX_BROADCAST_BYTES, IntervalIndex
 from .state import latest_by_key
 
 
@@ -203,9 +203,8 @@ def correlation_trace(commands: DataFrame, snapshot: DataFrame, audit: DataFrame
             .withColumn("orders_dropped", F.coalesce(F.col("orders_dropped"), F.lit(0))))
 
 
-def drops_by_activation(audit: DataFrame, intervals: DataFrame, horizon_ms: int,
-                        bucket_ms: int = DAY_MS, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                        slot_target: int = SLOT_TARGET) -> DataFrame:
+def drops_by_activation(audit: DataFrame, intervals: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                        fanout: int = FANOUT) -> DataFrame:
     """JOIN-8: dropped orders attributed to the kill activation whose
     [kill_ts, unkill_ts) contains them, on the killing scope.
 
@@ -214,25 +213,22 @@ def drops_by_activation(audit: DataFrame, intervals: DataFrame, horizon_ms: int,
     order, so it lies in the same activation as the order. Drops are
     counted per killing record first (map-side partial counts: a hot kill
     is pre-combined per task, at most one row per state record leaves the
-    order side); only those counts meet the activations, in a range join on
-    (scope, day, slot) through ``IntervalIndex`` with a size-checked
-    broadcast. Activations without drops get 0."""
+    order side); only those counts meet the activations, in a range join
+    through ``IntervalIndex`` with a size-checked broadcast. Activations
+    without drops get 0."""
     per_record = (audit.filter(F.col("decision") == DECISION_DROP)
                   .groupBy("kill_scope", F.col("kill_ts").alias("rec_ts"))
                   .agg(F.count(F.lit(1)).alias("_n")))
     intervals = intervals.checkpoint()  # read twice below
     iv = intervals.select("scope", "kill_cmd_id", F.col("kill_ts").alias("valid_from"),
                           F.col("unkill_ts").alias("valid_to"))
-    index = IntervalIndex(bucketed_intervals(iv, horizon_ms, bucket_ms).checkpoint(), bucket_ms,
-                          max_broadcast_rows, slot_target)
-    biv = index.side()
-    d = index.with_cell(per_record, F.col("kill_scope"), F.col("rec_ts"), "_b", "_sl")
-    cond = ((d.kill_scope == biv.scope) & (d._b == biv.bucket)
-            & (biv.valid_from <= d.rec_ts)
-            & (biv.valid_to.isNull() | (d.rec_ts < biv.valid_to)))
-    if index.has_slots():
-        cond = cond & (d._sl == biv.slot)
-    per = (d.join(biv, cond, "inner").groupBy("kill_cmd_id")
+    index = IntervalIndex(iv, max_broadcast_bytes, fanout)
+    side = index.side()
+    d = index.with_leaf(per_record, F.col("kill_scope"), F.col("rec_ts"), "_leaf")
+    cond = ((d.kill_scope == side.scope) & (d._leaf == side.leaf)
+            & (side.valid_from <= d.rec_ts)
+            & (side.valid_to.isNull() | (d.rec_ts < side.valid_to)))
+    per = (d.join(side, cond, "inner").groupBy("kill_cmd_id")
            .agg(F.sum("_n").alias("orders_dropped")))
     return (intervals.select("scope", "kill_ts", "unkill_ts", "duration_ms", "reason", "kill_cmd_id")
             .join(per, "kill_cmd_id", "left")

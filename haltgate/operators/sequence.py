@@ -44,6 +44,18 @@ def neighbour_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Col
             .drop("_bk", "_nb", "_carry"))
 
 
+def number_in_key(df: DataFrame, key: str, order_cols: list[str], bucket: Column, out: str) -> DataFrame:
+    """Adds ``out``: the row's number, from 0, among those of its ``key`` in ``order_cols``
+    order, from its number within (key, bucket) and the counts of earlier buckets."""
+    d = df.withColumn("_bk", bucket)
+    local = F.row_number().over(Window.partitionBy(key, "_bk").orderBy(*order_cols))
+    counts = d.groupBy(key, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    summary = counts.select(key, "_bk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return (d.withColumn("_local", local).join(summary, [key, "_bk"], "left")
+            .withColumn(out, F.col("_before") + F.col("_local") - 1).drop("_bk", "_local", "_before"))
+
+
 def day_bucket(ts_ms_col: str, bucket_ms: int = SEQ_BUCKET_MS) -> Column:
     return F.floor(F.col(ts_ms_col) / F.lit(bucket_ms)).cast("bigint")
 

@@ -3,14 +3,16 @@ DuckDB oracle statement. Every query reads the supplied tables in full."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle_sql as O
-from ..functions.columns import ACTION_THROTTLE, DECISION_THROTTLED, STATUS_THROTTLED, to_epoch_ms
+from ..functions.columns import (AUDIT_TTL_DAYS, ACTION_THROTTLE, ACTION_UNKILL, DECISION_DUPLICATE, DECISION_THROTTLED, STATUS_ACTIVE,
+                                 STATUS_THROTTLED, stable_id, to_epoch_ms)
 from ..operators import extensions as X
 from ..operators import reports as R
 from ..operators import state as S
@@ -18,17 +20,20 @@ from ..operators.breaches import breaches as _breaches
 from ..operators.breaches import kill_commands
 from ..operators.gate import gate_asof, gate_snapshot, gated_orders
 from ..operators.signals import risk_signals
-from ..params import (AUTO_UNKILL_COOLDOWN_MS, BOOK_PARAMS, DUPLICATE_MEMORY_MS, EVENT_PARAMS,
+from ..params import (interval_seconds, AUTO_UNKILL_COOLDOWN_MS, BOOK_PARAMS, DUPLICATE_MEMORY_MS, EVENT_PARAMS,
                       MULTI_WINDOW_SPECS, STRATEGY_PARAMS, SYMBOL_PARAMS,
-                      REPLAY_START_MS, RESEND_STEP_MS, THROTTLE_RATE_PER_SECOND)
+                      RESEND_STEP_MS, THROTTLE_RATE_PER_SECOND)
 from ..plans.world import World
+from ..schemas import STATE_SCHEMA
 from ..sources import commands as C
 from ..sources.orders import (ROUTER_ORDER_FIELDS, book_orders, decode_orders, event_orders,
                               split_valid_orders, to_keyed_json)
 from ..sources.tables import Tables
 from ..streaming import control as SC
-from ..streaming.detector import detector_streams, start_update_detector
-from ..streaming.io import file_stream, new_run_dir, split_files
+from ..streaming import stateful as SS
+from ..streaming.detector import detector_streams, multi_window_stream, start_update_detector
+from ..streaming.io import (ORDERS_TOPIC, STATE_TOPIC, compact_dates, expire_dates, feed, file_stream, new_run_dir, period_cuts,
+                            read_dated, split_topics)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -373,20 +378,20 @@ def q_recent_drops(spark, sf_dir):
 @register("audit_for_order", f"SELECT * FROM ({O.AUDIT}) WHERE order_id = '4242'")
 def q_audit_for_order(spark, sf_dir):
     """KEY-1: point lookup of one order's audit rows."""
-    return R.audit_for_order(World(spark, sf_dir).stored_audit(), "4242")
+    return R.audit_for_order(World(spark, sf_dir).audit_of(order_id="4242"), "4242")
 
 
 @register("audit_for_account", f"SELECT * FROM ({O.AUDIT}) WHERE account_id = '42'")
 def q_audit_for_account(spark, sf_dir):
     """KEY-2: one account's audit rows, time-ordered."""
-    return R.audit_for_account(World(spark, sf_dir).stored_audit(), "42")
+    return R.audit_for_account(World(spark, sf_dir).audit_of(account_id="42"), "42")
 
 
 @register("dropped_orders", f"""
 SELECT * FROM ({O.AUDIT}) WHERE decision = 'DROP' ORDER BY ts, order_id LIMIT 100""")
 def q_dropped_orders(spark, sf_dir):
     """KEY-3: dropped orders, first 100."""
-    return R.dropped_orders(World(spark, sf_dir).stored_audit(), 100)
+    return R.dropped_orders(World(spark, sf_dir).reported_audit(), 100)
 
 
 @register("state_for_scope", f"SELECT * FROM ({O.SNAPSHOT}) WHERE scope = 'GLOBAL'")
@@ -428,7 +433,7 @@ FROM k LEFT JOIN d ON k.kill_cmd_id = d.kill_cmd_id"""
 
 def _activations(spark, sf_dir):
     w = World(spark, sf_dir)
-    return R.drops_by_activation(w.reported_audit(), S.kill_intervals(w.states()), w.event_horizon())
+    return R.drops_by_activation(w.reported_audit(), S.kill_intervals(w.states()))
 
 
 @register("drops_by_activation", _ACTIVATIONS_SQL)
@@ -483,7 +488,7 @@ def q_strategy_gate_audit(spark, sf_dir):
     w = World(spark, sf_dir)
     strat = S.state_records(X.strategy_kill_commands(w.orders(), STRATEGY_PARAMS))
     states = w.states().unionByName(strat)
-    return gate_asof(w.orders(), states, include_strategy=True, horizon_ms=w.event_horizon())
+    return gate_asof(w.orders(), states, include_strategy=True)
 
 
 def _multi_sql() -> str:
@@ -564,7 +569,7 @@ def q_throttle_audit(spark, sf_dir):
     return X.decision_audit(decided, DECISION_THROTTLED, X.REASON_THROTTLED, STATUS_THROTTLED)
 
 
-@register("duplicate_orders", f"""
+_DUPLICATES_SQL = f"""
 WITH RECURSIVE b AS (
   SELECT order_id, split_part(order_id, '-', 1) AS client_order_id, account_id,
          ts + (CAST(split_part(order_id, '-', 2) AS BIGINT) - 1) * {RESEND_STEP_MS} AS ts
@@ -580,14 +585,31 @@ r AS (SELECT b.*, op.ts AS seen, row_number() OVER (PARTITION BY b.client_order_
 SELECT order_id, client_order_id, ts, account_id,
        CASE WHEN NOT (seen = ts AND k = 1) THEN seen END AS prev_seen_ts,
        CASE WHEN seen = ts AND k = 1 THEN 'NEW' ELSE 'DUPLICATE' END AS decision
-FROM r""")
+FROM r"""
+
+
+@register("duplicate_orders", _DUPLICATES_SQL)
 def q_duplicates(spark, sf_dir):
     """EXT-3: client order ids repeated within an hour of the first -> DUPLICATE.
     The lines of a book order are taken as repeats of it, 25 minutes apart."""
+    return X.duplicate_decisions(resent_orders(spark, sf_dir), "client_order_id", DUPLICATE_MEMORY_MS)
+
+
+def resent_orders(spark, sf_dir) -> DataFrame:
     part = F.split("order_id", "-")
-    book = (bk_orders(spark, sf_dir).withColumn("client_order_id", part.getItem(0))
+    return (bk_orders(spark, sf_dir).withColumn("client_order_id", part.getItem(0))
             .withColumn("ts", F.col("ts") + (part.getItem(1).cast("bigint") - 1) * RESEND_STEP_MS))
-    return X.duplicate_decisions(book, "client_order_id", DUPLICATE_MEMORY_MS)
+
+
+@register("duplicate_audit", f"""
+SELECT ts, decision, order_id, account_id, b.symbol, 'ACCOUNT:' || account_id AS scope_matches, 'ACTIVE' AS killswitch_status,
+       'Duplicate order id' AS reason, sha256(concat_ws('|', 'audit', order_id)) AS corr_id, 'order_router' AS service
+FROM ({_DUPLICATES_SQL}) d JOIN (SELECT order_id, symbol FROM ({O.BOOK_ORDERS})) b USING (order_id) WHERE decision = 'DUPLICATE'""")
+def q_duplicate_audit(spark, sf_dir):
+    """EXT-3: the audit records of duplicates."""
+    orders = resent_orders(spark, sf_dir)
+    return X.decision_audit(X.duplicate_decisions(orders, "client_order_id", DUPLICATE_MEMORY_MS, keep=("symbol",)),
+                            DECISION_DUPLICATE, X.REASON_DUPLICATE, STATUS_ACTIVE)
 
 
 # Every 7th record of the log is cut short and every 11th has no account.
@@ -615,13 +637,9 @@ def q_router_json_log(spark, sf_dir):
                 .select(F.col("decision").alias("outcome"), F.lit(None).cast("string").alias("missing_fields"))
                 .unionByName(bad.select(F.lit("REJECT").alias("outcome"), "missing_fields")))
     return outcomes.groupBy("outcome", "missing_fields").agg(F.count(F.lit(1)).alias("orders"))
-    # a rejected line keeps its raw text; the broken ones are told apart by the log's key
-    keyed = log.join(bad.select(F.rtrim("raw").alias("value"), "missing_fields").distinct(), "value", "left_semi") if False else log
-    rejected = decode_orders(keyed, required=ROUTER_ORDER_FIELDS)[1]
-    return gated.unionByName(rejected.select(F.lit(None).cast("string").alias("order_id"), F.lit("REJECT").alias("outcome"), "missing_fields"))
 
 
-@register("auto_unkill_commands", f"""
+_AUTO_UNKILL_SQL = f"""
 WITH bw AS (SELECT substr(scope, 9) AS account_id, ts - {EVENT_PARAMS.window_ms} AS w_start, ts AS w_end
             FROM ({O.EVENT_COMMANDS})),
 nx AS (SELECT *, lead(w_start) OVER (PARTITION BY account_id ORDER BY w_start) AS nxs FROM bw),
@@ -637,7 +655,10 @@ SELECT sha256(concat_ws('|', 'auto', kill_cmd_id)) AS cmd_id, episode_end + {AUT
        scope, 'UNKILL' AS action, 'Auto unkill after cooldown' AS reason, 'spark' AS triggered_by,
        CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS value,
        sha256(concat_ws('|', 'autocorr', kill_cmd_id)) AS corr_id
-FROM j WHERE unkill_ts IS NULL OR unkill_ts >= episode_end + {AUTO_UNKILL_COOLDOWN_MS}""")
+FROM j WHERE unkill_ts IS NULL OR unkill_ts >= episode_end + {AUTO_UNKILL_COOLDOWN_MS}"""
+
+
+@register("auto_unkill_commands", _AUTO_UNKILL_SQL)
 def q_auto_unkill(spark, sf_dir):
     """EXT-5: release detector kills after a calm cooldown unless an operator acted."""
     w = World(spark, sf_dir)
@@ -645,30 +666,72 @@ def q_auto_unkill(spark, sf_dir):
     return X.auto_unkill_commands(b, S.kill_intervals(w.states()), AUTO_UNKILL_COOLDOWN_MS)
 
 
+# Operators hold some accounts (no automatic release) and let go of others.
+_HOLDS = f"""
+SELECT sha256(concat_ws('|', 'hold', CAST(event_id AS VARCHAR))) AS cmd_id, epoch_us(ts) // 1000 AS ts,
+       'ACCOUNT:' || CAST(user_id AS VARCHAR) AS scope, CASE WHEN k >= 60 THEN 'HOLD' ELSE 'UNHOLD' END AS action,
+       'ops-console' AS triggered_by
+FROM ({O.EVENTS_K}) WHERE event_type = 'purchase' AND (k >= 60 OR k < 10)"""
+
+
+def holds(events: DataFrame) -> DataFrame:
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    return events.filter((F.col("event_type") == "purchase") & ((k >= 60) | (k < 10))).select(
+        stable_id(F.lit("hold"), "event_id").alias("cmd_id"), to_epoch_ms("ts").alias("ts"),
+        F.concat(F.lit("ACCOUNT:"), F.col("user_id").cast("string")).alias("scope"),
+        F.when(k >= 60, F.lit(SS.ACTION_HOLD)).otherwise(F.lit(SS.ACTION_UNHOLD)).alias("action"), F.lit("ops-console").alias("triggered_by"))
+
+
+@register("auto_unkill_held", f"""
+SELECT * FROM ({_AUTO_UNKILL_SQL}) WHERE scope NOT IN (
+  SELECT scope FROM (SELECT scope, max_by(action, ts) AS action FROM ({_HOLDS}) GROUP BY scope) WHERE action = 'HOLD')""")
+def q_auto_unkill_held(spark, sf_dir):
+    """EXT-5: scopes that an operator holds are not released."""
+    w = World(spark, sf_dir)
+    held = holds(w.t.events).groupBy("scope").agg(F.max_by("action", "ts").alias("action")).filter(F.col("action") == SS.ACTION_HOLD)
+    return X.auto_unkill_commands(_breaches(w.signals(), EVENT_PARAMS), S.kill_intervals(w.states()), AUTO_UNKILL_COOLDOWN_MS, held=held)
+
+
 # -- streaming drivers (file source, availableNow) ---------------------------------
 
 
 
 
-def _run_to_files(df: DataFrame, run: str, mode: str = "append") -> DataFrame:
-    spark = df.sparkSession
-    out = f"{run}/out"
-    q = (df.writeStream.format("parquet").outputMode(mode).option("path", out)
-         .option("checkpointLocation", f"{run}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+#: The supplied events reach the streaming drivers in so many turns, periods of equal length: state is
+#: carried over batches and changes between them.
+TURNS = 4
 
 
-# The supplied events reach the streaming drivers in four files, cut at these
-# times (inside a day, so inside windows), one file a batch: state is carried
-# over batches and changes between them.
-STREAM_CUTS_MS = [REPLAY_START_MS + d * 86_400_000 + 13 * 3_600_000 for d in (7, 14, 21)]
+def _turns(spark, sf_dir, run: str, start: Callable[[DataFrame], object]) -> None:
+    """Replays the events; in every turn ``start`` gets the stream of all there is so far and
+    starts its queries (one, or several that run one after another)."""
+    _replay(Tables(spark, sf_dir).events, to_epoch_ms("ts"), run, start)
 
 
-def _event_stream(spark, sf_dir, run: str) -> DataFrame:
-    events = Tables(spark, sf_dir).events
-    path = split_files(events, to_epoch_ms("ts"), STREAM_CUTS_MS, f"{run}/events")
-    return file_stream(spark, path, events.schema)
+def _replay(table: DataFrame, ts: Column, run: str, start: Callable[[DataFrame], object]) -> None:
+    def turn() -> None:
+        for q in start(file_stream(table.sparkSession, f"{run}/in", table.schema)):
+            q().awaitTermination()
+
+    feed(table, ts, period_cuts(table, ts, TURNS), f"{run}/in", turn)
+
+
+def _to_files(df: DataFrame, run: str, mode: str = "append"):
+    return lambda: (df.writeStream.format("parquet").outputMode(mode).option("path", f"{run}/out")
+                    .option("checkpointLocation", f"{run}/ck").trigger(availableNow=True).start())
+
+
+def _cut_sql(k: int) -> str:
+    return f"(SELECT min(t) + (max(t) - min(t)) * {k} // {TURNS} FROM (SELECT epoch_us(ts) // 1000 AS t FROM events))"
+
+
+def _until(sql: str, column: str, hi: str | None, lo: str | None = None) -> str:
+    """Rows of a period; those without a time are in the first."""
+    conds = [f"({column} < {hi}{'' if lo else f' OR {column} IS NULL'})" if hi else "true", f"{column} >= {lo}" if lo else "true"]
+    return f"SELECT * FROM ({sql}) WHERE {' AND '.join(conds)}"
+
+
+_EDGES = [None, *[_cut_sql(k) for k in range(1, TURNS)], None]
 
 
 _CLOSED = (f"epoch_ms(window_end) <= (SELECT max(epoch_us(ts) // 1000) FROM events) "
@@ -679,8 +742,8 @@ _CLOSED = (f"epoch_ms(window_end) <= (SELECT max(epoch_us(ts) // 1000) FROM even
 def q_stream_signals(spark, sf_dir):
     """SRC-1 / STR-1..3 / SNK-1: streaming signals, append mode with watermark."""
     run = new_run_dir(spark, "stream-signals")
-    sig, _ = detector_streams(event_orders(_event_stream(spark, sf_dir, run)), EVENT_PARAMS)
-    return _run_to_files(sig, run)
+    _turns(spark, sf_dir, run, lambda ev: [_to_files(detector_streams(event_orders(ev), EVENT_PARAMS)[0], run)])
+    return spark.read.parquet(f"{run}/out")
 
 
 @register("stream_kill_commands", f"""
@@ -688,8 +751,8 @@ SELECT * FROM ({O.EVENT_COMMANDS}) WHERE ts <= (SELECT max(epoch_us(ts) // 1000)
 def q_stream_commands(spark, sf_dir):
     """SNK-2 / STR-4: streaming kill commands (one per closed breached window)."""
     run = new_run_dir(spark, "stream-commands")
-    _, cmd = detector_streams(event_orders(_event_stream(spark, sf_dir, run)), EVENT_PARAMS)
-    return _run_to_files(cmd, run)
+    _turns(spark, sf_dir, run, lambda ev: [_to_files(detector_streams(event_orders(ev), EVENT_PARAMS)[1], run)])
+    return spark.read.parquet(f"{run}/out")
 
 
 _OP_SNAPSHOT = f"""
@@ -700,13 +763,15 @@ SELECT scope, status, updated_ts, updated_by, reason, last_cmd_id, corr_id FROM
 
 def _stream_state(spark, sf_dir) -> str:
     run = new_run_dir(spark, "stream-state")
-    cmds = C.event_commands(_event_stream(spark, sf_dir, run))
-    q = SC.start_aggregator(cmds, f"{run}/state", f"{run}/ck-agg", {"availableNow": True},
-                            {"format": "json", "path": f"{run}/state-log"})
-    q.awaitTermination()
+    _turns(spark, sf_dir, run, lambda ev: [_aggregator(C.event_commands(ev), run)])
     return run
 
 
+def _aggregator(commands: DataFrame, run: str):
+    return lambda: SC.start_aggregator(commands, f"{run}/state", f"{run}/ck-agg", {"availableNow": True},
+                                       {"format": "json", "path": f"{run}/state-log"})
+
+
 @register("stream_state_snapshot", _OP_SNAPSHOT)
 def q_stream_state(spark, sf_dir):
     """SRC-3 / WIN-1 / SNK-8 / STR-5,6: foreachBatch state aggregator."""
@@ -721,15 +786,10 @@ def q_stream_state_log(spark, sf_dir):
     return SC.snapshot_from_log(spark, f"{run}/state-log")
 
 
-def _until(sql: str, column: str, hi: int | None, lo: int | None = None) -> str:
-    conds = [f"{column} < {hi}" if hi is not None else "true", f"{column} >= {lo}" if lo is not None else "true"]
-    return f"SELECT * FROM ({sql}) WHERE {' AND '.join(conds)}"
-
-
 def _turns_sql() -> str:
     """Orders of each period against the state at the period's end."""
-    edges, parts = [None, *STREAM_CUTS_MS, None], []
-    for lo, hi in zip(edges[:-1], edges[1:]):
+    parts = []
+    for lo, hi in zip(_EDGES[:-1], _EDGES[1:]):
         commands = _until(O.OPERATOR_EVENT_COMMANDS, "ts", hi)
         snapshot = f"""SELECT * EXCLUDE (rn) FROM (
           SELECT *, row_number() OVER (PARTITION BY scope ORDER BY updated_ts DESC, last_cmd_id DESC) AS rn
@@ -739,20 +799,12 @@ def _turns_sql() -> str:
 
 
 def _stream_routed(spark, sf_dir) -> str:
-    """Aggregator and router take turns, a file each: the state that the router
+    """Aggregator and router take turns, a period each: the state that the router
     knows from the published records changes between its batches."""
     run = new_run_dir(spark, "stream-route")
-    events = Tables(spark, sf_dir).events
-    ts, edges = to_epoch_ms("ts"), [None, *STREAM_CUTS_MS, None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        part = events if lo is None else events.filter(ts >= lo)
-        (part if hi is None else part.filter(ts < hi)).coalesce(1).write.mode("append").parquet(f"{run}/events")
-        stream = file_stream(spark, f"{run}/events", events.schema)
-        SC.start_aggregator(C.event_commands(stream), f"{run}/state", f"{run}/ck-agg", {"availableNow": True},
-                            {"format": "json", "path": f"{run}/state-log"}).awaitTermination()
-        SC.start_router(event_orders(stream), f"{run}/state", f"{run}/routed", f"{run}/ck-router", {"availableNow": True},
-                        state_log=f"{run}/state-log", sinks={k: {"format": "json", "path": f"{run}/{k}-log"} for k in ("gated", "audit")},
-                        ).awaitTermination()
+    sinks = {k: {"format": "json", "path": f"{run}/{k}-log"} for k in ("gated", "audit")}
+    _turns(spark, sf_dir, run, lambda ev: [_aggregator(C.event_commands(ev), run), lambda: SC.start_router(
+        event_orders(ev), f"{run}/state", f"{run}/routed", f"{run}/ck-router", {"availableNow": True}, state_log=f"{run}/state-log", sinks=sinks)])
     return run
 
 
@@ -772,6 +824,14 @@ def q_stream_published(spark, sf_dir):
                                for c, t in (("order_id", "string"), ("symbol", "string"), ("qty", "int"))])
 
 
+@register("stream_published_audit", f"""
+SELECT order_id AS key, account_id, decision, kill_cmd_id FROM ({_turns_sql()})""")
+def q_stream_published_audit(spark, sf_dir):
+    """SNK-6: audit records as published, keyed by order."""
+    log = spark.read.schema("key string, value string").json(f"{_stream_routed(spark, sf_dir)}/audit-log")
+    return log.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in ("account_id", "decision", "kill_cmd_id")])
+
+
 @register("stream_audit_index", f"""
 SELECT CAST(epoch_ms(ts) AS DATE) AS date, decision, count(*) AS orders FROM ({_turns_sql()}) GROUP BY ALL""")
 def q_stream_audit_index(spark, sf_dir):
@@ -782,12 +842,27 @@ def q_stream_audit_index(spark, sf_dir):
 
 
 
+# The index as of ten days after its newest order: dates below the retention are gone.
+_INDEX_LAG_DAYS = 10
+
+
+@register("stream_audit_index_kept", f"""
+SELECT CAST(epoch_ms(ts) AS DATE) AS date, decision, count(*) AS orders FROM ({_turns_sql()})
+WHERE CAST(epoch_ms(ts) AS DATE) >= (SELECT CAST(max(ts) AS DATE) + {_INDEX_LAG_DAYS - AUDIT_TTL_DAYS} FROM events) GROUP BY ALL""")
+def q_stream_index_kept(spark, sf_dir):
+    """SNK-7 / PRJ-19: the index after maintenance: closed dates compacted, expired ones gone."""
+    path = f"{_stream_routed(spark, sf_dir)}/routed/audit_index"
+    newest = spark.read.parquet(path).agg(F.max("date")).first()[0]
+    if newest is not None:
+        compact_dates(spark, path, newest)
+        expire_dates(spark, path, newest + datetime.timedelta(days=_INDEX_LAG_DAYS), AUDIT_TTL_DAYS)
+    return read_dated(spark, path).groupBy("date", "decision").agg(F.count(F.lit(1)).alias("orders"))
+
+
 def _update_run(spark, sf_dir, first_only: bool) -> str:
     run = new_run_dir(spark, "stream-update")
-    orders = event_orders(_event_stream(spark, sf_dir, run))
-    q = start_update_detector(orders, EVENT_PARAMS, f"{run}/out", f"{run}/ck", {"availableNow": True},
-                              first_breach_only=first_only)
-    q.awaitTermination()
+    _turns(spark, sf_dir, run, lambda ev: [lambda: start_update_detector(
+        event_orders(ev), EVENT_PARAMS, f"{run}/out", f"{run}/ck", {"availableNow": True}, first_breach_only=first_only)])
     return run
 
 
@@ -803,9 +878,9 @@ def q_stream_update_signals(spark, sf_dir):
 
 
 def _first_breach_sql() -> str:
-    """Commands as each file's end sees the windows; the first one of a window."""
+    """Commands as each period's end sees the windows; the first one of a window."""
     parts = [f"SELECT {k} AS turn, * FROM ({O.commands_sql(O.signals_sql(_until(O.EVENT_ORDERS, 'ts', hi), EVENT_PARAMS), EVENT_PARAMS)})"
-             for k, hi in enumerate([*STREAM_CUTS_MS, None])]
+             for k, hi in enumerate(_EDGES[1:])]
     return f"""
 SELECT * EXCLUDE (turn, k) FROM (
   SELECT *, row_number() OVER (PARTITION BY corr_id ORDER BY turn) AS k FROM ({' UNION ALL '.join(parts)})) WHERE k = 1"""
@@ -816,3 +891,140 @@ def q_stream_first_breach(spark, sf_dir):
     """STR-4 ("first breach only"): a window's command is written once."""
     run = _update_run(spark, sf_dir, True)
     return SC.read_batches(spark, f"{run}/out/commands").drop("batch_id")
+
+
+# -- stateful streams ------------------------------------------------------------
+
+@register("stream_multi_window_commands", f"""
+SELECT * FROM ({_multi_sql()}) WHERE ts <= (SELECT max(epoch_us(ts) // 1000) FROM events) - {interval_seconds(MULTI_WINDOW_SPECS[0].watermark) * 1000}""")
+def q_stream_multi_window(spark, sf_dir):
+    """EXT-4 as a stream: the commands of closed windows of three widths."""
+    run = new_run_dir(spark, "stream-windows")
+    _turns(spark, sf_dir, run, lambda ev: [_to_files(multi_window_stream(event_orders(ev), MULTI_WINDOW_SPECS), run)])
+    return spark.read.parquet(f"{run}/out")
+
+
+@register("stream_duplicate_orders", _DUPLICATES_SQL)
+def q_stream_duplicates(spark, sf_dir):
+    """EXT-3 as a stream: the memory is carried over batches and restarts."""
+    run = new_run_dir(spark, "stream-duplicates")
+    orders = resent_orders(spark, sf_dir).select("order_id", "client_order_id", "ts", "account_id")
+    _replay(orders, F.col("ts"), run, lambda o: [_to_files(SS.duplicate_stream(o, "client_order_id", DUPLICATE_MEMORY_MS), run)])
+    return spark.read.parquet(f"{run}/out")
+
+
+# A THROTTLE for every kill of the book's detector, lifted after a while for some accounts.
+THROTTLE_DAYS = 90
+_THROTTLE_LOG = f"""
+SELECT cmd_id, ts, scope, 'THROTTLE' AS action, {float(THROTTLE_RATE_PER_SECOND)} AS value FROM ({O.BOOK_COMMANDS})
+UNION ALL SELECT sha256(concat_ws('|', 'lift', cmd_id)), ts + {THROTTLE_DAYS * 86_400_000}, scope, 'UNKILL', NULL FROM ({O.BOOK_COMMANDS})
+WHERE CAST(substr(scope, 9) AS BIGINT) % 3 = 0"""
+
+
+def throttle_log(spark, sf_dir) -> DataFrame:
+    kills = kill_commands(risk_signals(bk_orders(spark, sf_dir), BOOK_PARAMS), BOOK_PARAMS)
+    some = kills.filter(F.substring("scope", 9, 20).cast("bigint") % 3 == 0)
+    return (kills.select("cmd_id", "ts", "scope", F.lit(ACTION_THROTTLE).alias("action"), F.lit(float(THROTTLE_RATE_PER_SECOND)).alias("value"))
+            .unionByName(some.select(stable_id(F.lit("lift"), "cmd_id").alias("cmd_id"), (F.col("ts") + THROTTLE_DAYS * 86_400_000).alias("ts"), "scope",
+                                     F.lit(ACTION_UNKILL).alias("action"), F.lit(None).cast("double").alias("value"))))
+
+
+@register("stream_throttle_decisions", f"""
+WITH p AS (SELECT scope, ts, max_by(CASE WHEN action = 'THROTTLE' THEN CAST(value AS INTEGER) END, cmd_id) FILTER (WHERE cmd_id = last) AS rate
+           FROM (SELECT *, max(cmd_id) OVER (PARTITION BY scope, ts) AS last FROM ({_THROTTLE_LOG})) GROUP BY scope, ts),
+o AS (SELECT o.*, p.rate AS max_rate_per_second FROM (SELECT *, 'ACCOUNT:' || account_id AS scope FROM ({O.BOOK_ORDERS})) o
+      ASOF LEFT JOIN p ON p.scope = o.scope AND o.ts >= p.ts)
+SELECT order_id, ts, account_id, symbol, max_rate_per_second,
+       CASE WHEN max_rate_per_second IS NULL
+              OR row_number() OVER (PARTITION BY account_id, ts // 1000 ORDER BY ts, order_id) <= max_rate_per_second
+            THEN 'ALLOW' ELSE 'THROTTLED' END AS decision
+FROM o""")
+def q_stream_throttle(spark, sf_dir):
+    """EXT-2 as a stream: orders and THROTTLE / UNKILL commands in one tagged input."""
+    run = new_run_dir(spark, "stream-throttle")
+    tagged = SS.throttle_input(bk_orders(spark, sf_dir), throttle_log(spark, sf_dir))
+    _replay(tagged, F.col("ts"), run, lambda t: [_to_files(SS.throttle_stream(t), run)])
+    return spark.read.parquet(f"{run}/out")
+
+
+_FOLLOWED = f"""
+SELECT cmd_id, ts, scope, action, triggered_by FROM ({O.COMMAND_LOG}) WHERE scope IS NOT NULL AND ts IS NOT NULL
+UNION ALL SELECT * FROM ({_HOLDS})"""
+# Commands are worked off up to a window before the watermark, an hour behind the newest.
+_COOLDOWN_WATERMARK = "1 hour"
+_WORKED_OFF = f"((SELECT max(ts) FROM ({_FOLLOWED})) - {interval_seconds(_COOLDOWN_WATERMARK) * 1000 + EVENT_PARAMS.window_ms})"
+_RELEASES = f"""
+WITH RECURSIVE c AS ({_FOLLOWED}),
+bw AS (SELECT scope, ts AS w_end, lead(ts - {EVENT_PARAMS.window_ms}) OVER (PARTITION BY scope ORDER BY ts) AS nxs
+       FROM (SELECT DISTINCT scope, ts FROM c WHERE action = 'KILL' AND triggered_by = 'spark')),
+ev AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY ts, kind, cmd_id) AS k FROM (
+  SELECT scope, ts, 1 AS kind, cmd_id, action, triggered_by FROM c
+  UNION ALL SELECT scope, w_end + {AUTO_UNKILL_COOLDOWN_MS}, 0, '', 'RELEASE', NULL FROM bw
+  WHERE nxs IS NULL OR nxs - w_end >= {AUTO_UNKILL_COOLDOWN_MS}) WHERE ts <= {_WORKED_OFF}),
+m AS (
+  SELECT DISTINCT scope, CAST(0 AS BIGINT) AS k, false AS killed, CAST(NULL AS VARCHAR) AS who, CAST(NULL AS VARCHAR) AS cmd, false AS held,
+         CAST(NULL AS BIGINT) AS released_at FROM ev
+  UNION ALL
+  SELECT m.scope, ev.k, CASE ev.action WHEN 'KILL' THEN true WHEN 'UNKILL' THEN false
+                             WHEN 'RELEASE' THEN m.killed AND (m.who IS DISTINCT FROM 'spark' OR m.held) ELSE m.killed END,
+         CASE WHEN ev.action = 'KILL' AND NOT m.killed THEN ev.triggered_by ELSE m.who END,
+         CASE WHEN ev.action = 'KILL' AND NOT m.killed THEN ev.cmd_id ELSE m.cmd END,
+         CASE ev.action WHEN 'HOLD' THEN true WHEN 'UNHOLD' THEN false ELSE m.held END,
+         CASE WHEN ev.action = 'RELEASE' AND m.killed AND m.who = 'spark' AND NOT m.held THEN ev.ts END
+  FROM m JOIN ev ON ev.scope = m.scope AND ev.k = m.k + 1)
+SELECT sha256(concat_ws('|', 'auto', cmd)) AS cmd_id, released_at AS ts, scope, 'UNKILL' AS action, 'Auto unkill after cooldown' AS reason,
+       'spark' AS triggered_by, CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS value, sha256(concat_ws('|', 'autocorr', cmd)) AS corr_id
+FROM m WHERE released_at IS NOT NULL"""
+
+
+def _release_run(spark, sf_dir) -> str:
+    """Command log -> releases -> command log -> state, a period at a time."""
+    run = new_run_dir(spark, "stream-release")
+    w = World(spark, sf_dir)
+    log = w.commands().unionByName(holds(w.t.events), allowMissingColumns=True)
+
+    def start(commands: DataFrame) -> list:
+        releases = SS.release_stream(commands, AUTO_UNKILL_COOLDOWN_MS, EVENT_PARAMS.window_ms, _COOLDOWN_WATERMARK)
+        return [_to_files(releases, run), lambda: _aggregator(commands.unionByName(
+            file_stream(spark, f"{run}/out", releases.schema)), run)()]
+
+    _replay(log, F.col("ts"), run, start)
+    return run
+
+
+@register("stream_auto_unkill", _RELEASES)
+def q_stream_auto_unkill(spark, sf_dir):
+    """EXT-5 as a stream: releases after the cooldown, with held scopes and operator overrides."""
+    return spark.read.parquet(f"{_release_run(spark, sf_dir)}/out")
+
+
+@register("stream_released_state", f"""
+SELECT scope, status, updated_ts, updated_by, reason, last_cmd_id, corr_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY scope ORDER BY updated_ts DESC, last_cmd_id DESC) AS rn
+  FROM ({O.state_records_sql(f"SELECT * FROM ({O.COMMAND_LOG}) UNION ALL SELECT * FROM ({_RELEASES})")})) WHERE rn = 1""")
+def q_stream_released_state(spark, sf_dir):
+    """EXT-5: the releases enter the command log and the state."""
+    return SC.latest_snapshot(spark, f"{_release_run(spark, sf_dir)}/state")
+
+
+@register("stream_interleaved_audit", O.gate_sql(O.EVENT_ORDERS, O.intervals_sql(O.state_records_sql(O.OPERATOR_EVENT_COMMANDS))))
+def q_stream_interleaved(spark, sf_dir):
+    """SRC-4: orders and state records in one subscription, each order decided by the state
+    that came before it."""
+    run = new_run_dir(spark, "stream-interleaved")
+    events = Tables(spark, sf_dir).events
+    states = S.state_records(C.event_commands(events))
+    orders = event_orders(events)
+    log = (to_keyed_json(orders, "account_id").select(F.lit(ORDERS_TOPIC).alias("topic"), "key", "value", F.get_json_object("value", "$.ts").cast("bigint").alias("at"))
+           .unionByName(to_keyed_json(states, "scope").select(F.lit(STATE_TOPIC).alias("topic"), "key", "value",
+                                                              F.get_json_object("value", "$.updated_ts").cast("bigint").alias("at"))))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def start(records: DataFrame) -> list:
+        parts = split_topics(records, [ORDERS_TOPIC, STATE_TOPIC])
+        good, _ = decode_orders(parts[ORDERS_TOPIC], required=ROUTER_ORDER_FIELDS)
+        changes = parts[STATE_TOPIC].select(F.from_json("value", STATE_SCHEMA).alias("s")).select("s.*")
+        return [_to_files(SS.interleaved_gate(SS.tagged_records(good, changes, buckets)), run)]
+
+    _replay(log, F.col("at"), run, start)
+    return spark.read.parquet(f"{run}/out")

@@ -5,18 +5,17 @@ events -> operator commands + console requests ┴-> command log -> state
 history -> snapshot / intervals -> gate (as-of) -> audit -> reports.
 
 The command log is checkpointed and the gate counts its state side when a
-plan is built; nothing is collected but scalars (counts, and the order-time
-horizon that bounds open state intervals).
+plan is built; nothing is collected but scalars (sizes of tables).
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ACCOUNT_PREFIX
 from ..operators.breaches import kill_commands
 from ..operators.gate import gate_asof
 from ..operators.signals import risk_signals
@@ -40,6 +39,15 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("date")
 
 
+def _is_number(column: str, text: str) -> Column:
+    """Whether a whole-number column reads as ``text``: a comparison that reaches the scan."""
+    try:
+        number = int(text)
+    except ValueError:
+        return F.lit(False)
+    return F.col(column) == F.lit(number) if str(number) == text and abs(number) < 2**63 else F.lit(False)
+
+
 def _memo(fn):
     """Build each derived DataFrame once per World (plans are immutable)."""
     name = "_memo_" + fn.__name__
@@ -103,15 +111,9 @@ class World:
     def snapshot(self) -> DataFrame:
         return fold_state(self.states())
 
-    @_memo
-    def event_horizon(self) -> int:
-        """Latest order time of the event view: a one-column max of ``events``."""
-        v = self.t.events.agg(F.max("ts")).first()[0]
-        return int(v.replace(tzinfo=timezone.utc).timestamp() * 1000) + 1 if v else 0
-
     @_memo
     def audit(self) -> DataFrame:
-        return gate_asof(self.orders(), self.states(), horizon_ms=self.event_horizon())
+        return gate_asof(self.orders(), self.states())
 
     def save_audit(self) -> str:
         """Gates the orders and stores the audit; the path is for ``audit_path`` of
@@ -133,8 +135,23 @@ class World:
         gate's rows as they come; one pass over them is not worth a table."""
         return self.stored_audit() if self.audit_path else self.audit()
 
+    def audit_of(self, order_id: str | None = None, account_id: str | None = None) -> DataFrame:
+        """The audit of one order or account. A decision needs only the order and the state,
+        so the key is looked up in the source, before the gate; from an audit at
+        ``audit_path`` it is read."""
+        if self.audit_path:
+            found = self.stored_audit()
+            found = found if order_id is None else found.filter(F.col("order_id") == order_id)
+            return found if account_id is None else found.filter(F.col("account_id") == account_id)
+        events, states = self.t.events, self.states()
+        if order_id is not None:
+            events = events.filter(_is_number("event_id", order_id))
+        if account_id is not None:
+            events = events.filter(_is_number("user_id", account_id))
+            states = states.filter(~F.col("scope").startswith(ACCOUNT_PREFIX) | (F.col("scope") == ACCOUNT_PREFIX + account_id))
+        return gate_asof(event_orders(events), states)
+
     @_memo
     def book_audit(self) -> DataFrame:
         """Gate at volume: the book replayed within the period of the commands."""
-        return gate_asof(replayed(self.book_orders(), REPLAY_START_MS, REPLAY_SPAN_MS), self.states(),
-                         horizon_ms=REPLAY_START_MS + REPLAY_SPAN_MS)
+        return gate_asof(replayed(self.book_orders(), REPLAY_START_MS, REPLAY_SPAN_MS), self.states())

@@ -17,6 +17,7 @@ from ..functions.columns import (ACTION_KILL, ACTION_UNKILL, OPERATOR_DEFAULT,
                                  ERR_PATH_UNKNOWN, REASON_OPERATOR_DEFAULT, SCOPE_GLOBAL, c, scope_error,
                                  stable_id, to_epoch_ms)
 from ..schemas import COMMAND_COLUMNS, COMMAND_SCHEMA
+from .orders import split_records
 
 EVENT_SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 
@@ -65,6 +66,17 @@ def event_commands(events: DataFrame) -> DataFrame:
     )
 
 
+# Fields without which the aggregator cannot use a command.
+REQUIRED_COMMAND_FIELDS = ["cmd_id", "scope", "action"]
+
+
+def decode_commands(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """JSON log records -> (commands, rejects), as ``decode_orders``."""
+    text = F.col(value_col).cast("string")
+    parsed = raw.select(text.alias("raw"), F.from_json(text, COMMAND_SCHEMA).alias("c"))
+    return split_records(parsed, "c", [F.when(F.col(f"c.{f}").isNull(), F.lit(f)) for f in REQUIRED_COMMAND_FIELDS])
+
+
 def command_log(detector_commands: DataFrame, operator_commands: DataFrame) -> DataFrame:
     """Full command history: detector KILLs and operator commands."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in COMMAND_SCHEMA.fields]

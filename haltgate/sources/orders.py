@@ -90,20 +90,25 @@ def decode_orders(raw: DataFrame, value_col: str = "value",
 
     ``from_json`` in permissive mode turns malformed text into a null-filled
     struct; rows missing a field of ``required`` go to ``rejects`` with the
-    raw text instead of becoming null-key rows downstream.
+    raw text instead of becoming null-key rows downstream. So do, where quantity
+    and price are required, rows whose amount is out of range or no number
+    (``notional`` among the missing fields).
     """
     parsed = raw.select(F.col(value_col).cast("string").alias("raw"),
                         F.from_json(F.col(value_col).cast("string"), ORDER_SCHEMA).alias("o"))
-    ok = None
-    for f in required:
-        cond = F.col(f"o.{f}").isNotNull()
-        ok = cond if ok is None else ok & cond
-    good = parsed.filter(ok).select("o.*")
-    missing = F.array_compact(F.array(*[
-        F.when(F.col(f"o.{f}").isNull(), F.lit(f)) for f in required]))
-    bad = (parsed.filter(~F.coalesce(ok, F.lit(False)))
-           .select("raw", F.concat_ws(",", missing).alias("missing_fields")))
-    return good, bad
+    faults = [F.when(F.col(f"o.{f}").isNull(), F.lit(f)) for f in required]
+    if {"qty", "price"} <= set(required):
+        priced = F.col("o.qty").isNotNull() & F.col("o.price").isNotNull()
+        faults.append(F.when(priced & notional_amount("o.qty", "o.price").isNull(), F.lit("notional")))
+    return split_records(parsed, "o", faults)
+
+
+def split_records(parsed: DataFrame, record: str, faults: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(records without a fault, raw text and faults of the others); a fault is a name,
+    or null where the record does not have it."""
+    marked = parsed.withColumn("missing_fields", F.concat_ws(",", F.array_compact(F.array(*faults))))
+    return (marked.filter(F.col("missing_fields") == "").select(f"{record}.*"),
+            marked.filter(F.col("missing_fields") != "").select("raw", "missing_fields"))
 
 
 def split_valid_orders(orders: DataFrame) -> tuple[DataFrame, DataFrame]:

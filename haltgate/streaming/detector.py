@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.breaches import kill_commands
+from ..operators.extensions import commands_of_windows
 from ..operators.signals import risk_signals, rollup_signals, symbol_counts
 from ..operators.state import latest_by_key
 from ..params import DEFAULT_PARAMS, RiskParams, interval_seconds
@@ -70,6 +71,19 @@ def start_detector(*args, **params) -> list[StreamingQuery]:
     return [start() for start in detector_starters(*args, **params).values()]
 
 
+def multi_window_stream(orders: DataFrame, specs: list[RiskParams]) -> DataFrame:
+    """EXT-4 as a stream: kill commands of several window widths in one query with one
+    watermark, the longest of the specs'. Every width has its own window
+    aggregations, whose shuffles carry partial aggregates, and closes its windows
+    as the watermark passes their ends."""
+    longest = max(specs, key=lambda p: interval_seconds(p.watermark))
+    timed, signals = watermarked(orders, longest), None
+    for i, p in enumerate(specs):
+        one = risk_signals(timed, p).withColumn("spec", F.lit(i))
+        signals = one if signals is None else signals.unionByName(one)
+    return commands_of_windows(signals, specs)
+
+
 # -- low-latency variant: update mode ------------------------------------------------
 
 _COUNT_KEYS = ["window", "account_id", "_inner"]

@@ -7,10 +7,13 @@ options and are exercised with the file source in tests.
 
 from __future__ import annotations
 
+import datetime
 import os
+import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import state_dir
@@ -70,20 +73,40 @@ def reject_writer(rejects: DataFrame, path: str, checkpoint: str):
             .option("checkpointLocation", checkpoint))
 
 
-def split_files(df: DataFrame, ts_ms, cuts_ms: list[int], path: str) -> str:
-    """Writes ``df`` as one file for each period between the given times (a part
-    per file source batch, oldest first), and returns the folder."""
-    edges = [None, *cuts_ms, None]
+def period_cuts(df: DataFrame, ts_ms: Column, periods: int) -> list[int]:
+    """Times that cut the span of a table's times into equal periods: one pass over the
+    time column, two numbers on the driver. No times, no cuts."""
+    lo, hi = df.agg(F.min(ts_ms), F.max(ts_ms)).first()
+    return [] if lo is None else [lo + (hi - lo) * k // periods for k in range(1, periods)]
+
+
+def in_periods(df: DataFrame, ts_ms: Column, cuts_ms: list[int]) -> list[DataFrame]:
+    """The rows of each period between the cuts, oldest first; rows without a time are in
+    the first."""
+    edges, parts = [None, *cuts_ms, None], []
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = df if lo is None else df.filter(ts_ms >= lo)
-        part = part if hi is None else part.filter(ts_ms < hi)
-        part.coalesce(1).write.mode("append").parquet(path)
+        before = F.lit(True) if hi is None else ts_ms < hi
+        parts.append(part.filter(before if lo is not None else before | ts_ms.isNull()))
+    return parts
+
+
+def feed(df: DataFrame, ts_ms: Column, cuts_ms: list[int], path: str, turn: Callable[[], None]) -> str:
+    """Replays a table as a growing folder: each period's rows are written there, with as
+    many files as Spark has partitions, and ``turn`` takes them up (as a batch of each
+    query that it starts) before the next period comes."""
+    for part in in_periods(df, ts_ms, cuts_ms):
+        part.write.mode("append").parquet(path)
+        turn()
     return path
 
 
-def file_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A folder of Parquet files as a stream, one file a batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of Parquet files as a stream; without a bound, all that is new is a batch."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)
 
 
 # -- sinks -----------------------------------------------------------------------
@@ -115,20 +138,104 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[st
     w.save(target)
 
 
+#: Fields of a published record's value that name it: the batch, and the record in it.
+RECORD_BATCH, RECORD_ROW = "batch_id", "record"
+
+
 def publish_batch(df: DataFrame, key_col: str, sink: dict[str, str] | None, batch_id: int) -> None:
     """Batch twin of ``keyed_json_stream_writer`` for ``foreachBatch``: (key,
     JSON value) records to a log. ``sink`` has ``format`` and the writer's
     options; a file sink gets a folder per batch, so a replayed batch
-    replaces its own records (a log gets them again, by the same keys)."""
+    replaces its own records. With ``append`` set (as any log does it) a
+    replayed batch is there again: its records carry the batch and a name of
+    their own, the digest of their fields and, of equal ones, a number, by which
+    ``once`` leaves each out but once."""
     if sink is None:
         return
     options = dict(sink)
-    fmt = options.pop("format")
-    keyed = to_keyed_json(df, key_col)
-    if "path" in options:
+    fmt, append = options.pop("format"), options.pop("append", None)
+    digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
+    named = df.withColumn(RECORD_ROW, digest)
+    again = Window.partitionBy(RECORD_ROW).orderBy(F.lit(0))
+    named = (named.withColumn(RECORD_ROW, F.concat_ws("-", RECORD_ROW, F.row_number().over(again)))
+             .withColumn(RECORD_BATCH, F.lit(batch_id).cast("bigint")))
+    keyed = to_keyed_json(named, key_col)
+    if "path" in options and not append:
         write_batch(keyed, options["path"], batch_id, fmt=fmt)
     else:
-        keyed.write.format(fmt).options(**options).save()
+        keyed.write.format(fmt).options(**options).mode("append").save()
+
+
+def once(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """Published records without the repeats of replayed batches; records without a name
+    stay. As a stream it remembers the names of all records, unless the caller bounds
+    that by a watermark."""
+    batch, row = [F.get_json_object(value_col, f"$.{f}") for f in (RECORD_BATCH, RECORD_ROW)]
+    named = records.withColumns({"_batch": batch, "_row": row})
+    return (named.filter("_row is not null").dropDuplicates(["_batch", "_row"])
+            .unionByName(named.filter("_row is null")).drop("_batch", "_row"))
+
+
+_DATE = r"date=\d{4}-\d\d-\d\d"
+
+
+def expire_dates(spark: SparkSession, path: str, today: datetime.date, keep_days: int) -> list[str]:
+    """Deletes the folders of dates older than ``keep_days`` of a table laid out by
+    date, compacted or not, and says which."""
+    gone, oldest = set(), today - datetime.timedelta(days=keep_days)
+    for table in (path, f"{path.rstrip('/')}-daily"):
+        fs, p = _fs(spark, table)
+        for st in fs.listStatus(p) if fs.exists(p) else []:
+            name = st.getPath().getName()
+            if re.fullmatch(_DATE, name) and datetime.date.fromisoformat(name[5:]) < oldest:
+                fs.delete(st.getPath(), True)
+                gone.add(name[5:])
+    return sorted(gone)
+
+
+def compact_dates(spark: SparkSession, path: str, before: datetime.date) -> list[str]:
+    """Writes the batch folders of each date below ``before`` as one part of the table
+    ``<path>-daily``, then deletes those that it read, and says which dates. A writer may go
+    on beside it: what it adds to such a date stays a batch folder. Readers use
+    ``read_dated``, which sees every row once at any moment, also if this stops half
+    way and is run again."""
+    fs, root = _fs(spark, path)
+    jpath, done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, []
+    for st in fs.listStatus(root) if fs.exists(root) else []:
+        name = st.getPath().getName()
+        if not re.fullmatch(_DATE, name) or datetime.date.fromisoformat(name[5:]) >= before:
+            continue
+        daily = f"{path.rstrip('/')}-daily/{name}"
+        batches = [x.getPath() for x in fs.listStatus(st.getPath())]
+        if not fs.exists(jpath(daily, "_SUCCESS")):
+            rows = spark.read.option("basePath", st.getPath().toString()).parquet(*[b.toString() for b in batches])
+            rows.coalesce(max(1, len(rows.inputFiles()) // 64)).write.mode("overwrite").parquet(daily)
+            done.append(name[5:])
+        held = {f"batch_id={r.batch_id}" for r in spark.read.parquet(daily).select("batch_id").distinct().collect()}
+        for b in batches:
+            if b.getName() in held:
+                fs.delete(b, True)
+    return sorted(done)
+
+
+def read_dated(spark: SparkSession, path: str) -> DataFrame:
+    """A table laid out by date and batch, and what ``compact_dates`` made of it."""
+    fs, daily = _fs(spark, f"{path.rstrip('/')}-daily")
+    batches = None
+    if _holds_files(spark, path):
+        batches = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if not fs.exists(daily):
+        return batches
+    days = spark.read.parquet(daily.toString()).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if batches is None:
+        return days
+    # a part that is compacted but not deleted yet
+    return days.unionByName(batches.join(days.select("date", "batch_id").distinct(), ["date", "batch_id"], "left_anti"))
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.listFiles(p, True).hasNext()
 
 
 def prune_batches(spark: SparkSession, path: str, keep: int = 3) -> None:
@@ -157,16 +264,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_batches(spark: SparkSession, path: str) -> list[int]:
-    """Batch ids present under a ``write_batch`` table (Hadoop FS listing, so
-    it works on shared storage as well as locally)."""
+def list_batches(spark: SparkSession, path: str, after: int = -1) -> list[int]:
+    """Ids above ``after`` of the complete batches of a ``write_batch`` table (Hadoop FS
+    listing, so it works on shared storage as well as locally); only those are looked
+    into."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id=") and \
+        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) > after and \
                 fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             out.append(int(name.split("=", 1)[1]))
     return sorted(out)

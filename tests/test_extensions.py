@@ -31,7 +31,7 @@ def test_throttle_broadcast_and_shuffled_cutoffs_agree(spark):
     pol = spark.createDataFrame([("ACCOUNT:0", 3), ("ACCOUNT:1", 1), ("ACCOUNT:2", 50)],
                                 "scope string, max_rate_per_second int")
     small = {r.order_id: r.decision for r in throttle_decisions(o, pol).collect()}
-    large = {r.order_id: r.decision for r in throttle_decisions(o, pol, max_broadcast_rows=0).collect()}
+    large = {r.order_id: r.decision for r in throttle_decisions(o, pol, max_broadcast_bytes=0).collect()}
     limits = {"0": 3, "1": 1, "2": 50}
     exp, seen = {}, {}
     for oid, ts, acct, *_ in sorted(rows, key=lambda r: (r[1], r[0])):

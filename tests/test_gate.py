@@ -80,8 +80,7 @@ def test_asof_gate_matches_replay_of_router_loop(spark):
             uniq.append(c)
     orders = [(f"o{i:04d}", rnd.randrange(0, 5 * day), str(rnd.randrange(4)), f"S{rnd.randrange(3)}",
                "BUY", 1, 1.0, "X") for i in range(400)]
-    audit = gate_asof(orders_df(spark, orders), state_records(commands_df(spark, uniq)),
-                      bucket_ms=day // 2)
+    audit = gate_asof(orders_df(spark, orders), state_records(commands_df(spark, uniq)))
     got = {r.order_id: (r.decision, r.scope_matches, r.reason) for r in audit.collect()}
     assert got == _brute(orders, uniq)
 
@@ -90,7 +89,7 @@ def test_asof_gate_without_broadcast_uses_bucketed_join(spark):
     st = state_records(commands_df(spark, [_cmd("1", 0, "GLOBAL", "KILL"), _cmd("2", 50, "GLOBAL", "UNKILL")]))
     o = orders_df(spark, [("a", 10, "1", "A", "BUY", 1, 1.0, "X"), ("b", 60, "1", "A", "BUY", 1, 1.0, "X")])
     from haltgate.operators.gate import attach_state_asof, decide, audit_rows
-    a = audit_rows(decide(attach_state_asof(o, st, bucket_ms=20, max_broadcast_rows=0)))
+    a = audit_rows(decide(attach_state_asof(o, st, max_broadcast_bytes=0)))
     assert {r.order_id: r.decision for r in a.collect()} == {"a": "DROP", "b": "ALLOW"}
 
 

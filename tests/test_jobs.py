@@ -81,6 +81,73 @@ def test_route_job_gates_orders_without_time_and_keeps_rejects(spark):
     assert (counters.orders_processed, counters.errors, counters.kill_state_scopes) == (2, 2, 0)
 
 
+def test_amounts_out_of_range_are_rejects(spark):
+    """A price beyond the decimal, infinite or not a number stops no job."""
+    root = tempfile.mkdtemp(prefix="jobs-")
+    order = {"account_id": "1", "symbol": "A", "ts": 5, "qty": 3}
+    _lines(f"{root}/orders", "o.json", [{"order_id": "good", "price": 1.5, **order}, {"order_id": "huge", "price": 1e19, **order},
+                                        {"order_id": "later", "price": 2.5, **order, "ts": 200_000}])
+    with open(f"{root}/orders/o.json", "a") as f:
+        for text in ("NaN", "Infinity"):
+            f.write('{"order_id": "%s", "ts": 5, "account_id": "1", "symbol": "A", "qty": 1, "price": %s}\n' % (text, text))
+    jobs.run(["detect", "x", "0", "1e9", "1.0", "--watermark", "0 seconds", "--source", "files", "--available-now", "--checkpoint-root", f"{root}/ck",
+              "--input", f"{root}/orders", "--out-root", f"{root}/out"], spark)
+    assert sorted(r.missing_fields for r in spark.read.json(f"{root}/out/rejects").collect()) == ["notional"] * 3
+    assert [json.loads(r.value)["total_notional"] for r in spark.read.json(f"{root}/out/signals").collect()] == [4.5]
+
+
+def test_aggregate_job_keeps_and_counts_rejects(spark):
+    root = tempfile.mkdtemp(prefix="jobs-")
+    good = {"cmd_id": "1", "ts": 1000, "scope": "ACCOUNT:7", "action": "KILL"}
+    _lines(f"{root}/commands", "c.json", [good, {"cmd_id": "2", "ts": 1000, "action": "KILL"}, {"ts": 5, "scope": "GLOBAL"}])
+    with open(f"{root}/commands/c.json", "a") as f:
+        f.write("{not json\n")
+    jobs.run(["aggregate", "--source", "files", "--available-now", "--checkpoint-root", f"{root}/ck", "--input", f"{root}/commands",
+              "--state-root", f"{root}/state"], spark)
+    rejects = read_batches(spark, f"{root}/state/rejects").collect()
+    assert sorted(r.missing_fields for r in rejects) == ["cmd_id,action", "cmd_id,scope,action", "scope"]
+    assert "{not json" in {r.raw for r in rejects}
+    counters = read_batches(spark, f"{root}/state/counters").first()
+    assert (counters.commands_processed, counters.errors) == (1, 3)
+    assert [r.status for r in latest_snapshot(spark, f"{root}/state").collect()] == ["KILLED"]
+
+
+def test_audit_is_published_by_order(spark):
+    root = tempfile.mkdtemp(prefix="jobs-")
+    _lines(f"{root}/orders", "o.json", [{"order_id": "o1", "account_id": "7", "symbol": "A"}])
+    jobs.run(["route", "--source", "files", "--available-now", "--checkpoint-root", f"{root}/ck", "--input", f"{root}/orders",
+              "--state-root", f"{root}/state", "--out-root", f"{root}/out"], spark)
+    assert [r.key for r in spark.read.json(f"{root}/out/audit.v1").collect()] == ["o1"]
+    assert [r.key for r in spark.read.json(f"{root}/out/orders.gated.v1").collect()] == ["7"]
+
+
+def test_rows_without_a_time_are_replayed_in_the_first_period(spark):
+    from pyspark.sql import functions as F
+
+    from haltgate.streaming.io import feed, in_periods, period_cuts
+    df = spark.createDataFrame([(k, k * 10 if k % 4 else None) for k in range(40)], "id int, t bigint").repartition(3)
+    cuts = period_cuts(df, F.col("t"), 4)
+    parts = [sorted(r.id for r in p.collect()) for p in in_periods(df, F.col("t"), cuts)]
+    assert sorted(sum(parts, [])) == list(range(40)) and {k for k in range(0, 40, 4)} <= set(parts[0]) and all(parts)
+    seen, path = [], f"{tempfile.mkdtemp(prefix='feed-')}/rows"
+    feed(df, F.col("t"), cuts, path, lambda: seen.append(spark.read.parquet(path).count()))
+    assert seen == [sum(len(p) for p in parts[: k + 1]) for k in range(4)]
+    assert len(spark.read.parquet(path).inputFiles()) > 4  # Spark's own partitions
+    assert period_cuts(df.filter("false"), F.col("t"), 4) == [] and len(in_periods(df, F.col("t"), [])) == 1
+
+
+def test_processing_time_stamps(spark):
+    """``ts_mode="processing"``: signals carry the time at which they were made, in whole seconds."""
+    import time
+
+    from conftest import orders_df
+    from haltgate.operators.signals import risk_signals
+    rows = [(f"o{k}", 60_000 * k, "1", "A", "BUY", 1, 1.0, "X") for k in range(3)]
+    before = int(time.time()) * 1000
+    stamped = risk_signals(orders_df(spark, rows), ts_mode="processing").collect()
+    assert len(stamped) == 3 and all(before <= r.ts <= time.time() * 1000 and r.ts % 1000 == 0 for r in stamped)
+
+
 def test_detect_job_writes_rejects(spark):
     root = tempfile.mkdtemp(prefix="jobs-")
     _lines(f"{root}/orders", "o.json", [{"order_id": "a", "account_id": "1", "symbol": "A", "qty": 1, "price": 1.0}])

@@ -52,10 +52,10 @@ def test_hot_scope_changes_and_intervals_match_brute_force(spark):
     rows = _hot_commands()
     st = state_records(commands_df(spark, rows))
     exp_ch, exp_iv = _brute_changes(rows)
-    ch = status_changes(st, bucket_ms=6 * HOUR)
+    ch = status_changes(st)
     got_ch = sorted((r.scope, r.updated_ts, r.status) for r in ch.collect())
     assert got_ch == exp_ch
-    iv = kill_intervals(st, bucket_ms=6 * HOUR)
+    iv = kill_intervals(st)
     got_iv = sorted(((r.scope, r.kill_ts, r.unkill_ts) for r in iv.collect()), key=lambda x: (x[0], x[1]))
     assert got_iv == exp_iv
     # The raw rows are exchanged on (scope, bucket); an exchange on the scope
@@ -73,8 +73,7 @@ def test_hot_global_gate_with_shuffle_join(spark):
             for i in range(30)]
     orders = [(f"o{i:05d}", rnd.randrange(0, 60 * HOUR), str(rnd.randrange(5)), "S", "BUY", 1, 1.0, "X")
               for i in range(3000)]
-    a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), state_records(commands_df(spark, cmds)),
-                                            bucket_ms=6 * HOUR, max_broadcast_rows=0)))
+    a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), state_records(commands_df(spark, cmds)), max_broadcast_bytes=0)))
     plan = _plan(a)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     got = {r.order_id: r.decision for r in a.collect()}
@@ -95,13 +94,13 @@ def test_hot_account_signals_pre_aggregate_before_shuffle(spark):
 
 
 def test_levels_are_size_checked_separately(spark):
-    # Many ACCOUNT intervals, one GLOBAL interval: with a bound of 5 rows the
+    # Many ACCOUNT intervals, one GLOBAL interval: with a bound of 1000 bytes the
     # ACCOUNT lookup shuffles while GLOBAL and SYMBOL stay broadcast.
     cmds = [(f"a{i:03d}", i, f"ACCOUNT:{i}", "KILL", "acct", "op", None, None, "x") for i in range(40)]
     cmds.append(("g", 0, "GLOBAL", "UNKILL", "", "op", None, None, "x"))
     orders = [(f"o{i}", 100, str(i), "S", "BUY", 1, 1.0, "X") for i in range(60)]
     a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), state_records(commands_df(spark, cmds)),
-                                            max_broadcast_rows=5)))
+                                            max_broadcast_bytes=1000)))
     plan = _plan(a)
     assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
     got = {r.order_id: (r.decision, r.scope_matches) for r in a.collect()}
@@ -149,24 +148,22 @@ def _brute_asof(cmds, ts):
     return ("DROP", prev[-1][4])
 
 
-def test_dense_global_day_is_cut_into_slots(spark):
-    # 400 GLOBAL changes in one day: the (GLOBAL, day) cell is cut into time
-    # slots, each order is compared only with its slot's intervals, and the
-    # decisions equal a brute-force as-of replay, broadcast or shuffled.
-    from haltgate.operators.gate import IntervalIndex, bucketed_intervals, state_intervals
+def test_dense_global_day_is_descended(spark):
+    # 400 GLOBAL changes in one day, four a node: each order is compared only with
+    # its leaf's intervals, and the decisions equal a brute-force as-of replay, broadcast or shuffled.
+    from haltgate.operators.gate import IntervalIndex, state_intervals
     rnd = random.Random(7)
     cmds = [(f"g{i:04d}", rnd.randrange(0, 24 * HOUR), "GLOBAL", rnd.choice(["KILL", "UNKILL"]),
              f"r{i}", "op", None, None, "x") for i in range(400)]
     orders = [(f"o{i:05d}", rnd.randrange(0, 30 * HOUR), "1", "S", "BUY", 1, 1.0, "X") for i in range(1500)]
     st = state_records(commands_df(spark, cmds))
-    idx = IntervalIndex(bucketed_intervals(state_intervals(st), 30 * HOUR).checkpoint(),
-                        24 * HOUR, 10 ** 6, slot_target=4)
-    assert idx.hot == {"g": 1} and idx.has_slots("g") and not idx.has_slots("a")
-    per_slot = idx.table.groupBy("scope", "bucket", "slot").count().agg({"count": "max"}).first()[0]
-    assert per_slot <= 16
-    for bound in (10 ** 6, 0):
+    idx = IntervalIndex(state_intervals(st), fanout=4)
+    assert len(idx.nodes) == 4 and idx.table.count() == state_intervals(st).count()
+    assert idx.table.groupBy("scope", "leaf").count().agg({"count": "max"}).first()[0] == 4
+    assert idx.nodes[0][0].groupBy("parent").count().agg({"count": "max"}).first()[0] == 4
+    for bound in (10 ** 8, 0):
         a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), st,
-                                                max_broadcast_rows=bound, slot_target=4)))
+                                                max_broadcast_bytes=bound, fanout=4)))
         got = {r.order_id: (r.decision, r.reason) for r in a.collect()}
         assert all(got[o[0]] == _brute_asof(cmds, o[1]) for o in orders)
 
@@ -180,10 +177,10 @@ def test_dense_activation_cells_attribute_drops_exactly(spark):
     orders = [(f"o{i:05d}", rnd.randrange(0, 2000 * 60_000), "1", "S", "BUY", 1, 1.0, "X")
               for i in range(2000)]
     st = state_records(commands_df(spark, cmds))
-    audit = gate_asof(orders_df(spark, orders), st, slot_target=4)
+    audit = gate_asof(orders_df(spark, orders), st, fanout=4)
     iv = kill_intervals(st)
     got = {r.kill_cmd_id: r.orders_dropped
-           for r in drops_by_activation(audit, iv, 2000 * 60_000, slot_target=4).collect()}
+           for r in drops_by_activation(audit, iv, fanout=4).collect()}
     ks = sorted(c for c in cmds if c[3] == "KILL")
     for k in ks:
         nxt = [c[1] for c in cmds if c[3] == "UNKILL" and c[1] > k[1]]
@@ -207,7 +204,7 @@ def test_drops_follow_repeated_kills_to_their_activation(spark):
     st = state_records(commands_df(spark, rows))
     audit = gate_asof(orders_df(spark, orders), st)
     got = {r.kill_cmd_id: r.orders_dropped
-           for r in drops_by_activation(audit, kill_intervals(st), 72 * HOUR, slot_target=4).collect()}
+           for r in drops_by_activation(audit, kill_intervals(st), fanout=4).collect()}
     changes = {}
     for r in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
         st_ = "KILLED" if r[3] == "KILL" else "ACTIVE"
@@ -222,3 +219,58 @@ def test_drops_follow_repeated_kills_to_their_activation(spark):
         assert opened[1] == "KILLED"
         exp[opened[2]] += 1
     assert got == exp
+
+
+def test_index_does_not_grow_with_horizon_times_idle_scopes(spark):
+    # 10,000 scopes killed once and open ever since, over ten years, and a few that
+    # change often, one in a burst: a row an interval, decisions as by brute force.
+    from haltgate.operators.gate import IntervalIndex, state_intervals
+    rnd = random.Random(21)
+    day, years = 24 * HOUR, 3650
+    idle = [(f"i{k:05d}", rnd.randrange(years * day), f"ACCOUNT:{k}", "KILL", "idle", "op", None, None, "x") for k in range(10_000)]
+    busy = [(f"b{k:05d}", rnd.randrange(years * day), f"ACCOUNT:{20_000 + k % 3}", rnd.choice(["KILL", "UNKILL"]), f"r{k}", "op", None, None, "x")
+            for k in range(600)]
+    busy += [(f"m{k:05d}", 100 * day + k * 60_000, "GLOBAL", ["KILL", "UNKILL"][k % 2], f"g{k}", "op", None, None, "x") for k in range(300)]
+    st = state_records(commands_df(spark, idle + busy))
+    intervals = state_intervals(st).checkpoint()
+    idx = IntervalIndex(intervals)
+    assert idx.table.count() == intervals.count()  # a row each, and the nodes above
+    assert sum(level.count() for level, _ in idx.nodes) < intervals.count() / 16
+    assert idx.table.groupBy("scope", "leaf").count().agg({"count": "max"}).first()[0] <= 32
+    orders = [(f"o{k:05d}", rnd.choice([rnd.randrange(years * day), 100 * day + rnd.randrange(6 * HOUR)]),
+               str(rnd.choice([rnd.randrange(10_000), 20_000 + rnd.randrange(3)])), "S", "BUY", 1, 1.0, "X") for k in range(2000)]
+    a = audit_rows(decide(attach_state_asof(orders_df(spark, orders), st)))
+    by = {}
+    for c in idle + busy:
+        by.setdefault(c[2], []).append(c)
+    for r in a.collect():
+        state = [_brute_asof(by.get(s, []), r.ts) for s in ("GLOBAL", f"ACCOUNT:{r.account_id}")]
+        exp = next((s for s in state if s[0] == "DROP"), ("ALLOW", "No kill switch active"))
+        assert (r.decision, r.reason) == exp
+
+
+def test_hot_client_order_id_is_spread_over_tasks(spark):
+    # One id holds over a third of all orders, repeated every minute or so without
+    # a pause for a year, others now and then: as by a plain fold, and no task sorts an id.
+    from haltgate.operators.extensions import duplicate_decisions
+    rnd = random.Random(31)
+    rows = [("HOT", k * 61_000 + rnd.randrange(60_000)) for k in range(6000)] + [("HOT", 61_000 * 77)] * 3
+    rows += [(f"id{rnd.randrange(300)}", rnd.randrange(400 * HOUR)) for _ in range(9000)]
+    o = spark.createDataFrame([(f"o{k:05d}", c, t, "1") for k, (c, t) in enumerate(rows)],
+                              "order_id string, cid string, ts bigint, account_id string")
+    df = duplicate_decisions(o, "cid")
+    seen, exp = {}, {}
+    for k, (c, t) in sorted(enumerate(rows), key=lambda r: (r[1][1], f"o{r[0]:05d}")):
+        new = c not in seen or t - seen[c] >= HOUR
+        exp[f"o{k:05d}"] = (None if new else seen[c], "NEW" if new else "DUPLICATE")
+        seen[c] = t if new else seen[c]
+    got = {r.order_id: (r.prev_seen_ts, r.decision) for r in df.collect()}
+    assert got == exp
+    assert sum(1 for v in exp.values() if v[1] == "NEW") > 90
+
+
+def test_equal_rows_of_an_id_are_new_once(spark):
+    from haltgate.operators.extensions import duplicate_decisions
+    o = spark.createDataFrame([("a", "x", 5, "1")] * 4 + [("a", "y", 5, "1")], "order_id string, cid string, ts bigint, account_id string")
+    got = sorted((r.client_order_id, r.decision) for r in duplicate_decisions(o, "cid").collect())
+    assert got == [("x", "DUPLICATE")] * 3 + [("x", "NEW"), ("y", "NEW")]
