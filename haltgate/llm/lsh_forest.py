@@ -9,11 +9,11 @@ signatures lie by longest common prefix, so the depth follows the region:
    common prefixes, are candidates first. In a region of near copies, however
    large, they join all of it with a pair a node, not all pairs.
 2. In every region of every tree, nodes that are still in different groups are
-   candidates pair by pair.
+   candidates pair by pair, unless one bit of every minimum tells them apart.
 3. A region with too many of those is not compared pairwise. Its nodes go
    through an exact way: two sets of the similarity share one of the rarest
    few shingles of either (the prefix filter), so nodes that still differ in
-   group meet under those; under a shingle that is too common, in blocks.
+   group meet under those; under a shingle that is too common, block by block.
 
 Every candidate pair is confirmed on the full sets of shingles.
 """
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Emitter, arrow_schema, join_counted, shared_path, shuffle_partitions, text_rows, write_table
@@ -39,21 +39,31 @@ SHINGLE_WORDS = 2
 PERCENT = 80
 #: A pair of similarity s is a candidate with probability 1 - (1 - s^DEPTH)^TREES: all but
 #: three in a million at 0.8, all but one in 10^11 at 0.9.
-TREES, DEPTH, DEEPEST = 24, 4, 6
-#: Trees whose neighbours are candidates in the first pass.
-NEIGHBOUR_TREES = 4
+TREES, DEPTH = 24, 4
+#: Trees whose neighbours are candidates in the first pass; their signatures go further.
+NEIGHBOUR_TREES, DEEPEST = 4, 6
+#: Minima of a signature: the trees' first ones, then what some have further.
+MINIMA = TREES * DEPTH + NEIGHBOUR_TREES * (DEEPEST - DEPTH)
+#: One bit of every minimum is compared before a pair is a candidate. Most of them that may differ: at a similarity
+#: of 0.8 a tenth do in the mean, and more than this many once in ten million.
+MAX_BITS = 26
 #: Candidate pairs of different groups that one region may give, and nodes it may hold, before it goes the exact way.
-MAX_PAIRS, MAX_NODES = 4096, 1 << 16
-#: Nodes of a block, where a shingle of the exact way is too common.
-BLOCK = 64
+MAX_PAIRS, MAX_NODES = 4096, 1 << 13
+#: Nodes of a block, and shingles they may have together, where a shingle of the exact way is too common.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 18
+#: Shingles of a pair of blocks that are counted at once.
+SLAB = 4096
 #: The exact way ranks shingles by how common they are among its nodes; it knows at most so many common ones.
 COMMON = 1 << 17
+#: Shingles that a task gathers before it adds them up.
+COUNTED = 1 << 20
 #: Digests of sets that a task remembers, to hand on a repeated text once.
 SEEN = 1 << 18
 
 _U = np.uint64
-_A = np.random.default_rng(11).integers(0, 2**31, size=(TREES * DEEPEST, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = np.random.default_rng(12).integers(0, 2**32, size=(TREES * DEEPEST, 1), dtype=np.uint32)
+_BASE = _U(0x9E3779B97F4A7C15)
+_A = np.random.default_rng(11).integers(0, 2**31, size=(MINIMA, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = np.random.default_rng(12).integers(0, 2**32, size=(MINIMA, 1), dtype=np.uint32)
 
 
 def shingles(text: str | None, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -64,98 +74,108 @@ def shingles(text: str | None, shingle_words: int = SHINGLE_WORDS) -> np.ndarray
     k = min(shingle_words, len(words))
     hashes = np.zeros(len(words) - k + 1, dtype=np.uint64)
     for j in range(k):
-        hashes = mix(hashes, j) + words[j : j + len(hashes)]
-    return np.unique(mix(hashes, 100 + k))
+        hashes = hashes * _BASE + words[j : j + len(hashes)]
+    return np.unique(mix(hashes, k))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """Minima of ``TREES * DEEPEST`` permutations, a row for each tree."""
+    """Minima of ``MINIMA`` permutations."""
     x = (hashes >> _U(32)).astype(np.uint32)
-    low = np.full(TREES * DEEPEST, 2**32 - 1, dtype=np.uint32)
+    low = np.full(MINIMA, 2**32 - 1, dtype=np.uint32)
     for i in range(0, len(x), 2048):
         low = np.minimum(low, (_A * x[i : i + 2048] + _B).min(axis=1))
-    return low.reshape(TREES, DEEPEST)
+    return low
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+def places_of(low: np.ndarray) -> list[bytes]:
+    """A node's place in each tree: the tree's number and its minima, as bytes that sort alike."""
+    raw = low.astype(">u4").tobytes()
+    further, step = 4 * TREES * DEPTH, 4 * (DEEPEST - DEPTH)
+    return [bytes([t]) + raw[4 * DEPTH * t : 4 * DEPTH * (t + 1)] + (raw[further + step * t : further + step * (t + 1)] if t < NEIGHBOUR_TREES else b"") for t in range(TREES)]
 
 
-def _node(hashes: np.ndarray) -> bytes | None:
-    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+def bits(low: np.ndarray) -> bytes:
+    """A bit of each minimum: equal minima have equal bits, others by chance."""
+    return np.packbits(low >> np.uint32(7) & np.uint32(1)).tobytes()
 
 
-def _close(n: Column, m: Column) -> Column:
-    """Whether sets of these sizes can be similar."""
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bits differ, over the last axis of arrays of bytes."""
+    return np.bitwise_count(a ^ b).sum(axis=-1)
 
 
-def marked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, n, node): the size of each row's set and its digest, null for an empty set."""
-    schema = arrow_schema("doc_id long, n long, node binary")
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t, shingle_words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.binary())], schema=schema)
 
-    return text_rows(docs).mapInArrow(run, "doc_id long, n long, node binary")
+def _node(hashes: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
 
 
-def node_texts(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(node, n, text): a text of each distinct set, in buckets of the node, so that joins on
-    it move only their other side."""
-    spark, ddl = docs.sparkSession, "node binary, n long, text string"
+def marked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, n, node, text): the size of each row's set and its digest (null: an empty
+    set), and the text where a task meets the set first. Written."""
+    ddl = "doc_id long, n long, node binary, text string"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        out, seen = Emitter(schema), set()
         for batch in batches:
-            out = Emitter(schema)
-            for text in batch.column(0).to_pylist():
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hashes = shingles(text, shingle_words)
                 node = _node(hashes)
-                if node is None or node in seen:
-                    continue
-                if len(seen) < SEEN:
+                first = node is not None and node not in seen
+                if first and len(seen) < SEEN:
                     seen.add(node)
-                out.add((node, len(hashes), text), len(text))
+                out.add((doc, len(hashes), node, text if first else None), 64 + len(text) * first)
                 if out.full():
                     yield from out.take()
-            yield from out.take()
+        yield from out.take()
 
+    return write_table(text_rows(docs).mapInArrow(run, ddl), "marked")
+
+
+def node_texts(rows: DataFrame) -> DataFrame:
+    """(node, n, text): a text of each distinct set, in buckets of the node, so that joins on
+    it move only their other side."""
+    spark = rows.sparkSession
     path = shared_path(spark, "nodes")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    (text_rows(docs).select("text").mapInArrow(run, ddl).groupBy("node").agg(F.first("n").alias("n"), F.first("text").alias("text"))
+    (rows.where("text is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("text").alias("text"))
      .write.option("compression", "zstd").option("path", path).format("parquet").bucketBy(shuffle_partitions(spark), "node").sortBy("node").saveAsTable(name))
     return spark.table(name)
 
 
 def forest(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(place, node, n): each node's place in the order of every tree: the tree's number and
-    the signature's minima, as bytes that sort alike."""
-    ddl = "place binary, node binary, n long"
+    """(place, node, n, bits): each node's place in the order of every tree: the tree's number
+    and the signature's minima, as bytes that sort alike."""
+    ddl = "place binary, node binary, n long, bits binary"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, places = batch.column(0).to_pylist(), []
+            nodes, places, marks = batch.column(0).to_pylist(), [], []
             for text in batch.column(2).to_pylist():
-                rows = signature(shingles(text, shingle_words)).astype(">u4")
-                places += [bytes([t]) + row.tobytes() for t, row in enumerate(rows)]
+                low = signature(shingles(text, shingle_words))
+                places += places_of(low)
+                marks += [bits(low)] * TREES
             yield pa.RecordBatch.from_arrays([pa.array(places, pa.binary()), pa.array([x for x in nodes for _ in range(TREES)], pa.binary()),
-                                              pa.array(np.repeat(batch.column(1).to_numpy(), TREES))], schema=schema)
+                                              pa.array(np.repeat(batch.column(1).to_numpy(), TREES)), pa.array(marks, pa.binary())], schema=schema)
 
     return texts.select("node", "n", "text").mapInArrow(run, ddl)
 
 
 def regions(places: DataFrame) -> DataFrame:
-    """(place, node, n, before, n_before): the rows that share a region with a neighbour in
-    the sorted order, with the node before them in it. Rows at the edges of a
-    partition stay, as their neighbours lie elsewhere."""
-    spark, ddl = places.sparkSession, "place binary, node binary, n long, before binary, n_before long"
-    schema, width = arrow_schema("place binary, node binary, n long, before binary, n_before long"), 1 + 4 * DEPTH
+    """(place, node, n, bits, before): the rows that share a region with a neighbour in the
+    sorted order, with the node before them in it if the two can be similar. Rows at
+    the edges of a partition stay, as their neighbours lie elsewhere."""
+    spark, ddl = places.sparkSession, "place binary, node binary, n long, bits binary, before binary"
+    schema, width = arrow_schema(ddl), 1 + 4 * DEPTH
+
+    def close(x: tuple, y: tuple) -> bool:
+        return (100 * min(x[2], y[2]) >= PERCENT * max(x[2], y[2])
+                and (int.from_bytes(x[3]) ^ int.from_bytes(y[3])).bit_count() <= MAX_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, last, keep = Emitter(schema), None, True  # the first row lies at an edge
@@ -168,9 +188,9 @@ def regions(places: DataFrame) -> DataFrame:
                         if out.full():
                             yield from out.take()
                     keep = joined
-                    row = (*row, last[1], last[2]) if joined else (*row, None, None)
+                    row = (*row, last[1] if joined and close(last, row) else None)
                 else:
-                    row = (*row, None, None)
+                    row = (*row, None)
                 last = row
         if last is not None:
             out.add(last, 100)
@@ -184,36 +204,49 @@ MET = "a binary, b binary, key binary, chunk long, node binary, n long, root bin
 
 
 def meetings(keyed: DataFrame) -> DataFrame:
-    """``MET`` of rows (key, node, n, root): pairs (a, b) of nodes under one key that are in
-    different groups and of similar size; instead the rows themselves, numbered in chunks,
-    where there are too many such pairs or a key's rows lie in several partitions."""
+    """``MET`` of rows (key, node, n, root, bits): pairs (a, b) of nodes under one key that are
+    in different groups, of similar size and of similar bits, where there are any; instead
+    the rows themselves, numbered in chunks, where there are too many such pairs or a
+    key's rows lie in several partitions."""
     spark, schema = keyed.sparkSession, arrow_schema(MET)
 
-    def pairs(nodes: list[bytes], n: np.ndarray, roots: list[bytes]) -> list[tuple[bytes, bytes]] | None:
-        names, group, sizes = np.unique(np.array([r.hex() for r in roots]), return_inverse=True, return_counts=True)
-        m = len(nodes)
+    def pairs(nodes: list[bytes], n: np.ndarray, roots: list[bytes], marks: list[bytes | None]) -> list[tuple[bytes, bytes]] | None:
+        names: dict[bytes, int] = {}
+        group = np.array([names.setdefault(r, len(names)) for r in roots])
         if len(names) == 1:
             return []
-        if m > MAX_NODES or (m * m - int((sizes.astype(np.int64) ** 2).sum())) // 2 > MAX_PAIRS:
+        m, out = len(nodes), []
+        if m > MAX_NODES:
             return None
-        few = np.flatnonzero(group != sizes.argmax())  # a pair of two groups has a node outside the largest
-        i, j = np.repeat(few, m), np.tile(np.arange(m), len(few))
-        ok = (group[i] != group[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])) & ((group[j] == sizes.argmax()) | (i < j))
-        return [tuple(sorted((nodes[x], nodes[y]))) for x, y in zip(i[ok].tolist(), j[ok].tolist())]
+        known = None if marks[0] is None else np.frombuffer(b"".join(marks), dtype=np.uint8).reshape(m, -1)
+        largest = np.bincount(group).argmax()
+        few = np.flatnonzero(group != largest)  # a pair of two groups has a node outside the largest
+        for i in few.tolist():
+            ok = (group != group[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])) & ((group == largest) | (np.arange(m) > i))
+            if known is not None:
+                ok &= unlike(known, known[i]) <= MAX_BITS
+            out += [tuple(sorted((nodes[i], nodes[j]))) for j in np.flatnonzero(ok).tolist()]
+            if len(out) > MAX_PAIRS:
+                return None
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, key, held, edge = Emitter(schema), None, [], True
         chunk = TaskContext.get().partitionId() << 32
 
         def close(held: list[tuple], whole: bool) -> int:
-            found = pairs([r[0] for r in held], np.array([r[1] for r in held]), [r[2] for r in held]) if whole else None
+            found = pairs([r[0] for r in held], np.array([r[1] for r in held]), [r[2] for r in held], [r[3] for r in held]) if whole else None
             if found is not None:
                 for a, b in found:
                     out.add((a, b, None, None, None, None, None), 60)
                 return 0
-            for k, r in enumerate(held):
-                out.add((None, None, key, chunk + k // BLOCK, *r), 100)
-            return (len(held) + BLOCK - 1) // BLOCK
+            number = size = rows = 0
+            for r in held:
+                if rows == BLOCK or rows and size + r[1] > BLOCK_SHINGLES:
+                    number, size, rows = number + 1, 0, 0
+                size, rows = size + r[1], rows + 1
+                out.add((None, None, key, chunk + number, *r[:3]), 100)
+            return number + 1
 
         for batch in batches:
             for k, *row in zip(*[c.to_pylist() for c in batch.columns]):
@@ -229,8 +262,8 @@ def meetings(keyed: DataFrame) -> DataFrame:
             close(held, False)
         yield from out.take()
 
-    by = ["key", "n", "node"]
-    rows = keyed.select("key", "node", "n", "root").repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions(*by)
+    by = ["key", "root", "n", "node"]  # chunks hold few groups
+    rows = keyed.select("key", "node", "n", "root", "bits").repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions(*by)
     return rows.mapInArrow(run, MET)
 
 
@@ -259,19 +292,34 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def rarest(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(key, node, n, root): each node (node, n, root, text) under its n - ceil(n * PERCENT / 100) + 1
-    rarest shingles. Any order of the shingles serves; this one puts those
-    last that are common among these nodes, of which at most ``COMMON`` reach the driver."""
-    one, ddl = arrow_schema("key long"), "key binary, node binary, n long, root binary"
+    """(key, node, n, root): each node (node, n, least, root, text) under its rarest shingles. If
+    a partner has ``least`` shingles or more, the two share PERCENT / (100 + PERCENT) of
+    both sizes together, so one of the n + 1 less that many rarest of the node is shared.
+    Any order of the shingles serves; this one puts those last that are common
+    among these nodes, of which at most ``COMMON`` reach the driver."""
+    some, ddl = arrow_schema("key long, n long"), "key binary, node binary, n long, root binary"
     schema = arrow_schema(ddl)
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shingles with the number of texts that have them, added up over many texts."""
+        held, size = [], 0
+
+        def add_up() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], schema=some)
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(text, shingle_words).view(np.int64))], schema=one)
+                held.append(shingles(text, shingle_words))
+                size += len(held[-1])
+                if size > COUNTED:
+                    yield add_up()
+                    held, size = [], 0
+        if held:
+            yield add_up()
 
     total = texts.agg(F.sum("n")).first()[0] or 0
-    counts = texts.select("text").mapInArrow(listed, "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > max(BLOCK, total // COMMON))
+    counts = texts.select("text").mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > max(BLOCK, total // COMMON))
     common = counts.collect()
     keys = np.array(sorted((r.key for r in common)), dtype=np.int64)
     often = {r.key: r.n for r in common}
@@ -280,18 +328,19 @@ def rarest(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Emitter(schema)
         for batch in batches:
-            for node, root, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for node, root, least, text in zip(*[c.to_pylist() for c in batch.columns]):
                 hashes = shingles(text, shingle_words)
                 x, n = hashes.view(np.int64), len(hashes)
                 at = np.minimum(np.searchsorted(keys, x), max(len(keys) - 1, 0))
                 rank = np.where(keys[at] == x, weight[at], 0) if len(keys) else np.zeros(n)
-                for k in np.lexsort((x, rank))[: n - (n * PERCENT + 99) // 100 + 1].tolist():
+                shared = -(-PERCENT * (n + max(least, -(-PERCENT * n // 100))) // (100 + PERCENT))
+                for k in np.lexsort((x, rank))[: n - shared + 1].tolist():
                     out.add((hashes[k].tobytes(), node, n, root), 80)
                     if out.full():
                         yield from out.take()
         yield from out.take()
 
-    return texts.select("node", "root", "text").mapInArrow(run, ddl)
+    return texts.select("node", "root", "least", "text").mapInArrow(run, ddl)
 
 
 def block_links(crowded: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -307,43 +356,77 @@ def block_links(crowded: DataFrame, texts: DataFrame, shingle_words: int = SHING
     schema = arrow_schema("a binary, b binary")
 
     def run(table: pa.Table) -> pa.Table:
-        nodes, roots, texts_ = [table.column(c).to_pylist() for c in ("node", "root", "text")]
-        own = np.array(table.column("chunk").to_pylist()) == table.column("c1")[0].as_py()
-        lone = table.column("c1")[0] == table.column("c2")[0]
-        sets = [shingles(t, shingle_words) for t in texts_]
-        out = [tuple(sorted((nodes[i], nodes[j]))) for i in np.flatnonzero(own).tolist() for j in range(len(nodes))
-               if (i < j if lone else not own[j]) and roots[i] != roots[j] and 100 * min(len(sets[i]), len(sets[j])) >= PERCENT * max(len(sets[i]), len(sets[j])) and similar(sets[i], sets[j])]
-        return pa.Table.from_arrays([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], schema=schema)
+        nodes, roots = table.column("node").to_pylist(), table.column("root").to_pylist()
+        own = table.column("chunk").to_numpy() == table.column("c1")[0].as_py()
+        left, right = np.flatnonzero(own), np.flatnonzero(~own) if (~own).any() else np.flatnonzero(own)
+        sets = [shingles(t, shingle_words) for t in table.column("text").to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        both = common_counts([sets[i] for i in left], [sets[j] for j in right])
+        i, j = np.nonzero(100 * both >= PERCENT * (sizes[left][:, None] + sizes[right][None, :] - both))
+        # one link joins two groups
+        found = {tuple(sorted((roots[x], roots[y]))): tuple(sorted((nodes[x], nodes[y]))) for x, y in zip(left[i].tolist(), right[j].tolist()) if roots[x] != roots[y]}
+        return pa.Table.from_arrays([pa.array([p[k] for p in found.values()], pa.binary()) for k in (0, 1)], schema=schema)
 
     return rows.select("key", "c1", "c2", "chunk", "node", "root", "text").groupBy("key", "c1", "c2").applyInArrow(run, "a binary, b binary")
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections, by products of incidence matrices over the shingles
+    that occur twice, some at a time."""
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(where, kind="stable")
+    order = order[times[where[order]] > 1]
+    where, owner = np.cumsum(np.diff(where[order], prepend=-1) > 0) - 1, owner[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float64)
+    for first in range(0, int(where[-1]) + 1 if len(where) else 0, SLAB):
+        lo, hi = np.searchsorted(where, [first, first + SLAB])
+        has = np.zeros((len(sets), SLAB), dtype=np.float32)
+        has[owner[lo:hi], where[lo:hi] - first] = 1
+        out += has[: len(left)] @ has[len(left) :].T
+    return out.astype(np.int64)
+
+
+def grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further links: only the groups that these join are worked on."""
+    ends = links
+    for side in ("a", "b"):
+        ends = (ends.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+                .withColumn(side, F.coalesce(f"{side}_root", side)).drop(f"{side}_root"))
+    joined = write_table(components(write_table(ends.where("a <> b").select("a", "b").distinct(), "joins")), "joined")
+    known = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+    return write_table(known.unionByName(joined.join(roots.select("node"), "node", "left_anti")), "roots")
+
+
 def node_groups(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(node, root): the nodes that have links, and a node that names their component."""
     places = write_table(forest(texts, shingle_words), "forest")
     shared = write_table(regions(places), "regions")
-    near = (shared.where(F.col("before").isNotNull() & (F.col("node") != F.col("before")) & (F.conv(F.hex(F.substring("place", 1, 1)), 16, 10).cast("int") < NEIGHBOUR_TREES))
-            .where(_close(F.col("n"), F.col("n_before"))).select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")).distinct())
-    tried = write_table(near, "pairs")
-    links = write_table(confirmed(tried, texts, shingle_words), "links")
+    tree = F.conv(F.hex(F.substring("place", 1, 1)), 16, 10).cast("int")
+    near = shared.where(F.col("before").isNotNull() & (tree < NEIGHBOUR_TREES)).select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b"))
+    tried = write_table(near.distinct(), "pairs")
+    roots = write_table(components(write_table(confirmed(tried, texts, shingle_words), "links")), "roots")
 
-    rooted = _rooted(shared.select("place", "node", "n"), write_table(components(links), "roots"))
+    rooted = _rooted(shared.select("place", "node", "n", "bits"), roots)
     met = write_table(meetings(rooted.withColumn("key", F.substring("place", 1, 1 + 4 * DEPTH))), "met")
     more = write_table(met.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(write_table(confirmed(more, texts, shingle_words), "links"))
-    roots = write_table(components(links), "roots")
+    roots = grown(roots, write_table(confirmed(more, texts, shingle_words), "links"))
 
-    crowded = _rooted(met.where("node is not null").drop("root"), roots)
-    mixed = crowded.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
-    rest = write_table(crowded.join(mixed.select("key"), "key", "left_semi").select("node", "n", "root").distinct(), "crowded")
+    crowded = _rooted(met.where("node is not null").select("key", "node", "n"), roots)
+    mixed = crowded.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min("n").alias("least")).where("r <> s")
+    rest = write_table(crowded.join(mixed.select("key", "least"), "key").groupBy("node").agg(
+        F.min("n").alias("n"), F.min("root").alias("root"), F.min("least").alias("least")), "crowded")
     if rest.isEmpty():
         return roots
-    met = write_table(meetings(rarest(write_table(rest.join(texts.select("node", "text"), "node"), "crowded-texts"), shingle_words)), "met")
+    # no bits: this way is exact
+    prefixed = rarest(write_table(rest.join(texts.select("node", "text"), "node"), "crowded-texts"), shingle_words)
+    met = write_table(meetings(prefixed.withColumn("bits", F.lit(None).cast("binary"))), "met")
     done = tried.unionByName(more)
     last = write_table(met.where("a is not null").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(write_table(confirmed(last, texts, shingle_words), "links"))
-    links = links.unionByName(write_table(block_links(met.where("node is not null").drop("a", "b"), texts, shingle_words), "links"))
-    return write_table(components(links), "roots")
+    links = write_table(confirmed(last, texts, shingle_words), "links")
+    blocks = write_table(block_links(met.where("node is not null").drop("a", "b"), texts, shingle_words), "links")
+    return grown(roots, links.unionByName(blocks))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -355,8 +438,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     A null doc_id is never the least; a component of null ids alone has a null
     component_id, and its rows are kept. Other columns are ignored; an empty table
     gives no rows."""
-    rows = write_table(marked(docs, shingle_words), "marked")
-    roots = node_groups(node_texts(docs, shingle_words), shingle_words)
+    rows = marked(docs, shingle_words)
+    roots = node_groups(node_texts(rows), shingle_words)
     nodes = write_table(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
     rooted = write_table(_rooted(nodes, roots), "rooted")
     ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("size"))

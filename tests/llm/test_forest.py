@@ -76,10 +76,10 @@ def rows():
     return [(k, t) for k, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("pairs,nodes,block,common_", [(4096, 1 << 16, 64, 1 << 17), (3, 20, 4, 1 << 17), (0, 5, 2, 1)])
-def test_equals_all_pairs(spark, rows, monkeypatch, pairs, nodes, block, common_):
+@pytest.mark.parametrize("pairs,nodes,block,slab,common_", [(4096, 1 << 13, 512, 4096, 1 << 17), (3, 20, 4, 64, 1 << 17), (0, 5, 2, 7, 1)])
+def test_equals_all_pairs(spark, rows, monkeypatch, pairs, nodes, block, slab, common_):
     """With small bounds every region goes the exact way, and on to blocks."""
-    for name, value in (("MAX_PAIRS", pairs), ("MAX_NODES", nodes), ("BLOCK", block), ("COMMON", common_)):
+    for name, value in (("MAX_PAIRS", pairs), ("MAX_NODES", nodes), ("BLOCK", block), ("SLAB", slab), ("COMMON", common_), ("COUNTED", 1 << 20 if slab > 64 else 50)):
         monkeypatch.setattr(lsh_forest, name, value)
     assert found(lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == expected(rows)
 
@@ -103,6 +103,28 @@ def test_very_long_text(spark):
     assert found(lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == expected(rows)
 
 
+def test_common_counts_equal_intersections():
+    r = np.random.default_rng(6)
+    sets = [np.unique(r.integers(0, 300, size=int(r.integers(1, 200)), dtype=np.uint64)) for _ in range(40)]
+    for slab in (5, 4096):
+        lsh_forest.SLAB, old = slab, lsh_forest.SLAB
+        got = lsh_forest.common_counts(sets[:15], sets[15:])
+        lsh_forest.SLAB = old
+        assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[15:]] for a in sets[:15]]
+    assert lsh_forest.common_counts([sets[0][:1]], [sets[0][:1] + np.uint64(9999)]).tolist() == [[0]]
+
+
+def test_bits_of_similar_sets_are_similar():
+    """At the least similarity the bound on differing bits keeps every pair of many."""
+    r, worst = np.random.default_rng(9), 0
+    for _ in range(300):
+        both = r.integers(0, 2**63, 800, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([both, r.integers(0, 2**63, 100, dtype=np.uint64)])) for _ in "ab")  # 800 of 1000
+        x, y = (np.frombuffer(lsh_forest.bits(lsh_forest.signature(s)), dtype=np.uint8) for s in (a, b))
+        worst = max(worst, int(lsh_forest.unlike(x, y)))
+    assert worst <= lsh_forest.MAX_BITS - 4
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(2)
     a = np.unique(r.integers(0, 2**63, 4000, dtype=np.uint64))
