@@ -33,7 +33,7 @@ from ..streaming import control as SC
 from ..streaming import stateful as SS
 from ..streaming.detector import detector_streams, multi_window_stream, start_update_detector
 from ..streaming.io import (ORDERS_TOPIC, STATE_TOPIC, compact_dates, expire_dates, feed, file_stream, new_run_dir, period_cuts,
-                            read_dated, split_topics)
+                            read_dated, split_topics, without_empty_batches)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -604,7 +604,7 @@ def resent_orders(spark, sf_dir) -> DataFrame:
 @register("duplicate_audit", f"""
 SELECT ts, decision, order_id, account_id, b.symbol, 'ACCOUNT:' || account_id AS scope_matches, 'ACTIVE' AS killswitch_status,
        'Duplicate order id' AS reason, sha256(concat_ws('|', 'audit', order_id)) AS corr_id, 'order_router' AS service
-FROM ({_DUPLICATES_SQL}) d JOIN (SELECT order_id, symbol FROM ({O.BOOK_ORDERS})) b USING (order_id) WHERE decision = 'DUPLICATE'""")
+FROM ({_DUPLICATES_SQL}) d JOIN (SELECT DISTINCT order_id, symbol FROM ({O.BOOK_ORDERS})) b USING (order_id) WHERE decision = 'DUPLICATE'""")
 def q_duplicate_audit(spark, sf_dir):
     """EXT-3: the audit records of duplicates."""
     orders = resent_orders(spark, sf_dir)
@@ -909,7 +909,16 @@ def q_stream_duplicates(spark, sf_dir):
     """EXT-3 as a stream: the memory is carried over batches and restarts."""
     run = new_run_dir(spark, "stream-duplicates")
     orders = resent_orders(spark, sf_dir).select("order_id", "client_order_id", "ts", "account_id")
-    _replay(orders, F.col("ts"), run, lambda o: [_to_files(SS.duplicate_stream(o, "client_order_id", DUPLICATE_MEMORY_MS), run)])
+
+    def start(o: DataFrame) -> list:
+        with_expiry = _to_files(SS.duplicate_stream(o, "client_order_id", DUPLICATE_MEMORY_MS), run)
+
+        def run_() -> object:
+            with without_empty_batches(spark):
+                return with_expiry()
+        return [run_]
+
+    _replay(orders, F.col("ts"), run, start)
     return spark.read.parquet(f"{run}/out")
 
 

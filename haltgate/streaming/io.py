@@ -12,6 +12,7 @@ import os
 import re
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -109,6 +110,20 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
     return r.parquet(path)
 
 
+@contextmanager
+def without_empty_batches(spark: SparkSession):
+    """For starting a query that takes what is there and stops (``availableNow``) over an
+    operator whose state expires by processing time: with empty batches such a query has always
+    something to wait for. A query keeps the setting that it was started under."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # -- sinks -----------------------------------------------------------------------
 
 def keyed_json_stream_writer(df: DataFrame, key_col: str | None, fmt: str, options: dict[str, str],

@@ -30,12 +30,20 @@ def _frame(rows: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns, dtype=object)
 
 
+#: Whole-number columns, which pandas holds as floats where some are missing.
+WHOLE = {"ts", "at", "kind", "updated_ts", "qty"}
+
+
 def _tuples(frames: Iterator[pd.DataFrame], columns: list[str]) -> list[tuple]:
     """The rows of a key in this micro-batch; missing values are None."""
     out: list[tuple] = []
     for frame in frames:
-        part = frame[columns].astype(object)
-        out.extend(part.where(part.notna(), None).itertuples(index=False, name=None))
+        values = []
+        for c in columns:
+            column = frame[c]
+            gone = column.isna().tolist()
+            values.append([None if g else int(v) if c in WHOLE else v for v, g in zip(column.tolist(), gone)])
+        out.extend(zip(*values))
     return out
 
 
@@ -79,7 +87,8 @@ class DuplicateProcessor(StatefulProcessor):
 def duplicate_stream(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000, ttl_ms: int | None = None) -> DataFrame:
     """Streaming twin of ``extensions.duplicate_decisions``: the same rows where orders
     arrive in event-time order. ``ttl_ms`` (twice the memory by default) bounds the state:
-    an id is forgotten after that much processing time. Orders without id or time are NEW."""
+    an id is forgotten after that much processing time (see ``io.without_empty_batches`` for
+    queries that stop). Orders without id or time are NEW."""
     known = F.col(id_col).isNotNull() & F.col("ts").isNotNull()
     keyed = orders.filter(known).select(F.col(id_col).cast("string").alias("client_order_id"), "ts", "order_id", "account_id")
     decided = keyed.groupBy("client_order_id").transformWithStateInPandas(
@@ -118,7 +127,7 @@ class ThrottleProcessor(StatefulProcessor):
             if kind == 0:  # the newest command decides; any but a THROTTLE ends throttling
                 rate = int(value) if action == ACTION_THROTTLE and value is not None else None
                 continue
-            now = None if ts is None else int(ts) // 1000
+            now = None if ts is None else ts // 1000
             if now != second:
                 second, passed = now, 0
             allowed = rate is None or passed < rate
@@ -169,13 +178,14 @@ class CooldownProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = _tuples(rows, _COOLDOWN_IN)
-        self.waiting.appendList([(int(r[0]), *r[1:]) for r in new])
-        for ts in {int(r[0]) for r in new}:
+        self.waiting.appendList(new)
+        for ts in {r[0] for r in new}:
             self.handle.registerTimer(ts + self.window_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs() - self.window_ms
+        # all that the watermark allows: a timer set now for a time it has passed might wait for the next batch
+        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) - self.window_ms
         killed, by, cmd, due, held = self.state.get() or (False, None, None, None, False)
         rows = sorted(tuple(r) for r in self.waiting.get())
         ready = [r for r in rows if r[0] <= until]

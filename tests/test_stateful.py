@@ -13,19 +13,30 @@ from haltgate.operators.state import state_records
 from haltgate.params import RiskParams
 from haltgate.streaming import stateful as SS
 from haltgate.streaming.detector import multi_window_stream
-from haltgate.streaming.io import feed, file_stream, period_cuts
+from haltgate.streaming.io import feed, file_stream, period_cuts, without_empty_batches
 
 DAY = 86_400_000
 
 
-def replay(spark, table, ts, operator, turns=4):
+def write(spark, out, run, empty):
+    w = out.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/ck").trigger(availableNow=True)
+    if empty:
+        q = w.start()
+    else:
+        with without_empty_batches(spark):
+            q = w.start()
+    if not q.awaitTermination(120):
+        q.stop()
+        raise AssertionError("the query does not end")
+
+
+def replay(spark, table, ts, operator, turns=4, empty=True):
     """All rows that ``operator`` (stream -> stream) gives while the table comes in turns."""
     run = tempfile.mkdtemp(prefix="stateful-")
 
     def turn():
         out = operator(file_stream(spark, f"{run}/in", table.schema))
-        (out.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/ck")
-         .trigger(availableNow=True).start().awaitTermination())
+        write(spark, out, run, empty)
 
     feed(table, F.col(ts), period_cuts(table, F.col(ts), turns), f"{run}/in", turn)
     return spark.read.parquet(f"{run}/out")
@@ -41,7 +52,7 @@ def test_duplicates_are_remembered_over_turns(spark):
              else rnd.randrange(10 * 3_600_000), "1") for k in range(800)]
     orders = spark.createDataFrame(rows, "order_id string, cid string, ts bigint, account_id string")
     columns = ["order_id", "client_order_id", "ts", "account_id", "prev_seen_ts", "decision"]
-    got = replay(spark, orders, "ts", lambda o: SS.duplicate_stream(o, "cid"))
+    got = replay(spark, orders, "ts", lambda o: SS.duplicate_stream(o, "cid"), empty=False)
     assert rows_of(got, columns) == rows_of(X.duplicate_decisions(orders, "cid"), columns)
 
 
@@ -51,7 +62,7 @@ def test_late_order_of_a_remembered_id_is_a_duplicate(spark):
     for k, ts in enumerate((5_000_000, 4_990_000, 1_000_000)):  # each turn's order is older than the one before
         spark.createDataFrame([(f"o{k}", "x", ts, "1")], "order_id string, cid string, ts bigint, account_id string").write.mode("append").parquet(f"{run}/in")
         out = SS.duplicate_stream(file_stream(spark, f"{run}/in", "order_id string, cid string, ts bigint, account_id string"), "cid")
-        out.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/ck").trigger(availableNow=True).start().awaitTermination()
+        write(spark, out, run, empty=False)
     got = {r.order_id: (r.prev_seen_ts, r.decision) for r in spark.read.parquet(f"{run}/out").collect()}
     assert got == {"o0": (None, "NEW"), "o1": (5_000_000, "DUPLICATE"), "o2": (5_000_000, "DUPLICATE")}
 
