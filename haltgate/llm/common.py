@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +21,57 @@ WORD = r"[^\x20\x09-\x0D]+"
 MIN_LONG = -(2**63)
 
 
+class Scratch:
+    """The folders and tables made since it was opened."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.tables: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep_last(self) -> str:
+        self.kept.add(self.paths[-1])
+        return self.paths[-1]
+
+
+_OPEN: list[Scratch] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Deletes the folders and tables that are made inside when it ends, but those kept: for
+    callers that store an operator's result inside, so that nothing reads them afterwards."""
+    made = Scratch()
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+        for table in made.tables:
+            spark.sql(f"DROP TABLE IF EXISTS `{table}`")
+        for path in set(made.paths) - made.kept:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.paths.append(path)
+    return path
+
+
+def write_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Writes ``df`` in the shared folder, in sorted buckets of ``key``, as a table of the
+    catalog, so that joins on the key move only their other side."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    for made in _OPEN:
+        made.tables.append(table)
+    (df.write.option("compression", "zstd").option("path", path).format("parquet")
+     .bucketBy(shuffle_partitions(spark), key).sortBy(key).saveAsTable(table))
+    return spark.table(table)
 
 
 def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

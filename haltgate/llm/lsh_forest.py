@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Emitter, arrow_schema, join_counted, shared_path, shuffle_partitions, text_rows, write_table
+from .common import Emitter, arrow_schema, join_counted, shuffle_partitions, text_rows, write_buckets, write_table
 from .components import components
 from .fingerprint import word_hashes
 from .token_store import mix
@@ -139,12 +139,8 @@ def marked(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
 def node_texts(rows: DataFrame) -> DataFrame:
     """(node, n, text): a text of each distinct set, in buckets of the node, so that joins on
     it move only their other side."""
-    spark = rows.sparkSession
-    path = shared_path(spark, "nodes")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    (rows.where("text is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("text").alias("text"))
-     .write.option("compression", "zstd").option("path", path).format("parquet").bucketBy(shuffle_partitions(spark), "node").sortBy("node").saveAsTable(name))
-    return spark.table(name)
+    once = rows.where("text is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("text").alias("text"))
+    return write_buckets(once, "nodes", "node")
 
 
 def forest(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Emitter, arrow_schema, shared_path, shuffle_partitions, text_rows, write_table
+from .common import Emitter, arrow_schema, shuffle_partitions, text_rows, write_buckets, write_table
 from .run_length_index import RunLengthIndex
 
 LENGTH = 400
@@ -313,14 +313,9 @@ NOTHING = hashlib.sha256(b"").hexdigest()
 def _distinct_texts(rows: DataFrame) -> DataFrame:
     """(text_id, text, copies), written in buckets of the text id, so that joins on it
     move only their other side."""
-    spark = rows.sparkSession
     once = (rows.select(text_id(F.col("text")).alias("text_id"), "text")
             .groupBy("text_id").agg(F.first("text").alias("text"), F.count("*").alias("copies")))
-    path = shared_path(spark, "texts")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    (once.write.option("compression", "zstd").option("path", path).format("parquet")
-     .bucketBy(shuffle_partitions(spark), "text_id").sortBy("text_id").saveAsTable(name))
-    return spark.table(name)
+    return write_buckets(once, "texts", "text_id")
 
 
 def removals(docs: DataFrame, length: int = LENGTH, **params) -> DataFrame:
