@@ -4,6 +4,7 @@ every turn starts the query again from its checkpoint."""
 import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import CMD_COLS, ORDER_COLS, commands_df, orders_df
@@ -18,6 +19,16 @@ from haltgate.streaming.io import feed, file_stream, period_cuts, without_empty_
 DAY = 86_400_000
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """A state operator has a task and a worker for each partition."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    yield
+    spark.conf.set(name, before)
+
+
 def write(spark, out, run, empty):
     w = out.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/ck").trigger(availableNow=True)
     if empty:
@@ -30,7 +41,7 @@ def write(spark, out, run, empty):
         raise AssertionError("the query does not end")
 
 
-def replay(spark, table, ts, operator, turns=4, empty=True):
+def replay(spark, table, ts, operator, turns=2, empty=True):
     """All rows that ``operator`` (stream -> stream) gives while the table comes in turns."""
     run = tempfile.mkdtemp(prefix="stateful-")
 
