@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from haltgate.llm import packing, quality_classifier, quality_rules, repeats, simhash
-from haltgate.llm.common import write_table
+from haltgate.llm.common import scratch, write_table
 from haltgate.llm.queries import documents, vocabulary
 from haltgate.sources.tables import read_table
 
@@ -30,9 +30,14 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+#: Bytes of a string that may occur once only: a passage of some fifty words, whose shortest take five bytes each
+#: with the space.
+PASSAGE_BYTES = 250
+
+
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of long strings that occur more than once."""
-    return repeats.cut_documents(docs)
+    """Texts without the bytes of passages that occur more than once."""
+    return repeats.cut_documents(docs, PASSAGE_BYTES)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The last stage's rows. What a stage has written is deleted when its result is stored,
+    and that when the next one's is."""
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        docs = write_table(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with scratch(spark) as made:
+            docs = write_table(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+            made.paths[:0] = before
+            before = [made.keep_last()]
     return docs
