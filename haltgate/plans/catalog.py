@@ -33,7 +33,7 @@ from ..streaming import control as SC
 from ..streaming import stateful as SS
 from ..streaming.detector import detector_streams, multi_window_stream, start_update_detector
 from ..streaming.io import (ORDERS_TOPIC, STATE_TOPIC, compact_dates, expire_dates, feed, file_stream, new_run_dir, period_cuts,
-                            read_dated, split_topics, without_empty_batches)
+                            read_dated, split_topics, state_store, without_empty_batches)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -721,6 +721,13 @@ def _to_files(df: DataFrame, run: str, mode: str = "append"):
                     .option("checkpointLocation", f"{run}/ck").trigger(availableNow=True).start())
 
 
+def _stateful_to_files(df: DataFrame, run: str):
+    def start() -> object:
+        with state_store(df.sparkSession):
+            return _to_files(df, run)()
+    return start
+
+
 def _cut_sql(k: int) -> str:
     return f"(SELECT min(t) + (max(t) - min(t)) * {k} // {TURNS} FROM (SELECT epoch_us(ts) // 1000 AS t FROM events))"
 
@@ -911,7 +918,7 @@ def q_stream_duplicates(spark, sf_dir):
     orders = resent_orders(spark, sf_dir).select("order_id", "client_order_id", "ts", "account_id")
 
     def start(o: DataFrame) -> list:
-        with_expiry = _to_files(SS.duplicate_stream(o, "client_order_id", DUPLICATE_MEMORY_MS), run)
+        with_expiry = _stateful_to_files(SS.duplicate_stream(o, "client_order_id", DUPLICATE_MEMORY_MS), run)
 
         def run_() -> object:
             with without_empty_batches(spark):
@@ -952,7 +959,7 @@ def q_stream_throttle(spark, sf_dir):
     """EXT-2 as a stream: orders and THROTTLE / UNKILL commands in one tagged input."""
     run = new_run_dir(spark, "stream-throttle")
     tagged = SS.throttle_input(bk_orders(spark, sf_dir), throttle_log(spark, sf_dir))
-    _replay(tagged, F.col("ts"), run, lambda t: [_to_files(SS.throttle_stream(t), run)])
+    _replay(tagged, F.col("ts"), run, lambda t: [_stateful_to_files(SS.throttle_stream(t), run)])
     return spark.read.parquet(f"{run}/out")
 
 
@@ -994,7 +1001,7 @@ def _release_run(spark, sf_dir) -> str:
 
     def start(commands: DataFrame) -> list:
         releases = SS.release_stream(commands, AUTO_UNKILL_COOLDOWN_MS, EVENT_PARAMS.window_ms, _COOLDOWN_WATERMARK)
-        return [_to_files(releases, run), lambda: _aggregator(commands.unionByName(
+        return [_stateful_to_files(releases, run), lambda: _aggregator(commands.unionByName(
             file_stream(spark, f"{run}/out", releases.schema)), run)()]
 
     _replay(log, F.col("ts"), run, start)
@@ -1033,7 +1040,7 @@ def q_stream_interleaved(spark, sf_dir):
         parts = split_topics(records, [ORDERS_TOPIC, STATE_TOPIC])
         good, _ = decode_orders(parts[ORDERS_TOPIC], required=ROUTER_ORDER_FIELDS)
         changes = parts[STATE_TOPIC].select(F.from_json("value", STATE_SCHEMA).alias("s")).select("s.*")
-        return [_to_files(SS.interleaved_gate(SS.tagged_records(good, changes, buckets)), run)]
+        return [_stateful_to_files(SS.interleaved_gate(SS.tagged_records(good, changes, buckets)), run)]
 
     _replay(log, F.col("at"), run, start)
     return spark.read.parquet(f"{run}/out")

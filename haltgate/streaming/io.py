@@ -111,17 +111,28 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
 
 
 @contextmanager
-def without_empty_batches(spark: SparkSession):
-    """For starting a query that takes what is there and stops (``availableNow``) over an
-    operator whose state expires by processing time: with empty batches such a query has always
-    something to wait for. A query keeps the setting that it was started under."""
-    name = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def _started_under(spark: SparkSession, name: str, value: str):
+    """A query keeps the settings that it was started under; the session gets its own back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def without_empty_batches(spark: SparkSession):
+    """For starting a query that takes what is there and stops (``availableNow``) over an
+    operator whose state expires by processing time: with empty batches such a query has always
+    something to wait for."""
+    return _started_under(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false")
+
+
+def state_store(spark: SparkSession):
+    """For starting a query over an operator of ``stateful``: ``transformWithState`` keeps its
+    state in RocksDB only, whatever store the session names for other queries."""
+    return _started_under(spark, "spark.sql.streaming.stateStore.providerClass",
+                          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 # -- sinks -----------------------------------------------------------------------

@@ -7,13 +7,20 @@ store and so goes on after a restart. Inputs of several kinds reach one operator
 rows of one tagged stream. Within a micro-batch the rows of a key are taken in
 event-time order; a row of an earlier batch came earlier. Rows that need no state
 (without key or time) do not pass the operator.
+
+Spark also loads a processor in a process of its own beside the driver, which has neither
+the driver's ``sys.path`` nor files added to the context. So the processors of this module are
+sent by value, and what their methods call stays in it. Queries are started within
+``io.state_store``.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -24,6 +31,8 @@ from ..operators.extensions import DECISION_NEW, REASON_AUTO_UNKILL
 from ..operators.gate import STATE_FIELDS, audit_rows, decide, scope_levels
 from ..schemas import COMMAND_COLUMNS, ORDER_COLUMNS
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _frame(rows: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
     if rows:

@@ -1,13 +1,16 @@
 """Stateful streams against their batch twins and plain versions, over several turns:
 every turn starts the query again from its checkpoint."""
 
+import os
 import random
+import subprocess
+import sys
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CMD_COLS, ORDER_COLS, commands_df, orders_df
+from conftest import CMD_COLS, ORDER_COLS, ROOT, commands_df, orders_df
 from haltgate.operators import extensions as X
 from haltgate.operators.gate import gate_asof
 from haltgate.operators.state import state_records
@@ -176,3 +179,34 @@ def test_windows_of_several_widths_close_each_in_its_time(spark):
     newest = orders.agg(F.max("ts")).first()[0]
     exp = X.multi_window_commands(orders, specs).filter(F.col("ts") <= newest - 60_000)
     assert rows_of(got, exp.columns) == rows_of(exp, exp.columns) and {r.window_label for r in exp.collect()} == {"300s", "3600s"}
+
+
+def test_stateful_queries_run_in_a_session_of_any_kind():
+    """A session that names no state store, and a driver started in another folder, whose
+    Python path does not reach the library by itself."""
+    code = f"""
+import sys, tempfile
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config(map={{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": tempfile.mkdtemp(),
+                                                            "spark.sql.session.timeZone": "UTC"}}).getOrCreate()
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import functions as F
+from haltgate.plans import catalog as C
+from haltgate.streaming import stateful as SS
+provider = "spark.sql.streaming.stateStore.providerClass"
+before = spark.conf.get(provider, None)
+run = tempfile.mkdtemp()
+rows = spark.createDataFrame([("o1", "x", 1), ("o2", "x", 2), ("o3", None, 3)], "order_id string, cid string, ts bigint").withColumn("account_id", F.lit("1"))
+def start(o):
+    def go():
+        with C.without_empty_batches(spark):
+            return C._stateful_to_files(SS.duplicate_stream(o, "cid"), run)()
+    return [go]
+C._replay(rows, F.col("ts"), run, start)
+got = sorted((r.order_id, r.decision) for r in spark.read.parquet(run + "/out").collect())
+assert got == [("o1", "NEW"), ("o2", "DUPLICATE"), ("o3", "NEW")], got
+assert spark.conf.get(provider, None) == before
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-3000:]
