@@ -3,6 +3,8 @@ duplicate detection, multi-window detection and cooldown auto-unkill."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from ..functions.columns import (ACTION_KILL, ACTION_THROTTLE, ACTION_UNKILL, DE
                                  TRIGGERED_BY_DETECTOR, account_scope)
 from ..params import RiskParams
 from ..schemas import COMMAND_COLUMNS
+from ..session import state_dir
 from ..sources.orders import with_order_metrics
 from .breaches import breaches, commands_from_breaches
 from .gate import MAX_BROADCAST_BYTES, row_bytes, sized_broadcast
@@ -187,6 +190,10 @@ def throttle_decisions(orders: DataFrame, policy: DataFrame,
 
 # -- EXT-3: duplicates -----------------------------------------------------------------
 
+#: Orders of an id up to which its memory is followed in a window of the id.
+SHORT = 64
+
+
 def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """An id is remembered for ``memory_ms`` from the order that put it in
     memory: a conditional write with an expiry. An order is DUPLICATE while
@@ -196,15 +203,50 @@ def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_0
     without an id cannot be recognised and is NEW; one without a time is
     NEW and remembers nothing.
 
+    The orders are written once, only what the result needs of them. Ids of at most
+    ``SHORT`` orders are decided in a window of the id: one shuffle of the orders. No
+    task holds an id that repeats more often (see ``_decided_by_times``)."""
+    out = ["order_id", "client_order_id", "ts", "account_id", *keep]
+    spark, path = orders.sparkSession, state_dir(orders.sparkSession, f"duplicates-{uuid.uuid4().hex[:12]}")
+    needed = orders.select("order_id", F.col(id_col).alias("client_order_id"), "ts", "account_id", *keep)
+    needed.write.parquet(path)
+    rows = spark.read.schema(needed.schema).parquet(path)
+    is_known = F.col("client_order_id").isNotNull() & F.col("ts").isNotNull()
+    known, rest = rows.filter(is_known), rows.filter(~is_known)
+    often = (known.groupBy("client_order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT).select("client_order_id")).checkpoint()
+    if often.isEmpty():
+        decided = _decided_in_window(known, memory_ms)
+    else:
+        often = sized_broadcast(often, MAX_BROADCAST_BYTES)
+        decided = (_decided_in_window(known.join(often, "client_order_id", "left_anti"), memory_ms)
+                   .unionByName(_decided_by_times(known.join(often, "client_order_id", "left_semi"), memory_ms)))
+    named = decided.select(*out, F.when(~F.col("_new"), F.col("_seen")).alias("prev_seen_ts"),
+                           F.when(F.col("_new"), F.lit(DECISION_NEW)).otherwise(F.lit(DECISION_DUPLICATE)).alias("decision"))
+    return named.unionByName(rest.select(*out, F.lit(None).cast("bigint").alias("prev_seen_ts"), F.lit(DECISION_NEW).alias("decision")))
+
+
+def _decided_in_window(known: DataFrame, memory_ms: int) -> DataFrame:
+    """Adds ``_seen``, the time that an order's id is remembered from, and ``_new``: each
+    order goes through the times of its id, of which there are few."""
+    mine = Window.partitionBy("client_order_id").orderBy("ts", F.asc_nulls_last("order_id"))
+    whole = mine.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = known.withColumns({"_times": F.array_sort(F.collect_set(F.col("ts").cast("bigint")).over(whole)), "_before": F.lag("ts").over(mine)})
+    seen = F.aggregate("_times", F.lit(None).cast("bigint"), lambda start, t: F.when(
+        (t <= F.col("ts")) & (start.isNull() | (t - start >= memory_ms)), t).otherwise(start))
+    first = F.col("_before").isNull() | (F.col("_before") != F.col("ts"))
+    return d.withColumn("_seen", seen).withColumn("_new", first & (F.col("_seen") == F.col("ts"))).drop("_times", "_before")
+
+
+def _decided_by_times(known: DataFrame, memory_ms: int) -> DataFrame:
+    """``_decided_in_window`` for ids that repeat often.
+
     Decided are the distinct times of each id, in windows of (id, memory-wide
     bucket): no task holds an id, however often it repeats. A time
     ``memory_ms`` or more after the one before always opens a memory. Where an id
     repeats without such a pause, the openers are the times that ``_openers`` reaches
     by pointer jumping. Orders then meet their time's opener by (id, time)."""
-    out = ["order_id", F.col(id_col).alias("client_order_id"), "ts", "account_id", *keep]
-    known = F.col(id_col).isNotNull() & F.col("ts").isNotNull()
     bucket = F.floor(F.col("ts") / F.lit(memory_ms)).cast("bigint")
-    times = (orders.filter(known).groupBy(F.col(id_col).alias("id"), "ts").agg(F.min("order_id").alias("first"))).checkpoint()
+    times = (known.groupBy(F.col("client_order_id").alias("id"), "ts").agg(F.min("order_id").alias("first"))).checkpoint()
     d = neighbour_in_key(times, "id", ["ts"], bucket, ["ts"], "prev", "_before")
     pause = F.col("_before.ts").isNull() | (F.col("ts") - F.col("_before.ts") >= memory_ms)
     d = d.withColumn("_opens", F.when(pause, F.col("ts"))).drop("_before")
@@ -216,17 +258,12 @@ def duplicate_decisions(orders: DataFrame, id_col: str, memory_ms: int = 3_600_0
              .withColumn("_opens", F.when(F.col("_jumped"), F.col("ts")).otherwise(F.col("_opens"))).drop("_jumped", "_start"))
         d = nearest_non_null_in_key(d, "id", ["ts"], bucket, "_opens", "_start", "prev")
     seen = d.select(F.col("id").alias("_id"), F.col("ts").alias("_ts"), "first", F.col("_start").alias("_seen"))
-    j = orders.filter(known).join(seen, (F.col(id_col) == F.col("_id")) & (F.col("ts") == F.col("_ts")))
+    j = known.join(seen, (F.col("client_order_id") == F.col("_id")) & (F.col("ts") == F.col("_ts")))
     # at an opener's time the order with the least id is new; of equal rows, one
     may_open = (F.col("_seen") == F.col("ts")) & F.col("order_id").eqNullSafe(F.col("first"))
     rank = F.row_number().over(Window.partitionBy("_id", "_ts").orderBy("order_id"))
     heads = j.filter(may_open).withColumn("_new", rank == 1)
-    rest = j.filter(~may_open).withColumn("_new", F.lit(False))
-    decided = heads.unionByName(rest).select(
-        *out, F.when(~F.col("_new"), F.col("_seen")).alias("prev_seen_ts"),
-        F.when(F.col("_new"), F.lit(DECISION_NEW)).otherwise(F.lit(DECISION_DUPLICATE)).alias("decision"))
-    return decided.unionByName(orders.filter(~known).select(*out, F.lit(None).cast("bigint").alias("prev_seen_ts"),
-                                                            F.lit(DECISION_NEW).alias("decision")))
+    return heads.unionByName(j.filter(~may_open).withColumn("_new", F.lit(False))).drop("_id", "_ts", "first")
 
 
 def _openers(late: DataFrame, memory_ms: int) -> DataFrame:

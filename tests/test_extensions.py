@@ -107,3 +107,25 @@ def test_strategy_scope_is_valid_where_the_router_gates_on_it(spark):
     df = spark.createDataFrame([("1", 1, "/kill", "STRATEGY:X", None, None)],
                                "request_id string, ts bigint, path string, scope string, reason string, operator string")
     assert [validate_requests(df, s).first().status_code for s in (False, True)] == [400, 200]
+
+
+def test_duplicates_of_short_and_long_ids_agree(spark, monkeypatch):
+    """Ids decided in a window and by their times, with ties, equal rows and nulls."""
+    import random
+    from haltgate.operators import extensions as X
+    rnd = random.Random(11)
+    rows = [(f"o{rnd.randrange(60):02d}" if k % 17 else None, f"id{rnd.randrange(12)}" if k % 29 else None,
+             rnd.randrange(-200, 400) * 60_000 if k % 31 else None, "1") for k in range(500)]
+    o = spark.createDataFrame(rows, "order_id string, cid string, ts bigint, account_id string")
+    got = {}
+    for short in (10_000, 40, 0):  # all in windows, some, none
+        monkeypatch.setattr(X, "SHORT", short)
+        got[short] = sorted(map(tuple, duplicate_decisions(o, "cid").collect()), key=str)
+    assert got[10_000] == got[40] == got[0] and len(got[0]) == 500
+
+
+def test_duplicates_shuffle_the_orders_once(spark):
+    """Ids that repeat a few times: the orders are written and then dealt by id, nothing else."""
+    o = spark.createDataFrame([(f"o{k}", f"c{k // 4}", k * 1_500_000, "1") for k in range(200)], "order_id string, cid string, ts bigint, account_id string")
+    plan = duplicate_decisions(o, "cid")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
