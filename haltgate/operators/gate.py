@@ -148,6 +148,10 @@ class IntervalIndex:
         part = df.filter(level_of(F.col("scope")) == level)
         return F.broadcast(part) if size.get(level, 0) <= self.max_bytes else part
 
+    def is_broadcast(self, level: str) -> bool:
+        """Whether the interval rows for ``level`` are broadcast."""
+        return sum(self.bytes.values()) <= self.max_bytes or self.bytes.get(level, 0) <= self.max_bytes
+
     def side(self, level: str | None = None) -> DataFrame:
         """The interval rows for ``level`` (all levels when None), with a
         broadcast hint only behind the measured size bound."""
@@ -200,7 +204,8 @@ def attach_state_asof(orders: DataFrame, states: DataFrame, include_strategy: bo
     iv = state_intervals(states).select("scope", *STATE_FIELDS, "valid_from", "valid_to")
     index = IntervalIndex(iv, max_broadcast_bytes, fanout)
     out = orders
-    for prefix, key in scope_levels(include_strategy):
+    # levels that shuffle the orders come first, before the fields of the others make the rows long
+    for prefix, key in sorted(scope_levels(include_strategy), key=lambda level: index.is_broadcast(level[0])):
         out = _lookup_level(out, index, prefix, key)
     return out
 

@@ -121,3 +121,17 @@ def test_reports_see_orders_appended_since_the_last_report(spark, tmp_path):
     assert before.total_orders > 0 and after.total_orders == 2 * before.total_orders
     assert after.allowed + after.dropped == World(spark, d).audit().count()
     assert World(spark, d, audit_path=path).stored_audit().count() == before.allowed + before.dropped
+
+
+def test_levels_that_shuffle_the_orders_come_first(spark):
+    """While the rows are short; the decisions do not depend on it."""
+    from haltgate.operators.gate import attach_state_asof, audit_rows, decide
+    commands = [(f"c{k:03d}", k, f"ACCOUNT:{k % 40}", "KILL" if k % 3 else "UNKILL", "r", "op", None, None, "x") for k in range(400)]
+    commands += [("g1", 50, "GLOBAL", "KILL", "r", "op", None, None, "x"), ("g2", 60, "GLOBAL", "UNKILL", "r", "op", None, None, "x")]
+    states = state_records(commands_df(spark, commands))
+    orders = orders_df(spark, [(f"o{k:03d}", k, str(k % 50), "A", "BUY", 1, 1.0, "X") for k in range(420)])
+    small, large = attach_state_asof(orders, states, max_broadcast_bytes=5000), attach_state_asof(orders, states)
+    place = small.columns.index
+    assert place("a_status") < place("g_status") < place("s_status")
+    rows = [sorted(map(str, audit_rows(decide(x)).collect())) for x in (small, large)]
+    assert rows[0] == rows[1] and len(rows[0]) == 420
