@@ -103,6 +103,8 @@ def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: s
     command is kept like the counts and as long."""
     counts_root = os.path.join(root, "counts")
     prior = [v for v in list_batches(spark, counts_root) if v < batch_id]
+    # written once: each look at the batch itself would read its input and aggregate it again
+    updated = updated.checkpoint()
     upd = updated.withColumn("_v", F.lit(batch_id).cast("bigint"))
     if prior:
         base = spark.read.parquet(os.path.join(counts_root, f"batch_id={prior[-1]}"))
@@ -121,6 +123,7 @@ def update_batch(spark: SparkSession, updated: DataFrame, batch_id: int, root: s
     touched = updated.select("window", "account_id").distinct()
     sig = rollup_signals(latest.join(touched, ["window", "account_id"]), ("account_id",))
     write_batch(sig, os.path.join(root, "signals"), batch_id)
+    sig = spark.read.schema(sig.schema).parquet(os.path.join(root, "signals", f"batch_id={batch_id}"))
     cmds = kill_commands(sig, params)
     if first_breach_only:
         seen_root = os.path.join(root, "breached")
