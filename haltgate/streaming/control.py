@@ -28,7 +28,7 @@ from ..operators.state import compact, fold_state, state_from_log, state_records
 from ..schemas import STATE_COLUMNS, STATE_SCHEMA
 from ..sources.commands import decode_commands
 from ..sources.orders import ROUTER_ORDER_FIELDS, decode_orders
-from .io import list_batches, prune_batches, publish_batch, write_batch, write_dated_batch
+from .io import at_once, list_batches, prune_batches, publish_batch, write_batch, write_dated_batch
 
 
 def latest_snapshot(spark: SparkSession, state_root: str) -> DataFrame:
@@ -135,20 +135,23 @@ def route_batch(spark: SparkSession, orders: DataFrame, batch_id: int, state_roo
         write_batch(gate_snapshot(orders, snap, include_strategy=include_strategy), os.path.join(out_root, "audit"), batch_id)
     audit = spark.read.parquet(os.path.join(out_root, "audit", f"batch_id={batch_id}"))
     gated = gated_orders(audit)
-    write_batch(gated, os.path.join(out_root, "gated"), batch_id)
     sinks = sinks or {}
-    publish_batch(gated, "account_id", sinks.get("gated"), batch_id)
-    publish_batch(audit, "order_id", sinks.get("audit"), batch_id)
-    errors = F.lit(0 if rejects is None else keep_rejects(spark, rejects, os.path.join(out_root, "rejects"), batch_id)).cast("bigint")
     index = (audit.select("order_id", "ts", "account_id", "symbol", "decision", "reason", "corr_id")
              .withColumn("expires_at", ttl_epoch_seconds("ts", AUDIT_TTL_DAYS))
              .withColumn("date", F.to_date(F.timestamp_millis("ts"))))
-    write_dated_batch(index, os.path.join(out_root, "audit_index"), batch_id)
-    counters = audit.agg(F.count(F.lit(1)).alias("orders_processed"),
-                         F.count_if(F.col("decision") == "ALLOW").alias("orders_allowed"),
-                         F.count_if(F.col("decision") == "DROP").alias("orders_dropped")) \
-        .withColumns({"errors": errors, "kill_state_scopes": F.lit(snap.count()).cast("bigint")})
-    write_batch(counters, os.path.join(out_root, "counters"), batch_id)
+
+    def count() -> None:
+        errors = F.lit(0 if rejects is None else keep_rejects(spark, rejects, os.path.join(out_root, "rejects"), batch_id)).cast("bigint")
+        counters = audit.agg(F.count(F.lit(1)).alias("orders_processed"),
+                             F.count_if(F.col("decision") == "ALLOW").alias("orders_allowed"),
+                             F.count_if(F.col("decision") == "DROP").alias("orders_dropped")) \
+            .withColumns({"errors": errors, "kill_state_scopes": F.lit(snap.count()).cast("bigint")})
+        write_batch(counters, os.path.join(out_root, "counters"), batch_id)
+
+    at_once(spark, lambda: publish_batch(audit, "order_id", sinks.get("audit"), batch_id),
+            lambda: publish_batch(gated, "account_id", sinks.get("gated"), batch_id),
+            lambda: write_dated_batch(index, os.path.join(out_root, "audit_index"), batch_id),
+            lambda: write_batch(gated, os.path.join(out_root, "gated"), batch_id), count)
 
 
 def start_router(orders: DataFrame, state_root: str, out_root: str, checkpoint: str,

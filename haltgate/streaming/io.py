@@ -12,11 +12,14 @@ import os
 import re
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.gate import MAX_BROADCAST_BYTES, sized_broadcast
 from ..session import state_dir
 from ..sources.orders import REQUIRED_ORDER_FIELDS, decode_orders, to_keyed_json
 
@@ -181,10 +184,7 @@ def publish_batch(df: DataFrame, key_col: str, sink: dict[str, str] | None, batc
     options = dict(sink)
     fmt, append = options.pop("format"), options.pop("append", None)
     digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
-    named = df.withColumn(RECORD_ROW, digest)
-    again = Window.partitionBy(RECORD_ROW).orderBy(F.lit(0))
-    named = (named.withColumn(RECORD_ROW, F.concat_ws("-", RECORD_ROW, F.row_number().over(again)))
-             .withColumn(RECORD_BATCH, F.lit(batch_id).cast("bigint")))
+    named = _numbered_again(df, digest).withColumn(RECORD_BATCH, F.lit(batch_id).cast("bigint"))
     keyed = to_keyed_json(named, key_col)
     if "path" in options and not append:
         write_batch(keyed, options["path"], batch_id, fmt=fmt)
@@ -192,6 +192,34 @@ def publish_batch(df: DataFrame, key_col: str, sink: dict[str, str] | None, batc
         keyed.write.format(fmt).options(**options).mode("append").save()
 
 
+_PLAIN = {"string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "array<string>"}
+
+
+def _numbered_again(df: DataFrame, digest: Column) -> DataFrame:
+    """Adds the record's name: its digest and, among equal records, its number from 1. Only
+    records whose hash comes twice meet in a window; the others are the first of their kind.
+    Values of other types than the plain ones are hashed as JSON has them: equal records have
+    equal hashes."""
+    hashed = F.xxhash64(*[c if t in _PLAIN else F.to_json(F.struct(c)) for c, t in df.dtypes])
+    several = df.select(hashed.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("_h").checkpoint()
+    if several.isEmpty():
+        return df.withColumn(RECORD_ROW, F.concat_ws("-", digest, F.lit(1)))
+    several = sized_broadcast(several, MAX_BROADCAST_BYTES)
+    again = Window.partitionBy(RECORD_ROW).orderBy(F.lit(0))
+    equal = (df.withColumn("_h", hashed).join(several, "_h", "left_semi").drop("_h").withColumn(RECORD_ROW, digest)
+             .withColumn(RECORD_ROW, F.concat_ws("-", RECORD_ROW, F.row_number().over(again))))
+    other = df.withColumn("_h", hashed).join(several, "_h", "left_anti").drop("_h").withColumn(RECORD_ROW, F.concat_ws("-", digest, F.lit(1)))
+    return other.unionByName(equal)
+
+
+def at_once(spark: SparkSession, *writes: Callable[[], object]) -> None:
+    """Runs writes that do not need each other at the same time: the tasks of one fill the
+    cores that another leaves idle. The first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
+            done.result()
+
+
 def once(records: DataFrame, value_col: str = "value") -> DataFrame:
     """Published records without the repeats of replayed batches; records without a name
     stay. As a stream it remembers the names of all records, unless the caller bounds

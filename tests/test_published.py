@@ -131,3 +131,38 @@ def test_lookups_push_their_key_to_the_scan(spark):
     assert sorted(map(str, by_account.collect())) == sorted(map(str, whole.filter("account_id = '7'").collect()))
     for odd in ("042", "4 2", "x", "", "9" * 30):
         assert w.audit_of(order_id=odd).collect() == []
+
+
+def test_only_equal_records_are_dealt_out(spark, monkeypatch):
+    """A record's name is its digest and its number among equal ones; a batch without equal records
+    meets no window."""
+    from pyspark.sql import Window
+    from haltgate.streaming import io
+    digest = F.sha2(F.to_json(F.struct("a", "b", "t")), 256)
+    rows = spark.createDataFrame([(k % 4, None if k % 5 else "x", k % 3) for k in range(40)], "a int, b string, s int").select(
+        "a", "b", F.timestamp_micros(F.col("s").cast("bigint")).alias("t"))  # times that JSON does not tell apart
+    names = sorted(r[0] for r in io._numbered_again(rows, digest).select(io.RECORD_ROW).collect())
+    by = Window.partitionBy("d").orderBy("d")
+    exp = sorted(r[0] for r in rows.select(digest.alias("d")).select(F.concat_ws("-", "d", F.row_number().over(by))).collect())
+    assert names == exp and len(set(names)) == 40
+    plan = io._numbered_again(spark.range(50).select(F.col("id").alias("a"), F.lit("b").alias("b"), F.lit(1).alias("t")), digest)
+    assert "Window" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_update_batch_takes_its_batch_once(spark):
+    """Whoever asks for the batch again would aggregate the stream's input again."""
+    from haltgate.params import RiskParams
+    from haltgate.streaming.detector import update_batch
+    taken = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for f in frames:
+            taken.add(f.num_rows)
+            yield f
+
+    rows = spark.sql("SELECT named_struct('start', timestamp_seconds(0), 'end', timestamp_seconds(60)) AS window, cast(id % 3 AS string) AS account_id, "
+                     "cast(id AS string) AS _inner, 5L AS n, 5L AS n_priced, cast(7 AS decimal(38,10)) AS amount FROM range(12)")
+    root = tempfile.mkdtemp(prefix="update-")
+    update_batch(spark, rows.mapInArrow(seen, rows.schema), 0, root, RiskParams(max_orders=3), False, 60_000)
+    assert taken.value == 12
+    assert spark.read.parquet(f"{root}/commands").count() == 3
