@@ -191,15 +191,15 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance:
              max_bucket: int = MAX_BUCKET) -> DataFrame:
     """One row of each component, all columns: that of the least id, fingerprint, text and
     further columns. An id whose texts are in several components may stay for each of
-    them; rows without an id stay. The least row of every fingerprint is found while
+    them; rows without an id stay, and link others. The least row of every fingerprint is found while
     fingerprints are counted, so copies do not meet; documents themselves are read
     again and only the chosen ones move."""
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     text, rest = F.coalesce(F.col("doc.text").cast("string"), F.lit("")), F.to_json("doc")
     keyed = keyed.withColumn("row_key", F.concat(F.sha2(text, 256), F.sha2(rest, 256)))
-    rows = keyed.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text"), "row_key").where("doc_id is not null")
+    rows = keyed.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").alias("text"), "row_key")
     marked = write_table(fingerprints(rows, shingle_words, ("row_key",)), "simhash")
-    nodes = marked.groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "row_key")).alias("least"))
+    nodes = marked.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "row_key")).alias("least"))
     first = _rooted(nodes, max_distance, max_bucket).groupBy("root").agg(F.min("least").alias("least")).select("least.row_key")
     kept = keyed.where("doc.doc_id is not null").join(first, "row_key", "left_semi").dropDuplicates(["row_key"])
     return kept.select("doc.*").unionByName(docs.where("doc_id is null"))

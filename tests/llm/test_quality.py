@@ -1,6 +1,7 @@
 """Classifiers on held-out rows and odd input; rules against SQL and brute force."""
 
 import re
+import zlib
 
 import duckdb
 import numpy as np
