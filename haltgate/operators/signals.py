@@ -10,7 +10,7 @@ symbol of a window in one group and left whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import DEFAULT_PARAMS, RiskParams
@@ -25,8 +25,13 @@ def symbol_counts(orders: DataFrame, params: RiskParams = DEFAULT_PARAMS,
     for account signals; the account for symbol-level signals)."""
     # Streaming callers add the metrics (and the watermark) themselves.
     o = orders if "notional" in orders.columns else with_order_metrics(orders)
-    return (o.groupBy(F.window("event_time", params.window).alias("window"), *keys,
-                      F.col(inner).alias("_inner"))
+    return window_counts(o, F.window("event_time", params.window).alias("window"), *keys,
+                         F.col(inner).alias("_inner"))
+
+
+def window_counts(orders: DataFrame, *groups: Column | str) -> DataFrame:
+    """Count and amount of the orders in each group."""
+    return (orders.groupBy(*groups)
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count("notional").alias("n_priced"),
                  F.sum("notional").alias("amount")))

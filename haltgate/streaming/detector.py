@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.breaches import kill_commands
 from ..operators.extensions import commands_of_windows
-from ..operators.signals import risk_signals, rollup_signals, symbol_counts
+from ..operators.signals import risk_signals, rollup_signals, symbol_counts, window_counts
 from ..operators.state import latest_by_key
 from ..params import DEFAULT_PARAMS, RiskParams, interval_seconds
 from ..schemas import COMMAND_COLUMNS
@@ -73,14 +73,19 @@ def start_detector(*args, **params) -> list[StreamingQuery]:
 
 def multi_window_stream(orders: DataFrame, specs: list[RiskParams]) -> DataFrame:
     """EXT-4 as a stream: kill commands of several window widths in one query with one
-    watermark, the longest of the specs'. Every width has its own window
-    aggregations, whose shuffles carry partial aggregates, and closes its windows
-    as the watermark passes their ends."""
+    watermark, the longest of the specs'. Every order is taken up once per width behind
+    one scan, and all widths share the two window aggregations, whose shuffles carry
+    partial aggregates; each closes its windows as the watermark passes their ends."""
     longest = max(specs, key=lambda p: interval_seconds(p.watermark))
-    timed, signals = watermarked(orders, longest), None
+    timed = watermarked(orders, longest)
     for i, p in enumerate(specs):
-        one = risk_signals(timed, p).withColumn("spec", F.lit(i))
-        signals = one if signals is None else signals.unionByName(one)
+        timed = timed.withColumn(f"_w{i}", F.window("event_time", p.window))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("spec"), F.col(f"_w{i}").alias("window")) for i in range(len(specs))]))
+    # explode drops the watermark's mark, by which the aggregations know the windows that are over
+    window = F.col("_s.window").alias("window", metadata=timed.schema["_w0"].metadata)
+    rows = (timed.select("account_id", "symbol", "notional", each.alias("_s"))
+            .select(F.col("_s.spec").alias("spec"), window, "account_id", F.col("symbol").alias("_inner"), "notional"))
+    signals = rollup_signals(window_counts(rows, "spec", "window", "account_id", "_inner"), ("spec", "account_id"))
     return commands_of_windows(signals, specs)
 
 
