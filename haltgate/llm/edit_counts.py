@@ -20,13 +20,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import Emitter, arrow_schema, text_rows, write_table
-from .tokens import ChunkEncoder, encoder, slices
+from .tokens import ChunkEncoder, encoder
 
 #: Characters from which a leaf that holds several words is full.
 FULL_LEAF = 256
+#: Bytes of text whose trees a worker holds at a time; a longer text is alone.
+HELD_BYTES = 1 << 20
 LEAF = re.compile(r"[^\x20\x09-\x0D]*[\x20\x09-\x0D]*")
 
 Edit = tuple[int, int, str]  # code points from, to, replacement
@@ -149,6 +152,18 @@ def trees(enc: ChunkEncoder, texts: list[str]) -> list[CountTree]:
     return out
 
 
+def parts(batch: pa.RecordBatch, most: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, in parts whose texts (second column) have ``most`` bytes or are one."""
+    start = size = 0
+    for k, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+        if k > start and size + n > most:
+            yield batch.slice(start, k - start)
+            start, size = k, 0
+        size += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>"
 
 
@@ -166,9 +181,8 @@ def stored_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out = encoder(vocabulary), Emitter(schema)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in slices(len(texts), texts):
-                for doc, tree in zip(ids[lo:hi], trees(enc, texts[lo:hi])):
+            for part in parts(batch):
+                for doc, tree in zip(part.column(0).to_pylist(), trees(enc, part.column(1).to_pylist())):
                     out.add(_tree_row(doc, tree), 8 * tree.size + tree.chars)
                     if out.full():
                         yield from out.take()
@@ -208,12 +222,11 @@ def _edit_rows(vocabulary: str, edits: Callable[[str], list[Edit]], keep: bool,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out = encode(vocabulary), Emitter(schema)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            chars, tokens = batch.column(2), batch.column(3)
-            for lo, hi in slices(len(texts), texts):
-                built = [kept_tree(texts[k], chars[k].values.to_numpy(), tokens[k].values.to_numpy()) for k in range(lo, hi)]
+            for part in parts(batch):
+                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                built = [kept_tree(t, c.values.to_numpy(), n.values.to_numpy()) for t, c, n in zip(texts, part.column(2), part.column(3))]
                 before = [t.tokens for t in built]
-                todo = [edits(t) for t in texts[lo:hi]]
+                todo = [edits(t) for t in texts]
                 again = [0] * len(built)
                 for turn in range(max(map(len, todo), default=0)):
                     live = [k for k, e in enumerate(todo) if turn < len(e)]
@@ -222,7 +235,7 @@ def _edit_rows(vocabulary: str, edits: Callable[[str], list[Edit]], keep: bool,
                     for k, (first, last, new) in zip(live, places):
                         built[k].put(first, last, new, count(new))
                         again[k] += sum(map(len, new))
-                for doc, n, encoded, tree in zip(ids[lo:hi], before, again, built):
+                for doc, n, encoded, tree in zip(ids, before, again, built):
                     if keep:
                         out.add((*_tree_row(doc, tree), n, tree.tokens, encoded), 8 * tree.size + tree.chars)
                     else:
