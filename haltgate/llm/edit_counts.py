@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ FULL_LEAF = 256
 #: Bytes of text whose trees a worker holds at a time; a longer text is alone.
 HELD_BYTES = 1 << 20
 LEAF = re.compile(r"[^\x20\x09-\x0D]*[\x20\x09-\x0D]*")
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 Edit = tuple[int, int, str]  # code points from, to, replacement
 
@@ -46,17 +48,22 @@ def chunk_of(leaf: str) -> list[bytes]:
 class CountTree:
     """Segment tree over leaves; node 1 is the root, node i has children 2i and 2i+1."""
 
-    def __init__(self, leaves: list[str], tokens: list[int]):
+    def __init__(self, leaves: list[str], tokens: Sequence[int], chars: Sequence[int] | None = None):
         self.size = 1 << max(len(leaves) - 1, 0).bit_length()
         self.leaves = leaves + [""] * (self.size - len(leaves))
         self.sums = np.zeros((2 * self.size, 2), dtype=np.int64)  # characters, tokens
-        self.sums[self.size : self.size + len(leaves), 0] = [len(x) for x in leaves]
+        self.sums[self.size : self.size + len(leaves), 0] = [len(x) for x in leaves] if chars is None else chars
         self.sums[self.size : self.size + len(leaves), 1] = tokens
         level = self.size
         while level > 1:
-            self.sums[level // 2 : level] = self.sums[level : 2 * level].reshape(-1, 2, 2).sum(axis=1)
+            self._add_up(level // 2, level - 1)
             level //= 2
 
+    def _add_up(self, low: int, high: int) -> None:
+        """The sums of nodes of one level, from their children."""
+        at = self.sums[2 * low : 2 * high + 2]
+        np.add(at[::2], at[1::2], out=self.sums[low : high + 1])
+
     @property
     def chars(self) -> int:
         return int(self.sums[1, 0])
@@ -126,7 +133,7 @@ class CountTree:
             self.sums[self.size + first + k] = len(self.leaves[first + k]), sum(tokens[share])
         low, high = (first + self.size) // 2, (last + self.size) // 2
         while low:
-            self.sums[low : high + 1] = self.sums[2 * low : 2 * high + 2].reshape(-1, 2, 2).sum(axis=1)
+            self._add_up(low, high)
             low, high = low // 2, high // 2
 
     def text(self) -> str:
@@ -140,16 +147,34 @@ def counter(enc: ChunkEncoder, leaf_lists: list[list[str]]) -> Callable[[list[st
     return lambda leaves: [sum(len(ids[c]) for c in chunk_of(leaf)) // width for leaf in leaves]
 
 
+def leaf_counts(enc: ChunkEncoder, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, chars, tokens): the characters and tokens of the leaves (``leaves_of``) of all
+    texts, one after another, and where each text's leaves begin, with the end of the last."""
+    raw = [t.encode() for t in texts]
+    chunks = [r.split() for r in raw]
+    ids, width = enc.lookup(chunks), enc.dtype.itemsize
+    counts = np.fromiter(map(len, map(ids.__getitem__, chain.from_iterable(chunks))), dtype=np.int32) // width
+    sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    space = _SPACE[data]
+    head = np.zeros(len(data), dtype=bool)
+    np.greater(space[:-1], space[1:], out=head[1:])
+    head[begin[:-1][sizes > 0]] = True
+    first = np.flatnonzero(head)
+    chars = np.diff(np.append(first, len(data)))
+    if len(data) and data.max() >= 0x80:  # bytes that continue a character do not count
+        chars = np.add.reduceat((data & 0xC0) != 0x80, first, dtype=np.int64)
+    # a leaf has one chunk, but the first of a text may be white space alone
+    tokens = np.zeros(len(first), dtype=np.int32)
+    tokens[~space[first]] = counts
+    return np.searchsorted(first, begin), chars.astype(np.int32), tokens
+
+
 def trees(enc: ChunkEncoder, texts: list[str]) -> list[CountTree]:
-    lists = [leaves_of(t) for t in texts]
-    raw = [t.encode().split() for t in texts]
-    ids, width = enc.lookup(raw), enc.dtype.itemsize
-    out = []
-    for leaves, chunks in zip(lists, raw):
-        counts = [len(ids[c]) // width for c in chunks]
-        # a leaf has one chunk, but the first may be white space alone
-        out.append(CountTree(leaves, [0] * (len(leaves) - len(counts)) + counts))
-    return out
+    ends, chars, tokens = leaf_counts(enc, texts)
+    ends = ends.tolist()
+    return [kept_tree(t, chars[a:b], tokens[a:b]) for t, a, b in zip(texts, ends, ends[1:])]
 
 
 def parts(batch: pa.RecordBatch, most: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
@@ -179,14 +204,12 @@ def stored_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
     schema = arrow_schema(TREES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, out = encoder(vocabulary), Emitter(schema)
+        enc = encoder(vocabulary)
         for batch in batches:
             for part in parts(batch):
-                for doc, tree in zip(part.column(0).to_pylist(), trees(enc, part.column(1).to_pylist())):
-                    out.add(_tree_row(doc, tree), 8 * tree.size + tree.chars)
-                    if out.full():
-                        yield from out.take()
-        yield from out.take()
+                ends, *counts = leaf_counts(enc, part.column(1).to_pylist())
+                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(c), type=f.type) for c, f in zip(counts, list(schema)[2:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), *lists], schema=schema)
 
     return text_rows(docs).mapInArrow(run, TREES)
 
@@ -198,7 +221,7 @@ def write_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 def kept_tree(text: str, chars: np.ndarray, tokens: np.ndarray) -> CountTree:
     ends = np.cumsum(chars).tolist()
-    return CountTree([text[a:b] for a, b in zip([0, *ends], ends)], tokens)
+    return CountTree([text[a:b] for a, b in zip([0, *ends], ends)], tokens, chars)
 
 
 def spread_edits(text: str, count: int = 3, removed: int = 16, added: int = 24) -> list[Edit]:
