@@ -41,8 +41,8 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
-    return packing.pack(docs, vocabulary())
+    """Pieces of token sequences. Workers outlive the stage, so they keep no ids."""
+    return packing.pack(docs, vocabulary(), keep_ids=False)
 
 
 STAGES = [

@@ -76,13 +76,14 @@ def _lay(pieces: list[tuple], sequence: int | None) -> list[tuple]:
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW,
-         open_windows: int = OPEN_WINDOWS, merge_partitions: int = MERGE_PARTITIONS) -> DataFrame:
+         open_windows: int = OPEN_WINDOWS, merge_partitions: int = MERGE_PARTITIONS, keep_ids: bool = True) -> DataFrame:
     """One row per piece: ``PIECES``, and ``padded_length``, the length at which the
     sequence is stored: ``window``, or its own number of tokens if that is a power of two.
 
     A null or empty text is its end id alone. Repeated rows are packed each;
     a null doc_id stays null. Other columns are ignored; an empty table gives
-    no rows. Sequence ids are unique, not dense."""
+    no rows. Sequence ids are unique, not dense. Without ``keep_ids`` a worker drops
+    the ids of chunks after each partition, for jobs whose other steps need the memory."""
     schema = arrow_schema(PIECES + ", part int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,6 +105,8 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW
                             serial += 1
                     if out.full():
                         yield from out.take()
+        if not keep_ids:
+            enc.forget()
         for left in windows.rest():
             for row in _lay(left, None):
                 out.add((*row, part))

@@ -117,6 +117,12 @@ class ChunkEncoder:
             if collecting:
                 gc.enable()
 
+    def forget(self) -> None:
+        """Drops the ids that are kept."""
+        self.memo.clear()
+        self.pieces.clear()
+        self.pieces[""] = b""
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         lists = [t.encode().split() if t else [] for t in texts]  # bytes are split at ASCII white space alone
         get = self.lookup(lists).__getitem__
