@@ -2,7 +2,9 @@
 
 A text is cut at ASCII white space. The vocabulary drops white space and its
 pre-tokens never cross it, so the ids of a text are the ids of its chunks in
-order. Each worker keeps the ids of the chunks it has met (bounded).
+order. Arrow numbers the distinct chunks of a batch of texts; only these are
+looked up, and their ids are dealt to the texts by array. Each worker keeps the
+ids of the chunks it has met (bounded).
 
 Most new chunks are a word with a few marks behind it: two pre-tokens, which
 the library would cut apart and lower-case. Those are cut here, so that
@@ -21,6 +23,8 @@ from itertools import islice
 from operator import add
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Fixed values of the vocabulary file: the added token that joins chunks, and its start.
 SEPARATOR = "<|endoftext|>"
@@ -28,8 +32,11 @@ ADDED_START = b"<|"
 #: Chunks whose ids one worker keeps; met later, a chunk is encoded anew each time.
 MEMO_CHUNKS = 500_000
 
-#: Letters that are composed and have one lower-case form, then marks: two pre-tokens.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Chunks whose ids are laid out at once.
+LAID_CHUNKS = 1 << 20
+
+#: Letters that are composed and have one lower-case form, then ASCII marks but "'" and "<": two pre-tokens.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
 #: Fixed value of the vocabulary file: how an id ends that ends a pre-token.
 WORD_END = "</w>"
 
@@ -66,7 +73,7 @@ class ChunkEncoder:
 
     def _ids(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         pieces, done, plain = self.pieces, {}, []
-        words, marks, simple, new = [], [], [], set()
+        words, marks, simple = [], [], []
         for c in chunks:
             m = SIMPLE.fullmatch(c.decode())
             if m:
@@ -74,13 +81,15 @@ class ChunkEncoder:
                 simple.append(c), words.append(word), marks.append(mark)
             else:
                 plain.append(c)
-        new = set(words).union(marks).difference(pieces)
+        asked = set(words).union(marks)
+        new = asked.difference(pieces)
         found = self._piece_ids(list(new))
         if len(pieces) + len(found) <= self.memo_chunks:
             pieces.update(found)
             known = pieces
         else:
-            known = _Both(pieces, found)
+            kept = asked.difference(new)
+            known = found | dict(zip(kept, map(pieces.__getitem__, kept)))
         done.update(zip(simple, map(add, map(known.__getitem__, words), map(known.__getitem__, marks))))
         joined = [c for c in plain if ADDED_START not in c]
         for i in range(0, len(joined), 50_000):
@@ -97,26 +106,28 @@ class ChunkEncoder:
                 done[c] = np.array(self.tokenizer.encode(c.decode(), add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         return done
 
-    def lookup(self, chunk_lists: list[list[bytes]]) -> dict[bytes, bytes]:
-        """The ids of every chunk in the lists."""
+    def ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each of the chunks, which are distinct."""
         memo = self.memo
-        new = set().union(*chunk_lists).difference(memo)
+        ids = list(map(memo.get, chunks))
+        new = [c for c, known in zip(chunks, ids) if known is None]
         if not new:
-            return memo
+            return ids
         collecting = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and full passes over the memo are slow
         try:
-            found = self._ids(list(new))
-            room = self.memo_chunks - len(memo)
-            if room >= len(found):
-                memo.update(found)
-                return memo
-            memo.update(islice(found.items(), max(room, 0)))
-            return _Both(memo, found)
+            found = self._ids(new)
+            memo.update(islice(found.items(), max(self.memo_chunks - len(memo), 0)))
+            return [found[c] if known is None else known for c, known in zip(chunks, ids)]
         finally:
             if collecting:
                 gc.enable()
 
+    def lookup(self, chunk_lists: list[list[bytes]]) -> dict[bytes, bytes]:
+        """The ids of every chunk in the lists."""
+        chunks = list(set().union(*chunk_lists))
+        return dict(zip(chunks, self.ids_of(chunks)))
+
     def forget(self) -> None:
         """Drops the ids that are kept."""
         self.memo.clear()
@@ -124,9 +135,24 @@ class ChunkEncoder:
         self.pieces[""] = b""
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        lists = [t.encode().split() if t else [] for t in texts]  # bytes are split at ASCII white space alone
-        get = self.lookup(lists).__getitem__
-        return [b"".join(map(get, chunks)) for chunks in lists]
+        if not texts:
+            return []
+        lists = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+        numbered = lists.values.dictionary_encode()
+        which = numbered.indices.to_numpy()
+        ids = self.ids_of(numbered.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+        table = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        laid = [table[:0]]
+        for i in range(0, len(which), LAID_CHUNKS):
+            part = which[i : i + LAID_CHUNKS]
+            size = sizes[part]
+            ends = np.cumsum(size)
+            laid.append(table[np.repeat(starts[part] - ends + size, size) + np.arange(ends[-1])])
+        tokens = np.concatenate(laid)
+        bounds = np.concatenate([[0], np.cumsum(sizes[which])])[lists.offsets.to_numpy()].tolist()
+        return [tokens[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
 
 class _Both(dict):

@@ -1,5 +1,6 @@
 """Token ids, packing and the token store against the library called on whole texts."""
 
+import sys
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from haltgate.llm import edit_counts, packing, token_store
+from haltgate.llm import edit_counts, packing, token_store, tokens
 from haltgate.llm.queries import vocabulary
 from haltgate.llm.tokens import ChunkEncoder
 
@@ -34,6 +35,39 @@ def test_ids_are_the_librarys(text):
     assert np.frombuffer(ENCODER.encode([text])[0], ENCODER.dtype).tolist() == library(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="abÀéßs \t\x0b\x1c\n!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~7\u0338", max_size=20), max_size=6))
+def test_ids_of_words_with_any_marks_are_the_librarys(texts):
+    assert [np.frombuffer(raw, ENCODER.dtype).tolist() for raw in ENCODER.encode([*texts, None])] == [*map(library, texts), []]
+
+
+def test_marks_are_encoded_apart_from_their_word():
+    encoder = ChunkEncoder(vocabulary())
+    encoder.encode(["Word### word$$$ word"])
+    assert set(encoder.pieces) == {"", "word", "###", "$$$"}
+
+
+def test_chunks_met_again_cost_no_call_each():
+    """Once no more ids are kept, a text costs Python calls by its distinct chunks, not by all."""
+    encoder, calls = ChunkEncoder(vocabulary(), memo_chunks=4), []
+    encoder.encode(["one two three four"])
+    text = "one two three four five, " * 2000
+    sys.setprofile(lambda frame, event, _: event == "call" and calls.append(frame.f_code.co_name))
+    try:
+        raw = encoder.encode([text])[0]
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 200
+    assert np.frombuffer(raw, encoder.dtype).tolist() == library(text)
+
+
+def test_ids_laid_out_in_parts(monkeypatch):
+    monkeypatch.setattr(tokens, "LAID_CHUNKS", 3)
+    texts = ["one two three four, five", "", None, " six\n", "seven 8 nine! ten eleven"]
+    assert [np.frombuffer(raw, ENCODER.dtype).tolist() for raw in ENCODER.encode(texts)] == list(map(library, texts))
+    assert ENCODER.encode([]) == [] and ENCODER.encode([None, " "]) == [b"", b""]
+
+
 def check_packing(rows, expected, window):
     """``expected``: for each document, the ids of one copy and how many rows had them."""
     pieces, sequences = defaultdict(list), defaultdict(list)
