@@ -33,7 +33,7 @@ from ..streaming import control as SC
 from ..streaming import stateful as SS
 from ..streaming.detector import detector_streams, multi_window_stream, start_update_detector
 from ..streaming.io import (ORDERS_TOPIC, STATE_TOPIC, compact_dates, expire_dates, feed, file_stream, new_run_dir, period_cuts,
-                            read_dated, split_topics, state_store, without_empty_batches)
+                            read_dated, split_topics, state_store, stored, without_empty_batches)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -705,10 +705,17 @@ TURNS = 4
 def _turns(spark, sf_dir, run: str, start: Callable[[DataFrame], object]) -> None:
     """Replays the events; in every turn ``start`` gets the stream of all there is so far and
     starts its queries (one, or several that run one after another)."""
-    _replay(Tables(spark, sf_dir).events, to_epoch_ms("ts"), run, start)
+    _replay_stored(Tables(spark, sf_dir).events, to_epoch_ms("ts"), run, start)
 
 
 def _replay(table: DataFrame, ts: Column, run: str, start: Callable[[DataFrame], object]) -> None:
+    """Replays a table that a plan derives: it is worked out and written once, and each turn
+    reads its period of what was written."""
+    with stored(table, f"{run}/table") as rows:
+        _replay_stored(rows, ts, run, start)
+
+
+def _replay_stored(table: DataFrame, ts: Column, run: str, start: Callable[[DataFrame], object]) -> None:
     def turn() -> None:
         for q in start(file_stream(table.sparkSession, f"{run}/in", table.schema)):
             q().awaitTermination()
@@ -939,10 +946,11 @@ WHERE CAST(substr(scope, 9) AS BIGINT) % 3 = 0"""
 
 def throttle_log(spark, sf_dir) -> DataFrame:
     kills = kill_commands(risk_signals(bk_orders(spark, sf_dir), BOOK_PARAMS), BOOK_PARAMS)
-    some = kills.filter(F.substring("scope", 9, 20).cast("bigint") % 3 == 0)
-    return (kills.select("cmd_id", "ts", "scope", F.lit(ACTION_THROTTLE).alias("action"), F.lit(float(THROTTLE_RATE_PER_SECOND)).alias("value"))
-            .unionByName(some.select(stable_id(F.lit("lift"), "cmd_id").alias("cmd_id"), (F.col("ts") + THROTTLE_DAYS * 86_400_000).alias("ts"), "scope",
-                                     F.lit(ACTION_UNKILL).alias("action"), F.lit(None).cast("double").alias("value"))))
+    put = F.struct("cmd_id", "ts", "scope", F.lit(ACTION_THROTTLE).alias("action"), F.lit(float(THROTTLE_RATE_PER_SECOND)).alias("value"))
+    lift = F.struct(stable_id(F.lit("lift"), "cmd_id").alias("cmd_id"), (F.col("ts") + THROTTLE_DAYS * 86_400_000).alias("ts"), "scope",
+                    F.lit(ACTION_UNKILL).alias("action"), F.lit(None).cast("double").alias("value"))
+    some = F.substring("scope", 9, 20).cast("bigint") % 3 == 0
+    return kills.select(F.inline(F.when(some, F.array(put, lift)).otherwise(F.array(put))))
 
 
 @register("stream_throttle_decisions", f"""

@@ -95,6 +95,19 @@ def in_periods(df: DataFrame, ts_ms: Column, cuts_ms: list[int]) -> list[DataFra
     return parts
 
 
+@contextmanager
+def stored(df: DataFrame, path: str):
+    """The rows of a table as written to ``path``, which is deleted at the end: for tables that
+    are read several times and cost a plan each."""
+    spark = df.sparkSession
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+
+
 def feed(df: DataFrame, ts_ms: Column, cuts_ms: list[int], path: str, turn: Callable[[], None]) -> str:
     """Replays a table as a growing folder: each period's rows are written there, with as
     many files as Spark has partitions, and ``turn`` takes them up (as a batch of each

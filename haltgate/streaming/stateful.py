@@ -1,6 +1,5 @@
-"""Stateful streaming operators, on Spark's ``transformWithState``: duplicate
-orders, throttling, automatic release, and a gate that reads orders and state
-changes from one subscription.
+"""Stateful streaming operators: duplicate orders, throttling, automatic release, and a
+gate that reads orders and state changes from one subscription.
 
 Each takes a stream and gives a stream, keeps what it knows per key in the state
 store and so goes on after a restart. Inputs of several kinds reach one operator as
@@ -8,7 +7,12 @@ rows of one tagged stream. Within a micro-batch the rows of a key are taken in
 event-time order; a row of an earlier batch came earlier. Rows that need no state
 (without key or time) do not pass the operator.
 
-Spark also loads a processor in a process of its own beside the driver, which has neither
+Keys are kept in buckets by their hash. A worker gets the rows of a bucket with the
+bucket's state beside them (Spark's ``applyInPandasWithState``) and gives both back at
+once, so that a key costs no call to the state store; the gate, whose buckets look up
+scopes, is on ``transformWithState``.
+
+Spark also loads the gate's processor in a process of its own beside the driver, which has neither
 the driver's ``sys.path`` nor files added to the context. So the processors of this module are
 sent by value, and what their methods call stays in it. Queries are started within
 ``io.state_store``.
@@ -17,13 +21,15 @@ sent by value, and what their methods call stays in it. Queries are started with
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.columns import (ACTION_THROTTLE, ACTION_UNKILL, DECISION_ALLOW, DECISION_DUPLICATE, DECISION_THROTTLED,
                                  TRIGGERED_BY_DETECTOR, account_scope, stable_id)
@@ -44,23 +50,51 @@ WHOLE = {"ts", "at", "kind", "updated_ts", "qty"}
 
 
 def _tuples(frames: Iterator[pd.DataFrame], columns: list[str]) -> list[tuple]:
-    """The rows of a key in this micro-batch; missing values are None."""
+    """The rows of a key, or of a bucket of keys, in this micro-batch; missing values are None."""
     out: list[tuple] = []
     for frame in frames:
         values = []
         for c in columns:
             column = frame[c]
-            gone = column.isna().tolist()
-            values.append([None if g else int(v) if c in WHOLE else v for v, g in zip(column.tolist(), gone)])
+            gone = column.isna()
+            if gone.any():
+                values.append([None if g else int(v) if c in WHOLE else v for v, g in zip(column.tolist(), gone.tolist())])
+            else:
+                values.append([int(v) for v in column.tolist()] if c in WHOLE and column.dtype.kind != "i" else column.tolist())
         out.extend(zip(*values))
     return out
 
 
+def _by_key(frames: Iterator[pd.DataFrame], key: str, columns: list[str]) -> dict[str, list[tuple]]:
+    """The rows of each key of a bucket in this micro-batch."""
+    out: dict[str, list[tuple]] = {}
+    for k, *row in _tuples(frames, [key, *columns]):
+        if k in out:
+            out[k].append(row)
+        else:
+            out[k] = [row]
+    return out
+
+
+#: Buckets of keys. A micro-batch reads and writes the state of each bucket that it meets, so more of
+#: them suit small batches over a large state; the number stays as it is for the life of a query.
+BUCKETS = 4096
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def _first(time) -> tuple:
     """Sorts a missing time before all others."""
     return (time is not None, time or 0)
 
 
+def _with_state(keyed: DataFrame, processor, schema: str, timeout: str) -> DataFrame:
+    """Applies a processor to the rows and the state of each bucket."""
+    return keyed.groupBy("bucket").applyInPandasWithState(lambda key, frames, state: processor(key, frames, state), schema, processor.STATE, "append", timeout)
+
+
 # -- duplicates --------------------------------------------------------------------
 
 DUPLICATES = "order_id string, client_order_id string, ts bigint, account_id string, prev_seen_ts bigint, decision string"
@@ -110,7 +144,7 @@ def duplicate_stream(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000,
 # -- throttling ----------------------------------------------------------------------
 
 THROTTLED = "order_id string, ts bigint, account_id string, symbol string, max_rate_per_second int, decision string"
-_THROTTLE_IN = ["scope", "ts", "kind", "id", "account_id", "symbol", "action", "value"]
+_THROTTLE_IN = ["ts", "kind", "id", "account_id", "symbol", "action", "value"]
 
 
 def throttle_input(orders: DataFrame, commands: DataFrame) -> DataFrame:
@@ -122,40 +156,38 @@ def throttle_input(orders: DataFrame, commands: DataFrame) -> DataFrame:
                                          "action", F.col("value").cast("double").alias("value"))))
 
 
-class ThrottleProcessor(StatefulProcessor):
-    """Keeps a scope's rate, and how many of its orders passed in the current event second."""
+class ThrottleProcessor:
+    """Keeps the rate of each scope of a bucket, and how many of its orders passed in the current event second."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("rate", "rate int, second bigint, passed int")
+    STATE = "scopes array<string>, rate array<int>, second array<bigint>, passed array<bigint>"
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.state.get()
-        rate, second, passed = known if known is not None else (None, None, 0)
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        scopes = {scope: known for scope, *known in zip(*state.get)} if state.exists else {}
         out = []
-        for _, ts, kind, id_, account, symbol, action, value in sorted(_tuples(rows, _THROTTLE_IN), key=lambda r: (_first(r[1]), r[2], r[3] or "")):
-            if kind == 0:  # the newest command decides; any but a THROTTLE ends throttling
-                rate = int(value) if action == ACTION_THROTTLE and value is not None else None
-                continue
-            now = None if ts is None else ts // 1000
-            if now != second:
-                second, passed = now, 0
-            allowed = rate is None or passed < rate
-            passed += allowed
-            out.append((id_, ts, account, symbol, rate, DECISION_ALLOW if allowed else DECISION_THROTTLED))
-        if known is None or (rate, second, passed) != tuple(known):
-            self.state.update((rate, second, passed))
+        for scope, rows in _by_key(frames, "scope", _THROTTLE_IN).items():
+            rate, second, passed = scopes.get(scope, (None, None, 0))
+            for ts, kind, id_, account, symbol, action, value in sorted(rows, key=lambda r: (_first(r[0]), r[1], r[2] or "")):
+                if kind == 0:  # the newest command decides; any but a THROTTLE ends throttling
+                    rate = int(value) if action == ACTION_THROTTLE and value is not None else None
+                    continue
+                now = None if ts is None else ts // 1000
+                if now != second:
+                    second, passed = now, 0
+                allowed = rate is None or passed < rate
+                passed += allowed
+                out.append((id_, ts, account, symbol, rate, DECISION_ALLOW if allowed else DECISION_THROTTLED))
+            scopes[scope] = (rate, second, passed)
+        state.update((list(scopes), *[list(values) for values in zip(*scopes.values())]))
         yield from _frame(out, ["order_id", "ts", "account_id", "symbol", "max_rate_per_second", "decision"])
 
-    def close(self) -> None:
-        pass
-
 
-def throttle_stream(tagged: DataFrame) -> DataFrame:
+def throttle_stream(tagged: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Streaming twin of ``extensions.throttle_decisions`` over ``throttle_input`` rows: an
     order passes while fewer than the rate in force at its time passed in the same
     second. A command takes effect on orders of its own instant. Orders without an
     account pass."""
-    decided = tagged.filter("scope is not null").groupBy("scope").transformWithStateInPandas(ThrottleProcessor(), THROTTLED, "append", "None")
+    keyed = tagged.filter("scope is not null").select(_bucket(F.col("scope"), buckets).alias("bucket"), "scope", *_THROTTLE_IN)
+    decided = _with_state(keyed, ThrottleProcessor(), THROTTLED, GroupStateTimeout.NoTimeout)
     rest = tagged.filter("scope is null and kind = 1").select(F.col("id").alias("order_id"), "ts", "account_id", "symbol",
                                                               F.lit(None).cast("int").alias("max_rate_per_second"), F.lit(DECISION_ALLOW).alias("decision"))
     return decided.unionByName(rest)
