@@ -100,42 +100,48 @@ def _with_state(keyed: DataFrame, processor, schema: str, timeout: str) -> DataF
 DUPLICATES = "order_id string, client_order_id string, ts bigint, account_id string, prev_seen_ts bigint, decision string"
 
 
-class DuplicateProcessor(StatefulProcessor):
-    """Remembers, for each id, the time of the order that put it in memory. The state
-    goes ``ttl_ms`` of processing time after that order was seen."""
+class DuplicateProcessor:
+    """Remembers, for each id of a bucket, the time of the order that put it in memory. An
+    id goes ``ttl_ms`` of processing time after that order was seen."""
+
+    STATE = "ids array<string>, seen array<bigint>, until array<bigint>"
 
     def __init__(self, memory_ms: int, ttl_ms: int):
         self.memory_ms, self.ttl_ms = memory_ms, ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "ts bigint", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.seen.get()
-        seen = before = known[0] if known is not None else None
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = state.getCurrentProcessingTimeMs()
+        memory = {id_: (ts, until) for id_, ts, until in zip(*state.get) if until > now} if state.exists else {}
         out = []
-        for ts, order, account in sorted(_tuples(rows, ["ts", "order_id", "account_id"]), key=lambda r: (r[0], r[1] or "")):
-            # an order that comes late, with a time before the remembered one, is a repeat too
-            new = seen is None or ts - seen >= self.memory_ms
-            out.append((order, key[0], ts, account, None if new else seen, DECISION_NEW if new else DECISION_DUPLICATE))
-            seen = ts if new else seen
-        if seen != before:
-            self.seen.update((seen,))
+        for id_, rows in _by_key(frames, "client_order_id", ["ts", "order_id", "account_id"]).items():
+            known = memory.get(id_)
+            seen = before = known[0] if known is not None else None
+            if len(rows) > 1:
+                rows.sort(key=lambda r: (r[0], r[1] or ""))
+            for ts, order, account in rows:
+                # an order that comes late, with a time before the remembered one, is a repeat too
+                new = seen is None or ts - seen >= self.memory_ms
+                out.append((order, id_, ts, account, None if new else seen, DECISION_NEW if new else DECISION_DUPLICATE))
+                seen = ts if new else seen
+            if seen != before:
+                memory[id_] = (seen, now + self.ttl_ms)
+        state.update((list(memory), [ts for ts, _ in memory.values()], [until for _, until in memory.values()]))
+        state.setTimeoutDuration(max(until for _, until in memory.values()) - now)
         yield from _frame(out, ["order_id", "client_order_id", "ts", "account_id", "prev_seen_ts", "decision"])
 
-    def close(self) -> None:
-        pass
-
 
-def duplicate_stream(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000, ttl_ms: int | None = None) -> DataFrame:
+def duplicate_stream(orders: DataFrame, id_col: str, memory_ms: int = 3_600_000, ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Streaming twin of ``extensions.duplicate_decisions``: the same rows where orders
     arrive in event-time order. ``ttl_ms`` (twice the memory by default) bounds the state:
     an id is forgotten after that much processing time (see ``io.without_empty_batches`` for
     queries that stop). Orders without id or time are NEW."""
     known = F.col(id_col).isNotNull() & F.col("ts").isNotNull()
-    keyed = orders.filter(known).select(F.col(id_col).cast("string").alias("client_order_id"), "ts", "order_id", "account_id")
-    decided = keyed.groupBy("client_order_id").transformWithStateInPandas(
-        DuplicateProcessor(memory_ms, ttl_ms or 2 * memory_ms), DUPLICATES, "append", "ProcessingTime")
+    keyed = orders.filter(known).select(_bucket(F.col(id_col).cast("string"), buckets).alias("bucket"),
+                                        F.col(id_col).cast("string").alias("client_order_id"), "ts", "order_id", "account_id")
+    decided = _with_state(keyed, DuplicateProcessor(memory_ms, ttl_ms or 2 * memory_ms), DUPLICATES, GroupStateTimeout.ProcessingTimeTimeout)
     rest = orders.filter(~known).select("order_id", F.col(id_col).cast("string").alias("client_order_id"), "ts", "account_id",
                                         F.lit(None).cast("bigint").alias("prev_seen_ts"), F.lit(DECISION_NEW).alias("decision"))
     return decided.unionByName(rest)

@@ -104,3 +104,32 @@ def test_a_replayed_table_is_worked_out_once(spark):
     C._replay(rows, F.col("at"), run, start)
     assert len(batches) == C.TURNS and sum(batches) == 300
     assert looked_at.value == 300
+
+
+def test_remembered_ids_share_the_state_of_a_bucket(spark):
+    orders = spark.createDataFrame([(f"o{k}-{n}", f"x{k}", 1000 * n, "1") for k in range(KEYS) for n in range(2)],
+                                   "order_id string, cid string, ts bigint, account_id string")
+    got, rows = state_rows(spark, orders, lambda o: SS.duplicate_stream(o, "cid"))
+    assert rows <= SS.BUCKETS
+    assert {(r.client_order_id, r.order_id, r.prev_seen_ts, r.decision) for r in got.collect()} == {
+        (f"x{k}", f"o{k}-{n}", 0 if n else None, "DUPLICATE" if n else "NEW") for k in range(KEYS) for n in range(2)}
+    assert got.count() == 2 * KEYS
+
+
+def test_ids_of_a_bucket_expire_each_in_its_time():
+    """An id is forgotten when the order that put it in memory was seen long ago; repeats do not renew it."""
+    state, p, columns = State(), SS.DuplicateProcessor(50, 1000), ["client_order_id", "ts", "order_id", "account_id"]
+
+    def decisions(now, *rows):
+        state.now = now
+        return {r[0]: (r[4], r[5]) for r in call(p, state, [(id_, ts, o, None) for id_, ts, o in rows], columns)}
+
+    assert decisions(0, ("a", 100, "1"), ("a", 100, None)) == {None: (None, "NEW"), "1": (100, "DUPLICATE")}
+    assert decisions(600, ("a", 120, "2"), ("b", 10, "3")) == {"2": (100, "DUPLICATE"), "3": (None, "NEW")}
+    assert state.wake == 1600
+    assert decisions(999, ("a", 90, "4")) == {"4": (100, "DUPLICATE")}
+    assert decisions(1000, ("b", 30, "5"), ("a", 120, "6")) == {"5": (10, "DUPLICATE"), "6": (None, "NEW")}
+    assert decisions(1500, ("b", 70, "7"), ("b", 20, "8")) == {"7": (None, "NEW"), "8": (10, "DUPLICATE")}
+    assert state.wake == 2500
+    state.hasTimedOut, state.now = True, 2500
+    assert call(p, state, [], columns) == [] and not state.exists
