@@ -76,6 +76,11 @@ def _by_key(frames: Iterator[pd.DataFrame], key: str, columns: list[str]) -> dic
     return out
 
 
+def _lists(rows: list[tuple], n: int) -> tuple[list, ...]:
+    """The columns of a list of rows."""
+    return tuple(list(c) for c in zip(*rows)) if rows else tuple([] for _ in range(n))
+
+
 #: Buckets of keys. A micro-batch reads and writes the state of each bucket that it meets, so more of
 #: them suit small batches over a large state; the number stays as it is for the life of a query.
 BUCKETS = 4096
@@ -128,7 +133,7 @@ class DuplicateProcessor:
                 seen = ts if new else seen
             if seen != before:
                 memory[id_] = (seen, now + self.ttl_ms)
-        state.update((list(memory), [ts for ts, _ in memory.values()], [until for _, until in memory.values()]))
+        state.update(_lists([(id_, *known) for id_, known in memory.items()], 3))
         state.setTimeoutDuration(max(until for _, until in memory.values()) - now)
         yield from _frame(out, ["order_id", "client_order_id", "ts", "account_id", "prev_seen_ts", "decision"])
 
@@ -183,7 +188,7 @@ class ThrottleProcessor:
                 passed += allowed
                 out.append((id_, ts, account, symbol, rate, DECISION_ALLOW if allowed else DECISION_THROTTLED))
             scopes[scope] = (rate, second, passed)
-        state.update((list(scopes), *[list(values) for values in zip(*scopes.values())]))
+        state.update(_lists([(scope, *known) for scope, known in scopes.items()], 4))
         yield from _frame(out, ["order_id", "ts", "account_id", "symbol", "max_rate_per_second", "decision"])
 
 
@@ -206,53 +211,69 @@ _COOLDOWN_IN = ["ts", "cmd_id", "action", "triggered_by"]
 ACTION_HOLD, ACTION_UNHOLD = "HOLD", "UNHOLD"
 
 
-class CooldownProcessor(StatefulProcessor):
-    """Follows a scope's commands in event-time order and releases detector kills.
+class CooldownProcessor:
+    """Follows the commands of a bucket's scopes in event-time order and releases detector kills.
 
     Commands wait in the state until the watermark is a window past them: only then is it
     known whether a breach that began before the end of the cooldown extends the
-    episode (its command comes at the window's end). A timer for each waiting command
-    and for the release due makes the operator go on without input."""
+    episode (its command comes at the window's end). A timeout for the first of what waits
+    and of the releases due makes the operator go on without input."""
+
+    # the commands that wait, and of each scope the open activation, by whom and by which command; when its cooldown ends; whether an operator holds the scope
+    STATE = ("waiting array<string>, ts array<bigint>, cmd_id array<string>, action array<string>, triggered_by array<string>, "
+             "scopes array<string>, killed array<boolean>, by array<string>, kill_cmd_id array<string>, due array<bigint>, held array<boolean>")
 
     def __init__(self, cooldown_ms: int, window_ms: int):
         self.cooldown_ms, self.window_ms = cooldown_ms, window_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "ts bigint, cmd_id string, action string, triggered_by string")
-        # the open activation, by whom and by which command; when its cooldown ends; whether an operator holds the scope
-        self.state = handle.getValueState("activation", "killed boolean, by string, cmd_id string, due bigint, held boolean")
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        until = state.getCurrentWatermarkMs() - self.window_ms
+        waiting, scopes = _by_key(frames, "scope", _COOLDOWN_IN), {}
+        if state.exists:
+            columns = state.get
+            for scope, *row in zip(*columns[:5]):
+                waiting.setdefault(scope, []).append(row)
+            scopes = {scope: known for scope, *known in zip(*columns[5:])}
+        out, left, times = [], [], []
+        # all that the watermark allows
+        for scope in {**waiting, **scopes}:
+            rows, known = waiting.get(scope, []), scopes.get(scope)
+            if any(r[0] <= until for r in rows) or known and known[3] is not None and known[3] <= until:
+                rows, known = self.follow(scope, rows, known or (False, None, None, None, False), until, out)
+                scopes[scope] = known
+            left.extend((scope, *r) for r in rows)
+            times.extend(r[0] for r in rows)
+            if known and known[3] is not None:
+                times.append(known[3])
+        state.update((*_lists(left, 5), *_lists([(scope, *known) for scope, known in scopes.items()], 6)))
+        if times:  # the timeout passes when the watermark is later, not equal
+            state.setTimeoutTimestamp(max(min(times) + self.window_ms - 1, 1))
+        yield from _frame(out, ["scope", "ts", "kill_cmd_id"])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _tuples(rows, _COOLDOWN_IN)
-        self.waiting.appendList(new)
-        for ts in {r[0] for r in new}:
-            self.handle.registerTimer(ts + self.window_ms)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # all that the watermark allows: a timer set now for a time it has passed might wait for the next batch
-        until = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) - self.window_ms
-        killed, by, cmd, due, held = self.state.get() or (False, None, None, None, False)
-        rows = sorted(tuple(r) for r in self.waiting.get())
-        ready = [r for r in rows if r[0] <= until]
+    def follow(self, scope: str, rows: list, known: tuple, until: int, out: list) -> tuple[list, tuple]:
+        """Works off the commands of a scope up to ``until``; the others, and the state then."""
+        killed, by, cmd, due, held = known
+        rows = sorted(rows, key=lambda r: (r[0], r[1] or "", r[2] or "", r[3] or ""))
         # an episode grows by each breach whose window began before the cooldown's end
         breaches = [r[0] for r in rows if r[2] == "KILL" and r[3] == TRIGGERED_BY_DETECTOR]
-        out = []
 
         def release(before: int) -> None:
             nonlocal killed, due
             while due is not None and due <= before:
-                more = [t for t in breaches if t + self.cooldown_ms > due and t - self.window_ms < due]
-                if more:
-                    due = min(more) + self.cooldown_ms
+                more = bisect_right(breaches, due - self.cooldown_ms)
+                if more < len(breaches) and breaches[more] - self.window_ms < due:
+                    due = breaches[more] + self.cooldown_ms
                     continue
                 if killed and by == TRIGGERED_BY_DETECTOR and not held:
-                    out.append((key[0], due, cmd))
+                    out.append((scope, due, cmd))
                     killed = False
                 due = None
 
-        for ts, id_, action, who in ready:
+        left = len(rows)
+        for k, (ts, id_, action, who) in enumerate(rows):
+            if ts > until:
+                left = k
+                break
             release(ts)
             if action == "KILL":
                 if not killed:
@@ -264,19 +285,10 @@ class CooldownProcessor(StatefulProcessor):
             elif action in (ACTION_HOLD, ACTION_UNHOLD):
                 held = action == ACTION_HOLD
         release(until)
-        if ready:
-            left = [r for r in rows if r[0] > until]
-            self.waiting.put(left) if left else self.waiting.clear()
-        if due is not None:
-            self.handle.registerTimer(due + self.window_ms)
-        self.state.update((killed, by, cmd, due, held))
-        yield from _frame(out, ["scope", "ts", "kill_cmd_id"])
-
-    def close(self) -> None:
-        pass
+        return rows[left:], (killed, by, cmd, due, held)
 
 
-def release_stream(commands: DataFrame, cooldown_ms: int, window_ms: int, watermark: str) -> DataFrame:
+def release_stream(commands: DataFrame, cooldown_ms: int, window_ms: int, watermark: str, buckets: int = BUCKETS) -> DataFrame:
     """A stream of commands (the detector's, the operators', HOLD and UNHOLD) -> UNKILL
     commands for detector kills whose scope has been calm for ``cooldown_ms``.
 
@@ -286,9 +298,9 @@ def release_stream(commands: DataFrame, cooldown_ms: int, window_ms: int, waterm
     holds it then. Releases take effect here too: a kill after one is a new
     activation. The rows are for the command log. Commands without scope or time
     cannot be followed."""
-    timed = (commands.filter("scope is not null and ts is not null").select("scope", *_COOLDOWN_IN)
+    timed = (commands.filter("scope is not null and ts is not null").select(_bucket(F.col("scope"), buckets).alias("bucket"), "scope", *_COOLDOWN_IN)
              .withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", watermark))
-    found = timed.groupBy("scope").transformWithStateInPandas(CooldownProcessor(cooldown_ms, window_ms), RELEASES, "append", "EventTime")
+    found = _with_state(timed, CooldownProcessor(cooldown_ms, window_ms), RELEASES, GroupStateTimeout.EventTimeTimeout)
     return found.select(stable_id(F.lit("auto"), "kill_cmd_id").alias("cmd_id"), "ts", "scope", F.lit(ACTION_UNKILL).alias("action"),
                         F.lit(REASON_AUTO_UNKILL).alias("reason"), F.lit(TRIGGERED_BY_DETECTOR).alias("triggered_by"),
                         F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"),

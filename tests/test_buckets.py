@@ -11,6 +11,7 @@ from conftest import commands_df, orders_df
 from haltgate.plans import catalog as C
 from haltgate.streaming import stateful as SS
 from haltgate.streaming.io import file_stream, state_store, without_empty_batches
+from test_stateful import released
 
 KEYS = SS.BUCKETS + 1500
 
@@ -133,3 +134,33 @@ def test_ids_of_a_bucket_expire_each_in_its_time():
     assert state.wake == 2500
     state.hasTimedOut, state.now = True, 2500
     assert call(p, state, [], columns) == [] and not state.exists
+
+
+def test_followed_scopes_share_the_state_of_a_bucket(spark):
+    commands = commands_df(spark, [(f"c{k}", 10_000_000, f"ACCOUNT:{k}", "KILL", None, "spark", None, None, None) for k in range(KEYS)])
+    _, rows = state_rows(spark, commands, lambda c: SS.release_stream(c, 1000, 1000, "1 hour"))
+    assert rows <= SS.BUCKETS
+
+
+def test_scopes_of_a_bucket_are_released_as_the_watermark_passes():
+    """A bucket that is woken by rows or by its timeout alone, against a step-by-step version for each scope."""
+    rnd, window, cooldown, p = random.Random(21), 10, 25, SS.CooldownProcessor(25, 10)
+    kinds = [("KILL", "spark")] * 5 + [("KILL", "ops"), ("UNKILL", "ops"), ("UNKILL", None), ("HOLD", "ops"), ("UNHOLD", "ops"), ("PAUSE", "ops")]
+    commands = [(f"c{k:03d}", rnd.randrange(100, 900), f"ACCOUNT:{rnd.randrange(20)}", *rnd.choice(kinds)) for k in range(400)]
+    commands += commands[:15]  # some come twice
+    state, got, columns = State(), [], ["scope", *SS._COOLDOWN_IN]
+    for at in range(100, 1000, 7):
+        now = [(scope, ts, id_, action, by) for id_, ts, scope, action, by in commands if at <= ts < at + 7]
+        if now:
+            state.wake = None
+            got += call(p, state, now, columns)
+        state.watermark = at  # of the batch after
+        if state.wake is not None and state.wake < state.watermark:
+            state.hasTimedOut, state.wake = True, None
+            got += call(p, state, [], columns)
+            state.hasTimedOut = False
+    exp = []
+    for scope in {c[2] for c in commands}:
+        exp += released([(id_, ts, s, action, None, by) for id_, ts, s, action, by in commands if s == scope], cooldown, window, state.watermark - window)
+    assert sorted(got) == sorted(exp) and len(exp) > 20
+    assert state.wake is None or state.wake >= state.watermark
